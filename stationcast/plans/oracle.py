@@ -13,6 +13,11 @@ from ..sources.tables import trips_view_sql
 
 
 def r6(expr: str) -> str:
+    """Round a double to 6 places (binary value, half away from zero).
+
+    The Spark side (``registry.round_doubles``) applies the same rule to the
+    same IEEE product, so equal inputs always round alike.
+    """
     return f"round(CAST({expr} AS DOUBLE), 6)"
 
 

@@ -90,7 +90,7 @@ def q_lag_features(spark, sf):
 SELECT pickup_hour, start_station_id, rides,
        coalesce(CAST(lag(rides, 24) OVER w AS DOUBLE), 0) AS rides_lag_24h,
        coalesce(CAST(lag(rides, 168) OVER w AS DOUBLE), 0) AS rides_lag_168h,
-       round(coalesce(stddev_samp(rides) OVER (w ROWS BETWEEN 1 PRECEDING AND CURRENT ROW), 0), 6)
+       {O.r6('coalesce(stddev_samp(rides) OVER (w ROWS BETWEEN 1 PRECEDING AND CURRENT ROW), 0)')}
          AS rolling_std_2h
 FROM dense WINDOW w AS (PARTITION BY start_station_id ORDER BY pickup_hour)""")
 def q_fill_null_zero(spark, sf):

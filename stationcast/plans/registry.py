@@ -29,8 +29,21 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+def round_half_away(c, places: int = 6):
+    """Round the binary double value: sign(x) * floor(|x| * 10^p + 0.5) / 10^p.
+
+    This is the rule DuckDB's ``round(double, p)`` applies; Spark's ``round``
+    works on the shortest decimal string instead, which splits exact ties
+    (e.g. microseconds / 6e7) the other way.  Huge values are left as is.
+    """
+    scale = float(10 ** places)
+    x = F.col(c) if isinstance(c, str) else c
+    r = F.signum(x) * F.floor(F.abs(x) * scale + 0.5).cast("double") / scale
+    return F.when(F.abs(x) < 1e9, r).otherwise(x)
+
+
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
-    cols = [F.round(F.col(f.name), places).alias(f.name)
+    cols = [round_half_away(f.name, places).alias(f.name)
             if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
             for f in df.schema.fields]
     return df.select(*cols)

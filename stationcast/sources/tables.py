@@ -65,3 +65,42 @@ def trips_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     t = trips_view(spark, sf_dir)
     return t.withColumn("start_station_id", F.col("user_id").cast("string"))
+
+
+# Orders as a multi-year trip table: the customer is the station and the
+# customer name the station name.  Shared text with the SQL oracle; {END} is
+# the engine's "order date plus (orderkey mod 90) minutes".
+ORDERS_TRIPS_SQL = """
+SELECT CAST(o.o_orderkey AS STRING) AS ride_id,
+       CASE WHEN o.o_orderstatus = 'F' THEN 'electric_bike' ELSE 'classic_bike' END AS rideable_type,
+       o.o_orderdate AS started_at,
+       {END} AS ended_at,
+       c.c_name AS start_station_name,
+       CAST(o.o_custkey AS STRING) AS start_station_id,
+       c.c_name AS end_station_name,
+       CAST(o.o_custkey AS STRING) AS end_station_id,
+       CAST(40.70 + (o.o_custkey % 100) * 0.001 AS DOUBLE) AS start_lat,
+       CAST(-74.05 + (o.o_custkey % 37) * 0.001 AS DOUBLE) AS start_lng,
+       CAST(40.70 + (o.o_orderkey % 100) * 0.001 AS DOUBLE) AS end_lat,
+       CAST(-74.05 + (o.o_orderkey % 37) * 0.001 AS DOUBLE) AS end_lng,
+       CASE WHEN o.o_custkey % 2 = 0 THEN 'member' ELSE 'casual' END AS member_casual
+FROM {orders} o LEFT JOIN {customer} c ON o.o_custkey = c.c_custkey
+"""
+SPARK_END = "timestampadd(MINUTE, o.o_orderkey % 90, o.o_orderdate)"
+DUCK_END = "o.o_orderdate + to_minutes(CAST(o.o_orderkey % 90 AS BIGINT))"
+
+
+def orders_trips_sql(engine: str = "duckdb", orders: str = "orders", customer: str = "customer") -> str:
+    end = SPARK_END if engine == "spark" else DUCK_END
+    sql = ORDERS_TRIPS_SQL.format(END=end, orders=orders, customer=customer)
+    if engine != "spark":
+        sql = sql.replace("AS STRING)", "AS VARCHAR)")
+    return sql
+
+
+def orders_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips over 1995-2001 from ``orders`` (13 raw trip columns, typed times)."""
+    tag = abs(hash(sf_dir))
+    read_table(spark, sf_dir, "orders").createOrReplaceTempView(f"_orders_{tag}")
+    read_table(spark, sf_dir, "customer").createOrReplaceTempView(f"_customer_{tag}")
+    return spark.sql(orders_trips_sql("spark", f"_orders_{tag}", f"_customer_{tag}"))
