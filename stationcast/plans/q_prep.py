@@ -1 +1,197 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: supervised prep, feature selection and feature files
+(W6, W7, W8, W10, C12, C13, J5, A9, P5, S4, S5, K1)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import features as feat
+from ..operators import prep as PR
+from ..operators.selection import f_regression_scores
+from ..session import scratch_path
+from ..sinks.writers import write_feature_sets, write_table
+from ..sources.feature_files import scan_feature_sets, scan_features
+from ..sources.tables import read_table
+from . import oracle as O
+from .pipelines import feature_sets
+from .q_core import user_series
+from .q_trips import RUN_FEATURES_SQL
+from .registry import register, round_doubles, round_half_away
+
+W, STEP = 12, 3
+BASELINE_DDL = ("pickup_hour STRING, start_station_id STRING, rides BIGINT, "
+                "rides_lag_24h DOUBLE, rides_lag_168h DOUBLE")
+BASELINE_CTE = """b AS (SELECT pickup_hour, start_station_id, rides,
+    coalesce(CAST(lag(rides, 24) OVER w AS DOUBLE), 0) AS rides_lag_24h,
+    coalesce(CAST(lag(rides, 168) OVER w AS DOUBLE), 0) AS rides_lag_168h
+  FROM dense WINDOW w AS (PARTITION BY start_station_id ORDER BY pickup_hour))"""
+
+
+def baseline(spark, sf):
+    return feat.project_baseline(feat.full_features(user_series(spark, sf)))
+
+
+# --- W6 / W10 --------------------------------------------------------------
+_T_COLS = ", ".join(f'lag(rides, {k}) OVER w AS "rides_t-{k}"' for k in range(W, 0, -1))
+WINDOWED_CTES = f"""{O.series_ctes('user')},
+{BASELINE_CTE},
+x AS (SELECT lag(pickup_hour, 1) OVER w AS pickup_hour, start_station_id,
+        lag(rides_lag_24h, 1) OVER w AS rides_lag_24h, lag(rides_lag_168h, 1) OVER w AS rides_lag_168h,
+        {_T_COLS}, rides AS target, row_number() OVER w - 1 AS j
+      FROM b WINDOW w AS (PARTITION BY start_station_id ORDER BY pickup_hour)),
+ex AS (SELECT * EXCLUDE (j) FROM x WHERE j >= {W} AND (j - {W}) % {STEP} = 0)"""
+
+
+def examples(spark, sf):
+    return PR.sliding_window_features(baseline(spark, sf), "rides", W, STEP)
+
+
+@register("sliding_window_features", f"WITH {WINDOWED_CTES}\nSELECT * FROM ex")
+def q_sliding_window_features(spark, sf):
+    return examples(spark, sf)
+
+
+_LAGS_SEL = ", ".join(f'"rides_t-{k}" AS lag_{k}h' for k in range(W, 0, -1))
+
+
+@register("series_with_lags", f"""WITH {WINDOWED_CTES}
+SELECT pickup_hour AS time, target AS actual, {_LAGS_SEL} FROM ex
+WHERE start_station_id = '7' ORDER BY time""")
+def q_series_with_lags(spark, sf):
+    return PR.series_with_lags(examples(spark, sf), "7")
+
+
+# --- W7 --------------------------------------------------------------------
+SPLIT_CTE = """s AS (SELECT pickup_hour AS split_hour FROM (
+    SELECT pickup_hour, row_number() OVER (ORDER BY pickup_hour) - 1 AS i, count(*) OVER () AS n
+    FROM (SELECT DISTINCT pickup_hour FROM dense)) WHERE i = floor(n * 0.8))"""
+
+
+@register("time_split", f"""WITH {O.series_ctes('user')}, {SPLIT_CTE}
+SELECT pickup_hour, start_station_id, rides,
+       CASE WHEN pickup_hour < split_hour THEN 'train' ELSE 'test' END AS split FROM dense, s""")
+def q_time_split(spark, sf):
+    return PR.time_split(user_series(spark, sf))
+
+
+# --- C12 -------------------------------------------------------------------
+@register("expand_datetime", f"""WITH {O.series_ctes('user')}, {BASELINE_CTE}
+SELECT start_station_id, rides, rides_lag_24h, rides_lag_168h,
+  CAST(hour(pickup_hour) AS INTEGER) AS pickup_hour_hour, CAST(day(pickup_hour) AS INTEGER) AS pickup_hour_day,
+  CAST(month(pickup_hour) AS INTEGER) AS pickup_hour_month, CAST(year(pickup_hour) AS INTEGER) AS pickup_hour_year,
+  CAST(isodow(pickup_hour) - 1 AS INTEGER) AS pickup_hour_dayofweek,
+  CAST(epoch(pickup_hour) AS BIGINT) AS pickup_hour_timestamp
+FROM b""")
+def q_expand_datetime(spark, sf):
+    return PR.expand_datetime(baseline(spark, sf))
+
+
+# --- C13 / J5 (part brands and types; one brand never seen in train) -------
+PART_SPLIT = """ps AS (SELECT p_partkey AS split_key FROM (
+    SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS i, count(*) OVER () AS n
+    FROM (SELECT DISTINCT p_partkey FROM part)) WHERE i = floor(n * 0.8)),
+tr AS (SELECT p.* FROM part p, ps WHERE p_partkey < split_key AND p_brand <> 'Brand#13'),
+te AS (SELECT p.* FROM part p, ps WHERE p_partkey >= split_key),
+codes AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS code
+          FROM (SELECT DISTINCT p_brand FROM tr))"""
+
+
+def _part_train_test(spark, sf):
+    part = read_table(spark, sf, "part")
+    lab = PR.time_split(part, 0.8, "p_partkey")
+    train = lab.where((F.col("split") == "train") & (F.col("p_brand") != "Brand#13"))
+    return train, lab.where(F.col("split") == "test")
+
+
+@register("label_encode", f"""WITH {PART_SPLIT}
+SELECT p_partkey, 'train' AS split, coalesce(c.code, -1) AS p_brand FROM tr LEFT JOIN codes c USING (p_brand)
+UNION ALL
+SELECT p_partkey, 'test', coalesce(c.code, -1) FROM te LEFT JOIN codes c USING (p_brand)""")
+def q_label_encode(spark, sf):
+    train, test = _part_train_test(spark, sf)
+    tr, te = PR.label_encode(train.select("p_partkey", "split", "p_brand"),
+                             test.select("p_partkey", "split", "p_brand"), ["p_brand"])
+    return tr.unionByName(te)
+
+
+@register("encode_lookup", """WITH codes AS (
+  SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS code
+  FROM (SELECT DISTINCT p_type FROM part WHERE p_size <= 25))
+SELECT p_partkey, coalesce(c.code, -1) AS p_type_code FROM part LEFT JOIN codes c USING (p_type)""")
+def q_encode_lookup(spark, sf):
+    part = read_table(spark, sf, "part")
+    codes = PR.category_codes(part.where("p_size <= 25"), "p_type")
+    return PR.encode_lookup(part, codes, "p_type", "p_type_code").select("p_partkey", "p_type_code")
+
+
+# --- W8 --------------------------------------------------------------------
+@register("recent_history", f"""WITH {O.series_ctes('user')},
+r AS (SELECT *, row_number() OVER (PARTITION BY start_station_id ORDER BY pickup_hour DESC) - 1 AS _age,
+             count(*) OVER (PARTITION BY start_station_id) AS n FROM dense)
+SELECT pickup_hour, start_station_id, rides, CAST(_age AS INTEGER) AS _age FROM r WHERE _age < 24 AND n >= 24""")
+def q_recent_history(spark, sf):
+    return PR.recent_history(user_series(spark, sf), 24)
+
+
+# --- A9 / P5 ---------------------------------------------------------------
+_SEL_FEATURES = [c for c in feat.full_feature_names() if c not in feat.KEY_COLUMNS]
+_SCORE_UNION = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {i} AS idx, covar_samp(CAST({c} AS DOUBLE), CAST(rides AS DOUBLE)) AS cov, "
+    f"var_samp(CAST({c} AS DOUBLE)) AS vx FROM features"
+    for i, c in enumerate(_SEL_FEATURES))
+F_REG_SQL = (f"WITH {O.series_ctes('user')},\n{O.features_cte()}" + f""",
+st AS (SELECT count(*) AS n, var_samp(CAST(rides AS DOUBLE)) AS vy FROM features),
+sc AS ({_SCORE_UNION}),
+f AS (SELECT feature, CAST(idx AS INTEGER) AS idx,
+        CASE WHEN vx = 0 OR vy = 0 OR vx IS NULL THEN 0.0
+             WHEN cov * cov / (vx * vy) >= 1 THEN 1.7976931348623157e308
+             ELSE (cov * cov / (vx * vy)) / (1 - cov * cov / (vx * vy)) * (n - 2) END AS f_score
+      FROM sc, st)
+SELECT feature, idx, round(f_score, 3) AS f_score,
+  CAST(row_number() OVER (ORDER BY f_score DESC, idx DESC) AS INTEGER) AS rank,
+  CAST(row_number() OVER (ORDER BY f_score DESC, idx DESC) <= 10 AS INTEGER) AS selected
+FROM f""")
+
+
+@register("f_regression_scores", F_REG_SQL)
+def q_f_regression_scores(spark, sf):
+    s = f_regression_scores(feat.full_features(user_series(spark, sf)))
+    return s.withColumn("f_score", round_half_away("f_score", 3))
+
+
+@register("project_reduced")
+def q_project_reduced(spark, sf):
+    return round_doubles(feature_sets(spark, sf)["reduced_features"])
+
+
+# --- S4 / S5 / K1 ----------------------------------------------------------
+BASELINE_SQL = f"WITH {O.series_ctes('user')}, {BASELINE_CTE}\nSELECT * FROM b"
+
+
+@register("scan_features", BASELINE_SQL)
+def q_scan_features(spark, sf):
+    root = scratch_path(spark, "features")
+    write_table(baseline(spark, sf), f"{root}/baseline_features.csv", "csv")
+    return scan_features(spark, f"{root}/baseline_features.csv", schema=BASELINE_DDL)
+
+
+@register("scan_feature_sets", BASELINE_SQL)
+def q_scan_feature_sets(spark, sf):
+    root = scratch_path(spark, "feature-sets")
+    sets = feature_sets(spark, sf)
+    sets = {k: v for k, v in sets.items() if k != "selection_scores"}
+    sets["baseline_features"] = baseline(spark, sf)
+    for name, df in sets.items():
+        write_table(df, f"{root}/{name}.parquet", "parquet")
+    candidates = {n: [(f"{root}/missing/{n}.csv", "csv"), (f"{root}/{n}.parquet", "parquet")]
+                  for n in sets}
+    return scan_feature_sets(spark, candidates)["baseline_features"]
+
+
+@register("write_feature_sets", RUN_FEATURES_SQL)
+def q_write_feature_sets(spark, sf):
+    root = scratch_path(spark, "feature-store-files")
+    sets = feature_sets(spark, sf)
+    sets.pop("selection_scores")
+    write_feature_sets(sets, root, "20240131_000000")
+    return round_doubles(spark.read.parquet(f"{root}/full_features/latest"))
