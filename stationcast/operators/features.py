@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.calendar import TIME_FEATURES, time_features
@@ -70,64 +71,67 @@ def rolling_features_naive(df: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE
 def rolling_features(df: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE,
                      station: str = "start_station_id", hour: str = "pickup_hour",
                      value: str = "rides") -> DataFrame:
-    """W2-W4 in O(rows) per window length, for integer, non-negative values.
+    """W2-W4 without sliding frames (Spark re-aggregates a sliding frame for
+    every row: O(rows x window)).  Every expression below is a running sum, a
+    row number or a lag over the same (station ordered by hour) window, so the
+    rows are sorted once and no frame is ever re-scanned.
 
     mean / sample std from running sums: with S1 = sum x and S2 = sum x^2 up to
     the current row (exact in bigint), the last m = min(rn, w) rows have
     a = S1 - S1[rn-w] and q = S2 - S2[rn-w]; mean = a/m and
-    std = sqrt((m q - a^2) / (m (m-1))), 0 when m = 1.
+    std = sqrt((m q - a^2) / (m (m-1))), 0 when m = 1.  Values that are not
+    integers fall back to the sliding frames (the sums would not be exact).
 
-    max: rows are cut into blocks of w; p = running max inside the block,
-    u = running max from the row to the end of its block.  The window
-    [rn-w+1, rn] is the tail of the previous block plus the head of the
-    current one, so max = greatest(p[rn], u[rn-w+1]) (null-skipping).
-
-    Every window shares the (station) partitioning of the series, so no
-    extra shuffle is added, only local sorts.
+    max by doubling: M1 = x, M2k[i] = greatest(Mk[i], Mk[i-k]) covers the last
+    2k rows; for a window w with 2^j <= w, max = greatest(M[i], M[i-(w-2^j)])
+    with M = M_{2^j}.  log2(672) < 10 lag steps serve all three windows, and
+    ``greatest`` skips the nulls before a series starts.
     """
+    if not isinstance(df.schema[value].dataType, T.IntegralType):
+        return rolling_features_naive(df, window_size, station, hour, value)
+    wins = [win for win in ROLL_WINDOWS if win <= window_size]
+    if not wins:
+        return df
     x = F.col(value).cast("bigint")
     w = _series_window(station, hour)
-    tmp = (df.withColumn("_rn", F.row_number().over(w))
-           .withColumn("_s1", F.sum(x).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("_s2", F.sum(x * x).over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    cols, helpers = {}, ["_rn", "_s1", "_s2"]
-    wins = [win for win in ROLL_WINDOWS if win <= window_size]
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    tmp = df.withColumns({"_rn": F.row_number().over(w), "_s1": F.sum(x).over(upto),
+                          "_s2": F.sum(x * x).over(upto), "_m1": x})
+    levels, span = {1: "_m1"}, 1
+    while span * 2 <= max(wins):
+        prev, span = levels[span], span * 2
+        levels[span] = f"_m{span}"
+        tmp = tmp.withColumn(levels[span], F.greatest(F.col(prev), F.lag(prev, span // 2).over(w)))
+    cols = {}
     for win in wins:
         m = F.least(F.col("_rn"), F.lit(win)).cast("double")
         a = (F.col("_s1") - F.coalesce(F.lag("_s1", win).over(w), F.lit(0))).cast("double")
         q = (F.col("_s2") - F.coalesce(F.lag("_s2", win).over(w), F.lit(0))).cast("double")
-        cols[f"rolling_mean_{win}h"] = a / m
+        top = 1 << (win.bit_length() - 1)
+        mx = F.col(levels[top])
+        if win > top:
+            mx = F.greatest(mx, F.lag(levels[top], win - top).over(w))
         var = F.try_divide(m * q - a * a, m * (m - F.lit(1.0)))
+        cols[f"rolling_mean_{win}h"] = a / m
+        cols[f"rolling_max_{win}h"] = mx.cast("double")
         cols[f"rolling_std_{win}h"] = F.coalesce(F.sqrt(F.greatest(var, F.lit(0.0))), F.lit(0.0))
-        blk = f"_blk{win}"
-        tmp = tmp.withColumn(blk, F.floor((F.col("_rn") - 1) / win))
-        wb = Window.partitionBy(station, blk)
-        tmp = (tmp.withColumn(f"_p{win}", F.max(x).over(
-                    wb.orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0)))
-                  .withColumn(f"_u{win}", F.max(x).over(
-                    wb.orderBy(F.desc("_rn")).rowsBetween(Window.unboundedPreceding, 0))))
-        cols[f"rolling_max_{win}h"] = F.greatest(
-            F.col(f"_p{win}"), F.lag(f"_u{win}", win - 1).over(w)).cast("double")
-        helpers += [blk, f"_p{win}", f"_u{win}"]
-    ordered = {}
-    for win in wins:
-        for s in ("mean", "max", "std"):
-            ordered[f"rolling_{s}_{win}h"] = cols[f"rolling_{s}_{win}h"]
-    return tmp.withColumns(ordered).drop(*helpers)
+    return tmp.withColumns(cols).drop("_rn", "_s1", "_s2", *levels.values())
 
 
 def full_features(series: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE,
                   fast: bool = True) -> DataFrame:
     """3 keys/target + 15 calendar + 12 lags + 9 rolling = 39 columns.
 
-    The series is hash-partitioned on the station once; every window below
-    reuses that partitioning (only local sorts follow).
+    Every window below is partitioned by the station: a series built by
+    ``dense_grid`` already is, so no exchange is added (an unpartitioned input
+    gets exactly one), and the windows only add local sorts.
+    The rolling and lag windows run first, on the narrow (hour, station,
+    rides) rows; the calendar columns are plain projections added last.
     """
-    part = series.repartition("start_station_id")
-    out = time_features(part, "pickup_hour")
+    out = (rolling_features(series, window_size) if fast
+           else rolling_features_naive(series, window_size))
     out = lag_features(out, window_size)
-    out = (rolling_features(out, window_size) if fast
-           else rolling_features_naive(out, window_size))
+    out = time_features(out, "pickup_hour")
     return fill_null_zero(out).select(*full_feature_names(window_size))
 
 

@@ -25,13 +25,18 @@ def f_regression_scores(features: DataFrame, target: str = "rides",
     aggs = [F.count(F.lit(1)).alias("_n"), F.var_samp(y).alias("_vy")]
     for i, c in enumerate(names):
         x = F.col(c).cast("double")
-        aggs += [F.covar_samp(x, y).alias(f"_c{i}"), F.var_samp(x).alias(f"_v{i}")]
+        aggs += [F.covar_samp(x, y).alias(f"_c{i}"), F.var_samp(x).alias(f"_v{i}"),
+                 (F.min(x) == F.max(x)).alias(f"_k{i}")]
+    aggs.append((F.min(y) == F.max(y)).alias("_ky"))
     sums = features.agg(*aggs)
     # one row -> one row per feature via stack (no driver round-trip)
-    stack = ", ".join(f"'{c}', {i}, _c{i}, _v{i}" for i, c in enumerate(names))
-    long = sums.selectExpr("_n", "_vy", f"stack({len(names)}, {stack}) AS (feature, idx, cov, vx)")
+    stack = ", ".join(f"'{c}', {i}, _c{i}, _v{i}, _k{i}" for i, c in enumerate(names))
+    long = sums.selectExpr("_n", "_vy", "_ky",
+                           f"stack({len(names)}, {stack}) AS (feature, idx, cov, vx, const)")
     r2 = F.try_divide(F.col("cov") * F.col("cov"), F.col("vx") * F.col("_vy"))
-    f = (F.when((F.col("vx") == 0) | (F.col("_vy") == 0) | F.col("vx").isNull(), F.lit(0.0))
+    # constant columns are detected exactly (min = max): merged partial
+    # variances of a constant are not always exactly 0
+    f = (F.when(F.col("const") | F.col("_ky") | F.col("vx").isNull(), F.lit(0.0))
          .when(r2 >= 1.0, F.lit(MAX_DOUBLE))
          .otherwise(r2 / (F.lit(1.0) - r2) * (F.col("_n") - 2)))
     scored = long.select("feature", F.col("idx").cast("int").alias("idx"), f.alias("f_score"))

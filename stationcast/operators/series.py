@@ -33,24 +33,42 @@ def hourly_demand(trips: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rides")))
 
 
+def series_partitions(spark) -> int:
+    """Partition count for dense series: the session's shuffle partition setting."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def dense_grid(hourly: DataFrame, hour_col: str = "pickup_hour",
-               station_col: str = "start_station_id", rides_col: str = "rides") -> DataFrame:
+               station_col: str = "start_station_id", rides_col: str = "rides",
+               num_partitions: int | None = None) -> DataFrame:
     """Every hour from the global min to max for every station, 0 when absent.
 
-    The hour range is one global aggregate (a single row, so its broadcast is
-    bounded); each station row is exploded into its hours, so the grid is
-    generated where the station rows live.  The left join against the counts
-    is a shuffled join on (station, hour); both sides are aggregates, far
-    smaller than the raw trips.
+    Gap filling, no grid join: the sparse counts are hash-partitioned by
+    station into an explicit number of partitions (a user-specified count,
+    which AQE does not coalesce -- the dense output is far larger than the
+    sparse input it would size by).  Within a station, ordered by hour, each
+    count row expands to the hours up to the next row's hour; the station's
+    first row also covers the hours from the global minimum, the last one the
+    hours to the global maximum.  A station partition holds at most one row
+    per hour, so a station with a third of all trips is no larger than any
+    other.  The global range is one aggregate row (bounded broadcast) over
+    the same repartitioned counts, so it shares their shuffle instead of
+    re-scanning the input.  The output stays partitioned by station, which
+    the feature windows downstream reuse without another exchange.
     """
-    bounds = hourly.agg(F.min(hour_col).alias("_lo"), F.max(hour_col).alias("_hi"))
-    stations = hourly.select(station_col).distinct()
-    grid = (stations.crossJoin(bounds)
-            .select(F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 HOUR"))).alias(hour_col),
-                    station_col))
-    return (grid.join(hourly.select(hour_col, station_col, rides_col), [hour_col, station_col], "left")
-            .select(hour_col, station_col,
-                    F.coalesce(F.col(rides_col), F.lit(0)).cast("bigint").alias(rides_col)))
+    n = num_partitions or series_partitions(hourly.sparkSession)
+    counts = hourly.select(hour_col, station_col, rides_col).repartition(n, station_col)
+    bounds = counts.agg(F.min(hour_col).alias("_lo"), F.max(hour_col).alias("_hi"))
+    w = Window.partitionBy(station_col).orderBy(hour_col)
+    step = F.expr("INTERVAL 1 HOUR")
+    spans = counts.crossJoin(F.broadcast(bounds)).select(
+        station_col, F.col(hour_col).alias("_h"), F.col(rides_col).alias("_r"),
+        F.when(F.row_number().over(w) == 1, F.col("_lo")).otherwise(F.col(hour_col)).alias("_from"),
+        F.coalesce(F.lead(hour_col).over(w) - step, F.col("_hi")).alias("_to"))
+    filled = spans.select(station_col, "_h", "_r",
+                          F.explode(F.sequence("_from", "_to", step)).alias(hour_col))
+    rides = F.when(F.col(hour_col) == F.col("_h"), F.coalesce(F.col("_r"), F.lit(0))).otherwise(F.lit(0))
+    return filled.select(hour_col, station_col, rides.cast("bigint").alias(rides_col))
 
 
 def transform_to_series(trips: DataFrame) -> DataFrame:

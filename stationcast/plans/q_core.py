@@ -82,7 +82,7 @@ register("cyclic_features", _time_sql(_CYC))(_time_q(_CYC))
 @register("lag_features", f"""WITH {O.series_ctes('user')}
 SELECT pickup_hour, start_station_id, rides, {', '.join(O.lag_exprs(WS))} FROM dense""")
 def q_lag_features(spark, sf):
-    return feat.lag_features(user_series(spark, sf).repartition("start_station_id"), WS)
+    return feat.lag_features(user_series(spark, sf), WS)
 
 
 # --- P12 ------------------------------------------------------------------
@@ -109,7 +109,7 @@ def _roll_q(stat):
     names = [f"rolling_{stat}_{w}h" for w in feat.ROLL_WINDOWS]
 
     def q(spark, sf):
-        s = user_series(spark, sf).repartition("start_station_id")
+        s = user_series(spark, sf)
         return round_doubles(feat.rolling_features(s, WS).select(*KEYS, *names))
 
     exprs = [e for e in O.rolling_exprs(WS) if e.endswith(tuple(f" AS {n}" for n in names))]

@@ -137,13 +137,13 @@ def q_recent_history(spark, sf):
 _SEL_FEATURES = [c for c in feat.full_feature_names() if c not in feat.KEY_COLUMNS]
 _SCORE_UNION = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, {i} AS idx, covar_samp(CAST({c} AS DOUBLE), CAST(rides AS DOUBLE)) AS cov, "
-    f"var_samp(CAST({c} AS DOUBLE)) AS vx FROM features"
+    f"var_samp(CAST({c} AS DOUBLE)) AS vx, min({c}) = max({c}) AS const FROM features"
     for i, c in enumerate(_SEL_FEATURES))
 F_REG_SQL = (f"WITH {O.series_ctes('user')},\n{O.features_cte()}" + f""",
-st AS (SELECT count(*) AS n, var_samp(CAST(rides AS DOUBLE)) AS vy FROM features),
+st AS (SELECT count(*) AS n, var_samp(CAST(rides AS DOUBLE)) AS vy, min(rides) = max(rides) AS ky FROM features),
 sc AS ({_SCORE_UNION}),
 f AS (SELECT feature, CAST(idx AS INTEGER) AS idx,
-        CASE WHEN vx = 0 OR vy = 0 OR vx IS NULL THEN 0.0
+        CASE WHEN const OR ky OR vx IS NULL THEN 0.0
              WHEN cov * cov / (vx * vy) >= 1 THEN 1.7976931348623157e308
              ELSE (cov * cov / (vx * vy)) / (1 - cov * cov / (vx * vy)) * (n - 2) END AS f_score
       FROM sc, st)
