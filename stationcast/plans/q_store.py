@@ -1 +1,51 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: feature store and offline-store tables
+(T1-T5, C18-C20, P6, W9, S7-S9, K3).
+
+Upserts use the per-user hourly series in two overlapping batches (the second
+with changed rides); the offline store and partition exports use it and
+``lineitem`` by ship date.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ..operators import features as feat
+from ..operators import prep as PR
+from ..operators import store as S
+from ..session import scratch_path
+from ..sinks.writers import export_partitions
+from ..sources.tables import read_table, trips_view
+from . import oracle as O
+from .q_core import user_series
+from .registry import register, round_doubles
+
+GROUP = "hourly_demand"
+NOW1 = dt.datetime(2024, 2, 1, 8, 0, 0)
+NOW2 = dt.datetime(2024, 2, 2, 9, 30, 0)
+CUT1 = "2024-01-20 00:00:00"
+CUT2 = "2024-01-15 00:00:00"
+
+
+def baseline(spark, sf):
+    return feat.project_baseline(feat.full_features(user_series(spark, sf)))
+
+
+def batches(spark, sf):
+    b = baseline(spark, sf)
+    b1 = b.where(F.col("pickup_hour") < F.lit(CUT1).cast("timestamp_ntz"))
+    b2 = (b.where(F.col("pickup_hour") >= F.lit(CUT2).cast("timestamp_ntz"))
+          .withColumn("rides", F.col("rides") + 1))
+    return b, b1, b2
+
+
+BASE_CTES = f"""{O.series_ctes('user')},
+b AS (SELECT pickup_hour, start_station_id, rides,
+        coalesce(CAST(lag(rides, 24) OVER w AS DOUBLE), 0) AS rides_lag_24h,
+        coalesce(CAST(lag(rides, 168) OVER w AS DOUBLE), 0) AS rides_lag_168h
+      FROM dense WINDOW w AS (PARTITION BY start_station_id ORDER BY pickup_hour)),
+b1 AS (SELECT * FROM b WHERE pickup_hour < TIMESTAMP '{CUT1}'),
+b2 AS (SELECT * REPLACE (rides + 1 AS rides) FROM b WHERE pickup_hour >= TIMESTAMP '{CUT2}'),
+merged AS (SELECT * FROM b1 WHERE pickup_hour < TIMESTAMP '{CUT2}' UNION ALL SELECT * FROM b2)"""
