@@ -1 +1,315 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: models, evaluation, metrics tables and recursive forecasts
+(M1-M11, A10-A12, A14, J6, K4, K5, L4, C22).
+
+SQL-checked metrics use predictors SQL can state -- the training mean, the
+mean of all twelve lags, the mean of the day and week lags -- over the time
+split of the per-user features.  Boosted-tree results get row checks.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from ..operators import features as feat
+from ..operators import models as MD
+from ..operators import prep as PR
+from ..operators import recursive as RC
+from ..session import scratch_path
+from ..sinks.writers import append_metrics_history, metrics_table, write_metrics, write_table
+from . import oracle as O
+from .q_core import user_series
+from .q_prep import WINDOWED_CTES, SPLIT_CTE, examples
+from .registry import register, round_doubles
+from .training import run_forecast, training_run
+
+RUN_TS = "2024-02-01 00:00:00"
+LAGS12 = feat.lag_names()
+ROLES = {"baseline": None, "full": LAGS12, "reduced": ["rides_lag_24h", "rides_lag_168h"]}
+
+
+def user_split(spark, sf):
+    lab = PR.time_split(feat.full_features(user_series(spark, sf)))
+    return lab.where("split = 'train'").drop("split"), lab.where("split = 'test'").drop("split")
+
+
+def sql_models(spark, sf):
+    """Scored test frames of the three SQL-expressible predictors."""
+    train, test = user_split(spark, sf)
+    out = {}
+    for role, cols in ROLES.items():
+        m = MD.BaselinePredictor(labelCol="rides", lagCols=cols or []).fit(train)
+        out[role] = m.transform(test).select("pickup_hour", "start_station_id", "rides", "prediction")
+    return out
+
+
+def sql_metrics(spark, sf):
+    return MD.mae(MD.predictions_long(sql_models(spark, sf)))
+
+
+_PRED = {"baseline": "(SELECT avg(rides) FROM tr)",
+         "full": "(" + " + ".join(LAGS12) + ") / 12.0",
+         "reduced": "(rides_lag_24h + rides_lag_168h) / 2.0"}
+SPLIT_CTES = f"""WITH {O.series_ctes('user')},
+{O.features_cte()},
+{SPLIT_CTE.replace('FROM dense', 'FROM features')},
+tr AS (SELECT f.* FROM features f, s WHERE pickup_hour < split_hour),
+te AS (SELECT f.* FROM features f, s WHERE pickup_hour >= split_hour),
+scored AS ({' UNION ALL '.join(f"SELECT pickup_hour, start_station_id, '{k}' AS model_name, CAST(rides AS DOUBLE) AS actual, CAST({v} AS DOUBLE) AS predicted FROM te" for k, v in _PRED.items())}),
+metrics AS (SELECT model_name, avg(abs(actual - predicted)) AS mae FROM scored GROUP BY 1)"""
+
+
+# --- M1 / A14 ------------------------------------------------------------------
+_T = [f'"rides_t-{k}"' for k in range(12, 0, -1)]
+
+
+@register("baseline_predict", f"""WITH {WINDOWED_CTES}
+SELECT pickup_hour, start_station_id, target, {O.r6('(' + ' + '.join(_T) + ') / 12.0')} AS prediction FROM ex""")
+def q_baseline_predict(spark, sf):
+    ex = examples(spark, sf)
+    m = MD.BaselinePredictor(labelCol="target").fit(ex)
+    return round_doubles(m.transform(ex).select("pickup_hour", "start_station_id", "target", "prediction"))
+
+
+@register("train_mean", SPLIT_CTES + f"\nSELECT {O.r6('avg(rides)')} AS train_mean FROM tr")
+def q_train_mean(spark, sf):
+    train, _ = user_split(spark, sf)
+    m = MD.BaselinePredictor(labelCol="rides").fit(train)
+    return round_doubles(train.sparkSession.createDataFrame(
+        [(float(m.getOrDefault(m.trainMean)),)], "train_mean double"))
+
+
+# --- A10-A12 / J6 ----------------------------------------------------------------
+@register("mae", SPLIT_CTES + f"\nSELECT model_name, {O.r6('mae')} AS mae FROM metrics")
+def q_mae(spark, sf):
+    return round_doubles(sql_metrics(spark, sf))
+
+
+@register("model_improvement", SPLIT_CTES + """,
+p AS (SELECT max(mae) FILTER (WHERE model_name = 'baseline') AS b,
+             max(mae) FILTER (WHERE model_name = 'full') AS f,
+             max(mae) FILTER (WHERE model_name = 'reduced') AS r FROM metrics)
+SELECT """ + O.r6("(b - f) / b * 100") + " AS baseline_improvement, "
+         + O.r6("CASE WHEN f > 0 THEN (f - r) / f * 100 ELSE 0.0 END") + " AS full_model_comparison FROM p")
+def q_model_improvement(spark, sf):
+    return round_doubles(MD.model_improvement(sql_metrics(spark, sf)))
+
+
+@register("best_model", SPLIT_CTES + f"""
+SELECT arg_min(model_name, (mae, model_name)) AS best_model, {O.r6('min(mae)')} AS mae FROM metrics""")
+def q_best_model(spark, sf):
+    return round_doubles(MD.best_model(sql_metrics(spark, sf)))
+
+
+@register("compare_models", SPLIT_CTES + f"""
+SELECT pickup_hour, start_station_id, CAST(rides AS DOUBLE) AS actual,
+  {O.r6(_PRED['baseline'])} AS baseline, {O.r6(_PRED['full'])} AS "full", {O.r6(_PRED['reduced'])} AS reduced
+FROM te WHERE start_station_id = '7'""")
+def q_compare_models(spark, sf):
+    preds = sql_models(spark, sf)
+    return round_doubles(MD.compare_models(preds["baseline"], preds, "7"))
+
+
+# --- K4 / K5 / L4 ----------------------------------------------------------------
+METRIC_ROWS_SQL = SPLIT_CTES + f""",
+p AS (SELECT max(mae) FILTER (WHERE model_name = 'baseline') AS b,
+             max(mae) FILTER (WHERE model_name = 'full') AS f,
+             max(mae) FILTER (WHERE model_name = 'reduced') AS r FROM metrics),
+mrows AS (SELECT model_name, {O.r6('mae')} AS mae, '{RUN_TS}' AS timestamp,
+    CASE model_name WHEN 'baseline' THEN 'baseline' WHEN 'full' THEN 'full_feature' ELSE 'reduced_feature' END
+      AS model_type,
+    CASE WHEN model_name = 'full' THEN {O.r6('(b - f) / b * 100')} END AS baseline_improvement,
+    CASE WHEN model_name = 'reduced' THEN {O.r6('CASE WHEN f > 0 THEN (f - r) / f * 100 ELSE 0.0 END')} END
+      AS full_model_comparison
+  FROM metrics, p)"""
+
+
+def _metric_rows(spark, sf):
+    m = sql_metrics(spark, sf)
+    return round_doubles(MD.metrics_rows(m, RUN_TS, MD.model_improvement(m)))
+
+
+@register("write_metrics", METRIC_ROWS_SQL + "\nSELECT * FROM mrows")
+def q_write_metrics(spark, sf):
+    path = scratch_path(spark, "metrics")
+    rows = _metric_rows(spark, sf)
+    base = rows.select("model_name", "mae", "timestamp", "model_type")
+    extras = rows.where("baseline_improvement IS NOT NULL OR full_model_comparison IS NOT NULL")
+    # per-model frames with different columns, unioned with missing -> null
+    write_metrics([base.where("model_name = 'baseline'"),
+                   extras.where("model_name = 'full'").drop("full_model_comparison"),
+                   extras.where("model_name = 'reduced'").drop("baseline_improvement")], path)
+    schema = ("model_name STRING, mae DOUBLE, timestamp STRING, model_type STRING, "
+              "baseline_improvement DOUBLE, full_model_comparison DOUBLE")
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+HISTORY_SQL = SPLIT_CTES + f""",
+h AS (SELECT model_name, {O.r6('mae')} AS mae, '2024-02-01 00:00:00' AS run_timestamp, 'run-1' AS run_id FROM metrics
+      UNION ALL
+      SELECT model_name, {O.r6('mae')}, '2024-02-02 00:00:00', 'run-2' FROM metrics)"""
+
+
+def _history(spark, sf):
+    path = scratch_path(spark, "metrics-history")
+    m = round_doubles(sql_metrics(spark, sf))
+    append_metrics_history(m, path, dt.datetime(2024, 2, 1), "run-1")
+    append_metrics_history(m, path, dt.datetime(2024, 2, 2), "run-2")
+    return spark.read.schema("model_name STRING, mae DOUBLE, run_timestamp STRING, run_id STRING") \
+        .option("header", True).csv(path)
+
+
+@register("append_metrics_history", HISTORY_SQL + "\nSELECT * FROM h")
+def q_append_metrics_history(spark, sf):
+    return _history(spark, sf)
+
+
+@register("union_history", HISTORY_SQL + f""",
+m2 AS (SELECT model_name, {O.r6('mae')} AS mae, 'run-3' AS run_id, 'current' AS status FROM metrics)
+SELECT model_name, mae, run_timestamp, run_id, NULL::VARCHAR AS status FROM h
+UNION ALL SELECT model_name, mae, NULL, run_id, status FROM m2""")
+def q_union_history(spark, sf):
+    cur = round_doubles(sql_metrics(spark, sf)).select(
+        "model_name", "mae", F.lit("run-3").alias("run_id"), F.lit("current").alias("status"))
+    return MD.union_history(_history(spark, sf), cur)
+
+
+# --- boosted trees over the feature pipeline's three sets (row checks) ----------------
+@register("train_full")
+def q_train_full(spark, sf):
+    return round_doubles(training_run(spark, sf)["scored"]["full"])
+
+
+@register("train_reduced")
+def q_train_reduced(spark, sf):
+    return round_doubles(training_run(spark, sf)["scored"]["reduced"])
+
+
+@register("evaluate_models")
+def q_evaluate_models(spark, sf):
+    return round_doubles(MD.rank_models(training_run(spark, sf)["metrics"]))
+
+
+@register("score_batch")
+def q_score_batch(spark, sf):
+    run = training_run(spark, sf)
+    full = run["sets"]["full_features"]
+    tr, te = PR.train_test(full)
+    from .training import preprocess_pair
+    _, everything = preprocess_pair(tr, full)
+    return round_doubles(MD.score_batch(run["models"]["full"], everything).select(
+        F.col("_h").cast("timestamp_ntz").alias("pickup_hour"), F.col("_station").alias("start_station_id"),
+        "rides", "prediction"))
+
+
+@register("save_load_model")
+def q_save_load_model(spark, sf):
+    run = training_run(spark, sf)
+    from .training import best_model_name
+    best = best_model_name(run)
+    path = scratch_path(spark, f"model-{best}")
+    model = run["models"][best]
+    model.write().overwrite().save(path)
+    loaded = (MD.BaselineModel.load(path) if isinstance(model, MD.BaselineModel) else MD.load_model(path))
+    train, test = PR.train_test(run["sets"][{"baseline": "baseline_features", "full": "full_features",
+                                              "reduced": "reduced_features"}[best]])
+    from .training import preprocess_pair
+    _, te = preprocess_pair(train, test)
+    return round_doubles(loaded.transform(te).select(
+        F.lit(best).alias("model_name"), F.col("_h").cast("timestamp_ntz").alias("pickup_hour"),
+        F.col("_station").alias("start_station_id"), "rides", "prediction"))
+
+
+# --- recursive forecasts ----------------------------------------------------------------
+def _full_tree_spec(spark, sf):
+    run = training_run(spark, sf)
+    trees = RC.export_trees(spark, run["models"]["full"].stages[-1], scratch_path(spark, "gbt"))
+    return run, RC.serve_spec(trees, run["features"]["full"], model_features=run["features"]["full"])
+
+
+def _horizon(start=dt.datetime(2024, 1, 31, 0, 0), hours=168):
+    return RC.hourly_range(start, start + dt.timedelta(hours=hours - 1))
+
+
+@register("recursive_forecast")
+def q_recursive_forecast(spark, sf):
+    run, spec = _full_tree_spec(spark, sf)
+    full = run["sets"]["full_features"]
+    return round_doubles(RC.recursive_forecast(spark, full, _horizon(), spec, 672, RC.station_codes(full)))
+
+
+@register("recursive_forecast_batched")
+def q_recursive_forecast_batched(spark, sf):
+    # lag-mean model over rides_t-1..10 from the last 24 rows, history refreshed weekly
+    names = [f"rides_t-{k}" for k in range(1, 11)]
+    spec = RC.serve_spec({"kind": "lag_mean"}, names, refresh_every=168)
+    return round_doubles(RC.recursive_forecast(spark, user_series(spark, sf), _horizon(), spec, 24))
+
+
+_M8_HOURS = RC.fixed_range_hours(4)
+FIXED_RANGE_SQL = f"""WITH {O.series_ctes('type')},
+st AS (SELECT start_station_id FROM dense GROUP BY 1 HAVING count(*) >= 24),
+h AS (SELECT unnest(generate_series(TIMESTAMP '{_M8_HOURS[0]}', TIMESTAMP '{_M8_HOURS[-1]}', INTERVAL 1 HOUR)) AS pickup_hour)
+SELECT start_station_id, pickup_hour,
+  {O.r6("5.0 * (0.7 + 0.6 * ((hour(pickup_hour) % 12) / 12.0) * CASE WHEN isodow(pickup_hour) >= 6 THEN 0.7 ELSE 1.0 END)")}
+    AS predicted_rides
+FROM st, h"""
+
+
+@register("forecast_fixed_range", FIXED_RANGE_SQL)
+def q_forecast_fixed_range(spark, sf):
+    """M8: the full tree model cannot take the 10-lag rows, so every cell is the pattern fallback."""
+    from .q_core import type_series
+    run = training_run(spark, sf)
+    trees = RC.export_trees(spark, run["models"]["full"].stages[-1], scratch_path(spark, "gbt"))
+    spec = RC.serve_spec(trees, RC.M8_FEATURES, model_features=run["features"]["full"])
+    return round_doubles(RC.recursive_forecast(spark, type_series(spark, sf), _M8_HOURS, spec, 24))
+
+
+M9_W, M9_H = 24, 48
+M9_SQL = f"""WITH RECURSIVE {O.series_ctes('user')},
+r AS (SELECT *, row_number() OVER (PARTITION BY start_station_id ORDER BY pickup_hour DESC) AS rn,
+             max(pickup_hour) OVER (PARTITION BY start_station_id) AS last_hour FROM dense),
+init AS (SELECT start_station_id, any_value(last_hour) AS last_hour,
+                list(CAST(rides AS DOUBLE) ORDER BY pickup_hour) AS hist
+         FROM r WHERE rn <= {M9_W} GROUP BY 1 HAVING count(*) = {M9_W}),
+steps(start_station_id, last_hour, step, hist, pred) AS (
+  SELECT start_station_id, last_hour, 0, hist, NULL::DOUBLE FROM init
+  UNION ALL
+  SELECT start_station_id, last_hour, step + 1,
+         list_append(hist[2:], list_sum(hist) / {M9_W}.0), list_sum(hist) / {M9_W}.0
+  FROM steps WHERE step < {M9_H})
+SELECT start_station_id, last_hour + to_hours(CAST(step AS BIGINT)) AS pickup_hour, {O.r6('pred')} AS predicted_rides
+FROM steps WHERE step > 0"""
+
+
+@register("recursive_lag_mean", M9_SQL)
+def q_recursive_lag_mean(spark, sf):
+    return round_doubles(RC.recursive_lag_mean(user_series(spark, sf), M9_W, M9_H))
+
+
+@register("run_forecast")
+def q_run_forecast(spark, sf):
+    return round_doubles(run_forecast(spark, sf, dt.datetime(2024, 1, 30, 23, 15), days=7))
+
+
+@register("time_feature_row_serving")
+def q_time_feature_row_serving(spark, sf):
+    """The serving feature vector of each station for the first forecast hour."""
+    run, spec = _full_tree_spec(spark, sf)
+    full = run["sets"]["full_features"]
+    names, ts = spec["features"], _horizon()[0]
+    arrays = RC.history_arrays(full, 672, RC.station_codes(full))
+    schema = "station string, " + ", ".join(f"`{n}` double" for n in names)
+
+    def rows(batches):
+        for pdf in batches:
+            R = np.vstack(pdf["hist"].to_numpy()).astype(np.float64)
+            X = RC.feature_matrix(names, R, pdf["code"].to_numpy(), ts, "serve")
+            out = pd.DataFrame(X, columns=names)
+            out.insert(0, "station", pdf["start_station_id"].to_numpy())
+            yield out
+    return round_doubles(arrays.mapInPandas(rows, schema))
