@@ -260,3 +260,22 @@ def q_classify_month_names(spark, sf):
                     FX.month_name(F.month("o_orderdate")).alias("month_name"),
                     F.weekday("o_orderdate").alias("day_of_week"),
                     FX.day_name(F.weekday("o_orderdate")).alias("day_name"))
+
+
+# --- K2 / K6 ---------------------------------------------------------------
+@register("write_forecast", f"""WITH {FORECAST_CTES}
+SELECT start_station_id, pickup_hour, {r('predicted_rides')} AS predicted_rides FROM forecast""")
+def q_write_forecast(spark, sf):
+    root = scratch_path(spark, "forecast-parquet") + ".parquet"
+    path = write_forecast(forecast(spark, sf), root, "20240131_000000")
+    return round_doubles(spark.read.parquet(path))
+
+
+@register("export_filtered_forecast", f"""WITH {FORECAST_CTES}
+SELECT start_station_id, pickup_hour, {r('predicted_demand')} AS predicted_demand FROM fd
+WHERE pickup_hour BETWEEN TIMESTAMP '2024-02-02 00:00:00' AND TIMESTAMP '2024-02-04 23:59:59.999999'""")
+def q_export_filtered_forecast(spark, sf):
+    from ..sinks.writers import export_filtered_forecast
+    path = scratch_path(spark, "forecast-export")
+    export_filtered_forecast(R.filter_date_range(demand(spark, sf), dt.date(2024, 2, 2), dt.date(2024, 2, 4)), path)
+    return round_doubles(scan_forecast(spark, path, "csv"))

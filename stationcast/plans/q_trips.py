@@ -281,3 +281,18 @@ top AS (SELECT start_station_id FROM clean GROUP BY 1 ORDER BY count(*) DESC, st
 @register("run_features", RUN_FEATURES_SQL)
 def q_run_features(spark, sf):
     return round_doubles(feature_sets(spark, sf)["full_features"])
+
+
+# --- S2: zipped monthly CSVs ------------------------------------------------
+@register("scan_zipped_csv", f"""WITH {O.trips_cte('type')}
+SELECT ride_id, started_at, ended_at, start_station_id, end_station_id, member_casual FROM trips""")
+def q_scan_zipped_csv(spark, sf):
+    from ..sources.archives import scan_zipped_csv, write_monthly_archives
+    root = scratch_path(spark, "trip-archives")
+    t = trips_view(spark, sf).withColumn("start_station_name", F.lit(None).cast("string")) \
+        .withColumn("end_station_name", F.lit(None).cast("string"))
+    write_monthly_archives(t, root).collect()  # one small row per archive written
+    rows = scan_zipped_csv(spark, f"{root}/*.zip")
+    return rows.select("ride_id", clean.lenient_timestamp(F.col("started_at")).alias("started_at"),
+                       clean.lenient_timestamp(F.col("ended_at")).alias("ended_at"),
+                       "start_station_id", "end_station_id", "member_casual")
