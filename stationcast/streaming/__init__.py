@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is batch only -- it has no watermark, event-time window,
+session window, state or late-data handling; its "real-time view" re-reads a
+file under a cache.  No Structured Streaming operator is therefore part of
+the feature set; the batch operators here take any DataFrame, including one
+read with ``readStream`` where Spark allows the operation in streaming mode.
+"""
