@@ -46,14 +46,44 @@ def trips_view_sql(engine: str = "duckdb", events: str = "events") -> str:
     return sql
 
 
-def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips derived from ``events`` (one row per event, 14 columns).
-
-    Station ids are ``event_type`` values; ``user_id`` is kept as the
-    high-cardinality entity for scale runs.  Columns that a query does not use
-    are pruned by Catalyst, including the LEAD window when no end column is
-    referenced.
+def trips_view(spark: SparkSession, sf_dir: str, skew_safe: bool = False) -> DataFrame:
+    """Trips derived from ``events`` (one row per event, 12 columns).
+
+    Default: the view's SQL text.  Its LEAD window per user is pruned away by
+    Catalyst whenever a query uses no trip-end column (most queries), so the
+    scan is read once.  ``skew_safe=True`` computes the trip end (the user's
+    next event) with ``next_in_group`` instead, which spreads a user holding a
+    third of all events over many tasks, at the price of a range shuffle and
+    a persisted copy even when no end column is used.
     """
+    if not skew_safe:
+        return trips_view_by_sql(spark, sf_dir)
+    from pyspark.sql import functions as F
+    from ..operators.ordered import next_in_group
+    events = read_table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    base = events.select(
+        F.col("event_id").cast("string").alias("ride_id"),
+        F.when(k >= 50, "electric_bike").otherwise("classic_bike").alias("rideable_type"),
+        F.col("ts").alias("started_at"),
+        F.col("event_type").alias("start_station_id"),
+        (F.lit(40.70).cast("decimal(4,2)") + (F.col("user_id") % 100) * F.lit(0.001).cast("decimal(4,3)"))
+        .cast("double").alias("start_lat"),
+        (F.lit(-74.05).cast("decimal(4,2)") + k * F.lit(0.001).cast("decimal(4,3)")).cast("double").alias("start_lng"),
+        (F.lit(40.70).cast("decimal(4,2)") + (F.col("event_id") % 100) * F.lit(0.001).cast("decimal(4,3)"))
+        .cast("double").alias("end_lat"),
+        (F.lit(-74.05).cast("decimal(4,2)") + (F.col("event_id") % 37) * F.lit(0.001).cast("decimal(4,3)"))
+        .cast("double").alias("end_lng"),
+        F.when(F.col("user_id") % 2 == 0, "member").otherwise("casual").alias("member_casual"),
+        "user_id", "ts", "event_id", "event_type")
+    nxt = next_in_group(base, "user_id", ["ts", "event_id"], ["ts", "event_type"])
+    return nxt.select("ride_id", "rideable_type", "started_at", F.col("next_ts").alias("ended_at"),
+                      "start_station_id", F.col("next_event_type").alias("end_station_id"),
+                      "start_lat", "start_lng", "end_lat", "end_lng", "member_casual", "user_id")
+
+
+def trips_view_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view as plain SQL text (LEAD per user): the oracle's formulation."""
     events = read_table(spark, sf_dir, "events")
     view = f"_events_{abs(hash(sf_dir))}"
     events.createOrReplaceTempView(view)
