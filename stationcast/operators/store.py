@@ -3,9 +3,10 @@
 Two layouts, both plain Parquet datasets:
 
 * keyed store: ``feature_group, entity_id, timestamp, feature_data`` (JSON
-  text of the non-key columns), unique on the first three.  Upserts produce a
-  new version directory; readers take the newest one.  Nothing is rewritten
-  in place, so a failed job leaves the previous version intact.
+  text of the non-key columns), unique on the first three, partitioned by
+  (feature_group, month).  An upsert reads and rewrites only the partitions
+  its batch touches (staged, then swapped in); ``commit_version`` keeps whole
+  versions side by side where that is preferred.
 * offline store: formatted feature rows appended under ``year=/month=``
   partitions, several versions of a record side by side.
 """
@@ -193,6 +194,60 @@ def with_year_month(df: DataFrame, ts_col: str) -> DataFrame:
     return df.withColumns({"year": F.year(ts_col), "month": F.month(ts_col)})
 
 
+# --- partition-scoped upsert into a keyed store ------------------------------
+STORE_PARTS = ("feature_group", "ts_month")
+
+
+def _with_parts(df: DataFrame) -> DataFrame:
+    return df.withColumn("ts_month", F.substring("timestamp", 1, 7))
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def upsert_into_store(spark: SparkSession, root: str, batch: DataFrame, staging: str) -> list[tuple]:
+    """T3 applied to a stored table, touching only the partitions the batch hits.
+
+    The store is partitioned by (feature_group, ts_month).  The batch's
+    partition list is a small distinct; the old rows of exactly those
+    partitions are read (the semi join on partition columns prunes the scan),
+    merged with the batch (last write wins), written to ``staging`` and then
+    swapped in partition by partition (delete + rename).  Untouched
+    partitions are never read or rewritten.  Re-running the same batch gives
+    the same table, so a job lost half-way is completed by re-running it.
+    """
+    from pyspark import StorageLevel
+    batch = batch.select(*STORE_KEY, "feature_data").persist(StorageLevel.MEMORY_AND_DISK)
+    b = _with_parts(batch)
+    parts = [tuple(r) for r in b.select(*STORE_PARTS).distinct().collect()]  # bounded: groups x months
+    root_path, fs = _fs(spark, root)
+    old = None
+    if fs.exists(root_path):
+        touched = spark.createDataFrame(parts, "feature_group string, ts_month string")
+        old = (spark.read.parquet(root).join(F.broadcast(touched), list(STORE_PARTS), "left_semi")
+               .select(*STORE_KEY, "feature_data"))
+    merged = _with_parts(upsert_features(old, [batch]))
+    merged.write.mode("overwrite").partitionBy(*STORE_PARTS).parquet(staging)
+    batch.unpersist()
+    jvm = spark.sparkContext._jvm
+    for g, m in parts:
+        rel = f"feature_group={g}/ts_month={m}"
+        src, dst = jvm.org.apache.hadoop.fs.Path(f"{staging}/{rel}"), jvm.org.apache.hadoop.fs.Path(f"{root}/{rel}")
+        if fs.exists(dst):
+            fs.delete(dst, True)
+        fs.mkdirs(dst.getParent())
+        fs.rename(src, dst)
+    return parts
+
+
+def read_store(spark: SparkSession, root: str) -> DataFrame:
+    """The keyed store as (feature_group, entity_id, timestamp, feature_data)."""
+    return spark.read.parquet(root).select(*STORE_KEY, "feature_data")
+
+
 def latest_version_path(spark: SparkSession, root: str) -> str | None:
     """Newest ``v=<n>`` directory under ``root`` (keyed store versions)."""
     jvm = spark.sparkContext._jvm

@@ -73,10 +73,9 @@ def q_feature_json_unpack(spark, sf):
 def upserted(spark, sf):
     b, b1, b2 = batches(spark, sf)
     root = scratch_path(spark, "keyed-store")
-    S.commit_version(spark, S.upsert_features(None, [S.feature_json(b1, GROUP)]), root)
-    cur = spark.read.parquet(S.latest_version_path(spark, root))
-    S.commit_version(spark, S.upsert_features(cur, [S.feature_json(b2, GROUP)]), root)
-    return spark.read.parquet(S.latest_version_path(spark, root)), S.feature_schema(b)
+    S.upsert_into_store(spark, root, S.feature_json(b1, GROUP), scratch_path(spark, "staging"))
+    S.upsert_into_store(spark, root, S.feature_json(b2, GROUP), scratch_path(spark, "staging"))
+    return S.read_store(spark, root), S.feature_schema(b)
 
 
 @register("upsert_features", f"""WITH {BASE_CTES}

@@ -42,3 +42,15 @@ def test_store_format_requires_timestamp_column(spark):
     import pytest
     with pytest.raises(ValueError):
         S.store_format(frame(spark, [(H, "a", 1)]), "start_station_id", "missing", H)
+
+
+def test_upsert_into_store_touches_only_batch_partitions(spark, tmp_path):
+    root, stage = str(tmp_path / "store"), str(tmp_path / "stage")
+    jan = frame(spark, [(H, "a", 1), (H, "b", 1)])
+    feb = frame(spark, [(dt.datetime(2024, 2, 3), "a", 5)])
+    S.upsert_into_store(spark, root, S.feature_json(jan.unionByName(feb), "g"), stage + "1")
+    touched = S.upsert_into_store(spark, root, S.feature_json(frame(spark, [(H, "a", 9)]), "g"), stage + "2")
+    assert touched == [("g", "2024-01")]
+    got = {(r.entity_id, r.timestamp.month): r.rides
+           for r in S.feature_json_unpack(S.read_store(spark, root), S.feature_schema(jan)).collect()}
+    assert got == {("a", 1): 9, ("b", 1): 1, ("a", 2): 5}
