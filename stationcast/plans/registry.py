@@ -34,12 +34,14 @@ def round_half_away(c, places: int = 6):
 
     This is the rule DuckDB's ``round(double, p)`` applies; Spark's ``round``
     works on the shortest decimal string instead, which splits exact ties
-    (e.g. microseconds / 6e7) the other way.  Huge values are left as is.
+    (e.g. microseconds / 6e7) the other way.  The floor is taken in double
+    arithmetic (w - w % 1), so no cast to bigint can overflow and no CASE
+    is needed (a CASE per column tripled the cost of wide projections).
     """
     scale = float(10 ** places)
     x = F.col(c) if isinstance(c, str) else c
-    r = F.signum(x) * F.floor(F.abs(x) * scale + 0.5).cast("double") / scale
-    return F.when(F.abs(x) < 1e9, r).otherwise(x)
+    w = F.abs(x) * scale + 0.5
+    return F.signum(x) * (w - w % 1.0) / scale
 
 
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
