@@ -44,12 +44,37 @@ def build_session(master: str = "local[8]", app: str = "stationcast",
 
 
 def ensure_runtime(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone to UTC (all hour arithmetic assumes it)."""
+    """Pin the session time zone to UTC (all hour arithmetic assumes it) and make
+    the package importable by Python tasks on every executor."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application (``addPyFile``),
+    as ``--py-files`` would: pandas/numpy tasks import it there."""
+    import zipfile
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = repo_root()
+    fd, path = tempfile.mkstemp(prefix="stationcast-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, files in os.walk(os.path.join(root, "stationcast")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)  # Spark copies it to every executor
+    _SHIPPED.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for lineage cuts and written tables.
 
