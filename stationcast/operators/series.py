@@ -6,6 +6,7 @@ J3 filter_top_stations, L1 sort_series, A15 distinct_stations.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -52,12 +53,16 @@ def dense_grid(hourly: DataFrame, hour_col: str = "pickup_hour",
     hours to the global maximum.  A station partition holds at most one row
     per hour, so a station with a third of all trips is no larger than any
     other.  The global range is one aggregate row (bounded broadcast) over
-    the same repartitioned counts, so it shares their shuffle instead of
-    re-scanning the input.  The output stays partitioned by station, which
-    the feature windows downstream reuse without another exchange.
+    the same counts.  The repartitioned counts are persisted (memory,
+    spilling to disk): without it, column pruning gives the range branch its
+    own exchange and the raw input is scanned twice; with it the input is
+    read once.  The counts hold at most one row per (station, hour), far
+    less than the trips.  The output stays partitioned by station, which the
+    feature windows downstream reuse without another exchange.
     """
     n = num_partitions or series_partitions(hourly.sparkSession)
-    counts = hourly.select(hour_col, station_col, rides_col).repartition(n, station_col)
+    counts = (hourly.select(hour_col, station_col, rides_col).repartition(n, station_col)
+              .persist(StorageLevel.MEMORY_AND_DISK))
     bounds = counts.agg(F.min(hour_col).alias("_lo"), F.max(hour_col).alias("_hi"))
     w = Window.partitionBy(station_col).orderBy(hour_col)
     step = F.expr("INTERVAL 1 HOUR")
