@@ -41,3 +41,24 @@ def next_in_group(df: DataFrame, key: str, order: list[str], values: list[str],
             .withColumns({f"{prefix}{v}": F.col(f"_nf.{v}") for v in values})
             .drop("_is_last", "_chunk", "_k", "_c", "_nf"))
     return inner.unionByName(last)
+
+
+def rank_distinct(df: DataFrame, col: str, num_partitions: int | None = None) -> DataFrame:
+    """(value, 0-based rank among the sorted distinct non-null values), distributed.
+
+    Distinct values are range-partitioned and numbered inside each partition;
+    each partition's offset is the number of values in the partitions before
+    it, from a table with one row per partition.  No task ever holds all
+    values (a global ``row_number`` would).  The numbered rows are persisted
+    so that the partition ids agree between their two uses.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = (df.select(col).where(F.col(col).isNotNull()).distinct()
+         .repartitionByRange(n, col).withColumn("_p", F.spark_partition_id()))
+    numbered = d.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(col)) - 1) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = numbered.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p").rowsBetween(
+        Window.unboundedPreceding, -1))).alias("_off"))  # one row per partition
+    return (numbered.join(F.broadcast(offsets), "_p")
+            .select(col, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_i")).alias("_rank")))

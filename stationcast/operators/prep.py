@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..schemas import META_COLUMNS, STATION, resolve_column
+from .ordered import rank_distinct
 
 
 def drop_metadata_columns(df: DataFrame, target: str | None = None) -> DataFrame:
@@ -43,14 +44,14 @@ def sliding_window_features(df: DataFrame, target: str = "rides", window_size: i
 def split_time(df: DataFrame, ratio: float = 0.8, col: str = "pickup_hour") -> DataFrame:
     """One row (_split): the distinct value at index int(ratio * n) of the sorted distinct values.
 
-    Runs over the distinct values only (for hours: bounded by the time span);
-    the global row_number sees that small set, never the data rows.
+    The distinct values are ranked in a distributed way (``rank_distinct``)
+    and n is a one-row count; the pick is a filter, so no task holds all values.
     """
-    d = df.select(col).distinct()
-    w = Window.orderBy(col)
-    ranked = d.select(col, (F.row_number().over(w) - 1).alias("_i"),
-                      F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
-    return ranked.where(F.col("_i") == F.floor(F.col("_n") * F.lit(ratio))).select(F.col(col).alias("_split"))
+    ranked = rank_distinct(df, col)
+    n = ranked.agg(F.count(F.lit(1)).alias("_n"))  # one row: bounded broadcast
+    return (ranked.crossJoin(F.broadcast(n))
+            .where(F.col("_rank") == F.floor(F.col("_n") * F.lit(ratio)))
+            .select(F.col(col).alias("_split")))
 
 
 def time_split(df: DataFrame, ratio: float = 0.8, col: str = "pickup_hour") -> DataFrame:
@@ -86,10 +87,10 @@ def expand_datetime(df: DataFrame) -> DataFrame:
 def category_codes(train: DataFrame, col: str) -> DataFrame:
     """C13 dictionary: (category, 0-based rank among sorted train categories).
 
-    One row per distinct category; the ranking window runs on that set only.
+    Ranked by ``rank_distinct`` (range partitions + per-partition offsets), so
+    a column with very many categories is never ranked in one task.
     """
-    d = train.select(col).where(F.col(col).isNotNull()).distinct()
-    return d.select(F.col(col).alias("_cat"), (F.row_number().over(Window.orderBy(col)) - 1).alias("_code"))
+    return rank_distinct(train, col).select(F.col(col).alias("_cat"), F.col("_rank").cast("int").alias("_code"))
 
 
 def encode_lookup(df: DataFrame, codes: DataFrame, col: str, out_col: str | None = None) -> DataFrame:

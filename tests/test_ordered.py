@@ -17,3 +17,12 @@ def test_next_in_group_matches_lead_with_a_hot_key(spark):
     chunks = df.repartitionByRange(8, "k", "t").withColumn("p", F.spark_partition_id()) \
         .where("k = 0").select("p").distinct().count()
     assert chunks > 1  # the hot key really is split
+
+
+def test_rank_distinct_matches_dense_rank(spark):
+    from stationcast.operators.ordered import rank_distinct
+    rows = [(f"c{(i * 7919) % 997:04d}",) for i in range(5000)] + [(None,)]
+    df = spark.createDataFrame(rows, "c string")
+    got = {r.c: r._rank for r in rank_distinct(df, "c", num_partitions=8).collect()}
+    want = {c: i for i, c in enumerate(sorted({r[0] for r in rows if r[0] is not None}))}
+    assert got == want
