@@ -31,7 +31,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 CAP = 2.0
 BUCKET_ROWS = 20_000   # rows of a source that one hash bucket holds on average, about
-TOLERANCE = 1e-10
+TOLERANCE = 1e-9
 MAX_STEPS = 60
 
 
@@ -69,26 +69,33 @@ def water_fill(sizes: DataFrame, share: float = SHARE, cap: float = CAP) -> Data
 
 
 def solve_dual(cells: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
-    """targets with ``lam``: cells are (skey, base, tokens).  Quadratic convergence; steps are
-    limited to 1, which also walks off the flat part where all rates are at the cap."""
-    state = cut(targets.withColumn("lam", F.lit(0.0)), "dual")
+    """targets with ``lam``: cells are (skey, base, tokens).  Newton steps on the logarithm of the dual's
+    gradient equation (tokens taken = target), inside a bracket [low, high] of each source's root; a step
+    that leaves the bracket (off the flat part where rates are at the cap) becomes its midpoint.  Each step
+    is one aggregation over the cells."""
+    start = [F.lit(0.0).alias("lam"), F.lit(-60.0).alias("low"), F.lit(60.0).alias("high")]
+    state = cut(targets.select("*", *start), "dual")
     for _ in range(MAX_STEPS):
         tilted = F.col("base") * F.exp("lam")
         sums = (cells.join(state.select("skey", "lam"), "skey").groupBy("skey")
                 .agg(F.sum(F.col("tokens") * F.least(F.lit(cap), tilted)).alias("__f"),
                      F.sum(F.when(tilted < cap, F.col("tokens") * tilted).otherwise(0.0)).alias("__d")))
         gap = F.col("target") - F.coalesce(F.col("__f"), F.lit(0.0))
-        done = (F.abs(gap) <= F.lit(TOLERANCE) * F.greatest(F.col("target"), F.lit(1.0))) | (F.col("source_size") == 0)
-        step = F.when(F.coalesce(F.col("__d"), F.lit(0.0)) > 0,
-                      F.greatest(F.lit(-1.0), F.least(F.lit(1.0), gap / F.col("__d")))).otherwise(F.signum(gap))
-        state = cut(state.join(sums, "skey", "left").withColumn("__open", ~done)
-                    .withColumn("lam", F.when(done | (F.col("target") <= 0), F.col("lam")).otherwise(F.col("lam") + step))
-                    .select("skey", "source_size", "weight", "target", "lam",
-                            (F.col("__open") & (F.col("target") > 0)).alias("open")), "dual")
+        settled = F.abs(gap) <= F.lit(TOLERANCE) * F.greatest(F.col("target"), F.lit(1.0))
+        newton = F.when((F.col("__d") > 0) & (F.col("target") > 0),
+                        F.col("lam") + F.log(F.col("target") / F.col("__f")) * F.col("__f") / F.col("__d"))
+        inside = (newton > F.col("low")) & (newton < F.col("high"))
+        state = cut(
+            state.join(sums, "skey", "left").withColumn("open", ~settled & (F.col("target") > 0))
+            .withColumn("low", F.when(F.col("open") & (gap > 0), F.col("lam")).otherwise(F.col("low")))
+            .withColumn("high", F.when(F.col("open") & (gap < 0), F.col("lam")).otherwise(F.col("high")))
+            .withColumn("lam", F.when(~F.col("open"), F.col("lam")).when(inside, newton)
+                        .otherwise((F.col("low") + F.col("high")) / 2))
+            .select("skey", "source_size", "weight", "target", "lam", "low", "high", "open"), "dual")
         if state.filter("open").isEmpty():
             break
         state = state.drop("open")
-    return state.drop("open")
+    return state.select("skey", "source_size", "weight", "target", "lam")
 
 
 def _uniform(c: Column) -> Column:

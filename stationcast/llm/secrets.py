@@ -40,7 +40,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                i -> octet_length(get(words, i)) >= 12 and get(words, i) rlike '[0-9]' and get(words, i) rlike '{RUN}'),
         i -> struct(i as position, get(words, i) as word, coalesce(get(words, i - 2), '') as before2,
                     coalesce(get(words, i - 1), '') as before1, coalesce(get(words, i + 1), '') as after1))""")
-    rows = words.select("doc_id", F.explode(found).alias("c")).select("doc_id", "c.*")
+    # explode_outer: for explode, Spark would infer a filter that evaluates all this a second time
+    rows = words.select("doc_id", F.explode_outer(found).alias("c")).filter("c is not null").select("doc_id", "c.*")
     bare = F.regexp_replace("word", "^[A-Za-z_.\\-]+[=:]+[\"']?", "")
     return rows.withColumn("value", F.regexp_extract(bare, f"({RUN}={{0,2}})", 1)).filter("value rlike '[0-9]'")
 
@@ -48,7 +49,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY, tracked: int = TRACKED) -> list[str]:
     """The most frequent words of three letters or more over all documents (bounded list)."""
     text = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
-    every = docs.select(F.explode(F.regexp_extract_all(text, F.lit("[a-z]{3,}"), F.lit(0))).alias("w"))
+    every = docs.select(F.explode_outer(F.regexp_extract_all(text, F.lit("[a-z]{3,}"), F.lit(0))).alias("w"))
+    every = every.filter("w is not null")
     top = every.agg(F.expr(f"transform(approx_top_k(w, {words}, {tracked}), x -> x.item)").alias("top")).first()["top"]
     return sorted(top or [])
 
