@@ -73,7 +73,7 @@ SQL = """
     o AS (SELECT *, row_number() OVER w - 1 AS position,
                  coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
           FROM r WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, role, text))
-    SELECT conv_id, perspective, position, turn, role, segment, CAST(at AS BIGINT) AS "offset", own AS trained,
-           CASE WHEN own THEN CAST(at + length(head) AS BIGINT) END AS mask_start,
-           CASE WHEN own THEN CAST(at + length(head) + length(text) + 10 AS BIGINT) END AS mask_end
+    SELECT conv_id, perspective, position, turn, role, segment, CAST(place AS BIGINT) AS "offset", own AS trained,
+           CASE WHEN own THEN CAST(place + length(head) AS BIGINT) END AS mask_start,
+           CASE WHEN own THEN CAST(place + length(head) + length(text) + 10 AS BIGINT) END AS mask_end
     FROM o"""
