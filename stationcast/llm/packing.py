@@ -28,7 +28,7 @@ from .common import cut
 
 CAPACITY = 1024
 END_ID = 2
-SALT_ROWS = 50_000
+SALT_ROWS = 1000
 SPECIAL = "<|endoftext|>"   # the tokenizer file's special string: such texts take the slower library
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -172,10 +172,12 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:
     return {n: np.array(rows, np.int64) for n, rows in out.items()}
 
 
-def ranked(rows: DataFrame, salt_rows: int = SALT_ROWS) -> DataFrame:
-    """Adds rank: 0, 1, ... within each length, the same at every run."""
-    salts = max(1, rows.count() // salt_rows)
-    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+def ranked(rows: DataFrame, counts: dict[int, int], salt_rows: int = SALT_ROWS) -> DataFrame:
+    """Adds rank: 0, 1, ... within each length, the same at every run.  ``counts``: pieces of each length;
+    a length is dealt into as many salted groups as its count asks for."""
+    salts = rows.sparkSession.createDataFrame([(n, max(1, k // salt_rows)) for n, k in counts.items()], "length long, __salts long")
+    salted = (rows.join(F.broadcast(salts), "length")     # a row per length: capacity rows at most
+              .withColumn("__salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("__salts"))).drop("__salts"))
     ahead = Window.partitionBy("length").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (salted.groupBy("length", "__salt").agg(F.count(F.lit(1)).alias("__n"))
                .withColumn("__ahead", F.coalesce(F.sum("__n").over(ahead), F.lit(0))).drop("__n"))
@@ -202,6 +204,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
             yield pd.DataFrame({"row": f["row"], "sequence_id": sequence, "offset": offset})
 
     # the piece itself passes as one untouched column, so null ids stay as they are
-    packed = ranked(rows).select(F.struct("doc_id", "piece", "start", "length", "ids_crc32").alias("row"), "length", "rank")
+    packed = ranked(rows, counts).select(F.struct("doc_id", "piece", "start", "length", "ids_crc32").alias("row"), "length", "rank")
     kind = packed.schema["row"].dataType.simpleString()
     return packed.mapInPandas(deal, f"row {kind}, sequence_id long, offset long").select("row.*", "sequence_id", "offset")
