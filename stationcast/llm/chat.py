@@ -71,7 +71,7 @@ SQL = """
           FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
     r AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS segment FROM j),
     o AS (SELECT *, row_number() OVER w - 1 AS position,
-                 coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+                 coalesce(sum(length(segment)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
           FROM r WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, role, text))
     SELECT conv_id, perspective, position, turn, role, segment, CAST(place AS BIGINT) AS "offset", own AS trained,
            CASE WHEN own THEN CAST(place + length(head) AS BIGINT) END AS mask_start,

@@ -85,7 +85,14 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
 
 
 def plan_patterns(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """[(lengths, sequences)]: how many sequences hold exactly these lengths."""
+    """[(lengths, sequences)]: how many sequences hold exactly these lengths.  Exact fillings can use up
+    the short pieces that others need; of the plans with complements of up to three, two, one or no
+    pieces the one with the fewest sequences is taken (the first of equals)."""
+    plans = [_plan(counts, capacity, depth) for depth in (3, 2, 1, 0)]
+    return min(plans, key=lambda plan: sum(k for _, k in plan))
+
+
+def _plan(counts: dict[int, int], capacity: int, depth: int) -> list[tuple[tuple[int, ...], int]]:
     left = np.zeros(capacity + 1, np.int64)
     for n, k in counts.items():
         left[n] = k
@@ -101,10 +108,13 @@ def plan_patterns(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int
     def fits(lengths: tuple[int, ...]) -> bool:
         return all(left[n] >= lengths.count(n) for n in set(lengths))
 
+    def single(n: int, gap: int) -> tuple[int] | None:
+        return (gap,) if fits((n, gap)) else None
+
     def pair(n: int, gap: int) -> tuple[int, int] | None:
         """Two available lengths of sum gap, the longer one first."""
         low = np.arange(1, gap // 2 + 1)
-        for b in low[(left[low] > 0) & (left[gap - low] > 0)][::-1].tolist():
+        for b in low[(left[low] > 0) & (left[gap - low] > 0)].tolist():
             if fits((n, gap - b, b)):
                 return gap - b, b
         return None
@@ -113,19 +123,16 @@ def plan_patterns(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int
         for a in np.flatnonzero(left[:max(gap - 1, 0)])[::-1].tolist():
             rest = gap - a
             low = np.arange(1, rest // 2 + 1)
-            for b in low[(left[low] > 0) & (left[rest - low] > 0)][::-1].tolist():
+            for b in low[(left[low] > 0) & (left[rest - low] > 0)].tolist():
                 if fits((n, a, rest - b, b)):
                     return a, rest - b, b
         return None
 
     if left[capacity]:
         take((capacity,))
-    for n in range(capacity - 1, 0, -1):        # the longest open length looks for its complement
-        gap = capacity - n
-        if left[n] and fits((n, gap)):
-            take((n, gap))
-        for find in (pair, triple):
-            while left[n] and (found := find(n, gap)):
+    for find in (single, pair, triple)[:depth]:
+        for n in range(capacity - 1, 0, -1):    # the longest open length looks for its complement
+            while left[n] and (found := find(n, capacity - n)):
                 take((n, *found))
     open_by_gap: dict[int, list[list]] = {}     # the rest: best fit, longest first
     for n in range(capacity, 0, -1):
