@@ -51,7 +51,11 @@ def ntz_literal(ts: dt.datetime) -> Column:
 
 def valid_trip(year: int, month: int) -> Column:
     """Duration in (0, 24 h], start inside the month, both stations known."""
-    start, end = month_bounds(year, month)
+    return valid_between(*month_bounds(year, month))
+
+
+def valid_between(start: dt.datetime, end: dt.datetime) -> Column:
+    """Duration in (0, 24 h], start in [start, end), both stations known."""
     s, e = F.col("started_at"), F.col("ended_at")
     return ((e > s) & (e <= s + F.expr("INTERVAL 24 HOURS"))
             & (s >= ntz_literal(start)) & (s < ntz_literal(end))
@@ -59,6 +63,12 @@ def valid_trip(year: int, month: int) -> Column:
             & F.col("end_station_id").isNotNull())
 
 
+def clean_trip_range(df: DataFrame, start: tuple[int, int], end: tuple[int, int]) -> DataFrame:
+    """P1 + P2 over the months start..end, both included: one filter, as for one month."""
+    lo, hi = month_bounds(*start)[0], month_bounds(*end)[1]
+    return parse_trip_times(df).where(valid_between(lo, hi))
+
+
 def clean_trips(df: DataFrame, year: int, month: int) -> DataFrame:
     """P1 + P2: parsed, valid trips of one month (one pushed-down filter)."""
     return parse_trip_times(df).where(valid_trip(year, month))

@@ -8,20 +8,20 @@ each (key, chunk); the last row of a chunk then takes the first row of the
 next chunk of the same key, found in a table with one row per chunk (a hot
 key has at most one chunk per partition).  Only chunk-boundary rows join.
 
-The chunked rows are persisted (memory, spilling to disk) before they are
-used twice: each use of an un-persisted range exchange samples its own
-boundaries, and chunk ids must agree between the lead and the fix-up.
-The persisted copy survives executor loss through its lineage (the range
-shuffle's partitioner is fixed once per shuffle).
+The chunked rows are written to the shared folder before they are used twice:
+each use of a range exchange samples its own boundaries, and chunk ids must
+agree between the lead and the fix-up.  The files outlive a lost executor, and
+nothing stays persisted.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialize
+
 
 def next_in_group(df: DataFrame, key: str, order: list[str], values: list[str],
                   prefix: str = "next_", num_partitions: int | None = None) -> DataFrame:
@@ -29,8 +29,8 @@ def next_in_group(df: DataFrame, key: str, order: list[str], values: list[str],
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = df.repartitionByRange(n, key, *order).withColumn("_chunk", F.spark_partition_id())
     w = Window.partitionBy(key, "_chunk").orderBy(*order)
-    r = r.withColumns({f"{prefix}{v}": F.lead(v).over(w) for v in values}).withColumn(
-        "_is_last", F.lead(F.lit(1)).over(w).isNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    r = materialize(r.withColumns({f"{prefix}{v}": F.lead(v).over(w) for v in values}).withColumn(
+        "_is_last", F.lead(F.lit(1)).over(w).isNull()), "chunks")
     firsts = r.groupBy(key, "_chunk").agg(
         F.min_by(F.struct(*[F.col(v).alias(v) for v in values]), F.struct(*order)).alias("_first"))
     nxt = firsts.select(F.col(key).alias("_k"), F.col("_chunk").alias("_c"),
@@ -49,14 +49,14 @@ def rank_distinct(df: DataFrame, col: str, num_partitions: int | None = None) ->
     Distinct values are range-partitioned and numbered inside each partition;
     each partition's offset is the number of values in the partitions before
     it, from a table with one row per partition.  No task ever holds all
-    values (a global ``row_number`` would).  The numbered rows are persisted
-    so that the partition ids agree between their two uses.
+    values (a global ``row_number`` would).  The numbered rows are written to
+    the shared folder so that the partition ids agree between their two uses.
     """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = (df.select(col).where(F.col(col).isNotNull()).distinct()
          .repartitionByRange(n, col).withColumn("_p", F.spark_partition_id()))
-    numbered = d.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(col)) - 1) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    numbered = materialize(
+        d.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(col)) - 1), "ranks")
     sizes = numbered.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p").rowsBetween(
         Window.unboundedPreceding, -1))).alias("_off"))  # one row per partition

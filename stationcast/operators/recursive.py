@@ -33,8 +33,6 @@ from pyspark import cloudpickle as _cp
 _cp.register_pickle_by_value(sys.modules[__name__])
 
 OUTPUT_SCHEMA = "start_station_id string, pickup_hour timestamp_ntz, predicted_rides double"
-SERVE_LAGS = (1, 2, 3, 6, 12, 24, 48, 72, 168, 336, 504, 672)
-SERVE_WINDOWS = (24, 168, 672)
 STATION_BATCH = 256
 
 
@@ -74,17 +72,13 @@ def export_trees(spark: SparkSession, gbt_model, path: str) -> dict:
 
 
 def predict_trees(m: dict, X: np.ndarray) -> np.ndarray:
-    """Sum of weighted tree outputs; go left when x[feature] <= threshold."""
-    n = X.shape[0]
-    rows = np.arange(n)
-    out = np.zeros(n)
-    for t, root in enumerate(m["roots"]):
-        idx = np.full(n, root, dtype=np.int64)
-        for _ in range(m["depth"]):
-            go_left = X[rows, m["feature"][idx]] <= m["threshold"][idx]
-            idx = np.where(go_left, m["left"][idx], m["right"][idx])
-        out += m["weights"][t] * m["value"][idx]
-    return out
+    """Sum of weighted tree outputs; go left when x[feature] <= threshold.  All trees step together."""
+    rows = np.arange(X.shape[0])[:, None]
+    idx = np.tile(m["roots"], (X.shape[0], 1))
+    for _ in range(m["depth"]):
+        go_left = X[rows, m["feature"][idx]] <= m["threshold"][idx]
+        idx = np.where(go_left, m["left"][idx], m["right"][idx])
+    return m["value"][idx] @ m["weights"]
 
 
 def predict(m: dict | None, X: np.ndarray) -> np.ndarray:
@@ -174,30 +168,34 @@ def run_recursion(R: np.ndarray, codes: np.ndarray, hours, spec: dict) -> np.nda
     """Predictions [n, H]: one step per hour, clamped at 0, pushed into the history.
 
     ``refresh_every`` > 1 freezes the history inside blocks of that many hours
-    and appends the block's predictions at its end.
+    and appends the block's predictions at its end.  A model that cannot take the
+    rows is an error, unless the spec allows the pattern fallback (C15).
     """
-    model, names, mode = spec["model"], spec["features"], spec["mode"]
+    model, names, mode, fallback = spec["model"], spec["features"], spec["mode"], spec.get("fallback", False)
     trained_on = spec.get("model_features")
     if trained_on is not None and list(trained_on) != list(names):
-        model = None  # the model cannot take these rows: pattern fallback (C15)
+        if not fallback:
+            raise ValueError(f"the model was trained on other features than {list(names)}")
+        model = None
     every = max(1, int(spec.get("refresh_every", 1)))
     n, H = R.shape[0], len(hours)
-    preds = np.zeros((n, H))
-    pending = []
+    W = R.shape[1]
+    line = np.empty((n, W + H))   # history and predictions, oldest first; R is a view of its newest W
+    line[:, :W] = R[:, ::-1]
+    preds, end = line[:, W:], W
     for h, ts in enumerate(hours):
         try:
             if model is None:
                 raise KeyError("no model")
             y = predict(model, feature_matrix(names, R, codes, ts, mode))
         except (KeyError, ValueError, IndexError):
+            if not fallback:
+                raise
             y = pattern_fallback_values(ts, n)
-        y = np.maximum(0.0, y)
-        preds[:, h] = y
-        pending.append(y)
-        if len(pending) == every or h == H - 1:
-            new = np.column_stack(pending[::-1])  # newest first
-            R = np.concatenate([new, R], axis=1)[:, :R.shape[1]]
-            pending = []
+        preds[:, h] = np.maximum(0.0, y)
+        if W + h + 1 - end == every:
+            end = W + h + 1
+            R = line[:, end - W:end][:, ::-1]
     return preds
 
 
@@ -267,11 +265,12 @@ def station_codes(train: DataFrame, col: str = "start_station_id") -> DataFrame:
 
 
 def serve_spec(model: dict | None, feature_names: list[str], mode: str = "serve",
-               refresh_every: int = 1, model_features: list[str] | None = None) -> dict:
-    """Kernel settings.  ``model_features``: the names the model was trained on;
-    when they differ from ``feature_names`` every cell takes the C15 fallback."""
+               refresh_every: int = 1, model_features: list[str] | None = None, fallback: bool = False) -> dict:
+    """Kernel settings.  ``model_features``: the names the model was trained on; when they differ
+    from ``feature_names``, or a row cannot be built, that is an error -- or, with ``fallback``, the
+    cell takes the C15 pattern."""
     return {"model": model, "features": list(feature_names), "mode": mode,
-            "refresh_every": refresh_every,
+            "refresh_every": refresh_every, "fallback": fallback,
             "model_features": None if model_features is None else list(model_features)}
 
 
@@ -292,21 +291,25 @@ M8_FEATURES = (["start_station_id", "hour", "day_of_week", "day_of_month", "week
 def recursive_lag_mean(history: DataFrame, window_size: int, horizon: int) -> DataFrame:
     """M9: each step predicts the mean of the previous W values (history, then predictions).
 
-    One row per station with its W values; the recursion is a JVM-side
-    ``aggregate`` over ``sequence(1, H)`` appending to the array, then the
-    predictions are exploded with their step.  No Python.
+    One row per station; the recursion is a JVM-side ``aggregate`` over the horizon whose state is
+    the running sum and the predictions so far: the value that leaves the window at step i is
+    history value i, or, beyond W steps, prediction i - W.  No Python, no re-summing.
     """
     arr = history_arrays(history, window_size).select(
         "start_station_id", F.reverse("hist").alias("h"))  # oldest first
     last = history.groupBy("start_station_id").agg(F.max("pickup_hour").alias("_last"))
-    w = window_size
-    grown = arr.select("start_station_id", F.aggregate(
-        F.sequence(F.lit(1), F.lit(horizon)), F.col("h"),
-        lambda acc, i: F.concat(acc, F.array(
-            F.aggregate(F.slice(acc, -w, w), F.lit(0.0), lambda s, x: s + x) / F.lit(float(w))))
-    ).alias("all"))
-    steps = grown.select("start_station_id",
-                         F.posexplode(F.slice("all", w + 1, horizon)).alias("step", "predicted_rides"))
+    w = float(window_size)
+    start = F.struct(F.aggregate("h", F.lit(0.0), lambda s, x: s + x).alias("total"),
+                     F.array().cast("array<double>").alias("made"))
+
+    def step(state, i):
+        mean = state["total"] / F.lit(w)
+        leaving = F.coalesce(F.get(F.col("h"), i), F.get(state["made"], i - window_size))
+        return F.struct((state["total"] - leaving + mean).alias("total"),
+                        F.concat(state["made"], F.array(mean)).alias("made"))
+
+    made = F.aggregate(F.sequence(F.lit(0), F.lit(horizon - 1)), start, step, lambda state: state["made"])
+    steps = arr.select("start_station_id", F.posexplode(made).alias("step", "predicted_rides"))
     return (steps.join(last, "start_station_id")
             .select("start_station_id",
                     (F.col("_last") + F.make_dt_interval(hours=F.col("step") + 1)).alias("pickup_hour"),

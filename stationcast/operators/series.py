@@ -6,7 +6,6 @@ J3 filter_top_stations, L1 sort_series, A15 distinct_stations.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,7 +40,7 @@ def series_partitions(spark) -> int:
 
 def dense_grid(hourly: DataFrame, hour_col: str = "pickup_hour",
                station_col: str = "start_station_id", rides_col: str = "rides",
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, bounds: DataFrame | None = None) -> DataFrame:
     """Every hour from the global min to max for every station, 0 when absent.
 
     Gap filling, no grid join: the sparse counts are hash-partitioned by
@@ -52,18 +51,16 @@ def dense_grid(hourly: DataFrame, hour_col: str = "pickup_hour",
     first row also covers the hours from the global minimum, the last one the
     hours to the global maximum.  A station partition holds at most one row
     per hour, so a station with a third of all trips is no larger than any
-    other.  The global range is one aggregate row (bounded broadcast) over
-    the same counts.  The repartitioned counts are persisted (memory,
-    spilling to disk): without it, column pruning gives the range branch its
-    own exchange and the raw input is scanned twice; with it the input is
-    read once.  The counts hold at most one row per (station, hour), far
-    less than the trips.  The output stays partitioned by station, which the
-    feature windows downstream reuse without another exchange.
+    other.  The global range is one aggregate row (bounded broadcast);
+    ``bounds`` (``_lo``, ``_hi``) passes it in, else it is taken from
+    ``hourly``.  Nothing is persisted, so every run sees the input as it is.
+    The output stays partitioned by station, which the feature windows
+    downstream reuse without another exchange.
     """
     n = num_partitions or series_partitions(hourly.sparkSession)
-    counts = (hourly.select(hour_col, station_col, rides_col).repartition(n, station_col)
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    bounds = counts.agg(F.min(hour_col).alias("_lo"), F.max(hour_col).alias("_hi"))
+    counts = hourly.select(hour_col, station_col, rides_col).repartition(n, station_col)
+    if bounds is None:
+        bounds = hourly.agg(F.min(hour_col).alias("_lo"), F.max(hour_col).alias("_hi"))
     w = Window.partitionBy(station_col).orderBy(hour_col)
     step = F.expr("INTERVAL 1 HOUR")
     spans = counts.crossJoin(F.broadcast(bounds)).select(
@@ -76,9 +73,19 @@ def dense_grid(hourly: DataFrame, hour_col: str = "pickup_hour",
     return filled.select(hour_col, station_col, rides.cast("bigint").alias(rides_col))
 
 
-def transform_to_series(trips: DataFrame) -> DataFrame:
-    """A1 + J1: the dense hourly demand series of the given trips."""
-    return dense_grid(hourly_demand(trips))
+def hour_bounds(trips: DataFrame) -> DataFrame:
+    """One row (_lo, _hi): first and last hour, from the start time column alone."""
+    hour = floor_hour(F.col(resolve_column(trips, *STARTED_AT)))
+    return trips.agg(F.min(hour).alias("_lo"), F.max(hour).alias("_hi"))
+
+
+def transform_to_series(trips: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """A1 + J1: the dense hourly demand series of the given trips.
+
+    The hour range is a second, one-column scan of the trips (min and max come
+    from partial aggregates), which costs less than keeping the counts for two uses.
+    """
+    return dense_grid(hourly_demand(trips), num_partitions=num_partitions, bounds=hour_bounds(trips))
 
 
 def station_counts(trips: DataFrame) -> DataFrame:

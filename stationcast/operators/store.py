@@ -4,9 +4,10 @@ Two layouts, both plain Parquet datasets:
 
 * keyed store: ``feature_group, entity_id, timestamp, feature_data`` (JSON
   text of the non-key columns), unique on the first three, partitioned by
-  (feature_group, month).  An upsert reads and rewrites only the partitions
-  its batch touches (staged, then swapped in); ``commit_version`` keeps whole
-  versions side by side where that is preferred.
+  (commit, feature_group, month).  An upsert writes the partitions that its batch touches as
+  new folders of a new commit, then a small table that names the current folder of
+  every partition.  Readers go by the newest such table, so a run that ends half-way
+  changes nothing that can be read, and no folder is ever deleted or overwritten.
 * offline store: formatted feature rows appended under ``year=/month=``
   partitions, several versions of a record side by side.
 """
@@ -28,14 +29,18 @@ ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 # --- C18 / C19 ---------------------------------------------------------------
 def feature_json(df: DataFrame, feature_group: str, entity_col: str = "start_station_id",
-                 ts_col: str = "pickup_hour") -> DataFrame:
-    """Key columns + the other columns packed as JSON (nulls kept)."""
-    feats = [c for c in df.columns if c not in (entity_col, ts_col)]
+                 ts_col: str = "pickup_hour", order_col: str | None = None) -> DataFrame:
+    """Key columns + the other columns packed as JSON (nulls kept).
+
+    ``order_col`` (a long) says which of a batch's rows of one key was written last; it
+    travels as ``write_order`` and is not part of the payload."""
+    feats = [c for c in df.columns if c not in (entity_col, ts_col, order_col)]
+    order = [] if order_col is None else [F.col(order_col).cast("long").alias("write_order")]
     return df.select(
         F.lit(feature_group).alias("feature_group"),
         F.col(entity_col).cast("string").alias("entity_id"),
         F.col(ts_col).cast("string").alias("timestamp"),
-        F.to_json(F.struct(*feats), {"ignoreNullFields": "false"}).alias("feature_data"))
+        F.to_json(F.struct(*feats), {"ignoreNullFields": "false"}).alias("feature_data"), *order)
 
 
 def feature_schema(df: DataFrame, entity_col: str = "start_station_id",
@@ -54,45 +59,57 @@ def feature_json_unpack(store: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 # --- T3 / T4 -----------------------------------------------------------------
+def last_written(batch: DataFrame, order_col: str = "write_order") -> DataFrame:
+    """One row per key of a batch: the one with the largest ``order_col`` (equal orders: the larger
+    payload).  The maximum is a hash aggregate over a long, combined map-side; only the winners'
+    rows are ranked, and those are several only where orders are equal."""
+    keys = list(STORE_KEY)
+    top = batch.groupBy(*keys).agg(F.max(order_col).alias("_top"))
+    best = batch.join(top, keys).where(F.col(order_col) == F.col("_top"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("feature_data")))
+    return best.withColumn("_rank", rank).where("_rank = 1").select(*keys, "feature_data")
+
+
 def upsert_features(existing: DataFrame | None, batches: list[DataFrame],
-                    order_col: str | None = None) -> DataFrame:
+                    order_col: str = "write_order") -> DataFrame:
     """Insert-or-replace on (feature_group, entity_id, timestamp); last write wins.
 
-    Rows are tagged (batch number, position in batch); per key the highest tag
-    survives.  Expressed as ``max_by`` in a grouped aggregate: partial
-    aggregation keeps one row per key per task before the shuffle, so a key
-    (or entity) with very many versions never lands whole in one task.
-    ``order_col`` orders rows inside a batch; without it the row position of
-    the batch (``monotonically_increasing_id``) is used.
+    Later batches win over earlier ones and over ``existing``; inside a batch the row with the
+    largest ``order_col`` wins.  Each batch is reduced to one row per key first; old rows
+    are kept by an anti join on the key and the two are put together -- the old rows are
+    neither sorted nor aggregated.
     """
-    tagged = []
-    if existing is not None:
-        tagged.append(existing.select(*STORE_KEY, "feature_data",
-                                      F.lit(0).alias("_b"), F.lit(0).cast("long").alias("_p")))
-    for i, b in enumerate(batches, start=1):
-        pos = F.col(order_col).cast("long") if order_col else F.monotonically_increasing_id()
-        tagged.append(b.select(*STORE_KEY, "feature_data", F.lit(i).alias("_b"), pos.alias("_p")))
-    allrows = tagged[0]
-    for t in tagged[1:]:
-        allrows = allrows.unionByName(t)
-    return (allrows.groupBy(*STORE_KEY)
-            .agg(F.max_by("feature_data", F.struct("_b", "_p")).alias("feature_data")))
+    out = existing
+    for batch in batches:
+        new = last_written(batch, order_col)
+        if out is None:
+            out = new
+        else:
+            out = (out.select(*STORE_KEY, "feature_data").join(new.select(*STORE_KEY), list(STORE_KEY), "left_anti")
+                   .unionByName(new))
+    return out
 
 
 def get_features(store: DataFrame, feature_group: str, schema: T.StructType,
                  entity_ids=None, start_time=None, end_time=None) -> DataFrame:
     """T4: one group, optional id list (a single id is accepted), optional
-    inclusive [start, end] compared as timestamps; payload unpacked."""
+    inclusive [start, end] compared as timestamps; payload unpacked.  Where the store has its
+    partition column ``ts_month``, the range is also a predicate on it, which prunes folders."""
     df = store.where(F.col("feature_group") == feature_group)
     if entity_ids is not None and not isinstance(entity_ids, (list, tuple, set)):
         entity_ids = [entity_ids]
     if entity_ids:
         df = df.where(F.col("entity_id").isin([str(e) for e in entity_ids]))
     ts = F.col("timestamp").cast("timestamp_ntz")
+    months = "ts_month" in store.columns
     if start_time is not None:
-        df = df.where(ts >= ntz_literal(_as_datetime(start_time)))
+        lo = _as_datetime(start_time)
+        df = df.where(ts >= ntz_literal(lo))
+        df = df.where(F.col("ts_month") >= f"{lo:%Y-%m}") if months else df
     if end_time is not None:
-        df = df.where(ts <= ntz_literal(_as_datetime(end_time)))
+        hi = _as_datetime(end_time)
+        df = df.where(ts <= ntz_literal(hi))
+        df = df.where(F.col("ts_month") <= f"{hi:%Y-%m}") if months else df
     return feature_json_unpack(df, schema)
 
 
@@ -156,17 +173,19 @@ def append_offline(df: DataFrame, root: str, entity_col: str, ts_col: str, now:
 def latest_record(offline: DataFrame, entity_ids=None) -> DataFrame:
     """Newest record per entity_id (event_time, then insertion time).
 
-    A grouped ``max_by`` (partial aggregation), not a window per entity: an
-    entity with a third of all versions costs one row per task before the
-    shuffle.
+    Two hash aggregates over timestamps find each entity's newest (event, insertion) pair,
+    combined map-side, so an entity with a third of all versions costs one row per task; the
+    records that carry the pair are joined back.  Repeated records give one row.
     """
     df = offline
     if entity_ids is not None:
         df = df.where(F.col("entity_id").isin([str(e) for e in entity_ids]))
-    cols = [c for c in df.columns if c != "entity_id"]
-    order = F.struct(F.to_timestamp("event_time", ISO_Z), F.to_timestamp("record_insertion_time", ISO_Z))
-    return (df.groupBy("entity_id").agg(F.max_by(F.struct(*cols), order).alias("_r"))
-            .select("entity_id", "_r.*"))
+    timed = df.withColumns({"_e": F.to_timestamp("event_time", ISO_Z), "_i": F.to_timestamp("record_insertion_time", ISO_Z)})
+    event = timed.groupBy("entity_id").agg(F.max("_e").alias("_top"))
+    newest = timed.join(event, "entity_id").where(F.col("_e") == F.col("_top")).drop("_top")
+    insertion = newest.groupBy("entity_id").agg(F.max("_i").alias("_top"))
+    return (newest.join(insertion, "entity_id").where(F.col("_i") == F.col("_top")).drop("_e", "_i", "_top")
+            .dropDuplicates(["entity_id"]))
 
 
 # --- S7-S9 / K3 --------------------------------------------------------------
@@ -175,18 +194,24 @@ def scan_partition(table: DataFrame, year: int, month: int) -> DataFrame:
     return table.where((F.col("year") == year) & (F.col("month") == month))
 
 
-def list_partitions(table: DataFrame) -> DataFrame:
-    """Distinct (year, month), ordered."""
-    return table.select("year", "month").distinct().orderBy("year", "month")
+def partition_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row per data file under ``root``: (path, year, month), from the file listing alone."""
+    return spark.read.format("binaryFile").load(root).select("path", "year", "month")
+
+
+def list_partitions(spark: SparkSession, root: str) -> DataFrame:
+    """Distinct (year, month) of the folders, ordered; no data is read."""
+    return partition_files(spark, root).select("year", "month").distinct().orderBy("year", "month")
 
 
-def inventory_partitions(table: DataFrame) -> DataFrame:
-    """Per (year, month): number of data files, rows and one sample file name."""
-    fname = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return (table.select("year", "month", F.col("_metadata.file_path").alias("_path"), fname.alias("_name"))
-            .groupBy("year", "month")
-            .agg(F.count_distinct("_path").alias("files"), F.count(F.lit(1)).alias("rows"),
-                 F.min("_name").alias("sample_file"))
+def inventory_partitions(spark: SparkSession, root: str, table: DataFrame) -> DataFrame:
+    """Per (year, month): number of data files (those without rows too), rows and one sample file name."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = (partition_files(spark, root).groupBy("year", "month")
+             .agg(F.count(F.lit(1)).alias("files"), F.min(name).alias("sample_file")))
+    rows = table.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
+    return (files.join(rows, ["year", "month"], "left")
+            .select("year", "month", "files", F.coalesce("rows", F.lit(0)).alias("rows"), "sample_file")
             .orderBy("year", "month"))
 
 
@@ -196,74 +221,84 @@ def with_year_month(df: DataFrame, ts_col: str) -> DataFrame:
 
 # --- partition-scoped upsert into a keyed store ------------------------------
 STORE_PARTS = ("feature_group", "ts_month")
+STORE_DDL = "entity_id STRING, timestamp STRING, feature_data STRING, commit INT, feature_group STRING, ts_month STRING"
+CURRENT_DDL = "feature_group STRING, ts_month STRING, commit INT"
 
 
 def _with_parts(df: DataFrame) -> DataFrame:
     return df.withColumn("ts_month", F.substring("timestamp", 1, 7))
 
 
-def _fs(spark: SparkSession, path: str):
+def _commits(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the commits whose table of current folders is complete."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/current")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    done = [s.getPath() for s in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return sorted(int(p.getName()[2:]) for p in done)
+
+
+def _next_commit(spark: SparkSession, root: str) -> int:
+    """A number that no folder carries yet, of runs that did not end either."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    used = [0]
+    for sub in ("data", "current"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{sub}")
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            used += [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if "=" in s.getPath().getName()]
+    return max(used) + 1
+
+
+def current_folders(spark: SparkSession, root: str) -> DataFrame | None:
+    """(feature_group, ts_month, commit): where each partition of the store lies now."""
+    commits = _commits(spark, root)
+    return spark.read.schema(CURRENT_DDL).parquet(f"{root}/current/c={commits[-1]}") if commits else None
 
 
-def upsert_into_store(spark: SparkSession, root: str, batch: DataFrame, staging: str) -> list[tuple]:
+def upsert_into_store(spark: SparkSession, root: str, batch: DataFrame, order_col: str = "write_order") -> list[tuple]:
     """T3 applied to a stored table, touching only the partitions the batch hits.
 
-    The store is partitioned by (feature_group, ts_month).  The batch's
-    partition list is a small distinct; the old rows of exactly those
-    partitions are read (the semi join on partition columns prunes the scan),
-    merged with the batch (last write wins), written to ``staging`` and then
-    swapped in partition by partition (delete + rename).  Untouched
-    partitions are never read or rewritten.  Re-running the same batch gives
-    the same table, so a job lost half-way is completed by re-running it.
+    The batch's (group, month) list is a small distinct; the old rows of exactly those partitions are
+    read (their commit, group and month are literals in the scan's partition filters), merged with the
+    batch and written as new folders; a table of current folders makes them visible in one step.  Names
+    are escaped by Spark's partition writer and read with an explicit schema, so a group may be
+    called ``007`` or ``city:bike=1``.  A run lost half-way leaves the store as it was.  One writer at a time.
     """
-    from pyspark import StorageLevel
-    batch = batch.select(*STORE_KEY, "feature_data").persist(StorageLevel.MEMORY_AND_DISK)
-    b = _with_parts(batch)
-    parts = [tuple(r) for r in b.select(*STORE_PARTS).distinct().collect()]  # bounded: groups x months
-    root_path, fs = _fs(spark, root)
-    old = None
-    if fs.exists(root_path):
-        touched = spark.createDataFrame(parts, "feature_group string, ts_month string")
-        old = (spark.read.parquet(root).join(F.broadcast(touched), list(STORE_PARTS), "left_semi")
-               .select(*STORE_KEY, "feature_data"))
-    merged = _with_parts(upsert_features(old, [batch]))
-    merged.write.mode("overwrite").partitionBy(*STORE_PARTS).parquet(staging)
-    batch.unpersist()
-    jvm = spark.sparkContext._jvm
-    for g, m in parts:
-        rel = f"feature_group={g}/ts_month={m}"
-        src, dst = jvm.org.apache.hadoop.fs.Path(f"{staging}/{rel}"), jvm.org.apache.hadoop.fs.Path(f"{root}/{rel}")
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        fs.mkdirs(dst.getParent())
-        fs.rename(src, dst)
+    from ..session import materialize
+    batch = materialize(last_written(batch, order_col), "batch")
+    parts = sorted(tuple(r) for r in _with_parts(batch).select(*STORE_PARTS).distinct().collect())  # groups x months
+    commit = _next_commit(spark, root)
+    current = current_folders(spark, root)
+    touched = spark.createDataFrame(parts, "feature_group string, ts_month string")
+    merged, folders = batch, touched.withColumn("commit", F.lit(commit))
+    if current is not None:
+        old = read_store(spark, root, parts).select(*STORE_KEY, "feature_data")
+        merged = old.join(batch.select(*STORE_KEY), list(STORE_KEY), "left_anti").unionByName(batch)
+        folders = current.join(touched, list(STORE_PARTS), "left_anti").unionByName(folders)
+    _with_parts(merged).withColumn("commit", F.lit(commit)).write.mode("append") \
+        .partitionBy("commit", *STORE_PARTS).parquet(f"{root}/data")
+    folders.coalesce(1).write.parquet(f"{root}/current/c={commit}")
     return parts
 
 
-def read_store(spark: SparkSession, root: str) -> DataFrame:
-    """The keyed store as (feature_group, entity_id, timestamp, feature_data)."""
-    return spark.read.parquet(root).select(*STORE_KEY, "feature_data")
-
-
-def latest_version_path(spark: SparkSession, root: str) -> str | None:
-    """Newest ``v=<n>`` directory under ``root`` (keyed store versions)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    versions = [int(s.getPath().getName()[2:]) for s in fs.listStatus(path)
-                if s.isDirectory() and s.getPath().getName().startswith("v=")]
-    return f"{root.rstrip('/')}/v={max(versions)}" if versions else None
-
-
-def commit_version(spark: SparkSession, df: DataFrame, root: str) -> str:
-    """Write ``df`` as the next version of the keyed store; returns its path."""
-    cur = latest_version_path(spark, root)
-    nxt = 1 if cur is None else int(cur.rsplit("v=", 1)[1]) + 1
-    path = f"{root.rstrip('/')}/v={nxt}"
-    df.write.mode("errorifexists").partitionBy("feature_group").parquet(path)
-    return path
+def read_store(spark: SparkSession, root: str, parts: list[tuple] | None = None) -> DataFrame:
+    """The keyed store as (feature_group, entity_id, timestamp, feature_data, ts_month); ``parts``
+    (group, month) limits it to some partitions by literal predicates."""
+    current = current_folders(spark, root)
+    if current is None:
+        raise ValueError(f"no feature store at {root}")
+    rows = [tuple(r) for r in current.collect()]  # groups x months, as many as the store has folders
+    if parts is not None:
+        wanted = set(parts)
+        rows = [r for r in rows if (r[0], r[1]) in wanted]
+    store = spark.read.schema(STORE_DDL).parquet(f"{root}/data")
+    places: dict[tuple[int, str], list[str]] = {}
+    for group, month, commit in rows:
+        places.setdefault((commit, group), []).append(month)
+    here = F.lit(False)
+    for (commit, group), months in sorted(places.items()):
+        here = here | ((F.col("commit") == commit) & (F.col("feature_group") == group) & F.col("ts_month").isin(sorted(months)))
+    return store.where(here).select(*STORE_KEY, "feature_data", "ts_month")

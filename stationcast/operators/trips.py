@@ -8,27 +8,36 @@ from pyspark.sql import functions as F
 
 from ..functions import trip as TF
 from ..functions.calendar import time_features
+from ..session import materialize
 
 # Popularity quartile labels.
 POPULARITY_LABELS = ("low", "medium", "high", "very_high")
-MAX_ONE_HOT_VALUES = 1000
 
 
 def one_hot(df: DataFrame, col: str, prefix: str,
             values: list[str] | None = None) -> DataFrame:
     """One 0/1 column ``{prefix}_{value}`` per distinct value (sorted); null -> all 0.
 
-    The value list is a distinct over one column, checked to stay under
-    MAX_ONE_HOT_VALUES before it is brought to the driver.
+    Without ``values`` the columns are the distinct values, whatever their number: the result's
+    schema needs them, so they (and only they) come to the driver.  ``one_hot_long`` gives the same
+    content as rows, for columns whose values should not become columns.
     """
     if values is None:
-        distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
-        rows = distinct.limit(MAX_ONE_HOT_VALUES + 1).collect()
-        if len(rows) > MAX_ONE_HOT_VALUES:
-            raise ValueError(f"{col} has more than {MAX_ONE_HOT_VALUES} distinct values")
-        values = sorted(r[0] for r in rows)
-    return df.withColumns({f"{prefix}_{v}": F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0))
-                           for v in values})
+        values = distinct_values(df, [col])[col]
+    hot = [F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{prefix}_{v}") for v in values]
+    return df.select("*", *hot)
+
+
+def distinct_values(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
+    """Sorted distinct non-null values of several text columns, in one pass over the rows."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])
+    rows = df.select(F.explode(pairs).alias("p")).select("p.*").where("v is not null").distinct().collect()
+    return {c: sorted(r["v"] for r in rows if r["c"] == c) for c in cols}
+
+
+def one_hot_long(df: DataFrame, key: str, col: str) -> DataFrame:
+    """C8 as rows (key, value, 1): no list of values anywhere; null gives no row."""
+    return df.where(F.col(col).isNotNull()).select(key, F.col(col).alias("value"), F.lit(1).alias("hot"))
 
 
 def attach_popularity(trips: DataFrame, station: str = "start_station_id") -> DataFrame:
@@ -39,8 +48,11 @@ def attach_popularity(trips: DataFrame, station: str = "start_station_id") -> Da
     join into a broadcast when its measured size is small and splits a hot
     station's partition otherwise -- no window over raw rows per station.
     """
-    counts = trips.groupBy(station).agg(F.count(F.lit(1)).alias("station_popularity"))
-    return trips.join(counts, station, "left")
+    return trips.join(station_popularity(trips, station), station, "left")
+
+
+def station_popularity(trips: DataFrame, station: str = "start_station_id") -> DataFrame:
+    return trips.groupBy(station).agg(F.count(F.lit(1)).alias("station_popularity"))
 
 
 def popularity_edges(trips: DataFrame, station: str = "start_station_id") -> DataFrame:
@@ -49,7 +61,11 @@ def popularity_edges(trips: DataFrame, station: str = "start_station_id") -> Dat
     Computed from the per-station table with the count as frequency, which is
     the same distribution without touching the trips a second time.
     """
-    counts = trips.groupBy(station).agg(F.count(F.lit(1)).alias("pop"))
+    return edges_of_counts(station_popularity(trips, station))
+
+
+def edges_of_counts(counts: DataFrame) -> DataFrame:
+    counts = counts.select(F.col("station_popularity").alias("pop"))
     q = F.percentile(F.col("pop"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("pop"))
     return counts.agg(F.min("pop").alias("_e0"), q.alias("_q"), F.max("pop").alias("_e4")).select(
         "_e0", F.col("_q")[0].alias("_e1"), F.col("_q")[1].alias("_e2"),
@@ -76,9 +92,10 @@ def popularity_bucket(trips_with_pop: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def station_features(trips: DataFrame) -> DataFrame:
-    """J4 + C9 + C10."""
-    with_pop = attach_popularity(trips)
-    out = popularity_bucket(with_pop, popularity_edges(trips))
+    """J4 + C9 + C10.  The per-station counts are computed once and written to the shared folder."""
+    counts = materialize(station_popularity(trips), "popularity")
+    with_pop = trips.join(counts, "start_station_id", "left")
+    out = popularity_bucket(with_pop, edges_of_counts(counts))
     return out.withColumn("round_trip", TF.round_trip(F.col("start_station_id"), F.col("end_station_id")))
 
 
@@ -94,6 +111,10 @@ def trip_features(trips: DataFrame, bike_values=None, user_values=None) -> DataF
     out = trips.withColumn("duration_minutes",
                            TF.trip_duration_minutes(F.col("started_at"), F.col("ended_at")))
     out = out.withColumn("duration_category", TF.duration_bucket(F.col("duration_minutes")))
+    if bike_values is None or user_values is None:
+        found = distinct_values(trips, ["rideable_type", "member_casual"])
+        bike_values = found["rideable_type"] if bike_values is None else bike_values
+        user_values = found["member_casual"] if user_values is None else user_values
     out = one_hot(out, "rideable_type", "bike", bike_values)
     return one_hot(out, "member_casual", "user", user_values)
 

@@ -23,7 +23,7 @@ def r6(expr: str) -> str:
 
 def trips_cte(entity: str = "type") -> str:
     """``trips`` CTE; entity 'user' makes the user id the station."""
-    base = trips_view_sql("duckdb")
+    base = trips_view_sql()
     if entity == "user":
         return (f"trips_raw AS ({base}),\n"
                 "trips AS (SELECT * REPLACE (CAST(user_id AS VARCHAR) AS start_station_id) FROM trips_raw)")

@@ -18,13 +18,15 @@ from ..operators import features as feat
 from ..operators import models as MD
 from ..operators import prep as PR
 from ..operators import recursive as RC
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sinks.writers import append_metrics_history, metrics_table, write_metrics, write_table
 from . import oracle as O
-from .q_core import user_series
+from .q_core import type_series, user_series
 from .q_prep import WINDOWED_CTES, SPLIT_CTE, examples
 from .registry import register, round_doubles
-from .training import run_forecast, training_run
+from .q_trips import RUN_FEATURES_CTES
+from .training import (SET_OF, best_model_name, keyed_predictions, load_model, load_scored, load_sets, preprocess_pair,
+                       read_metrics, run_forecast, serving_spec, train_ten_lags, trained)
 
 RUN_TS = "2024-02-01 00:00:00"
 LAGS12 = feat.lag_names()
@@ -32,22 +34,24 @@ ROLES = {"baseline": None, "full": LAGS12, "reduced": ["rides_lag_24h", "rides_l
 
 
 def user_split(spark, sf):
-    lab = PR.time_split(feat.full_features(user_series(spark, sf)))
-    return lab.where("split = 'train'").drop("split"), lab.where("split = 'test'").drop("split")
+    """The labelled per-user rows that the SQL-expressible predictors need, written once."""
+    lab = PR.time_split(feat.lag_features(user_series(spark, sf)))
+    return materialize(lab.select("pickup_hour", "start_station_id", "rides", "split", *LAGS12), "split")
 
 
-def sql_models(spark, sf):
-    """Scored test frames of the three SQL-expressible predictors."""
-    train, test = user_split(spark, sf)
-    out = {}
+def sql_scored(spark, sf):
+    """Test rows with one prediction column per predictor."""
+    lab = user_split(spark, sf)
+    train, out = lab.where("split = 'train'"), lab.where("split = 'test'")
     for role, cols in ROLES.items():
-        m = MD.BaselinePredictor(labelCol="rides", lagCols=cols or []).fit(train)
-        out[role] = m.transform(test).select("pickup_hour", "start_station_id", "rides", "prediction")
-    return out
+        m = MD.BaselinePredictor(labelCol="rides", predictionCol=role, lagCols=cols or [],
+                                 lagPrefix="no lags").fit(train)
+        out = m.transform(out)
+    return out.select("pickup_hour", "start_station_id", "rides", *ROLES)
 
 
 def sql_metrics(spark, sf):
-    return MD.mae(MD.predictions_long(sql_models(spark, sf)))
+    return MD.mae_of_columns(sql_scored(spark, sf), list(ROLES))
 
 
 _PRED = {"baseline": "(SELECT avg(rides) FROM tr)",
@@ -76,8 +80,8 @@ def q_baseline_predict(spark, sf):
 
 @register("train_mean", SPLIT_CTES + f"\nSELECT {O.r6('avg(rides)')} AS train_mean FROM tr")
 def q_train_mean(spark, sf):
-    train, _ = user_split(spark, sf)
-    m = MD.BaselinePredictor(labelCol="rides").fit(train)
+    train = user_split(spark, sf).where("split = 'train'")
+    m = MD.BaselinePredictor(labelCol="rides", lagPrefix="no lags").fit(train)
     return round_doubles(train.sparkSession.createDataFrame(
         [(float(m.getOrDefault(m.trainMean)),)], "train_mean double"))
 
@@ -109,8 +113,9 @@ SELECT pickup_hour, start_station_id, CAST(rides AS DOUBLE) AS actual,
   {O.r6(_PRED['baseline'])} AS baseline, {O.r6(_PRED['full'])} AS "full", {O.r6(_PRED['reduced'])} AS reduced
 FROM te WHERE start_station_id = '7'""")
 def q_compare_models(spark, sf):
-    preds = sql_models(spark, sf)
-    return round_doubles(MD.compare_models(preds["baseline"], preds, "7"))
+    scored = sql_scored(spark, sf).where("start_station_id = '7'")
+    return round_doubles(scored.select("pickup_hour", "start_station_id", F.col("rides").cast("double").alias("actual"),
+                                       *ROLES))
 
 
 # --- K4 / K5 / L4 ----------------------------------------------------------------
@@ -128,14 +133,14 @@ mrows AS (SELECT model_name, {O.r6('mae')} AS mae, '{RUN_TS}' AS timestamp,
 
 
 def _metric_rows(spark, sf):
-    m = sql_metrics(spark, sf)
+    m = materialize(sql_metrics(spark, sf), "metrics")
     return round_doubles(MD.metrics_rows(m, RUN_TS, MD.model_improvement(m)))
 
 
 @register("write_metrics", METRIC_ROWS_SQL + "\nSELECT * FROM mrows")
 def q_write_metrics(spark, sf):
     path = scratch_path(spark, "metrics")
-    rows = _metric_rows(spark, sf)
+    rows = materialize(_metric_rows(spark, sf), "metric-rows")
     base = rows.select("model_name", "mae", "timestamp", "model_type")
     extras = rows.where("baseline_improvement IS NOT NULL OR full_model_comparison IS NOT NULL")
     # per-model frames with different columns, unioned with missing -> null
@@ -153,9 +158,9 @@ h AS (SELECT model_name, {O.r6('mae')} AS mae, '2024-02-01 00:00:00' AS run_time
       SELECT model_name, {O.r6('mae')}, '2024-02-02 00:00:00', 'run-2' FROM metrics)"""
 
 
-def _history(spark, sf):
+def _history(spark, sf, m=None):
     path = scratch_path(spark, "metrics-history")
-    m = round_doubles(sql_metrics(spark, sf))
+    m = materialize(round_doubles(sql_metrics(spark, sf)), "metrics") if m is None else m
     append_metrics_history(m, path, dt.datetime(2024, 2, 1), "run-1")
     append_metrics_history(m, path, dt.datetime(2024, 2, 2), "run-2")
     return spark.read.schema("model_name STRING, mae DOUBLE, run_timestamp STRING, run_id STRING") \
@@ -172,104 +177,142 @@ m2 AS (SELECT model_name, {O.r6('mae')} AS mae, 'run-3' AS run_id, 'current' AS
 SELECT model_name, mae, run_timestamp, run_id, NULL::VARCHAR AS status FROM h
 UNION ALL SELECT model_name, mae, NULL, run_id, status FROM m2""")
 def q_union_history(spark, sf):
-    cur = round_doubles(sql_metrics(spark, sf)).select(
-        "model_name", "mae", F.lit("run-3").alias("run_id"), F.lit("current").alias("status"))
-    return MD.union_history(_history(spark, sf), cur)
+    m = materialize(round_doubles(sql_metrics(spark, sf)), "metrics")
+    cur = m.select("model_name", "mae", F.lit("run-3").alias("run_id"), F.lit("current").alias("status"))
+    return MD.union_history(_history(spark, sf, m), cur)
 
 
 # --- boosted trees over the feature pipeline's three sets (row checks) ----------------
-@register("train_full")
+# The test rows of the feature pipeline, as SQL: the keys and targets that every scored frame must have.
+TEST_ROWS_SQL = RUN_FEATURES_CTES + """,
+s AS (SELECT pickup_hour AS split_hour FROM (
+    SELECT pickup_hour, row_number() OVER (ORDER BY pickup_hour) - 1 AS i, count(*) OVER () AS n
+    FROM (SELECT DISTINCT pickup_hour FROM dense)) WHERE i = floor(n * 0.8)),
+te AS (SELECT pickup_hour, start_station_id, rides FROM dense, s WHERE pickup_hour >= split_hour)
+SELECT pickup_hour, start_station_id, rides, true AS predicted, true AS in_range FROM te"""
+
+
+def _checked(scored, lo, hi):
+    """Scored rows with what SQL can state of a tree model: there is a prediction, and it lies in the
+    range that a sum of leaf means around the training targets allows."""
+    return scored.select("pickup_hour", "start_station_id", "rides", F.col("prediction").isNotNull().alias("predicted"),
+                         F.col("prediction").between(lo, hi).alias("in_range"))
+
+
+def _target_range(spark, sf):
+    r = load_sets(spark, trained(spark, sf))["full_features"].agg(F.min("rides"), F.max("rides")).first()
+    span = r[1] - r[0]
+    return r[0] - span, r[1] + span
+
+
+@register("train_full", TEST_ROWS_SQL)
 def q_train_full(spark, sf):
-    return round_doubles(training_run(spark, sf)["scored"]["full"])
+    return _checked(load_scored(spark, trained(spark, sf), "full"), *_target_range(spark, sf))
 
 
-@register("train_reduced")
+@register("train_reduced", TEST_ROWS_SQL)
 def q_train_reduced(spark, sf):
-    return round_doubles(training_run(spark, sf)["scored"]["reduced"])
+    return _checked(load_scored(spark, trained(spark, sf), "reduced"), *_target_range(spark, sf))
 
 
 @register("evaluate_models")
 def q_evaluate_models(spark, sf):
-    return round_doubles(MD.rank_models(training_run(spark, sf)["metrics"]))
+    return round_doubles(MD.rank_models(read_metrics(spark, trained(spark, sf))))
 
 
-@register("score_batch")
+@register("score_batch", RUN_FEATURES_CTES + """
+SELECT pickup_hour, start_station_id, rides, true AS predicted, true AS in_range FROM dense""")
 def q_score_batch(spark, sf):
-    run = training_run(spark, sf)
-    full = run["sets"]["full_features"]
-    tr, te = PR.train_test(full)
-    from .training import preprocess_pair
-    _, everything = preprocess_pair(tr, full)
-    return round_doubles(MD.score_batch(run["models"]["full"], everything).select(
-        F.col("_h").cast("timestamp_ntz").alias("pickup_hour"), F.col("_station").alias("start_station_id"),
-        "rides", "prediction"))
+    root = trained(spark, sf)
+    full = load_sets(spark, root)["full_features"]
+    _, everything = preprocess_pair(PR.train_test(full)[0], full)
+    scored = keyed_predictions(MD.score_batch(load_model(root, "full"), everything))
+    return _checked(scored, *_target_range(spark, sf))
 
 
-@register("save_load_model")
+@register("save_load_model", TEST_ROWS_SQL.replace("true AS predicted, true AS in_range", "true AS same_as_before_saving"))
 def q_save_load_model(spark, sf):
-    run = training_run(spark, sf)
-    from .training import best_model_name
-    best = best_model_name(run)
-    path = scratch_path(spark, f"model-{best}")
-    model = run["models"][best]
-    model.write().overwrite().save(path)
-    loaded = (MD.BaselineModel.load(path) if isinstance(model, MD.BaselineModel) else MD.load_model(path))
-    train, test = PR.train_test(run["sets"][{"baseline": "baseline_features", "full": "full_features",
-                                              "reduced": "reduced_features"}[best]])
-    from .training import preprocess_pair
-    _, te = preprocess_pair(train, test)
-    return round_doubles(loaded.transform(te).select(
-        F.lit(best).alias("model_name"), F.col("_h").cast("timestamp_ntz").alias("pickup_hour"),
-        F.col("_station").alias("start_station_id"), "rides", "prediction"))
+    """The loaded model predicts the test rows as the fitted one did before it was saved."""
+    root = trained(spark, sf)
+    best = best_model_name(spark, root)
+    _, test = preprocess_pair(*PR.train_test(load_sets(spark, root)[SET_OF[best]]))
+    again = keyed_predictions(load_model(root, best).transform(test)).withColumnRenamed("prediction", "again")
+    return (load_scored(spark, root, best).join(again.drop("rides"), ["pickup_hour", "start_station_id"])
+            .select("pickup_hour", "start_station_id", "rides",
+                    (F.abs(F.col("prediction") - F.col("again")) < 1e-9).alias("same_as_before_saving")))
 
 
 # --- recursive forecasts ----------------------------------------------------------------
-def _full_tree_spec(spark, sf):
-    run = training_run(spark, sf)
-    trees = RC.export_trees(spark, run["models"]["full"].stages[-1], scratch_path(spark, "gbt"))
-    return run, RC.serve_spec(trees, run["features"]["full"], model_features=run["features"]["full"])
-
-
 def _horizon(start=dt.datetime(2024, 1, 31, 0, 0), hours=168):
     return RC.hourly_range(start, start + dt.timedelta(hours=hours - 1))
 
 
-@register("recursive_forecast")
+def _grid_sql(hours, stations="dense"):
+    """Every hour of the horizon for every station with enough history; the checks hold for all of them."""
+    return f""",
+st AS (SELECT DISTINCT start_station_id FROM {stations}),
+h AS (SELECT unnest(generate_series(TIMESTAMP '{hours[0]}', TIMESTAMP '{hours[-1]}', INTERVAL 1 HOUR)) AS pickup_hour)
+SELECT start_station_id, pickup_hour, true AS in_range FROM st, h"""
+
+
+def _in_range(forecast, hi, column="predicted_rides"):
+    return forecast.select("start_station_id", "pickup_hour", F.col(column).between(0.0, hi).alias("in_range"))
+
+
+M6_HOURS = _horizon(hours=90 * 24)
+
+
+@register("recursive_forecast", RUN_FEATURES_CTES + _grid_sql(M6_HOURS))
 def q_recursive_forecast(spark, sf):
-    run, spec = _full_tree_spec(spark, sf)
-    full = run["sets"]["full_features"]
-    return round_doubles(RC.recursive_forecast(spark, full, _horizon(), spec, 672, RC.station_codes(full)))
+    """M6: 90 days of the stored full model, fed back hour by hour."""
+    root = trained(spark, sf)
+    full = load_sets(spark, root)["full_features"]
+    fc = RC.recursive_forecast(spark, full, M6_HOURS, serving_spec(spark, root, "full"), 672, RC.station_codes(full))
+    return _in_range(fc, _target_range(spark, sf)[1])
+
+
+M7_BLOCKS, M7_W, M7_LAGS = 4, 24, 10
+M7_SQL = f"""WITH RECURSIVE {O.series_ctes('user')},
+r AS (SELECT *, row_number() OVER (PARTITION BY start_station_id ORDER BY pickup_hour DESC) AS rn FROM dense),
+init AS (SELECT start_station_id, list(CAST(rides AS DOUBLE) ORDER BY pickup_hour DESC) AS hist
+         FROM r WHERE rn <= {M7_W} GROUP BY 1 HAVING count(*) = {M7_W}),
+blocks(start_station_id, b, hist, pred) AS (
+  SELECT start_station_id, 0, hist, NULL::DOUBLE FROM init
+  UNION ALL
+  SELECT start_station_id, b + 1, list_concat(list_resize([list_avg(hist[1:{M7_LAGS}])], 168, list_avg(hist[1:{M7_LAGS}])), hist)[1:{M7_W}],
+         list_avg(hist[1:{M7_LAGS}])
+  FROM blocks WHERE b < {M7_BLOCKS}),
+h AS (SELECT unnest(generate_series(0, {M7_BLOCKS * 168 - 1})) AS i)
+SELECT start_station_id, TIMESTAMP '{_horizon()[0]}' + to_hours(CAST(i AS BIGINT)) AS pickup_hour, {O.r6('pred')} AS predicted_rides
+FROM blocks JOIN h ON CAST(floor(i / 168) AS INTEGER) + 1 = b"""
 
 
-@register("recursive_forecast_batched")
+@register("recursive_forecast_batched", M7_SQL)
 def q_recursive_forecast_batched(spark, sf):
-    # lag-mean model over rides_t-1..10 from the last 24 rows, history refreshed weekly
-    names = [f"rides_t-{k}" for k in range(1, 11)]
+    """M7: lag-mean model over the last 10 of 24 rows, history refreshed weekly, four blocks."""
+    names = [f"rides_t-{k}" for k in range(1, M7_LAGS + 1)]
     spec = RC.serve_spec({"kind": "lag_mean"}, names, refresh_every=168)
-    return round_doubles(RC.recursive_forecast(spark, user_series(spark, sf), _horizon(), spec, 24))
+    hours = _horizon(hours=M7_BLOCKS * 168)
+    return round_doubles(RC.recursive_forecast(spark, user_series(spark, sf), hours, spec, M7_W))
 
 
 _M8_HOURS = RC.fixed_range_hours(4)
-FIXED_RANGE_SQL = f"""WITH {O.series_ctes('type')},
-st AS (SELECT start_station_id FROM dense GROUP BY 1 HAVING count(*) >= 24),
-h AS (SELECT unnest(generate_series(TIMESTAMP '{_M8_HOURS[0]}', TIMESTAMP '{_M8_HOURS[-1]}', INTERVAL 1 HOUR)) AS pickup_hour)
-SELECT start_station_id, pickup_hour,
-  {O.r6("5.0 * (0.7 + 0.6 * ((hour(pickup_hour) % 12) / 12.0) * CASE WHEN isodow(pickup_hour) >= 6 THEN 0.7 ELSE 1.0 END)")}
-    AS predicted_rides
-FROM st, h"""
 
 
-@register("forecast_fixed_range", FIXED_RANGE_SQL)
+@register("forecast_fixed_range", f"WITH {O.series_ctes('type')}" + _grid_sql(_M8_HOURS))
 def q_forecast_fixed_range(spark, sf):
-    """M8: the full tree model cannot take the 10-lag rows, so every cell is the pattern fallback."""
-    from .q_core import type_series
-    run = training_run(spark, sf)
-    trees = RC.export_trees(spark, run["models"]["full"].stages[-1], scratch_path(spark, "gbt"))
-    spec = RC.serve_spec(trees, RC.M8_FEATURES, model_features=run["features"]["full"])
-    return round_doubles(RC.recursive_forecast(spark, type_series(spark, sf), _M8_HOURS, spec, 24))
-
-
-M9_W, M9_H = 24, 48
+    """M8: four calendar months by boosted trees over the ten newest values, trained on rows with
+    the same names; every value is the model's."""
+    series_ = type_series(spark, sf)
+    model = train_ten_lags(spark, series_)
+    trees = RC.export_trees(spark, model.stages[-1], scratch_path(spark, "gbt"))
+    spec = RC.serve_spec(trees, RC.M8_FEATURES, model_features=RC.M8_FEATURES)
+    fc = RC.recursive_forecast(spark, series_, _M8_HOURS, spec, 24, RC.station_codes(series_))
+    top = series_.agg(F.max("rides")).first()[0]
+    return _in_range(fc, 2.0 * top)
+
+
+M9_W, M9_H = 672, 168
 M9_SQL = f"""WITH RECURSIVE {O.series_ctes('user')},
 r AS (SELECT *, row_number() OVER (PARTITION BY start_station_id ORDER BY pickup_hour DESC) AS rn,
              max(pickup_hour) OVER (PARTITION BY start_station_id) AS last_hour FROM dense),
@@ -291,17 +334,32 @@ def q_recursive_lag_mean(spark, sf):
     return round_doubles(RC.recursive_lag_mean(user_series(spark, sf), M9_W, M9_H))
 
 
-@register("run_forecast")
+@register("run_forecast", RUN_FEATURES_CTES + _grid_sql(_horizon(dt.datetime(2024, 1, 31), 90 * 24)))
 def q_run_forecast(spark, sf):
-    return round_doubles(run_forecast(spark, sf, dt.datetime(2024, 1, 30, 23, 15), days=7))
-
-
-@register("time_feature_row_serving")
+    fc = run_forecast(spark, sf, dt.datetime(2024, 1, 30, 23, 15))
+    return _in_range(fc, _target_range(spark, sf)[1], "predicted_demand")
+
+
+C22_NAMES = [c for c in feat.full_feature_names() if c not in feat.KEY_COLUMNS]
+C22_SQL = RUN_FEATURES_CTES + f""",
+z AS (SELECT start_station_id, CAST(rides AS DOUBLE) AS rides,
+             row_number() OVER (PARTITION BY start_station_id ORDER BY pickup_hour DESC) AS rn FROM dense),
+k AS (SELECT start_station_id FROM z GROUP BY 1 HAVING count(*) >= 672),
+v AS (SELECT start_station_id AS station, {', '.join(
+    [f"max(rides) FILTER (WHERE rn = {lag}) AS rides_lag_{lag}h" for lag in feat.LAG_HOURS]
+    + [f"{fn}(rides) FILTER (WHERE rn <= {w}) AS rolling_{s}_{w}h" for w in feat.ROLL_WINDOWS
+       for s, fn in (("mean", "avg"), ("max", "max"), ("std", "stddev_pop"))])}
+  FROM z WHERE start_station_id IN (SELECT * FROM k) GROUP BY 1)
+SELECT station, {', '.join(O.r6(c) + f" AS {c}" for c in feat.lag_names() + feat.rolling_names())}, """ + ", ".join(
+    f"{O.r6(e.rsplit(' AS ', 1)[0])} AS {e.rsplit(' AS ', 1)[1]}" for e in O.time_feature_exprs("t", "serve")) + f"""
+FROM v, (SELECT TIMESTAMP '{_horizon()[0]}' AS t)"""
+
+
+@register("time_feature_row_serving", C22_SQL)
 def q_time_feature_row_serving(spark, sf):
     """The serving feature vector of each station for the first forecast hour."""
-    run, spec = _full_tree_spec(spark, sf)
-    full = run["sets"]["full_features"]
-    names, ts = spec["features"], _horizon()[0]
+    full = load_sets(spark, trained(spark, sf))["full_features"]
+    names, ts = C22_NAMES, _horizon()[0]
     arrays = RC.history_arrays(full, 672, RC.station_codes(full))
     schema = "station string, " + ", ".join(f"`{n}` double" for n in names)
 

@@ -15,7 +15,7 @@ from ..sources.tables import read_table
 from . import oracle as O
 from .pipelines import feature_sets
 from .q_core import user_series
-from .q_trips import RUN_FEATURES_SQL
+from .q_trips import RUN_FEATURES_CTES, RUN_FEATURES_SQL
 from .registry import register, round_doubles, round_half_away
 
 W, STEP = 12, 3
@@ -86,11 +86,11 @@ def q_expand_datetime(spark, sf):
     return PR.expand_datetime(baseline(spark, sf))
 
 
-# --- C13 / J5 (part brands and types; one brand never seen in train) -------
+# --- C13 / J5 (part brands and types by the train part of the table) -------
 PART_SPLIT = """ps AS (SELECT p_partkey AS split_key FROM (
     SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS i, count(*) OVER () AS n
     FROM (SELECT DISTINCT p_partkey FROM part)) WHERE i = floor(n * 0.8)),
-tr AS (SELECT p.* FROM part p, ps WHERE p_partkey < split_key AND p_brand <> 'Brand#13'),
+tr AS (SELECT p.* FROM part p, ps WHERE p_partkey < split_key),
 te AS (SELECT p.* FROM part p, ps WHERE p_partkey >= split_key),
 codes AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS code
           FROM (SELECT DISTINCT p_brand FROM tr))"""
@@ -99,8 +99,7 @@ codes AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEG
 def _part_train_test(spark, sf):
     part = read_table(spark, sf, "part")
     lab = PR.time_split(part, 0.8, "p_partkey")
-    train = lab.where((F.col("split") == "train") & (F.col("p_brand") != "Brand#13"))
-    return train, lab.where(F.col("split") == "test")
+    return lab.where(F.col("split") == "train"), lab.where(F.col("split") == "test")
 
 
 @register("label_encode", f"""WITH {PART_SPLIT}
@@ -114,14 +113,16 @@ def q_label_encode(spark, sf):
     return tr.unionByName(te)
 
 
-@register("encode_lookup", """WITH codes AS (
-  SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS code
-  FROM (SELECT DISTINCT p_type FROM part WHERE p_size <= 25))
-SELECT p_partkey, coalesce(c.code, -1) AS p_type_code FROM part LEFT JOIN codes c USING (p_type)""")
+@register("encode_lookup", f"""WITH {PART_SPLIT},
+names AS (SELECT p_name, CAST(row_number() OVER (ORDER BY p_name) - 1 AS INTEGER) AS code
+          FROM (SELECT DISTINCT p_name FROM tr WHERE p_name IS NOT NULL))
+SELECT p_partkey, coalesce(c.code, -1) AS p_name_code FROM part LEFT JOIN names c USING (p_name)""")
 def q_encode_lookup(spark, sf):
+    """The train parts' names looked up for every part; names that only test parts have are -1."""
+    train, _ = _part_train_test(spark, sf)
     part = read_table(spark, sf, "part")
-    codes = PR.category_codes(part.where("p_size <= 25"), "p_type")
-    return PR.encode_lookup(part, codes, "p_type", "p_type_code").select("p_partkey", "p_type_code")
+    return PR.encode_lookup(part, PR.category_codes(train, "p_name"), "p_name", "p_name_code").select(
+        "p_partkey", "p_name_code")
 
 
 # --- W8 --------------------------------------------------------------------
@@ -139,18 +140,20 @@ _SCORE_UNION = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, {i} AS idx, covar_samp(CAST({c} AS DOUBLE), CAST(rides AS DOUBLE)) AS cov, "
     f"var_samp(CAST({c} AS DOUBLE)) AS vx, min({c}) = max({c}) AS const FROM features"
     for i, c in enumerate(_SEL_FEATURES))
-F_REG_SQL = (f"WITH {O.series_ctes('user')},\n{O.features_cte()}" + f""",
-st AS (SELECT count(*) AS n, var_samp(CAST(rides AS DOUBLE)) AS vy, min(rides) = max(rides) AS ky FROM features),
+SCORE_CTES = f"""st AS (SELECT count(*) AS n, var_samp(CAST(rides AS DOUBLE)) AS vy, min(rides) = max(rides) AS ky FROM features),
 sc AS ({_SCORE_UNION}),
 f AS (SELECT feature, CAST(idx AS INTEGER) AS idx,
         CASE WHEN const OR ky OR vx IS NULL THEN 0.0
              WHEN cov * cov / (vx * vy) >= 1 THEN 1.7976931348623157e308
              ELSE (cov * cov / (vx * vy)) / (1 - cov * cov / (vx * vy)) * (n - 2) END AS f_score
-      FROM sc, st)
+      FROM sc, st)"""
+F_REG_SQL = f"""WITH {O.series_ctes('user')},
+{O.features_cte()},
+{SCORE_CTES}
 SELECT feature, idx, round(f_score, 3) AS f_score,
   CAST(row_number() OVER (ORDER BY f_score DESC, idx DESC) AS INTEGER) AS rank,
   CAST(row_number() OVER (ORDER BY f_score DESC, idx DESC) <= 10 AS INTEGER) AS selected
-FROM f""")
+FROM f"""
 
 
 @register("f_regression_scores", F_REG_SQL)
@@ -159,9 +162,24 @@ def q_f_regression_scores(spark, sf):
     return s.withColumn("f_score", round_half_away("f_score", 3))
 
 
-@register("project_reduced")
+_AS_DOUBLE = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _SEL_FEATURES)
+REDUCED_SQL = f"""{RUN_FEATURES_CTES},
+{O.features_cte()},
+{SCORE_CTES},
+chosen AS (SELECT feature FROM f ORDER BY f_score DESC, idx DESC LIMIT 10),
+long AS (UNPIVOT (SELECT pickup_hour, start_station_id, rides, {_AS_DOUBLE} FROM features)
+         ON {', '.join(_SEL_FEATURES)} INTO NAME feature VALUE value)
+SELECT pickup_hour, start_station_id, rides, feature, {O.r6('value')} AS value
+FROM long WHERE feature IN (SELECT feature FROM chosen)"""
+
+
+@register("project_reduced", REDUCED_SQL)
 def q_project_reduced(spark, sf):
-    return round_doubles(feature_sets(spark, sf)["reduced_features"])
+    """P5 as (keys, target, feature, value) rows: which columns are kept depends on the scores."""
+    reduced = feature_sets(spark, sf)["reduced_features"]
+    names = [c for c in reduced.columns if c not in feat.KEY_COLUMNS]
+    long = reduced.unpivot(list(feat.KEY_COLUMNS), [F.col(c).cast("double").alias(c) for c in names], "feature", "value")
+    return round_doubles(long.select("pickup_hour", "start_station_id", "rides", "feature", "value"))
 
 
 # --- S4 / S5 / K1 ----------------------------------------------------------
@@ -175,23 +193,38 @@ def q_scan_features(spark, sf):
     return scan_features(spark, f"{root}/baseline_features.csv", schema=BASELINE_DDL)
 
 
-@register("scan_feature_sets", BASELINE_SQL)
+SETS_SQL = (f"{RUN_FEATURES_CTES},\n{O.features_cte()},\n" + """sets3 AS (
+  SELECT *, rides_lag_24h AS baseline_lag_24h, rides_lag_168h AS baseline_lag_168h, rides AS reduced_rides FROM features)
+""" + O.rounded_select(feat.full_feature_names() + ["baseline_lag_24h", "baseline_lag_168h", "reduced_rides"],
+                       O.DOUBLE_TIME_FEATURES | set(feat.lag_names()) | set(feat.rolling_names())
+                       | {"baseline_lag_24h", "baseline_lag_168h"}, "sets3"))
+
+
+@register("scan_feature_sets", SETS_SQL)
 def q_scan_feature_sets(spark, sf):
+    """All three sets read back and put side by side on their keys."""
     root = scratch_path(spark, "feature-sets")
     sets = feature_sets(spark, sf)
     sets = {k: v for k, v in sets.items() if k != "selection_scores"}
-    sets["baseline_features"] = baseline(spark, sf)
     for name, df in sets.items():
         write_table(df, f"{root}/{name}.parquet", "parquet")
     candidates = {n: [(f"{root}/missing/{n}.csv", "csv"), (f"{root}/{n}.parquet", "parquet")]
                   for n in sets}
-    return scan_feature_sets(spark, candidates)["baseline_features"]
+    read = scan_feature_sets(spark, candidates)
+    keys = ["pickup_hour", "start_station_id"]
+    base = read["baseline_features"].select(*keys, F.col("rides_lag_24h").alias("baseline_lag_24h"),
+                                            F.col("rides_lag_168h").alias("baseline_lag_168h"))
+    reduced = read["reduced_features"].select(*keys, F.col("rides").alias("reduced_rides"))
+    return round_doubles(read["full_features"].join(base, keys).join(reduced, keys))
 
 
-@register("write_feature_sets", RUN_FEATURES_SQL)
+@register("write_feature_sets", f"SELECT * FROM ({RUN_FEATURES_SQL}), (VALUES ('latest'), ('stamped')) AS c(copy)")
 def q_write_feature_sets(spark, sf):
+    """K1: both copies of the full set, read back."""
     root = scratch_path(spark, "feature-store-files")
     sets = feature_sets(spark, sf)
     sets.pop("selection_scores")
-    write_feature_sets(sets, root, "20240131_000000")
-    return round_doubles(spark.read.parquet(f"{root}/full_features/latest"))
+    stamped = write_feature_sets(sets, root, "20240131_000000")["full_features"]
+    copies = {"latest": f"{root}/full_features/latest", "stamped": stamped}
+    a, b = [spark.read.parquet(p).withColumn("copy", F.lit(c)) for c, p in copies.items()]
+    return round_doubles(a.unionByName(b))

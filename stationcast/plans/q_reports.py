@@ -264,11 +264,15 @@ def q_classify_month_names(spark, sf):
 
 # --- K2 / K6 ---------------------------------------------------------------
 @register("write_forecast", f"""WITH {FORECAST_CTES}
-SELECT start_station_id, pickup_hour, {r('predicted_rides')} AS predicted_rides FROM forecast""")
+SELECT start_station_id, pickup_hour, {r('predicted_rides')} AS predicted_rides, copy
+FROM forecast, (VALUES ('latest'), ('stamped')) AS c(copy)""")
 def q_write_forecast(spark, sf):
+    """K2: both copies, read back."""
     root = scratch_path(spark, "forecast-parquet") + ".parquet"
     path = write_forecast(forecast(spark, sf), root, "20240131_000000")
-    return round_doubles(spark.read.parquet(path))
+    a, b = [spark.read.parquet(p).withColumn("copy", F.lit(c)) for c, p in
+            (("latest", f"{root}/latest"), ("stamped", path))]
+    return round_doubles(a.unionByName(b))
 
 
 @register("export_filtered_forecast", f"""WITH {FORECAST_CTES}

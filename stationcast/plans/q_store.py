@@ -41,6 +41,13 @@ def batches(spark, sf):
     return b, b1, b2
 
 
+def ordered_batches(spark, sf):
+    """Both batches with a write order; the second writes each key twice, the larger value last."""
+    b, b1, b2 = batches(spark, sf)
+    early = b2.withColumn("rides", F.col("rides") - 5).withColumn("n", F.lit(1))
+    return b, b1.withColumn("n", F.lit(1)), b2.withColumn("n", F.lit(2)).unionByName(early)
+
+
 BASE_CTES = f"""{O.series_ctes('user')},
 b AS (SELECT pickup_hour, start_station_id, rides,
         coalesce(CAST(lag(rides, 24) OVER w AS DOUBLE), 0) AS rides_lag_24h,
@@ -71,10 +78,10 @@ def q_feature_json_unpack(spark, sf):
 
 # --- T3 / T4 ---------------------------------------------------------------
 def upserted(spark, sf):
-    b, b1, b2 = batches(spark, sf)
+    b, b1, b2 = ordered_batches(spark, sf)
     root = scratch_path(spark, "keyed-store")
-    S.upsert_into_store(spark, root, S.feature_json(b1, GROUP), scratch_path(spark, "staging"))
-    S.upsert_into_store(spark, root, S.feature_json(b2, GROUP), scratch_path(spark, "staging"))
+    S.upsert_into_store(spark, root, S.feature_json(b1, GROUP, order_col="n"))
+    S.upsert_into_store(spark, root, S.feature_json(b2, GROUP, order_col="n"))
     return S.read_store(spark, root), S.feature_schema(b)
 
 
@@ -179,17 +186,20 @@ def q_latest_record(spark, sf):
 
 
 # --- K3 / S7 / S8 / S9 over lineitem by ship date ------------------------------
-LI_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
-LI_SQL = f"""WITH li AS (SELECT {', '.join(LI_COLS)}, CAST(year(l_shipdate) AS INTEGER) AS year,
+LI_SQL = """WITH li AS (SELECT *, CAST(year(l_shipdate) AS INTEGER) AS year,
                           CAST(month(l_shipdate) AS INTEGER) AS month FROM lineitem)"""
 
 
-def exported(spark, sf):
-    li = read_table(spark, sf, "lineitem").select(*LI_COLS)
+def export_lineitem(spark, sf):
+    """All columns of lineitem as CSV under year=/month=: (folder, schema of the files)."""
+    li = S.with_year_month(read_table(spark, sf, "lineitem"), "l_shipdate")
     root = scratch_path(spark, "lineitem-export")
-    export_partitions(S.with_year_month(li, "l_shipdate"), root)
-    schema = ("l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
-              "l_shipdate TIMESTAMP_NTZ, year INT, month INT")
+    export_partitions(li, root)
+    return root, li.schema
+
+
+def exported(spark, sf):
+    root, schema = export_lineitem(spark, sf)
     return spark.read.schema(schema).option("header", True).csv(root)
 
 
@@ -205,9 +215,14 @@ def q_scan_partition(spark, sf):
 
 @register("list_partitions", LI_SQL + "\nSELECT DISTINCT year, month FROM li ORDER BY year, month")
 def q_list_partitions(spark, sf):
-    return S.list_partitions(exported(spark, sf))
+    return S.list_partitions(spark, export_lineitem(spark, sf)[0])
 
 
-@register("inventory_partitions")
+@register("inventory_partitions", LI_SQL + """
+SELECT year, month, count(*) AS rows, true AS has_files, true AS csv_sample FROM li GROUP BY ALL ORDER BY year, month""")
 def q_inventory_partitions(spark, sf):
-    return S.inventory_partitions(exported(spark, sf))
+    """S9; the number of files depends on Spark's layout, so the query tells that there are some."""
+    root, schema = export_lineitem(spark, sf)
+    inv = S.inventory_partitions(spark, root, spark.read.schema(schema).option("header", True).csv(root))
+    return inv.select("year", "month", "rows", (F.col("files") > 0).alias("has_files"),
+                      F.col("sample_file").endswith(".csv").alias("csv_sample"))

@@ -13,7 +13,7 @@ from ..session import scratch_path
 from ..sources import trip_files as TFILES
 from ..sources.tables import orders_trips, orders_trips_sql, trips_by_user, trips_view
 from . import oracle as O
-from .pipelines import feature_sets
+from .pipelines import run_features
 from .registry import register, round_doubles
 
 YEAR, MONTH = 2024, 1
@@ -28,7 +28,7 @@ VIEW_COLS = ["ride_id", "rideable_type", "started_at", "ended_at", "start_statio
 
 # --- P1: times published as text, two formats plus junk ------------------
 def _texted_trips(spark, sf):
-    t = trips_view(spark, sf)
+    t = trips_view(spark, sf, ends=True)
     uid = F.col("user_id")
     start_text = (F.when(uid % 50 == 7, F.lit("not a time"))
                   .when(uid % 2 == 0, F.date_format("started_at", TFILES.MONTH_FIRST_TEXT))
@@ -56,7 +56,7 @@ def q_parse_trip_times(spark, sf):
 @register("clean_trips", f"""WITH {O.trips_cte('type')}
 SELECT * FROM trips WHERE {CLEAN_WHERE}""")
 def q_clean_trips(spark, sf):
-    return clean.clean_trips(trips_view(spark, sf), YEAR, MONTH)
+    return clean.clean_trips(trips_view(spark, sf, ends=True), YEAR, MONTH)
 
 
 @register("clean_stats", f"""WITH {O.trips_cte('type')}
@@ -66,7 +66,7 @@ SELECT count(*) AS total_records,
        {O.r6(f"(count(*) - count(*) FILTER (WHERE {CLEAN_WHERE})) * 100.0 / count(*)")} AS percent_dropped
 FROM trips WHERE started_at IS NOT NULL AND ended_at IS NOT NULL""")
 def q_clean_stats(spark, sf):
-    return clean.clean_stats(trips_view(spark, sf), YEAR, MONTH)
+    return clean.clean_stats(trips_view(spark, sf, ends=True), YEAR, MONTH)
 
 
 # --- A2 / A3 / J3 --------------------------------------------------------
@@ -128,7 +128,7 @@ def q_popularity_bucket(spark, sf):
 SELECT ride_id, CAST(coalesce(start_station_id = end_station_id, false) AS INTEGER) AS round_trip
 FROM trips""")
 def q_round_trip(spark, sf):
-    t = trips_view(spark, sf)
+    t = trips_view(spark, sf, ends=True)
     return t.select("ride_id", TF.round_trip(F.col("start_station_id"), F.col("end_station_id")).alias("round_trip"))
 
 
@@ -160,7 +160,7 @@ def q_trip_length(spark, sf):
 @register("trip_duration", f"""WITH {O.trips_cte('type')}
 SELECT ride_id, {O.r6(DURATION_SQL)} AS duration_minutes FROM trips""")
 def q_trip_duration(spark, sf):
-    t = trips_view(spark, sf)
+    t = trips_view(spark, sf, ends=True)
     return round_doubles(t.select("ride_id", TF.trip_duration_minutes(
         F.col("started_at"), F.col("ended_at")).alias("duration_minutes")))
 
@@ -169,7 +169,7 @@ def q_trip_duration(spark, sf):
 d AS (SELECT ride_id, {DURATION_SQL} AS m FROM trips)
 SELECT ride_id, {DURATION_BUCKET_SQL} AS duration_category FROM d""")
 def q_duration_bucket(spark, sf):
-    t = trips_view(spark, sf)
+    t = trips_view(spark, sf, ends=True)
     m = TF.trip_duration_minutes(F.col("started_at"), F.col("ended_at"))
     return t.select("ride_id", TF.duration_bucket(m).alias("duration_category"))
 
@@ -216,7 +216,7 @@ FROM x"""
 
 @register("raw_trip_features", _c11_sql())
 def q_raw_trip_features(spark, sf):
-    return round_doubles(TR.raw_trip_features(trips_view(spark, sf)))
+    return round_doubles(TR.raw_trip_features(trips_view(spark, sf, ends=True)))
 
 
 # --- S1: trip CSVs (two time formats) read back and cleaned --------------
@@ -230,7 +230,7 @@ SELECT ride_id, rideable_type, started_at, ended_at, start_station_id, end_stati
 FROM p WHERE {CLEAN_WHERE}""")
 def q_scan_trips(spark, sf):
     root = scratch_path(spark, "trip-csv")
-    t = trips_view(spark, sf).withColumn("start_station_name", F.lit(None).cast("string")) \
+    t = trips_view(spark, sf, ends=True).withColumn("start_station_name", F.lit(None).cast("string")) \
         .withColumn("end_station_name", F.lit(None).cast("string"))
     TFILES.write_trip_csv(t, root, alt_format_when=(F.col("user_id") % 2 == 0))
     raw = TFILES.scan_trips(spark, root, YEAR, MONTH)
@@ -268,11 +268,13 @@ def q_union_months(spark, sf):
 
 # --- M12: the feature pipeline's final frame ----------------------------
 _M12_FULL = feat.full_feature_names(feat.DEFAULT_WINDOW_SIZE)
-RUN_FEATURES_SQL = (f"""WITH {O.trips_cte('type')},
-clean AS (SELECT * FROM trips WHERE {CLEAN_WHERE}),
+M12_WHERE = CLEAN_WHERE.replace("started_at < TIMESTAMP '2024-02-01 00:00:00'", "started_at < TIMESTAMP '2024-04-01 00:00:00'")
+RUN_FEATURES_CTES = f"""WITH {O.trips_cte('type')},
+clean AS (SELECT * FROM trips WHERE {M12_WHERE}),
 top AS (SELECT start_station_id FROM clean GROUP BY 1 ORDER BY count(*) DESC, start_station_id LIMIT 3),
 {O.HOURLY_CTE.format(src='(SELECT * FROM clean WHERE start_station_id IN (SELECT * FROM top))')},
-{O.DENSE_CTE},
+{O.DENSE_CTE}"""
+RUN_FEATURES_SQL = (f"""{RUN_FEATURES_CTES},
 {O.features_cte()}
 """ + O.rounded_select(_M12_FULL, O.DOUBLE_TIME_FEATURES | set(feat.lag_names()) | set(feat.rolling_names()),
                        "features"))
@@ -280,18 +282,20 @@ top AS (SELECT start_station_id FROM clean GROUP BY 1 ORDER BY count(*) DESC, st
 
 @register("run_features", RUN_FEATURES_SQL)
 def q_run_features(spark, sf):
-    return round_doubles(feature_sets(spark, sf)["full_features"])
+    """The three sets written as files and appended to the offline store; the full set read back."""
+    written = run_features(spark, sf, scratch_path(spark, "run-features"))
+    return round_doubles(written["sets"]["full_features"])
 
 
 # --- S2: zipped monthly CSVs ------------------------------------------------
 @register("scan_zipped_csv", f"""WITH {O.trips_cte('type')}
 SELECT ride_id, started_at, ended_at, start_station_id, end_station_id, member_casual FROM trips""")
 def q_scan_zipped_csv(spark, sf):
-    from ..sources.archives import scan_zipped_csv, write_monthly_archives
+    from ..sources.archives import scan_zipped_csv, write_archives
     root = scratch_path(spark, "trip-archives")
-    t = trips_view(spark, sf).withColumn("start_station_name", F.lit(None).cast("string")) \
+    t = trips_view(spark, sf, ends=True).withColumn("start_station_name", F.lit(None).cast("string")) \
         .withColumn("end_station_name", F.lit(None).cast("string"))
-    write_monthly_archives(t, root).collect()  # one small row per archive written
+    write_archives(t, root).write.format("noop").mode("overwrite").save()
     rows = scan_zipped_csv(spark, f"{root}/*.zip")
     return rows.select("ride_id", clean.lenient_timestamp(F.col("started_at")).alias("started_at"),
                        clean.lenient_timestamp(F.col("ended_at")).alias("ended_at"),

@@ -44,14 +44,13 @@ def run_stamp(now: dt.datetime | None = None) -> str:
 def write_feature_sets(sets: dict[str, DataFrame], root: str, stamp: str | None = None) -> dict[str, str]:
     """K1: each set as Parquet twice: ``<root>/<name>/latest`` and ``.../run=<stamp>``.
 
-    Callers persist the shared upstream (see pipelines.process_for_modeling),
-    so the six writes do not recompute the features.
+    Each set is evaluated once: the second copy is written from the first one's files.
     """
     stamp = stamp or run_stamp()
     out = {}
     for name, df in sets.items():
-        write_table(df, f"{root}/{name}/latest", "parquet")
         out[name] = write_table(df, f"{root}/{name}/run={stamp}", "parquet")
+        write_table(df.sparkSession.read.schema(df.schema).parquet(out[name]), f"{root}/{name}/latest", "parquet")
     return out
 
 
@@ -59,8 +58,12 @@ def write_forecast(df: DataFrame, path: str, stamp: str | None = None) -> str:
     """K2: CSV or Parquet by suffix (CSV by default); ``latest`` plus a stamped copy."""
     fmt = _format_of(path)
     stamp = stamp or run_stamp()
-    write_table(df, f"{path.rstrip('/')}/latest", fmt)
-    return write_table(df, f"{path.rstrip('/')}/run={stamp}", fmt)
+    # the forecast is evaluated once (it may be a recursion); the second copy reads the first one's files
+    stamped = write_table(df, f"{path.rstrip('/')}/run={stamp}", fmt)
+    reader = df.sparkSession.read.schema(df.schema)
+    again = reader.parquet(stamped) if fmt == "parquet" else reader.option("header", True).csv(stamped)
+    write_table(again, f"{path.rstrip('/')}/latest", fmt)
+    return stamped
 
 
 def export_partitions(df: DataFrame, target: str, partition_cols=("year", "month")) -> str:

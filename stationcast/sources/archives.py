@@ -1,9 +1,9 @@
 """Trip CSVs inside zip archives, read as a Spark job.
 
-``binaryFile`` lists the archives (one row per file, content as bytes); a
-``mapInPandas`` task opens each archive, takes the first ``.csv`` member that
-is not under ``__MACOSX/`` and not a dotfile, and emits its rows as text
-columns.  One archive is handled by one task; nothing passes the driver.
+``binaryFile`` gives one row per archive and deals the archives out by size, so their bytes
+are read where they are used and not shuffled.  A ``mapInArrow`` task opens each archive, takes the
+first ``.csv`` member that is not under ``__MACOSX/`` and not a dotfile, and emits its rows, chunk by
+chunk, as text columns.  Nothing passes the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import sys
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import cloudpickle as _cp
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from ..schemas import TRIP_COLUMNS
 _cp.register_pickle_by_value(sys.modules[__name__])
 
 TEXT_SCHEMA = ", ".join(f"{c} string" for c in TRIP_COLUMNS) + ", archive string"
+ARROW_SCHEMA = pa.schema([(c, pa.string()) for c in [*TRIP_COLUMNS, "archive"]])
 
 
 def pick_member(names: list[str]) -> str | None:
@@ -35,45 +38,46 @@ def pick_member(names: list[str]) -> str | None:
 
 
 def _extract(batches):
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content")):
+            with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as zf:
                 member = pick_member(zf.namelist())
                 if member is None:
                     continue
                 with zf.open(member) as fh:
                     for chunk in pd.read_csv(fh, dtype=str, keep_default_na=False, chunksize=100_000):
                         out = chunk.reindex(columns=TRIP_COLUMNS).replace({"": None})
-                        out["archive"] = path
-                        yield out
+                        out["archive"] = path.as_py()
+                        yield pa.RecordBatch.from_pandas(out, schema=ARROW_SCHEMA, preserve_index=False)
 
 
 def scan_zipped_csv(spark: SparkSession, pattern: str) -> DataFrame:
     """Rows of every archive matching ``pattern`` (text columns + archive path)."""
     files = spark.read.format("binaryFile").load(pattern).select("path", "content")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return files.repartition(n, "path").mapInPandas(_extract, TEXT_SCHEMA)
+    return files.mapInArrow(_extract, TEXT_SCHEMA)
 
 
 def _pack(pdf: pd.DataFrame, root: str) -> pd.DataFrame:
-    """Write one month's trips as ``<root>/<yyyymm>-trips.zip`` with junk members."""
-    import os
-    key = str(pdf["_month"].iloc[0])
+    """Write one group's trips as ``<root>/<yyyymm>-<part>-trips.zip`` with junk members."""
+    key = f"{pdf['_month'].iloc[0]}-{pdf['_part'].iloc[0]}"
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         zf.writestr("__MACOSX/._trips.csv", "junk")
         zf.writestr(".hidden.csv", "junk")
         zf.writestr(f"{key}-trips.csv", pdf[TRIP_COLUMNS].to_csv(index=False))
-    path = f"{root.rstrip('/')}/{key}-trips.zip"
-    local = path[len("file:"):] if path.startswith("file:") else path
-    os.makedirs(os.path.dirname(local), exist_ok=True)
-    with open(local, "wb") as fh:
-        fh.write(buf.getvalue())
-    return pd.DataFrame({"archive": [path], "rows": [len(pdf)]})
-
-
-def write_monthly_archives(trips: DataFrame, root: str) -> DataFrame:
-    """Package trips into one zip per month (a grouped Spark job; local or mounted paths)."""
+    fs, folder = pafs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+    fs.create_dir(folder, recursive=True)
+    name = f"{key}-trips.zip"
+    with fs.open_output_stream(f"{folder}/{name}") as out:
+        out.write(buf.getvalue())
+    return pd.DataFrame({"archive": [f"{root.rstrip('/')}/{name}"], "rows": [len(pdf)]})
+
+
+def write_archives(trips: DataFrame, root: str, rows_per_archive: int = 20_000) -> DataFrame:
+    """Package trips into zips of about ``rows_per_archive`` rows, by month and a hash of the ride: no
+    group grows with the data.  ``root`` is a folder that all executors share (any URI)."""
+    parts = max(1, trips.count() // rows_per_archive)
     text = trips.select(*[F.col(c).cast("string").alias(c) for c in TRIP_COLUMNS],
-                        F.date_format("started_at", "yyyyMM").alias("_month"))
-    return text.groupBy("_month").applyInPandas(lambda pdf: _pack(pdf, root), "archive string, rows long")
+                        F.date_format("started_at", "yyyyMM").alias("_month"),
+                        F.pmod(F.xxhash64("ride_id"), F.lit(parts)).alias("_part"))
+    return text.groupBy("_month", "_part").applyInPandas(lambda pdf: _pack(pdf, root), "archive string, rows long")

@@ -55,7 +55,7 @@ def scan_features(spark: SparkSession, path: str, fmt: str | None = None,
     return df
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -67,7 +67,7 @@ def scan_feature_sets(spark: SparkSession, candidates: dict[str, list[tuple[str,
     out = {}
     for name in FEATURE_SET_NAMES:
         for path, fmt in candidates.get(name, []):
-            if _exists(spark, path):
+            if path_exists(spark, path):
                 out[name] = scan_features(spark, path, fmt)
                 break
     missing = [n for n in FEATURE_SET_NAMES if n not in out]

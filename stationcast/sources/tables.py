@@ -16,9 +16,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# The stand-in trip view over ``events``: the next event of the same user acts
-# as the trip end.  Fixed text shared with the SQL oracle; ``{K}`` is the JSON
-# accessor of the engine (Spark: get_json_object, DuckDB: json_extract_string).
+# The stand-in trip view over ``events`` as the SQL oracle states it: the next
+# event of the same user acts as the trip end.  ``{K}`` is the JSON accessor.
 TRIPS_VIEW_SQL = """
 SELECT CAST(event_id AS STRING) AS ride_id,
        CASE WHEN CAST({K} AS INT) >= 50 THEN 'electric_bike' ELSE 'classic_bike' END AS rideable_type,
@@ -34,30 +33,26 @@ SELECT CAST(event_id AS STRING) AS ride_id,
        user_id
 FROM {events}
 """
-SPARK_K = "get_json_object(props, '$.k')"
 DUCK_K = "json_extract_string(props, '$.k')"
 
 
-def trips_view_sql(engine: str = "duckdb", events: str = "events") -> str:
-    k = SPARK_K if engine == "spark" else DUCK_K
-    sql = TRIPS_VIEW_SQL.format(K=k, events=events)
-    if engine != "spark":
-        sql = sql.replace("AS STRING)", "AS VARCHAR)")
-    return sql
+def trips_view_sql(events: str = "events") -> str:
+    return TRIPS_VIEW_SQL.format(K=DUCK_K, events=events).replace("AS STRING)", "AS VARCHAR)")
+
 
+TRIP_VIEW_COLUMNS = ("ride_id", "rideable_type", "started_at", "ended_at", "start_station_id", "end_station_id",
+                     "start_lat", "start_lng", "end_lat", "end_lng", "member_casual", "user_id")
+TRIP_END_COLUMNS = ("ended_at", "end_station_id")
 
-def trips_view(spark: SparkSession, sf_dir: str, skew_safe: bool = False) -> DataFrame:
-    """Trips derived from ``events`` (one row per event, 12 columns).
 
-    Default: the view's SQL text.  Its LEAD window per user is pruned away by
-    Catalyst whenever a query uses no trip-end column (most queries), so the
-    scan is read once.  ``skew_safe=True`` computes the trip end (the user's
-    next event) with ``next_in_group`` instead, which spreads a user holding a
-    third of all events over many tasks, at the price of a range shuffle and
-    a persisted copy even when no end column is used.
+def trips_view(spark: SparkSession, sf_dir: str, ends: bool = False) -> DataFrame:
+    """Trips derived from ``events`` (one row per event).
+
+    The trip end (``ended_at``, ``end_station_id``) is the user's next event.  Callers that
+    need it ask with ``ends=True``; it comes from ``next_in_group``, which spreads a user
+    holding a third of all events over many tasks.  Without it the view is a plain projection
+    of one scan.
     """
-    if not skew_safe:
-        return trips_view_by_sql(spark, sf_dir)
     from pyspark.sql import functions as F
     from ..operators.ordered import next_in_group
     events = read_table(spark, sf_dir, "events")
@@ -76,18 +71,11 @@ def trips_view(spark: SparkSession, sf_dir: str, skew_safe: bool = False) -> Dat
         .cast("double").alias("end_lng"),
         F.when(F.col("user_id") % 2 == 0, "member").otherwise("casual").alias("member_casual"),
         "user_id", "ts", "event_id", "event_type")
+    if not ends:
+        return base.select(*[c for c in TRIP_VIEW_COLUMNS if c not in TRIP_END_COLUMNS])
     nxt = next_in_group(base, "user_id", ["ts", "event_id"], ["ts", "event_type"])
-    return nxt.select("ride_id", "rideable_type", "started_at", F.col("next_ts").alias("ended_at"),
-                      "start_station_id", F.col("next_event_type").alias("end_station_id"),
-                      "start_lat", "start_lng", "end_lat", "end_lng", "member_casual", "user_id")
-
-
-def trips_view_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view as plain SQL text (LEAD per user): the oracle's formulation."""
-    events = read_table(spark, sf_dir, "events")
-    view = f"_events_{abs(hash(sf_dir))}"
-    events.createOrReplaceTempView(view)
-    return spark.sql(trips_view_sql("spark", view))
+    return (nxt.withColumnsRenamed({"next_ts": "ended_at", "next_event_type": "end_station_id"})
+            .select(*TRIP_VIEW_COLUMNS))
 
 
 def trips_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:

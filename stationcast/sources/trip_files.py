@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,8 @@ from pyspark.sql import types as T
 from ..schemas import TRIP_COLUMNS, TRIP_SCHEMA
 from ..session import ensure_runtime
 
-PARTITIONED_TRIP_SCHEMA = T.StructType(
-    TRIP_SCHEMA.fields + [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
+REQUIRED_COLUMNS = ("ride_id", "started_at", "ended_at", "start_station_id", "end_station_id")
+MALFORMED = "_malformed"
 
 # Text formats trips are published in (ISO, and month-first with minutes).
 ISO_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -38,35 +39,72 @@ def write_trip_csv(trips: DataFrame, root: str, alt_format_when=None) -> None:
     out.write.mode("overwrite").partitionBy("year", "month").option("header", True).csv(root)
 
 
-def read_trip_csv(spark: SparkSession, root: str) -> DataFrame:
-    """All trip files under ``root`` with the fixed 13-column schema (no inference)."""
+def month_folders(spark: SparkSession, root: str) -> dict[tuple[int, int], str]:
+    """(year, month) -> folder, from the listing of ``root/year=Y/month=M``."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = {}
+    for y in fs.listStatus(top) if fs.exists(top) else []:
+        year = re.fullmatch(r"year=(\d+)", y.getPath().getName())
+        for m in fs.listStatus(y.getPath()) if year else []:
+            month = re.fullmatch(r"month=(\d+)", m.getPath().getName())
+            if month:
+                out[int(year[1]), int(month[1])] = m.getPath().toString()
+    return out
+
+
+def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The trip files of one folder, columns taken by their header names.
+
+    The header of the folder gives the order; ``enforceSchema`` off makes Spark compare each
+    file's own header with it, so a file that differs is an error and never read by position.
+    Columns that trips need must be there; the others are null where the files lack them.
+    Rows with too many or unreadable fields keep their text in ``_malformed``.
+    """
     ensure_runtime(spark)
-    return (spark.read.schema(PARTITIONED_TRIP_SCHEMA).option("header", True)
-            .option("mode", "PERMISSIVE").csv(root))
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in REQUIRED_COLUMNS if c not in header]
+    if missing:
+        raise ValueError(f"{path}: required columns are missing: {missing}")
+    known = {f.name: f.dataType for f in TRIP_SCHEMA.fields}
+    schema = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in header]
+                          + [T.StructField(MALFORMED, T.StringType())])
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+          .option("columnPruning", False)   # a row is compared with the whole header, whatever is selected
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).csv(path))
+    return df.select(*[F.col(c) if c in header else F.lit(None).cast(known[c]).alias(c) for c in TRIP_COLUMNS], MALFORMED)
+
+
+def malformed_rows(trips: DataFrame) -> DataFrame:
+    """One row: how many rows could not be read as they stand, and how many have a ride id."""
+    return trips.agg(F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"),
+                     F.count("ride_id").alias("with_id"))
+
+
+def _scan_months(spark: SparkSession, root: str, wanted) -> DataFrame:
+    """The months of ``root`` that ``wanted(year, month)`` names; only their folders are read."""
+    folders = {k: v for k, v in sorted(month_folders(spark, root).items()) if wanted(*k)}
+    return union_months([
+        read_trip_csv(spark, path).withColumns({"year": F.lit(y), "month": F.lit(m)})
+        for (y, m), path in folders.items()])
 
 
 def scan_trips(spark: SparkSession, root: str, year: int, month_start: int,
                month_end: int | None = None) -> DataFrame:
-    """One year's months [month_start, month_end], pruned to those partitions."""
+    """One year's months [month_start, month_end]; no such month is an error."""
     month_end = month_end or month_start
-    return (read_trip_csv(spark, root)
-            .where((F.col("year") == year) & F.col("month").between(month_start, month_end)))
+    return _scan_months(spark, root, lambda y, m: y == year and month_start <= m <= month_end)
 
 
 def month_range_scan(spark: SparkSession, root: str, start: tuple[int, int],
                      end: tuple[int, int]) -> DataFrame:
-    """S3: (year, month) range across years as one partition predicate.
-
-    ``year*12 + month BETWEEN`` covers start-year months m..12, whole middle
-    years and end-year months 1..m; Spark prunes partitions on it, so absent
-    months simply contribute nothing.
-    """
-    (y0, m0), (y1, m1) = start, end
-    for m in (m0, m1):
+    """S3: (year, month) range across years: start-year months m..12, whole middle years and
+    end-year months 1..m.  Absent months contribute nothing; a range without any is an error."""
+    for _, m in (start, end):
         if not 1 <= m <= 12:
             raise ValueError(f"invalid month {m}")
-    idx = F.col("year") * 12 + F.col("month")
-    return read_trip_csv(spark, root).where(idx.between(y0 * 12 + m0, y1 * 12 + m1))
+    return _scan_months(spark, root, lambda y, m: tuple(start) <= (y, m) <= tuple(end))
 
 
 def union_months(frames: list[DataFrame]) -> DataFrame:

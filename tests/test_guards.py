@@ -20,9 +20,11 @@ def test_forecast_summary_rejects_unknown_group(spark):
         R.forecast_summary(forecast(spark), "week")
 
 
-def test_last_n_hours_bounds_and_inclusive_window(spark):
+def test_last_n_hours_takes_any_window_inclusive(spark):
     with pytest.raises(ValueError):
-        R.last_n_hours(forecast(spark), 6)
+        R.last_n_hours(forecast(spark), -1)
+    assert R.last_n_hours(forecast(spark), 6).count() == 7
+    assert R.last_n_hours(forecast(spark), 1000).count() == 24
     assert R.last_n_hours(forecast(spark), 12).count() == 13  # both ends inclusive
 
 
@@ -43,6 +45,65 @@ def test_month_range_rejects_bad_month(spark, tmp_path):
         TFILES.month_range_scan(spark, str(tmp_path), (2024, 0), (2024, 3))
     with pytest.raises(ValueError):
         TFILES.union_months([])
+    with pytest.raises(ValueError):
+        TFILES.scan_trips(spark, str(tmp_path), 2024, 1)
+
+
+def trip_file(folder, header, *rows):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"f{len(list(folder.iterdir()))}.csv").write_text("\n".join([header, *rows]) + "\n")
+
+
+def test_trip_files_are_read_by_header_name(spark, tmp_path):
+    trip_file(tmp_path / "year=2024/month=1", "member_casual,ended_at,ride_id,started_at,end_station_id,start_station_id",
+              "casual,2024-01-01 01:00:00,V,2024-01-01 00:30:00,e,s", "x,y")
+    df = TFILES.scan_trips(spark, str(tmp_path), 2024, 1)
+    row = df.where("ride_id = 'V'").first()
+    assert (row.member_casual, row.start_station_id, row.end_station_id, row.start_lat) == ("casual", "s", "e", None)
+    assert tuple(TFILES.malformed_rows(df).first()) == (1, 1)
+
+
+def test_trip_files_with_missing_or_differing_headers_fail(spark, tmp_path):
+    trip_file(tmp_path / "year=2024/month=1", "ride_id,started_at", "a,b")
+    with pytest.raises(ValueError):
+        TFILES.scan_trips(spark, str(tmp_path), 2024, 1)
+    full = "ride_id,started_at,ended_at,start_station_id,end_station_id"
+    trip_file(tmp_path / "year=2024/month=2", full, "a,b,c,d,e")
+    trip_file(tmp_path / "year=2024/month=2", "started_at,ride_id,ended_at,start_station_id,end_station_id", "a,b,c,d,e")
+    with pytest.raises(Exception):
+        TFILES.scan_trips(spark, str(tmp_path), 2024, 2).collect()
+
+
+def rewritten_events(spark, folder, rows):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(rows).toPandas()
+    (folder / "events.parquet").unlink(missing_ok=True)
+    ev.to_parquet(folder / "events.parquet", coerce_timestamps="us")
+
+
+def test_changed_input_changes_the_answer_and_nothing_stays_persisted(spark, tmp_path):
+    import __spark_entry__ as E
+    queries, jsc = E.queries(), spark.sparkContext._jsc.sc()
+    held = jsc.getPersistentRDDs().size()
+    counts = []
+    for n in (1000, 500):
+        rewritten_events(spark, tmp_path, n)
+        spark.catalog.refreshByPath(str(tmp_path))
+        rides = queries["dense_grid"](spark, str(tmp_path)).groupBy().sum("rides").first()[0]
+        split = queries["time_split"](spark, str(tmp_path)).groupBy().sum("rides").first()[0]
+        counts.append((rides, split))
+        for key in ("hourly_demand", "clean_trips", "mae", "upsert_features"):
+            queries[key](spark, str(tmp_path)).write.format("noop").mode("overwrite").save()
+            assert jsc.getPersistentRDDs().size() == held
+    assert counts == [(1000, 1000), (500, 500)]
+
+
+def test_training_notices_changed_input(spark, tmp_path):
+    from stationcast.plans.training import input_fingerprint
+    rewritten_events(spark, tmp_path, 100)
+    first = input_fingerprint(spark, str(tmp_path / "events.parquet"))
+    assert input_fingerprint(spark, str(tmp_path / "events.parquet")) == first
+    rewritten_events(spark, tmp_path, 50)
+    assert input_fingerprint(spark, str(tmp_path / "events.parquet")) != first
 
 
 def test_non_numeric_columns_are_rejected(spark):

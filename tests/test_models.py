@@ -2,6 +2,7 @@ import datetime as dt
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stationcast.operators import models as MD
@@ -52,8 +53,13 @@ def test_refresh_every_freezes_lags_inside_block():
     assert list(out[0]) == [3.0, 3.0, 3.0, 3.0]  # block 2 sees [3, 3] -> 3
 
 
-def test_mismatched_features_use_pattern_fallback():
-    spec = RC.serve_spec({"kind": "lag_mean"}, ["rides_lag_1"], model_features=["other"])
+def test_mismatched_features_are_an_error_unless_the_fallback_is_asked_for():
+    with pytest.raises(ValueError):
+        RC.run_recursion(np.ones((2, 3)), np.array([0, 1]), [H],
+                         RC.serve_spec({"kind": "lag_mean"}, ["rides_lag_1"], model_features=["other"]))
+    with pytest.raises(KeyError):
+        RC.run_recursion(np.ones((2, 3)), np.array([0, 1]), [H], RC.serve_spec({"kind": "lag_mean"}, ["unknown"]))
+    spec = RC.serve_spec({"kind": "lag_mean"}, ["rides_lag_1"], model_features=["other"], fallback=True)
     ts = dt.datetime(2024, 1, 6, 6)  # Saturday 06:00
     out = RC.run_recursion(np.ones((2, 3)), np.array([0, 1]), [ts], spec)
     assert np.allclose(out[:, 0], 5.0 * (0.7 + 0.6 * 0.5 * 0.7))

@@ -14,27 +14,33 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def outside_cache(plan):
-    keep, skip = [], None
-    for line in plan.split("\n"):
-        ind = len(line) - len(line.lstrip(" :+-"))
-        if skip is not None and ind > skip:
-            continue
-        skip = ind if "InMemoryRelation" in line else None
-        keep.append(line)
-    return "\n".join(keep)
-
-
-def test_dense_series_reads_input_once_and_features_add_no_shuffle(spark):
+def exchanges(plan):
+    """Shuffles of the plan that ran (the initial plan below it is left out)."""
+    return re.findall(r"Exchange (?:hash|range)partitioning", plan.split("Initial Plan")[0])
+
+
+def test_dense_series_scans_narrowly_and_features_add_no_shuffle(spark):
     grid = series.transform_to_series(trips_by_user(spark, SF))
     plan_grid = executed(grid)
-    cached = plan_grid.count("InMemoryRelation")
-    assert cached >= 1
-    # the counts are read from one cached relation: one scan of events in total
-    assert len(set(re.findall(r"FileScan parquet \[([^\]]*)\]", plan_grid))) == 1
-    plan_feat = outside_cache(executed(feat.full_features(grid)))
-    # between the cached station-partitioned counts and the output: no hash/range exchange
-    assert not re.search(r"Exchange (hash|range)partitioning", plan_feat)
+    # the counts' scan, and the range's scan of the time column alone; nothing is cached
+    assert "InMemoryRelation" not in plan_grid
+    assert set(re.findall(r"ReadSchema: struct<([^>]*)>", plan_grid)) == {"ts:timestamp_ntz,user_id:bigint", "ts:timestamp_ntz"}
+    assert len(exchanges(executed(feat.full_features(grid)))) == len(exchanges(plan_grid))
+
+
+def test_store_reads_only_the_folders_asked_for(spark, tmp_path):
+    import datetime as dt
+    from stationcast.operators import store as S
+    root = str(tmp_path / "store")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    days = [dt.datetime(2024, m, 2) for m in (1, 2, 3)]
+    b = spark.createDataFrame([(d, "a", 1, 1) for d in days], "pickup_hour timestamp_ntz, start_station_id string, rides bigint, n int")
+    S.upsert_into_store(spark, root, S.feature_json(b, "g", order_col="n"))
+    plan = executed(S.read_store(spark, root, [("g", "2024-02")]))
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan)[1]
+    assert "2024-02" in filters and "2024-01" not in filters
+    got = executed(S.get_features(S.read_store(spark, root), "g", S.feature_schema(b.drop("n")), start_time="2024-03-01"))
+    assert "ts_month" in re.search(r"PartitionFilters: \[([^\]]*)\]", got)[1]
 
 
 def test_hourly_demand_is_partially_aggregated_before_the_shuffle(spark):

@@ -11,11 +11,16 @@ def frame(spark, data):
     return spark.createDataFrame(data, "pickup_hour timestamp_ntz, start_station_id string, rides bigint")
 
 
+def ordered(df, order=None, group="g"):
+    """Packed rows with a write order."""
+    return S.feature_json(df.withColumn("n", F.lit(1) if order is None else order), group, order_col="n")
+
+
 def test_upsert_last_write_wins_within_and_across_batches(spark):
     b1 = frame(spark, [(H, "a", 1), (H, "b", 1)])
-    b2 = frame(spark, [(H, "a", 2), (H, "a", 3)]).withColumn("_ord", F.monotonically_increasing_id())
-    store = S.upsert_features(None, [S.feature_json(b1, "g")])
-    store = S.upsert_features(store, [S.feature_json(b2.drop("_ord"), "g")])
+    b2 = frame(spark, [(H, "a", 4), (H, "a", 3), (H, "a", 2)])
+    store = S.upsert_features(None, [ordered(b1)])
+    store = S.upsert_features(store, [ordered(b2, F.when(F.col("rides") == 3, 9).otherwise(1))])
     got = {r.entity_id: r.rides for r in S.feature_json_unpack(store, S.feature_schema(b1)).collect()}
     assert got == {"a": 3, "b": 1}
 
@@ -45,12 +50,54 @@ def test_store_format_requires_timestamp_column(spark):
 
 
 def test_upsert_into_store_touches_only_batch_partitions(spark, tmp_path):
-    root, stage = str(tmp_path / "store"), str(tmp_path / "stage")
+    root = str(tmp_path / "store")
     jan = frame(spark, [(H, "a", 1), (H, "b", 1)])
     feb = frame(spark, [(dt.datetime(2024, 2, 3), "a", 5)])
-    S.upsert_into_store(spark, root, S.feature_json(jan.unionByName(feb), "g"), stage + "1")
-    touched = S.upsert_into_store(spark, root, S.feature_json(frame(spark, [(H, "a", 9)]), "g"), stage + "2")
+    S.upsert_into_store(spark, root, ordered(jan.unionByName(feb)))
+    touched = S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "a", 9)])))
     assert touched == [("g", "2024-01")]
     got = {(r.entity_id, r.timestamp.month): r.rides
            for r in S.feature_json_unpack(S.read_store(spark, root), S.feature_schema(jan)).collect()}
     assert got == {("a", 1): 9, ("b", 1): 1, ("a", 2): 5}
+
+
+def contents(spark, root):
+    return {(r.feature_group, r.entity_id, r.timestamp): r.feature_data for r in S.read_store(spark, root).collect()}
+
+
+def test_group_names_keep_their_text(spark, tmp_path):
+    root = str(tmp_path / "store")
+    for rides in (1, 2):
+        for group in ("007", "city:bike=1", "a b/c"):
+            S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "a", rides)]), group=group))
+    assert {(k[0], v) for k, v in contents(spark, root).items()} == {
+        (g, '{"rides":2}') for g in ("007", "city:bike=1", "a b/c")}
+
+
+def test_repeated_keys_in_one_batch(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = frame(spark, [(H, "a", i) for i in range(50)])
+    S.upsert_into_store(spark, root, ordered(rows, -F.col("rides")))
+    assert list(contents(spark, root).values()) == ['{"rides":0}']
+    S.upsert_into_store(spark, root, ordered(rows))   # equal orders: the larger payload text
+    assert list(contents(spark, root).values()) == ['{"rides":9}']
+
+
+def test_a_run_lost_before_its_commit_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "store")
+    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "a", 1), (H, "b", 1), (H, "c", 1)])))
+    before = contents(spark, root)
+    # data folders of a second commit exist, its table of current folders does not
+    S._with_parts(ordered(frame(spark, [(H, "a", 7)])).drop("write_order")).withColumn("commit", F.lit(2)) \
+        .write.mode("append").partitionBy("commit", *S.STORE_PARTS).parquet(f"{root}/data")
+    assert contents(spark, root) == before
+    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "d", 2)])))
+    assert {k[1]: v for k, v in contents(spark, root).items()} == {
+        "a": '{"rides":1}', "b": '{"rides":1}', "c": '{"rides":1}', "d": '{"rides":2}'}
+
+
+def test_latest_record_by_event_then_insertion(spark):
+    rows = [("a", "2024-01-01T00:00:00Z", "2024-01-05T00:00:00Z", 1), ("a", "2024-01-02T00:00:00Z", "2024-01-03T00:00:00Z", 2),
+            ("a", "2024-01-02T00:00:00Z", "2024-01-04T00:00:00Z", 3), ("b", "2024-01-01T00:00:00Z", "2024-01-01T00:00:00Z", 4)]
+    df = spark.createDataFrame(rows, "entity_id string, event_time string, record_insertion_time string, x int")
+    assert sorted((r.entity_id, r.x) for r in S.latest_record(df).collect()) == [("a", 3), ("b", 4)]

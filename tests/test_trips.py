@@ -20,6 +20,15 @@ def test_one_hot_null_is_all_zero(spark):
     assert [(r.bike_classic_bike, r.bike_electric_bike) for r in out] == [(1, 0), (0, 1), (0, 0)]
 
 
+def test_one_hot_of_many_values(spark):
+    df = spark.range(3000).selectExpr("id", "concat('v', lpad(cast(id % 1500 as string), 4, '0')) AS kind")
+    wide = TR.one_hot(df, "kind", "k")
+    assert len(wide.columns) == 1502
+    row = wide.where("id = 1499").first()
+    assert row["k_v1499"] == 1 and sum(row[c] for c in wide.columns[2:]) == 1
+    assert TR.one_hot_long(df, "id", "kind").where("value = 'v0007'").count() == 2
+
+
 def test_popularity_quartiles_and_duplicate_edges(spark):
     # stations with 1..10 trips: row-level edges 1, 5, 7, 9, 10
     data = [(f"s{n:02d}",) for n in range(1, 11) for _ in range(n)]
