@@ -11,10 +11,15 @@ are one class, so exact copies never meet as pairs.  Per class:
 3. *Second, adaptive prefix.*  Of those, only s shingles occur in other documents at all.  With s < m the
    document has no partner.  Otherwise the s - m + l rarest of them suffice, a pair then sharing l.  l grows from
    1 with the estimated cost (the sum of their document counts): common shingles must match more often.
-4. *Candidates without all pairs.*  In each shingle's group every class outside the group's largest
-   component meets one member of that component; verified links merge components, and the next round takes
-   another member.  Only when rounds stop (``ROUNDS``) the remaining cross-component pairs are listed in full, the
-   multi-match count applied, and verified.  Pairs inside one component cannot change the result.
+4. *Candidates without all pairs.*  Shingles that occur in the same classes are one group with a weight.
+   In each group every class outside the group's largest component meets one member of that component: first the
+   most central one (its shingles are the most shared: the text that others were copied from), in later rounds
+   another one.  Verified links merge components.  Only when rounds stop (``ROUNDS``) the remaining
+   cross-component pairs are listed in full, the multi-match count applied, and verified.  Pairs inside one
+   component cannot change the result.
+   Every class carries a parity bitmap of its whole set: the bits in which two bitmaps differ are never more than
+   the shingles in which the sets differ, and a link allows at most (|x| + |y|) / 9 of those.  The bound is part of
+   the join condition, so pairs that are not similar end there.
 5. *Verification* intersects whole shingle sets, so the result is exact.
 
 Results for odd rows: null texts and texts without words have 0 shingles and are linked with nothing; 1 to 4 words
@@ -41,7 +46,8 @@ EXTRA = 0.1                    # share of its size by which a document's first p
 COUNTERS, COMMON = 1 << 17, 1 << 15   # Misra-Gries counters of a task; common shingles that are broadcast
 COST = 64                      # estimated candidates above which a document asks for more matches
 MOST_MATCHES = 4
-ROUNDS = 4
+ROUNDS = 2
+BITS = 1024                    # of a parity bitmap
 TOKEN_HOT, TOKEN_TRACKED = 4096, 65536
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -156,8 +162,8 @@ def first_prefixes(rows: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def second_prefixes(table: DataFrame, reps: DataFrame) -> DataFrame:
-    """(token, cls, n, matches): what each class still has to look up, only shingles that occur twice or more.
-    table: rid, cls, n, prefix."""
+    """(token, cls, n, matches, central): what each class still has to look up, only shingles that occur
+    twice or more.  table: rid, cls, n, prefix."""
     loose = table.select("rid", F.explode("prefix").alias("token"))
     hot = loose.agg(F.expr(f"approx_top_k(token, {TOKEN_HOT}, {TOKEN_TRACKED})").alias("top"))
     hot = hot.select(F.explode("top").alias("t")).select(F.col("t.item").alias("token"), F.col("t.count").alias("est"))
@@ -176,25 +182,40 @@ def second_prefixes(table: DataFrame, reps: DataFrame) -> DataFrame:
     matches = F.least(F.greatest(F.lit(1), F.floor(F.log2(cost / F.lit(float(COST))) + 1)), F.lit(MOST_MATCHES), F.col("m"))
     return (of_class.withColumn("m", least).filter(F.size("s") >= F.col("m"))
             .withColumn("matches", matches.cast("int"))
+            .withColumn("central", (F.expr("aggregate(s, 0D, (a, x) -> a + x.df)") / F.col("n")).cast("float"))
             .withColumn("s", F.slice("s", F.lit(1), (spare + F.col("matches")).cast("int")))
-            .select("cls", "n", "matches", F.explode("s").alias("x"))
-            .select(F.col("x.token").alias("token"), "cls", "n", "matches"))
+            .select("cls", "n", "matches", "central", F.explode("s").alias("x"))
+            .select(F.col("x.token").alias("token"), "cls", "n", "matches", "central"))
 
 
-def similar_sizes(a: str, b: str):
-    return (F.lit(BOTTOM) * F.least(a, b) >= F.lit(TOP) * F.greatest(a, b))
+def merged_groups(looked: DataFrame) -> DataFrame:
+    """One shingle for all shingles with the same classes, ``weight`` telling how many they are; shingles of
+    one class only go.  Edits leave runs of shingles together, so this removes most rows of small groups."""
+    one, two = F.xxhash64("cls"), F.xxhash64("cls", F.lit(1))
+    sets = looked.groupBy("token").agg(F.bit_xor(one).alias("x"), F.bit_xor(two).alias("y"), F.count(F.lit(1)).alias("k"))
+    kept = sets.filter("k > 1").groupBy("x", "y", "k").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"))
+    return looked.join(kept.select("token", "weight"), "token")
+
+
+def may_link(a: str, b: str, a_bits: str, b_bits: str):
+    """Sizes within the similarity, and no more differing bits than a link's sets may differ in."""
+    differ = sum((F.bit_count(F.col(a_bits)[i].bitwiseXOR(F.col(b_bits)[i])) for i in range(BITS // 64)), F.lit(0))
+    # |x & y| >= t / (1 + t) * (|x| + |y|) leaves (1 - t) / (1 + t) of both sizes to differ in
+    return ((F.lit(BOTTOM) * F.least(a, b) >= F.lit(TOP) * F.greatest(a, b))
+            & (F.lit(BOTTOM + TOP) * differ <= F.lit(BOTTOM - TOP) * (F.col(a) + F.col(b))))
 
 
 def round_pairs(open_rows: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each class outside the largest component of a shingle's group with one member of that
-    component; for each class the partner that it met most often."""
-    spin = F.xxhash64("cls", F.lit(turn))
+    """(a, b): each class outside the largest component of a group with one member of that component, the
+    most central one in the first round; for each class the partner that it met most often."""
+    first = F.col("central") if turn == 0 else F.xxhash64("cls", F.lit(turn))
     per = (open_rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"),
-                                                  F.min(F.struct(spin.alias("s"), "cls", "n")).alias("c")))
-    centre = per.groupBy("token").agg(F.max(F.struct("k", F.col("comp"), "c")).alias("best")).select(
-        "token", F.col("best.comp").alias("ccomp"), F.col("best.c.cls").alias("b"), F.col("best.c.n").alias("bn"))
-    met = (open_rows.join(centre, "token").filter((F.col("comp") != F.col("ccomp")) & similar_sizes("n", "bn"))
-           .groupBy(F.col("cls").alias("a"), "b").agg(F.count(F.lit(1)).alias("k")))
+                                                  F.max(F.struct(first.alias("s"), "cls", "n", "bits")).alias("c")))
+    centre = per.groupBy("token").agg(F.max(F.struct("k", "c", "comp")).alias("best")).select(
+        "token", F.col("best.comp").alias("ccomp"), F.col("best.c.cls").alias("b"), F.col("best.c.n").alias("bn"),
+        F.col("best.c.bits").alias("b_bits"))
+    met = (open_rows.join(centre, "token").filter((F.col("comp") != F.col("ccomp")) & may_link("n", "bn", "bits", "b_bits"))
+           .groupBy(F.col("cls").alias("a"), "b").agg(F.sum("weight").alias("k")))
     return met.groupBy("a").agg(F.max(F.struct("k", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
 
 
@@ -204,25 +225,33 @@ def all_pairs(open_rows: DataFrame) -> DataFrame:
     per = open_rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
     big = per.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("x")).select("token", F.col("x.comp").alias("big"))
     rows = open_rows.join(big, "token")
-    left = rows.filter("comp <> big").select("token", *[F.col(c).alias("a_" + c) for c in ("cls", "n", "matches", "comp")])
-    right = rows.select("token", "big", *[F.col(c).alias("b_" + c) for c in ("cls", "n", "matches", "comp")])
+    left = rows.filter("comp <> big").select("token", "weight", *[F.col(c).alias("a_" + c) for c in ("cls", "n", "matches", "comp", "bits")])
+    right = rows.select("token", "big", *[F.col(c).alias("b_" + c) for c in ("cls", "n", "matches", "comp", "bits")])
     met = left.join(right, "token").filter(
         (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("big")) | (F.col("a_cls") < F.col("b_cls")))
-        & similar_sizes("a_n", "b_n"))
+        & may_link("a_n", "b_n", "a_bits", "b_bits"))
     counted = (met.groupBy(F.least("a_cls", "b_cls").alias("a"), F.greatest("a_cls", "b_cls").alias("b"))
-               .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("a_matches", "b_matches")).alias("l")))
+               .agg(F.sum("weight").alias("k"), F.min(F.least("a_matches", "b_matches")).alias("l")))
     return counted.filter("k >= l").select("a", "b")
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
-    """(cls, blob): whole shingle sets as sorted 8-byte integers.  rows: cls, text."""
+    """(cls, blob, bits): whole shingle sets as sorted 8-byte integers, and their parity bitmaps.  rows: cls, text."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for b in batches:
-            blobs = [shingles(tokens(t.as_py()), hashes).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(blobs, pa.binary())], names=["cls", "blob"])
+            whole = [shingles(tokens(t.as_py()), hashes) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([s.tobytes() for s in whole], pa.binary()),
+                 pa.array([parity_bits(s).tolist() for s in whole], pa.list_(pa.int64()))], names=["cls", "blob", "bits"])
+
+    return rows.mapInArrow(sets, "cls long, blob binary, bits array<long>")
+
 
-    return rows.mapInArrow(sets, "cls long, blob binary")
+def parity_bits(s: np.ndarray) -> np.ndarray:
+    """BITS bits as 64-bit integers: each one the parity of the number of shingles that hash to it."""
+    places = (s.view(np.uint64) >> np.uint64(17)) % np.uint64(BITS)
+    return np.packbits(np.bincount(places.astype(np.int64), minlength=BITS) & 1).view(np.int64)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -247,8 +276,7 @@ def link_classes(docs: DataFrame, table: DataFrame) -> DataFrame:
     """(cls, comp) for every class that is linked with another one."""
     reps = cut(table.filter("cls is not null").groupBy("cls").agg(F.min("rid").alias("rid"), F.min("n").alias("n")), "classes")
     looked = cut(second_prefixes(table.select("rid", "prefix"), reps), "looked-up")
-    several = looked.groupBy("token").agg((F.min("cls") != F.max("cls")).alias("two")).filter("two").select("token")
-    looked = cut(looked.join(several, "token"), "candidates")
+    looked = cut(merged_groups(looked), "candidates")
     involved = looked.select("cls").distinct()
     nodes = cut(involved.withColumn("comp", F.col("cls")), "nodes")
     if nodes.isEmpty():
@@ -258,6 +286,7 @@ def link_classes(docs: DataFrame, table: DataFrame) -> DataFrame:
     wanted = wanted.join(table.select("rid", "doc_id", "raw"), F.col("rid") == F.col("__rid")).select("cls", "doc_id", "raw")
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (F.xxhash64(docs["text"]) == wanted["raw"]))
     sets = cut(shingle_sets(texts.select("cls", "text").dropDuplicates(["cls"])), "sets")
+    looked = looked.join(sets.select("cls", "bits"), "cls")
     for turn in range(ROUNDS + 1):
         rows = looked.join(nodes, "cls")
         mixed = rows.groupBy("token").agg((F.min("comp") != F.max("comp")).alias("two")).filter("two").select("token")

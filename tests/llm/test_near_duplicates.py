@@ -115,6 +115,15 @@ def test_misra_gries_counts_are_lower_bounds():
     assert 4000 - len(keys) / 51 <= found[7] <= 4000 and 2500 - len(keys) / 51 <= found[9] <= 2500
 
 
+def test_differing_bits_are_a_lower_bound():
+    rng = np.random.default_rng(9)
+    for _ in range(50):
+        x = np.unique(rng.integers(-2 ** 62, 2 ** 62, rng.integers(1, 900)))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.8], rng.integers(-2 ** 62, 2 ** 62, 40)]))
+        differ = np.unpackbits((ngram_join.parity_bits(x) ^ ngram_join.parity_bits(y)).view(np.uint8)).sum()
+        assert differ <= len(np.setxor1d(x, y))
+
+
 def test_long_chain_of_components(spark):
     nodes = spark.createDataFrame([(i, i) for i in range(200)], "cls long, comp long")
     edges = spark.createDataFrame([(i, i + 1) for i in range(120)] + [(150, 160)], "a long, b long")
