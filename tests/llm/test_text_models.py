@@ -217,8 +217,10 @@ def test_lm_is_a_probability():
 
 
 def test_huffman_paths_are_prefix_free():
-    paths = lm_score.huffman([5, 1, 1, 8, 3])
-    codes = ["".join(str(b) for _, b in p) for p in paths]
+    length, node, bit = lm_score.huffman([5, 1, 1, 8, 3])
+    ends = np.cumsum(length)
+    codes = ["".join(map(str, bit[e - n:e])) for n, e in zip(length.tolist(), ends.tolist())]
+    assert len({n for n, e in zip(node[ends - length].tolist(), ends)}) == 1   # all paths start at the root
     assert sum(2.0 ** -len(c) for c in codes) == 1 and len(set(codes)) == 5
 
 
