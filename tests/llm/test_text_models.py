@@ -113,6 +113,23 @@ def test_quality_rules_separate_junk(spark):
     assert sum(good) / len(good) > 0.97 and sum(junk) / len(junk) < 0.2
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_quality_rules_keep_clean_documents_without_labels(spark, sf):
+    """Half of the labels are hidden, and every label of one language: its clean documents must stay all the same."""
+    sf = f"/root/testdata/{sf}"
+    docs = given(spark, sf=sf)
+    lang = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    marks = given(spark, "labels", sf).collect()
+    hidden = {r["doc_id"]: r["quality"] for r in marks if fold(r["doc_id"], 2) or lang[r["doc_id"]] == "es"}
+    shown = labels(spark, [tuple(r) for r in marks if r["doc_id"] not in hidden])
+    got = [r for r in quality_rules.quality_verdicts(docs, shown).collect() if r["doc_id"] in hidden and not r["base_failed"]]
+    for x in ("en", "de", "fr", "es"):
+        clean = [r["kept"] for r in got if hidden[r["doc_id"]] and lang[r["doc_id"]] == x]
+        assert clean and sum(clean) / len(clean) > 0.8, x
+    junk = [r["kept"] for r in got if not hidden[r["doc_id"]]]
+    assert len(junk) < 10 or sum(junk) / len(junk) < 0.35     # sf0.001 has two
+
+
 # --- additive model -------------------------------------------------------------------------------------------
 
 def auc(y, s):
