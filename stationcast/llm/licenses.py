@@ -6,9 +6,10 @@ one of the first |T| - need + 1 tokens of the template (its prefix) occurs in th
 short, or whose place of the first shared token leaves too few tokens, are dropped before counting.  No filter
 loses a match, so the join is exact.
 
-A block is a line; a line of more than 2 * L words (L: the longest template) is covered by windows of 2 * L
-words, L apart, so each run of L words lies whole in one block.  The template side is a parameter of a few
-dozen rows: its prefix index goes to the tasks, and the documents are never shuffled.
+Blocks are windows of 2 * L words (L: the longest template), L apart, over the words of the whole text, so each
+run of L words lies whole in one block, also across line ends.  Lines of more than L words are blocks too (in the
+same windows from the line's start), as a line's words may be farther apart.  The template side is a parameter of a
+few dozen rows: its prefix index goes to the tasks, and the documents are never shuffled.
 
 Results for odd rows: null and empty texts have no words, no label and score 0; repeated rows are scanned each;
 an empty table gives no rows; other columns are ignored.
@@ -113,13 +114,19 @@ class TemplateIndex:
 
 
 def blocks(text: bytes, longest: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the line where the block begins, its words)."""
+    words: list[bytes] = []
+    lines: list[int] = []
     for n, line in enumerate(text.split(b"\n")):
-        words = words_of(line)
-        if len(words) <= 2 * longest:
-            yield n, words
-        else:
-            for a in range(0, len(words) - longest, longest):
-                yield n, words[a:a + 2 * longest]
+        own = words_of(line)
+        words += own
+        lines += [n] * len(own)
+        if len(own) > longest:
+            for a in range(0, len(own) - longest, longest):
+                yield n, own[a:a + 2 * longest]
+    if words and (lines[0] != lines[-1] or len(words) <= longest):
+        for a in range(0, max(1, len(words) - longest), longest):
+            yield lines[a], words[a:a + 2 * longest]
 
 
 def base_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int, str]]:
@@ -140,7 +147,7 @@ def base_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int,
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES,
                  phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: the base counts and labels, the labels of both, the best containment (score),
-    the best template's text and its line number (block)."""
+    the best template's text and the number of the line where its block begins (block)."""
     vocabulary = {w for _, t in templates for w in words_of(t.encode())}
     index = TemplateIndex(templates, token_counts(docs, vocabulary, text_col), threshold)
 

@@ -60,6 +60,21 @@ def test_license_found_inside_a_long_line(spark):
     assert r["labels"] == "mit" and r["score"] == 1.0 and r["n_base"] == 0
 
 
+def test_license_wrapped_at_any_word(spark):
+    """Every template, broken over two lines at each of its words, behind fillers of several lengths."""
+    rows, want = [], {}
+    for label, text in licenses.TEMPLATES:
+        t = text.split()
+        for cut in range(1, len(t)):
+            for filler in (0, 7, 21):
+                i = len(rows)
+                lines = [" ".join(f"w{j}" for j in range(filler)), " ".join(t[:cut]), " ".join(t[cut:]), "x y"]
+                rows.append((i, "\n".join(lines), "en", "s", 1, None, None, None, None, None))
+                want[i] = label
+    for r in licenses.license_scan(odd_docs(spark, rows)).collect():
+        assert want[r["doc_id"]] in r["labels"].split(",") and r["score"] == 1.0, rows[r["doc_id"]][1]
+
+
 # --- quality rules --------------------------------------------------------------------------------------------
 
 def base_counts(text):
