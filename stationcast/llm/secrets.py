@@ -1,13 +1,15 @@
 """Secret scans: candidate strings, then a random forest that removes false positives.
 
-Candidates are words holding a run of 12 or more token characters with a digit.  Each one gets features from
+Candidates are the runs of 12 or more token characters with a digit, every one of a word.  In a word of several
+(minified JSON, CSV, URLs) each is rated with the piece of the word that ends in it.  Each one gets features from
 its length, its character classes and their transitions, its coverage by frequent corpus words, path marks
 and the neighbouring words.  A random forest (Spark ML, JVM only) trained on labelled findings gives the
 probability that the candidate is a secret.  ``findings`` may be any labelled set; without one,
 ``format_labels`` labels this corpus' own candidates by issuer formats and assignments.
 
 The dictionary is a Misra-Gries summary of all words (bounded counters, no shuffle of the vocabulary).
-``train_rows`` bounds the labelled rows that the forest sees, in hash order.
+The forest sees distinct feature rows, weighted by their counts.  ``train_rows`` bounds them, in equal parts of each
+label and in hash order; weights then make up for the rows left out of a label.
 
 Results for odd rows: null and empty texts give no candidate; a value that occurs twice is reported at each
 place; with one class only in the labels every candidate gets that class; an empty table gives no rows; other
@@ -26,12 +28,14 @@ TRACKED = 65536
 TRAIN_ROWS = 20_000
 TREES, DEPTH, SEED = 20, 6, 7
 RUN = "[A-Za-z0-9+/_\\-]{12,}"
+#: A whole run with a digit, and with it all of the word since the last such run.
+PIECE = f"(?s)(.*?)((?<![A-Za-z0-9+/_\\-])(?=[A-Za-z+/_\\-]*[0-9]){RUN}={{0,2}})"
 KEYWORDS = "(?i)(key|token|secret|passw|pwd|auth|credential|api)"
 FEATURES = ["length", "digits", "uppers", "hex", "distinct", "transitions", "spoken", "dictionary", "path", "assigned", "keyword"]
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, position (word number), word, value and the neighbouring words."""
+    """doc_id, position (word number), run (number in the word), word (or its piece), value, the neighbouring words."""
     words = docs.select(F.col(id_col).alias("doc_id"),
                         F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD_CLASS), F.lit(0)).alias("words"))
     # the neighbours are taken in the array, so that no row copies the whole text
@@ -42,8 +46,12 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     coalesce(get(words, i - 1), '') as before1, coalesce(get(words, i + 1), '') as after1))""")
     # explode_outer: for explode, Spark would infer a filter that evaluates all this a second time
     rows = words.select("doc_id", F.explode_outer(found).alias("c")).filter("c is not null").select("doc_id", "c.*")
-    bare = F.regexp_replace("word", "^[A-Za-z_.\\-]+[=:]+[\"']?", "")
-    return rows.withColumn("value", F.regexp_extract(bare, f"({RUN}={{0,2}})", 1)).filter("value rlike '[0-9]'")
+    rows = rows.withColumn("pieces", F.regexp_extract_all("word", F.lit(PIECE), F.lit(0)))
+    runs = F.arrays_zip("pieces", F.regexp_extract_all("word", F.lit(PIECE), F.lit(2)).alias("values"))
+    rows = rows.withColumn("runs", runs).select("*", F.posexplode_outer("runs").alias("run", "r")).filter("r is not null")
+    one = F.size("pieces") == 1
+    return rows.select("doc_id", "position", "run", F.when(one, F.col("word")).otherwise(F.col("r.pieces")).alias("word"),
+                       "before2", "before1", "after1", F.col("r.values").alias("value"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY, tracked: int = TRACKED) -> list[str]:
@@ -88,23 +96,43 @@ def format_labels(found: DataFrame) -> Column:
     return (issuer | named).cast("double")
 
 
+def training_sample(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[DataFrame, list[float]]:
+    """Distinct rows of FEATURES and label with a weight, at most train_rows; and the labels that occur."""
+    shapes = cut(rows.groupBy(*FEATURES, "label").agg(F.count(F.lit(1)).cast("double").alias("weight")), "shapes")
+    of_label = {r["label"]: r for r in shapes.groupBy("label").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("shapes")).collect()}
+    kinds = sorted(k for k in of_label if k is not None)
+    # labels with fewer shapes than their part leave the rest to the others
+    room, part = train_rows, {}
+    for left, k in enumerate(sorted(kinds, key=lambda k: (of_label[k]["shapes"], k))):
+        part[k] = min(of_label[k]["shapes"], room // (len(kinds) - left))
+        room -= part[k]
+    sample = shapes.limit(0)
+    for k in kinds:
+        own = shapes.filter(F.col("label") == k)
+        if part[k] < of_label[k]["shapes"]:
+            own = cut(own.orderBy(F.xxhash64(*FEATURES), *FEATURES).limit(part[k]), "findings")
+            seen = own.agg(F.sum("weight")).first()[0] or 1.0
+            own = own.withColumn("weight", F.col("weight") * F.lit(of_label[k]["n"] / seen))
+        sample = sample.unionByName(own)
+    return cut(sample, "findings"), kinds
+
+
 def train_forest(rows: DataFrame, train_rows: int = TRAIN_ROWS):
     """A fitted pipeline over FEATURES, or the only label's value when there is one class."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
-    sample = cut(rows.select(*FEATURES, "label").orderBy(F.xxhash64(*FEATURES, "label"), *FEATURES, "label")
-                 .limit(train_rows), "findings")
-    kinds = sorted(r["label"] for r in sample.select("label").distinct().collect())
+    sample, kinds = training_sample(rows, train_rows)
     if len(kinds) < 2:
         return kinds[0] if kinds else 0.0
-    forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
+    forest = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH,
+                                    seed=SEED)
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(sample)
 
 
 def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
                  train_rows: int = TRAIN_ROWS, keep_at: float = 0.5) -> DataFrame:
-    """doc_id, position, value, context, probability, is_secret for every candidate.
+    """doc_id, position, run, value, context, probability, is_secret for every candidate.
     ``findings``: labelled rows (word, value, before2, before1, after1, label), if there are any."""
     from pyspark.ml.functions import vector_to_array
     common = dictionary(docs, text_col)
@@ -116,6 +144,6 @@ def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str
         rated = rows.withColumn("p", F.lit(model))
     else:
         rated = model.transform(rows).withColumn("p", F.get(vector_to_array("probability"), F.lit(1)))
-    return rated.select("doc_id", F.col("position").cast("long").alias("position"), "value",
+    return rated.select("doc_id", F.col("position").cast("long").alias("position"), F.col("run").cast("long").alias("run"), "value",
                         F.concat_ws(" ", "before2", "before1", "word", "after1").alias("context"),
                         F.round("p", 9).alias("probability"), (F.round("p", 9) >= keep_at).alias("is_secret"))
