@@ -129,3 +129,11 @@ def test_long_chain_of_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(120)] + [(150, 160)], "a long, b long")
     got = {r["cls"]: r["comp"] for r in connected(nodes, edges).collect()}
     assert all(got[i] == 0 for i in range(121)) and got[160] == 150 and got[199] == 199
+
+
+def test_shuffled_path_of_components(spark):
+    ids = list(range(3000))
+    random.Random(5).shuffle(ids)
+    nodes = spark.createDataFrame([(i, i) for i in ids], "cls long, comp long")
+    edges = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")
+    assert {r["comp"] for r in connected(nodes, edges).collect()} == {0}
