@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact_dedup, licenses, mixing, packing, quality_gam, quality_rules, secrets, lm_score, ngram_join
+from . import centroids, chat, exact_dedup, fill_middle, licenses, mixing, packing, quality_gam, quality_rules, secrets, lm_score, \
+    ngram_join, simhash
 from .common import documents, read_table
 
 
@@ -50,9 +51,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_decisions(documents(spark, sf_dir)).drop("raw")
 
 
+def op11_centroid_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_digests(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_source_mix, op3_quality_gam, op4_ngram_jaccard, op5_lm_score, op6_chat_rotation,
-    op7_secret_forest, op8_quality_rules, op9_bestfit_pack, op10_exact_dedup)}
+    op7_secret_forest, op8_quality_rules, op9_bestfit_pack, op10_exact_dedup, op11_centroid_orchard, op12_simhash, op13_fill_middle)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -62,4 +75,6 @@ SQL = {
              g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)""",
     "op6_chat_rotation": chat.SQL,
+    "op11_centroid_orchard": centroids.SQL,
+    "op13_fill_middle": fill_middle.SQL,
 }
