@@ -18,8 +18,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """The package on every executor, and Arrow batches of long texts small enough that two tasks of an executor
+    hold little beside the heap; a batch size that the application sets itself stays."""
     ship_package(spark)
+    if not spark.sparkContext.getConf().contains(BATCH_KEY):
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
+
+def text_slices(batch, column: int, size: int):
+    """Slices of an Arrow batch whose texts have about ``size`` bytes, each text whole."""
+    held, at = 0, 0
+    for i, text in enumerate(batch.column(column)):
+        held += text.as_buffer().size if text.is_valid else 0
+        if held >= size:
+            yield batch.slice(at, i + 1 - at)
+            held, at = 0, i + 1
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return read_table(spark, sf_dir, "documents")
 
 

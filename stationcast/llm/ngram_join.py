@@ -23,8 +23,8 @@ are one class, so exact copies never meet as pairs.  Per class:
 5. *Verification* intersects whole shingle sets, so the result is exact.
 
 Results for odd rows: null texts and texts without words have 0 shingles and are linked with nothing; 1 to 4 words
-are one shingle; repeated rows are one class and linked to each other; a row whose doc_id is null takes part and
-has the component of its class; an empty table gives no rows; other columns are ignored.  Hashes are 64 bits wide.
+are one shingle; repeated rows are one class and linked to each other; a row whose doc_id is null takes part, gets the
+smallest doc_id of its group that is not null (null if there is none) and leaves before any other row of it; an empty table gives no rows; other columns are ignored.  Hashes are 64 bits wide.
 """
 
 from __future__ import annotations
@@ -37,18 +37,20 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import WORD_CLASS, cut, prepare, text_slices
 from .components import connected
 
 WORDS = 5
 TOP, BOTTOM = 4, 5             # the similarity 0.8 as a fraction
 EXTRA = 0.1                    # share of its size by which a document's first prefix is lengthened
-COUNTERS, COMMON = 1 << 17, 1 << 15   # Misra-Gries counters of a task; common shingles that are broadcast
+COUNTERS, COMMON = 1 << 16, 1 << 15   # Misra-Gries counters of a task; common shingles that are broadcast
 COST = 64                      # estimated candidates above which a document asks for more matches
 MOST_MATCHES = 4
 ROUNDS = 2
 BITS = 1024                    # of a parity bitmap
 TOKEN_HOT, TOKEN_TRACKED = 4096, 65536
+SLICE = 1 << 20                # bytes of text whose shingles a task holds at a time
+REMEMBERED = 100_000           # word hashes that a task remembers
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -57,7 +59,7 @@ class WordHashes(dict):
     """word -> 64-bit hash, remembered for frequent words; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > REMEMBERED:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -121,7 +123,7 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
             for text in b.column(0):
                 held.append(shingles(tokens(text.as_py()), hashes))
                 size += len(held[-1])
-                if size > 1_000_000:
+                if size > 400_000:
                     top.add(np.concatenate(held))
                     held, size = [], 0
         if held:
@@ -138,7 +140,7 @@ def first_prefixes(rows: DataFrame, common: np.ndarray) -> DataFrame:
     """doc_id, raw, cls (hash of the word sequence), n, prefix.  rows: doc_id, text, raw (hash of the text)."""
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for b in batches:
+        for b in (part for batch in batches for part in text_slices(batch, 1, SLICE)):
             cls, size, prefix = [], [], []
             for text in b.column(1):
                 words = tokens(text.as_py())
@@ -150,7 +152,7 @@ def first_prefixes(rows: DataFrame, common: np.ndarray) -> DataFrame:
                     s = np.concatenate([s[~often], s[often]])
                 cls.append(xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63) if n else None)
                 size.append(n)
-                prefix.append(s[:n - need(n) + extra(n)])
+                prefix.append(s[:n - need(n) + extra(n)].copy())      # not a view that keeps the whole set
             flat = np.concatenate([*prefix, np.empty(0, np.int64)])
             ends = np.cumsum([0, *map(len, prefix)])
             yield pa.RecordBatch.from_arrays(
@@ -239,11 +241,13 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
     """(cls, blob, bits): whole shingle sets as sorted 8-byte integers, and their parity bitmaps.  rows: cls, text."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for b in batches:
+        for b in (part for batch in batches for part in text_slices(batch, 1, SLICE)):
             whole = [shingles(tokens(t.as_py()), hashes) for t in b.column(1)]
+            bits = np.concatenate([parity_bits(s) for s in whole])
+            ends = np.arange(len(whole) + 1, dtype=np.int32) * (BITS // 64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([s.tobytes() for s in whole], pa.binary()),
-                 pa.array([parity_bits(s).tolist() for s in whole], pa.list_(pa.int64()))], names=["cls", "blob", "bits"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(bits))], names=["cls", "blob", "bits"])
 
     return rows.mapInArrow(sets, "cls long, blob binary, bits array<long>")
 
@@ -299,8 +303,9 @@ def link_classes(docs: DataFrame, table: DataFrame) -> DataFrame:
     return nodes
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach)."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: doc_id, raw, n, and first (doc_id, raw) of its group: ids that are not null come first."""
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = rows.withColumn("raw", F.xxhash64("text"))
     table = first_prefixes(keyed, common_shingles(rows)).withColumn("rid", F.monotonically_increasing_id())
@@ -308,17 +313,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = link_classes(rows, table)
     narrow = table.select("doc_id", "cls", "n", "raw")
     comp = narrow.join(nodes, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    least = comp.filter("cls is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))
-    return (comp.join(least, "comp", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "raw"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "raw")).alias("first")
+    return (comp.join(comp.filter("cls is not null").groupBy("comp").agg(first), "comp", "left")
+            .select("doc_id", "raw", "n", "first"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach)."""
+    return _grouped(docs, id_col, text_col).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("first.doc_id", "doc_id").alias("component_id"), "raw")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group stays (the smallest doc_id), with all its columns; documents without words stay."""
-    raw = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    gone = (near_duplicates(docs, id_col, text_col).filter("n_shingles > 0 and doc_id <> component_id")
-            .select(F.col("doc_id").alias("__gone_id"), F.col("raw").alias("__gone_raw")).distinct())
-    keyed = docs.withColumn("__raw", raw)
-    left = keyed.join(gone, (F.col("__gone_id") == F.col(f"`{id_col}`").cast("long"))
-                      & (F.col("__gone_raw") == F.col("__raw")), "left_anti")
+    """One row of each group stays, with all its columns: the smallest doc_id that is not null, of equal ids the smallest
+    text hash, of equal rows any.  Documents without words stay, each row of them."""
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("raw") == F.col("first.raw"))
+    keys = cut(_grouped(docs, id_col, text_col).filter("n > 0").groupBy("doc_id", "raw")
+               .agg(F.max(stays).alias("stays"), F.count(F.lit(1)).alias("k")), "group-keys")
+    gone = keys.filter("not stays").select(F.col("doc_id").alias("__gone_id"), F.col("raw").alias("__gone_raw"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    left = docs.withColumn("__raw", F.xxhash64(text))
+    left = left.join(gone, F.col("__gone_id").eqNullSafe(F.col(f"`{id_col}`").cast("long"))
+                     & (F.col("__gone_raw") == F.col("__raw")), "left_anti")
+    if not keys.filter("stays and k > 1").isEmpty():
+        # the same row more than once: one of them stays
+        own = F.when(~text.rlike(WORD_CLASS), F.monotonically_increasing_id())
+        left = left.withColumn("__own", own).dropDuplicates([id_col, "__raw", "__own"]).drop("__own")
     return left.drop("__raw")

@@ -104,6 +104,15 @@ def test_one_document_of_each_group_stays(spark):
     assert ngram_join.near_duplicates(empty).count() == 0 and ngram_join.drop_near_duplicates(empty).count() == 0
 
 
+def test_one_row_stays_with_repeated_and_null_ids(spark):
+    base = " ".join(f"t{i}" for i in range(60))
+    rows = [(1, base), (1, base), (None, base), (4, base + " more"), (None, "quite another text of some more words here"),
+            (None, "quite another text of some more words here"), (7, ""), (7, ""), (None, None)]
+    docs = odd_docs(spark, [(i, t, "en", "s", 1, None, None, None, None, None) for i, t in rows])
+    left = sorted(((r["doc_id"], r["text"]) for r in ngram_join.drop_near_duplicates(docs).collect()), key=str)
+    assert left == sorted([(1, base), (None, rows[4][1]), (7, ""), (7, ""), (None, None)], key=str)
+
+
 def test_misra_gries_counts_are_lower_bounds():
     rng = np.random.default_rng(3)
     keys = np.concatenate([np.full(4000, 7), np.full(2500, 9), rng.integers(100, 10 ** 9, 6000)])
