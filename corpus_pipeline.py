@@ -8,12 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stationcast.llm import common, exact_dedup, mixing, ngram_join, packing, quality_gam
-from stationcast.session import ship_package
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    ship_package(spark)
+    common.prepare(spark)
     return quality_gam.keep_good(docs, common.read_table(spark, sf_dir, "labels"))
 
 
@@ -24,7 +23,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
-    ship_package(spark)
+    common.prepare(spark)
     return ngram_join.drop_near_duplicates(docs)
 
 
@@ -35,7 +34,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bestfit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
-    ship_package(spark)
+    common.prepare(spark)
     return packing.pack(docs)
 
 
