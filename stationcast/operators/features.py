@@ -79,8 +79,8 @@ def rolling_features(df: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE,
     mean / sample std from running sums: with S1 = sum x and S2 = sum x^2 up to
     the current row (exact in bigint), the last m = min(rn, w) rows have
     a = S1 - S1[rn-w] and q = S2 - S2[rn-w]; mean = a/m and
-    std = sqrt((m q - a^2) / (m (m-1))), 0 when m = 1.  Values that are not
-    integers fall back to the sliding frames (the sums would not be exact).
+    std = sqrt((m q - a^2) / (m (m-1))), 0 when m = 1.  Differences of such sums are
+    only exact for integers; other number types take ``_rolling_moments``.
 
     max by doubling: M1 = x, M2k[i] = greatest(Mk[i], Mk[i-k]) covers the last
     2k rows; for a window w with 2^j <= w, max = greatest(M[i], M[i-(w-2^j)])
@@ -88,7 +88,7 @@ def rolling_features(df: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE,
     ``greatest`` skips the nulls before a series starts.
     """
     if not isinstance(df.schema[value].dataType, T.IntegralType):
-        return rolling_features_naive(df, window_size, station, hour, value)
+        return _rolling_moments(df, window_size, station, hour, value)
     wins = [win for win in ROLL_WINDOWS if win <= window_size]
     if not wins:
         return df
@@ -118,6 +118,61 @@ def rolling_features(df: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE,
     return tmp.withColumns(cols).drop("_rn", "_s1", "_s2", *levels.values())
 
 
+def _rolling_moments(df: DataFrame, window_size: int, station: str, hour: str, value: str) -> DataFrame:
+    """W2-W4 for any number type, by one doubling table of mergeable moments.
+
+    Level k holds (count, mean, sum of squared deviations, max) of the last k rows; level 2k merges it
+    with the level k of the row k back.  A window is the merge of the levels of its binary digits (672 = 512
+    + 128 + 32).  Nothing is ever subtracted from a running total, so values of very different sizes do not
+    cancel, and a NaN or an infinity only reaches the windows that hold it.  Nulls are skipped.
+    """
+    wins = [win for win in ROLL_WINDOWS if win <= window_size]
+    if not wins:
+        return df
+    w = _series_window(station, hour)
+    x = F.col(value).cast("double")
+    zero = F.lit(0.0)
+    parts = ("n", "mean", "dev", "max")
+
+    def merged(a: dict, b: dict) -> dict:
+        """Moments of two runs of rows; b's are null before the series starts."""
+        nb, mean_b = F.coalesce(b["n"], zero), F.coalesce(b["mean"], zero)
+        n = a["n"] + nb
+        apart = mean_b - a["mean"]
+        both = (a["n"] > 0) & (nb > 0)
+        return {"n": n, "max": F.greatest(a["max"], b["max"]),
+                "mean": F.when(both, a["mean"] * (a["n"] / n) + mean_b * (nb / n)).when(nb > 0, mean_b).otherwise(a["mean"]),
+                "dev": a["dev"] + F.coalesce(b["dev"], zero) + F.when(both, apart * apart * (a["n"] * nb / n)).otherwise(zero)}
+
+    def level(k: int, back: int = 0) -> dict:
+        return {p: F.lag(f"_{p}{k}", back).over(w) if back else F.col(f"_{p}{k}") for p in parts}
+
+    here = x.isNotNull()
+    out = df.withColumns({"_n1": F.when(here, F.lit(1.0)).otherwise(zero), "_mean1": F.coalesce(x, zero),
+                          "_dev1": F.when(here, x - x).otherwise(zero), "_max1": x})
+    spans = [1]
+    while spans[-1] * 2 <= max(wins):
+        k = spans[-1]
+        out = out.withColumns({f"_{p}{2 * k}": c for p, c in merged(level(k), level(k, k)).items()})
+        spans.append(2 * k)
+    cols, spare = {}, []
+    for win in wins:
+        back, so_far = 0, None
+        for k in reversed(spans):
+            if win & k:
+                part = level(k, back)
+                if so_far is not None:                       # a column each, so that expressions stay short
+                    step = merged(so_far, part)
+                    out = out.withColumns({f"_{p}w{win}_{k}": c for p, c in step.items()})
+                    part = {p: F.col(f"_{p}w{win}_{k}") for p in parts}
+                    spare += [f"_{p}w{win}_{k}" for p in parts]
+                so_far, back = part, back + k
+        cols[f"rolling_mean_{win}h"] = F.when(so_far["n"] > 0, so_far["mean"]).otherwise(zero)
+        cols[f"rolling_max_{win}h"] = F.coalesce(so_far["max"], zero)
+        cols[f"rolling_std_{win}h"] = F.when(so_far["n"] > 1, F.sqrt(so_far["dev"] / (so_far["n"] - 1))).otherwise(zero)
+    return out.withColumns(cols).drop(*[f"_{p}{k}" for p in parts for k in spans], *spare)
+
+
 def full_features(series: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE,
                   fast: bool = True) -> DataFrame:
     """3 keys/target + 15 calendar + 12 lags + 9 rolling = 39 columns.

@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from .clean import ntz_literal
 
@@ -61,13 +61,9 @@ def feature_json_unpack(store: DataFrame, schema: T.StructType) -> DataFrame:
 # --- T3 / T4 -----------------------------------------------------------------
 def last_written(batch: DataFrame, order_col: str = "write_order") -> DataFrame:
     """One row per key of a batch: the one with the largest ``order_col`` (equal orders: the larger
-    payload).  The maximum is a hash aggregate over a long, combined map-side; only the winners'
-    rows are ranked, and those are several only where orders are equal."""
-    keys = list(STORE_KEY)
-    top = batch.groupBy(*keys).agg(F.max(order_col).alias("_top"))
-    best = batch.join(top, keys).where(F.col(order_col) == F.col("_top"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("feature_data")))
-    return best.withColumn("_rank", rank).where("_rank = 1").select(*keys, "feature_data")
+    payload), by one grouped maximum that is combined map-side."""
+    best = batch.groupBy(*STORE_KEY).agg(F.max(F.struct(F.col(order_col).alias("o"), "feature_data")).alias("_best"))
+    return best.select(*STORE_KEY, F.col("_best.feature_data").alias("feature_data"))
 
 
 def upsert_features(existing: DataFrame | None, batches: list[DataFrame],
@@ -221,84 +217,45 @@ def with_year_month(df: DataFrame, ts_col: str) -> DataFrame:
 
 # --- partition-scoped upsert into a keyed store ------------------------------
 STORE_PARTS = ("feature_group", "ts_month")
-STORE_DDL = "entity_id STRING, timestamp STRING, feature_data STRING, commit INT, feature_group STRING, ts_month STRING"
-CURRENT_DDL = "feature_group STRING, ts_month STRING, commit INT"
+FILES = 8     # files of a partition, by entity: more than one task writes a large month
+STORE_DDL = "entity_id STRING, timestamp STRING, feature_data STRING, feature_group STRING, ts_month STRING"
 
 
-def _with_parts(df: DataFrame) -> DataFrame:
-    return df.withColumn("ts_month", F.substring("timestamp", 1, 7))
+def read_store(spark: SparkSession, root: str) -> DataFrame:
+    """The keyed store as (entity_id, timestamp, feature_data, feature_group, ts_month), partitioned by the last two:
+    predicates on them prune folders.  A store that nothing was written to is empty."""
+    try:
+        return spark.read.schema(STORE_DDL).parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], STORE_DDL)
 
 
-def _commits(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the commits whose table of current folders is complete."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/current")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    done = [s.getPath() for s in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return sorted(int(p.getName()[2:]) for p in done)
+def publish(spark: SparkSession, root: str, staged: str) -> None:
+    """Put staged partitions into the store: each partition that the staged table has is overwritten, the others stay.
+    The staged table has those partitions whole, so a run that was lost here is finished by publishing again."""
+    (spark.read.schema(STORE_DDL).parquet(staged).repartition(*STORE_PARTS, F.pmod(F.xxhash64("entity_id"), F.lit(FILES)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STORE_PARTS).parquet(root))
 
 
-def _next_commit(spark: SparkSession, root: str) -> int:
-    """A number that no folder carries yet, of runs that did not end either."""
-    jvm = spark.sparkContext._jvm
-    used = [0]
-    for sub in ("data", "current"):
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{sub}")
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(path):
-            used += [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path) if "=" in s.getPath().getName()]
-    return max(used) + 1
+def upsert_into_store(spark: SparkSession, root: str, batch: DataFrame, order_col: str = "write_order",
+                      staged: str | None = None) -> DataFrame:
+    """T3 applied to a stored table, touching only the partitions the batch hits: (feature_group, ts_month) of those.
 
-
-def current_folders(spark: SparkSession, root: str) -> DataFrame | None:
-    """(feature_group, ts_month, commit): where each partition of the store lies now."""
-    commits = _commits(spark, root)
-    return spark.read.schema(CURRENT_DDL).parquet(f"{root}/current/c={commits[-1]}") if commits else None
-
-
-def upsert_into_store(spark: SparkSession, root: str, batch: DataFrame, order_col: str = "write_order") -> list[tuple]:
-    """T3 applied to a stored table, touching only the partitions the batch hits.
-
-    The batch's (group, month) list is a small distinct; the old rows of exactly those partitions are
-    read (their commit, group and month are literals in the scan's partition filters), merged with the
-    batch and written as new folders; a table of current folders makes them visible in one step.  Names
-    are escaped by Spark's partition writer and read with an explicit schema, so a group may be
-    called ``007`` or ``city:bike=1``.  A run lost half-way leaves the store as it was.  One writer at a time.
+    The old rows of exactly those partitions are read (a semi join on the partition columns, which Spark turns into
+    partition pruning), merged with the batch and staged as a table of their own in the shared folder; then the
+    touched partitions are overwritten from it.  Lost before ``publish``: the store is as it was.  Lost inside it:
+    ``publish(spark, root, staged)`` finishes the job.  Names are escaped by Spark's partition writer and read with an
+    explicit schema, so a group may be called ``007`` or ``city:bike=1``.  One writer at a time.
     """
-    from ..session import materialize
-    batch = materialize(last_written(batch, order_col), "batch")
-    parts = sorted(tuple(r) for r in _with_parts(batch).select(*STORE_PARTS).distinct().collect())  # groups x months
-    commit = _next_commit(spark, root)
-    current = current_folders(spark, root)
-    touched = spark.createDataFrame(parts, "feature_group string, ts_month string")
-    merged, folders = batch, touched.withColumn("commit", F.lit(commit))
-    if current is not None:
-        old = read_store(spark, root, parts).select(*STORE_KEY, "feature_data")
-        merged = old.join(batch.select(*STORE_KEY), list(STORE_KEY), "left_anti").unionByName(batch)
-        folders = current.join(touched, list(STORE_PARTS), "left_anti").unionByName(folders)
-    _with_parts(merged).withColumn("commit", F.lit(commit)).write.mode("append") \
-        .partitionBy("commit", *STORE_PARTS).parquet(f"{root}/data")
-    folders.coalesce(1).write.parquet(f"{root}/current/c={commit}")
-    return parts
-
-
-def read_store(spark: SparkSession, root: str, parts: list[tuple] | None = None) -> DataFrame:
-    """The keyed store as (feature_group, entity_id, timestamp, feature_data, ts_month); ``parts``
-    (group, month) limits it to some partitions by literal predicates."""
-    current = current_folders(spark, root)
-    if current is None:
-        raise ValueError(f"no feature store at {root}")
-    rows = [tuple(r) for r in current.collect()]  # groups x months, as many as the store has folders
-    if parts is not None:
-        wanted = set(parts)
-        rows = [r for r in rows if (r[0], r[1]) in wanted]
-    store = spark.read.schema(STORE_DDL).parquet(f"{root}/data")
-    places: dict[tuple[int, str], list[str]] = {}
-    for group, month, commit in rows:
-        places.setdefault((commit, group), []).append(month)
-    here = F.lit(False)
-    for (commit, group), months in sorted(places.items()):
-        here = here | ((F.col("commit") == commit) & (F.col("feature_group") == group) & F.col("ts_month").isin(sorted(months)))
-    return store.where(here).select(*STORE_KEY, "feature_data", "ts_month")
+    from ..session import materialize, scratch_path
+    staged = staged or scratch_path(spark, "staged")
+    new = materialize(last_written(batch, order_col).withColumn("ts_month", F.substring("timestamp", 1, 7)), "batch")
+    touched = new.select(*STORE_PARTS).distinct()
+    old = read_store(spark, root).join(touched, list(STORE_PARTS), "left_semi")
+    kept = old.join(new.select(*STORE_KEY), list(STORE_KEY), "left_anti")
+    columns = [f.split()[0] for f in STORE_DDL.split(", ")]
+    kept.select(*columns).unionByName(new.select(*columns)).write.parquet(staged)
+    publish(spark, root, staged)
+    return touched

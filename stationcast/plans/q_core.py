@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import TIME_FEATURES, time_features
 from ..operators import features as feat
-from ..operators import series
+from ..operators import series, sparse
 from ..sources.tables import trips_by_user, trips_view
 from . import oracle as O
 from .registry import register, round_doubles
@@ -132,7 +132,34 @@ FULL_FEATURES_SQL = (f"WITH {O.series_ctes('user')},\n{O.features_cte(WS)}\n"
 
 @register("full_features", FULL_FEATURES_SQL)
 def q_full_features(spark, sf):
-    return round_doubles(feat.full_features(user_series(spark, sf), WS))
+    return round_doubles(sparse.full_features_from_trips(trips_by_user(spark, sf), window_size=WS))
+
+
+# --- W5 at asked-for hours: the hour after each hour with trips -------------
+@register("full_features_at_hours", f"""WITH {O.series_ctes('user')},
+{O.features_cte(WS)},
+asked AS (SELECT DISTINCT start_station_id, pickup_hour + INTERVAL 1 HOUR AS pickup_hour FROM hourly)
+""" + O.rounded_select(_FULL, _FULL_DOUBLES, "features SEMI JOIN asked USING (start_station_id, pickup_hour)"))
+def q_full_features_at_hours(spark, sf):
+    trips = trips_by_user(spark, sf)
+    hourly = series.hourly_demand(trips)
+    last = series.hour_bounds(trips).select("_hi")
+    asked = hourly.select("start_station_id", (F.col("pickup_hour") + F.expr("INTERVAL 1 HOUR")).alias("pickup_hour"))
+    asked = asked.crossJoin(F.broadcast(last)).where(F.col("pickup_hour") <= F.col("_hi")).drop("_hi")
+    return round_doubles(sparse.full_features_from_trips(trips, asked, WS))
+
+
+# --- W2-W4 over fractional, signed values -----------------------------------
+_FRACTION = "sqrt(rides + 0.5) - 1.3"
+
+
+@register("rolling_fractional", f"""WITH {O.series_ctes('user')},
+f AS (SELECT pickup_hour, start_station_id, CAST({_FRACTION} AS DOUBLE) AS rides FROM dense),
+r AS (SELECT pickup_hour, start_station_id, {', '.join(O.rolling_exprs(WS))} FROM f)
+""" + O.rounded_select(KEYS[:2] + ROLLS, set(ROLLS), "r"))
+def q_rolling_fractional(spark, sf):
+    s = user_series(spark, sf).withColumn("rides", F.expr(_FRACTION).cast("double"))
+    return round_doubles(feat.rolling_features(s, WS).select(*KEYS[:2], *ROLLS))
 
 
 # --- P4 -------------------------------------------------------------------

@@ -35,13 +35,6 @@ def test_doubling_max_handles_signed_values(spark):
     assert fast.exceptAll(slow).count() == 0
 
 
-def test_non_integer_values_fall_back_to_frames(spark):
-    df = series_df(spark, n=50).withColumn("rides", F.col("rides") / 2)
-    out = feat.rolling_features(df, window_size=24)
-    r = out.where("start_station_id = 'a'").orderBy("pickup_hour").first()
-    assert r.rolling_std_24h is None or r.rolling_std_24h == 0.0  # one row: sample std undefined
-
-
 def test_lag_k_is_value_k_rows_back(spark):
     df = series_df(spark, n=200)
     out = feat.lag_features(df).where("start_station_id = 'a'").orderBy("pickup_hour").collect()
@@ -73,3 +66,40 @@ def test_calendar_iso_week_and_rush_flags(spark):
     r = time_features(df).orderBy("pickup_hour").collect()
     assert (r[0].week_of_year, r[0].is_weekend, r[0].is_morning_rush) == (1, 1, 0)  # Saturday
     assert (r[1].week_of_year, r[1].year, r[1].is_morning_rush, r[1].day_of_week) == (1, 2024, 1, 0)
+
+
+def doubles_df(spark):
+    """Fractional values of very different sizes, with nulls, a NaN and an infinity in stations of their own."""
+    rnd = random.Random(4)
+    data = []
+    for s in ("a", "b", "c", "n", "i"):
+        for i in range(5 if s == "c" else 800):
+            v = rnd.uniform(-1, 1) if s != "b" else 1e9 + rnd.uniform(-1, 1)
+            if s == "a" and i % 7 == 0:
+                v = None
+            if s in "ni" and i == 30:
+                v = float("nan") if s == "n" else float("inf")
+            data.append((H + dt.timedelta(hours=i), s, v))
+    return spark.createDataFrame(data, "pickup_hour timestamp_ntz, start_station_id string, rides double")
+
+
+def test_rolling_of_any_number_type(spark):
+    import math
+    df = doubles_df(spark)
+    out = feat.rolling_features(df)
+    names = feat.rolling_names()
+    fast = {(r.start_station_id, r.pickup_hour): [r[c] for c in names] for r in out.collect()}
+    slow = {(r.start_station_id, r.pickup_hour): [r[c] for c in names] for r in feat.rolling_features_naive(df).collect()}
+    same = lambda x, y: (math.isnan(x) and math.isnan(y)) or x == y or math.isclose(x, y, rel_tol=1e-6, abs_tol=1e-9)
+    assert fast.keys() == slow.keys()
+    assert [(k, c, x, y) for k in fast for c, x, y in zip(names, fast[k], slow[k]) if not same(x, y)][:5] == []
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "avg(" not in plan and "stddev" not in plan      # lags only, no sliding frame
+
+
+def test_decimal_and_float_values(spark):
+    for kind in ("decimal(12,3)", "float"):
+        df = series_df(spark, n=60).withColumn("rides", (F.col("rides") / 4).cast(kind))
+        names = feat.rolling_names()
+        cols = ["pickup_hour", "start_station_id", *[F.round(c, 6).alias(c) for c in names]]
+        assert feat.rolling_features(df).select(*cols).exceptAll(feat.rolling_features_naive(df).select(*cols)).count() == 0

@@ -55,7 +55,7 @@ def test_upsert_into_store_touches_only_batch_partitions(spark, tmp_path):
     feb = frame(spark, [(dt.datetime(2024, 2, 3), "a", 5)])
     S.upsert_into_store(spark, root, ordered(jan.unionByName(feb)))
     touched = S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "a", 9)])))
-    assert touched == [("g", "2024-01")]
+    assert [tuple(r) for r in touched.collect()] == [("g", "2024-01")]
     got = {(r.entity_id, r.timestamp.month): r.rides
            for r in S.feature_json_unpack(S.read_store(spark, root), S.feature_schema(jan)).collect()}
     assert got == {("a", 1): 9, ("b", 1): 1, ("a", 2): 5}
@@ -83,17 +83,37 @@ def test_repeated_keys_in_one_batch(spark, tmp_path):
     assert list(contents(spark, root).values()) == ['{"rides":9}']
 
 
-def test_a_run_lost_before_its_commit_changes_nothing(spark, tmp_path):
-    root = str(tmp_path / "store")
-    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "a", 1), (H, "b", 1), (H, "c", 1)])))
+def test_a_lost_run_changes_nothing_or_can_be_finished(spark, tmp_path, monkeypatch):
+    import shutil
+    root, staged = str(tmp_path / "store"), str(tmp_path / "staged")
+    feb = frame(spark, [(dt.datetime(2024, 2, 3), "a", 5), (dt.datetime(2024, 2, 3), "b", 6)])
+    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "a", 1), (H, "b", 1)]).unionByName(feb)))
     before = contents(spark, root)
-    # data folders of a second commit exist, its table of current folders does not
-    S._with_parts(ordered(frame(spark, [(H, "a", 7)])).drop("write_order")).withColumn("commit", F.lit(2)) \
-        .write.mode("append").partitionBy("commit", *S.STORE_PARTS).parquet(f"{root}/data")
+    # lost between staging and publishing
+    publish = S.publish
+    monkeypatch.setattr(S, "publish", lambda *a: None)
+    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "a", 7), (dt.datetime(2024, 2, 3), "a", 8)])), staged=staged)
     assert contents(spark, root) == before
-    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "d", 2)])))
-    assert {k[1]: v for k, v in contents(spark, root).items()} == {
-        "a": '{"rides":1}', "b": '{"rides":1}', "c": '{"rides":1}', "d": '{"rides":2}'}
+    # lost while partitions were put in place: one is gone, the other is old
+    shutil.rmtree(tmp_path / "store" / "feature_group=g" / "ts_month=2024-01")
+    publish(spark, root, staged)
+    want = {"2024-01-01 00:00:00": {"a": 7, "b": 1}, "2024-02-03 00:00:00": {"a": 8, "b": 6}}
+    for again in range(2):
+        got = {}
+        for (_, entity, ts), payload in contents(spark, root).items():
+            got.setdefault(ts, {})[entity] = int(payload.split(":")[1].rstrip("}"))
+        assert got == want
+        publish(spark, root, staged)
+
+
+def test_untouched_partitions_keep_their_files(spark, tmp_path):
+    import glob
+    root = str(tmp_path / "store")
+    files = lambda month: sorted(glob.glob(f"{root}/feature_group=g/ts_month={month}/*.parquet"))
+    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "a", 1), (dt.datetime(2024, 2, 3), "a", 5)])))
+    jan, feb = files("2024-01"), files("2024-02")
+    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, "b", 1)])))
+    assert files("2024-02") == feb and files("2024-01") != jan
 
 
 def test_latest_record_by_event_then_insertion(spark):
