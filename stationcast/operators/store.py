@@ -235,25 +235,41 @@ def read_store(spark: SparkSession, root: str) -> DataFrame:
 def publish(spark: SparkSession, root: str, staged: str) -> None:
     """Put staged partitions into the store: each partition that the staged table has is overwritten, the others stay.
     The staged table has those partitions whole, so a run that was lost here is finished by publishing again."""
-    (spark.read.schema(STORE_DDL).parquet(staged).repartition(*STORE_PARTS, F.pmod(F.xxhash64("entity_id"), F.lit(FILES)))
+    _overwrite_partitions(spark.read.schema(STORE_DDL).parquet(staged), root)
+
+
+def _overwrite_partitions(rows: DataFrame, root: str) -> None:
+    (rows.repartition(*STORE_PARTS, F.pmod(F.xxhash64("entity_id"), F.lit(FILES)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*STORE_PARTS).parquet(root))
 
 
+def touched_rows(store: DataFrame, touched: DataFrame) -> DataFrame:
+    """The store's rows in the touched partitions: first and last of each partition column (one row) prune the folders
+    at planning, the semi join leaves out the others between them."""
+    span = touched.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in STORE_PARTS for f in (F.min, F.max)]).first()
+    for c in STORE_PARTS:
+        store = store.where(F.col(c).between(span[f"min_{c}"], span[f"max_{c}"]))
+    return store.join(touched, list(STORE_PARTS), "left_semi")
+
+
 def upsert_into_store(spark: SparkSession, root: str, batch: DataFrame, order_col: str = "write_order",
                       staged: str | None = None) -> DataFrame:
     """T3 applied to a stored table, touching only the partitions the batch hits: (feature_group, ts_month) of those.
 
-    The old rows of exactly those partitions are read (a semi join on the partition columns, which Spark turns into
-    partition pruning), merged with the batch and staged as a table of their own in the shared folder; then the
+    The old rows of exactly those partitions are read (``touched_rows``), merged with the batch and staged as a table of their own in the shared folder; then the
     touched partitions are overwritten from it.  Lost before ``publish``: the store is as it was.  Lost inside it:
     ``publish(spark, root, staged)`` finishes the job.  Names are escaped by Spark's partition writer and read with an
     explicit schema, so a group may be called ``007`` or ``city:bike=1``.  One writer at a time.
     """
     from ..session import materialize, scratch_path
-    staged = staged or scratch_path(spark, "staged")
     new = materialize(last_written(batch, order_col).withColumn("ts_month", F.substring("timestamp", 1, 7)), "batch")
     touched = new.select(*STORE_PARTS).distinct()
-    old = read_store(spark, root).join(touched, list(STORE_PARTS), "left_semi")
+    old = touched_rows(read_store(spark, root), touched)
+    if staged is None and old.isEmpty():
+        # new partitions hold the batch and nothing else, and the batch is a table already
+        _overwrite_partitions(new, root)
+        return touched
+    staged = staged or scratch_path(spark, "staged")
     kept = old.join(new.select(*STORE_KEY), list(STORE_KEY), "left_anti")
     columns = [f.split()[0] for f in STORE_DDL.split(", ")]
     kept.select(*columns).unionByName(new.select(*columns)).write.parquet(staged)

@@ -110,12 +110,15 @@ def q_best_model(spark, sf):
 
 @register("compare_models", SPLIT_CTES + f"""
 SELECT pickup_hour, start_station_id, CAST(rides AS DOUBLE) AS actual,
-  {O.r6(_PRED['baseline'])} AS baseline, {O.r6(_PRED['full'])} AS "full", {O.r6(_PRED['reduced'])} AS reduced
-FROM te WHERE start_station_id = '7'""")
+  {O.r6(_PRED['baseline'])} AS baseline, {O.r6(_PRED['full'])} AS "full",
+  CASE WHEN rides > 0 THEN {O.r6(_PRED['reduced'])} END AS reduced
+FROM te""")
 def q_compare_models(spark, sf):
-    scored = sql_scored(spark, sf).where("start_station_id = '7'")
-    return round_doubles(scored.select("pickup_hour", "start_station_id", F.col("rides").cast("double").alias("actual"),
-                                       *ROLES))
+    """One frame per model, joined by the operator; the reduced model's frame lacks the hours without rides."""
+    scored = materialize(sql_scored(spark, sf), "scored")
+    preds = {m: scored.select("pickup_hour", "start_station_id", F.col(m).alias("prediction")) for m in ROLES}
+    preds["reduced"] = scored.where("rides > 0").select("pickup_hour", "start_station_id", F.col("reduced").alias("prediction"))
+    return round_doubles(MD.compare_models(scored, preds))
 
 
 # --- K4 / K5 / L4 ----------------------------------------------------------------
@@ -189,14 +192,26 @@ s AS (SELECT pickup_hour AS split_hour FROM (
     SELECT pickup_hour, row_number() OVER (ORDER BY pickup_hour) - 1 AS i, count(*) OVER () AS n
     FROM (SELECT DISTINCT pickup_hour FROM dense)) WHERE i = floor(n * 0.8)),
 te AS (SELECT pickup_hour, start_station_id, rides FROM dense, s WHERE pickup_hour >= split_hour)
-SELECT pickup_hour, start_station_id, rides, true AS predicted, true AS in_range FROM te"""
+SELECT pickup_hour, start_station_id, rides, true AS predicted, true AS in_range, true AS beats_constant FROM te"""
 
 
-def _checked(scored, lo, hi):
-    """Scored rows with what SQL can state of a tree model: there is a prediction, and it lies in the
-    range that a sum of leaf means around the training targets allows."""
-    return scored.select("pickup_hour", "start_station_id", "rides", F.col("prediction").isNotNull().alias("predicted"),
-                         F.col("prediction").between(lo, hi).alias("in_range"))
+def _checked(scored, fitted, lo, hi):
+    """Scored rows with what SQL can state of a tree model: there is a prediction, it lies in the range that a sum of
+    leaf means around the training targets allows, and on ``fitted``, the rows that the model learned from, its error is below
+    that of the best constant (the median), so a constant predictor fails.  The given events have no structure that held-out rows
+    could share, so nothing is asked of the error there.  The values are in the ``..._predictions`` queries."""
+    median = fitted.agg(F.percentile("rides", F.lit(0.5)).alias("_m"))
+    error = fitted.crossJoin(F.broadcast(median)).agg(
+        (F.avg(F.abs(F.col("rides") - F.col("prediction"))) < F.avg(F.abs(F.col("rides") - F.col("_m")))).alias("beats_constant"))
+    return scored.crossJoin(F.broadcast(error)).select(
+        "pickup_hour", "start_station_id", "rides", F.col("prediction").isNotNull().alias("predicted"),
+        F.col("prediction").between(lo, hi).alias("in_range"), "beats_constant")
+
+
+def _checked_model(spark, sf, name):
+    root = trained(spark, sf)
+    fitted = load_model(root, name).transform(spark.read.parquet(f"{root}/prepared/{name}"))
+    return _checked(load_scored(spark, root, name), fitted.select("rides", "prediction"), *_target_range(spark, sf))
 
 
 def _target_range(spark, sf):
@@ -205,14 +220,32 @@ def _target_range(spark, sf):
     return r[0] - span, r[1] + span
 
 
+def _all_rows_scored(spark, sf):
+    """Every row of the full set by the stored full model."""
+    root = trained(spark, sf)
+    full = load_sets(spark, root)["full_features"]
+    _, everything = preprocess_pair(PR.train_test(full)[0], full)
+    return keyed_predictions(MD.score_batch(load_model(root, "full"), everything))
+
+
 @register("train_full", TEST_ROWS_SQL)
 def q_train_full(spark, sf):
-    return _checked(load_scored(spark, trained(spark, sf), "full"), *_target_range(spark, sf))
+    return _checked_model(spark, sf, "full")
 
 
 @register("train_reduced", TEST_ROWS_SQL)
 def q_train_reduced(spark, sf):
-    return _checked(load_scored(spark, trained(spark, sf), "reduced"), *_target_range(spark, sf))
+    return _checked_model(spark, sf, "reduced")
+
+
+@register("train_full_predictions")
+def q_train_full_predictions(spark, sf):
+    return load_scored(spark, trained(spark, sf), "full")
+
+
+@register("train_reduced_predictions")
+def q_train_reduced_predictions(spark, sf):
+    return load_scored(spark, trained(spark, sf), "reduced")
 
 
 @register("evaluate_models")
@@ -220,17 +253,31 @@ def q_evaluate_models(spark, sf):
     return round_doubles(MD.rank_models(read_metrics(spark, trained(spark, sf))))
 
 
+@register("evaluate_models_checked", TEST_ROWS_SQL.rsplit("SELECT", 1)[0] + """
+SELECT model_name, n, true AS mae_of_scored_rows FROM (SELECT count(*) AS n FROM te),
+  (SELECT unnest(['baseline', 'full', 'reduced']) AS model_name)""")
+def q_evaluate_models_checked(spark, sf):
+    """M4: each stored metric is the mean absolute error of the model's stored test rows."""
+    root = trained(spark, sf)
+    rows = MD.predictions_long({m: load_scored(spark, root, m) for m in SET_OF})
+    again = rows.groupBy("model_name").agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("actual") - F.col("predicted"))).alias("again"))
+    return again.join(read_metrics(spark, root), "model_name").select(
+        "model_name", "n", (F.abs(F.col("mae") - F.col("again")) < 1e-9).alias("mae_of_scored_rows"))
+
+
 @register("score_batch", RUN_FEATURES_CTES + """
-SELECT pickup_hour, start_station_id, rides, true AS predicted, true AS in_range FROM dense""")
+SELECT pickup_hour, start_station_id, rides, true AS predicted, true AS in_range, true AS beats_constant FROM dense""")
 def q_score_batch(spark, sf):
-    root = trained(spark, sf)
-    full = load_sets(spark, root)["full_features"]
-    _, everything = preprocess_pair(PR.train_test(full)[0], full)
-    scored = keyed_predictions(MD.score_batch(load_model(root, "full"), everything))
-    return _checked(scored, *_target_range(spark, sf))
+    scored = _all_rows_scored(spark, sf)
+    return _checked(scored, scored, *_target_range(spark, sf))
+
+
+@register("score_batch_predictions")
+def q_score_batch_predictions(spark, sf):
+    return _all_rows_scored(spark, sf)
 
 
-@register("save_load_model", TEST_ROWS_SQL.replace("true AS predicted, true AS in_range", "true AS same_as_before_saving"))
+@register("save_load_model", TEST_ROWS_SQL.replace("true AS predicted, true AS in_range, true AS beats_constant", "true AS same_as_before_saving"))
 def q_save_load_model(spark, sf):
     """The loaded model predicts the test rows as the fitted one did before it was saved."""
     root = trained(spark, sf)
@@ -262,13 +309,22 @@ def _in_range(forecast, hi, column="predicted_rides"):
 M6_HOURS = _horizon(hours=90 * 24)
 
 
+def _full_forecast(spark, sf):
+    root = trained(spark, sf)
+    full = load_sets(spark, root)["full_features"]
+    return RC.recursive_forecast(spark, full, M6_HOURS, serving_spec(spark, root, "full"), 672, RC.station_codes(full))
+
+
 @register("recursive_forecast", RUN_FEATURES_CTES + _grid_sql(M6_HOURS))
 def q_recursive_forecast(spark, sf):
     """M6: 90 days of the stored full model, fed back hour by hour."""
-    root = trained(spark, sf)
-    full = load_sets(spark, root)["full_features"]
-    fc = RC.recursive_forecast(spark, full, M6_HOURS, serving_spec(spark, root, "full"), 672, RC.station_codes(full))
-    return _in_range(fc, _target_range(spark, sf)[1])
+    return _in_range(_full_forecast(spark, sf), _target_range(spark, sf)[1])
+
+
+@register("recursive_forecast_values")
+def q_recursive_forecast_values(spark, sf):
+    """M6's forecasts themselves."""
+    return _full_forecast(spark, sf)
 
 
 M7_BLOCKS, M7_W, M7_LAGS = 4, 24, 10
@@ -299,17 +355,26 @@ def q_recursive_forecast_batched(spark, sf):
 _M8_HOURS = RC.fixed_range_hours(4)
 
 
+def _fixed_range(spark, sf):
+    """(history, forecast) of M8."""
+    series_ = type_series(spark, sf)
+    trees = RC.export_trees(spark, train_ten_lags(spark, series_).stages[-1], scratch_path(spark, "gbt"))
+    spec = RC.serve_spec(trees, RC.M8_FEATURES, model_features=RC.M8_FEATURES)
+    return series_, RC.recursive_forecast(spark, series_, _M8_HOURS, spec, 24, RC.station_codes(series_))
+
+
 @register("forecast_fixed_range", f"WITH {O.series_ctes('type')}" + _grid_sql(_M8_HOURS))
 def q_forecast_fixed_range(spark, sf):
     """M8: four calendar months by boosted trees over the ten newest values, trained on rows with
     the same names; every value is the model's."""
-    series_ = type_series(spark, sf)
-    model = train_ten_lags(spark, series_)
-    trees = RC.export_trees(spark, model.stages[-1], scratch_path(spark, "gbt"))
-    spec = RC.serve_spec(trees, RC.M8_FEATURES, model_features=RC.M8_FEATURES)
-    fc = RC.recursive_forecast(spark, series_, _M8_HOURS, spec, 24, RC.station_codes(series_))
-    top = series_.agg(F.max("rides")).first()[0]
-    return _in_range(fc, 2.0 * top)
+    series_, fc = _fixed_range(spark, sf)
+    return _in_range(fc, 2.0 * series_.agg(F.max("rides")).first()[0])
+
+
+@register("forecast_fixed_range_values")
+def q_forecast_fixed_range_values(spark, sf):
+    """M8's forecasts themselves."""
+    return _fixed_range(spark, sf)[1]
 
 
 M9_W, M9_H = 672, 168
@@ -334,12 +399,21 @@ def q_recursive_lag_mean(spark, sf):
     return round_doubles(RC.recursive_lag_mean(user_series(spark, sf), M9_W, M9_H))
 
 
+M11_NOW = dt.datetime(2024, 1, 30, 23, 15)
+
+
 @register("run_forecast", RUN_FEATURES_CTES + _grid_sql(_horizon(dt.datetime(2024, 1, 31), 90 * 24)))
 def q_run_forecast(spark, sf):
-    fc = run_forecast(spark, sf, dt.datetime(2024, 1, 30, 23, 15))
+    fc = run_forecast(spark, sf, M11_NOW)
     return _in_range(fc, _target_range(spark, sf)[1], "predicted_demand")
 
 
+@register("run_forecast_values")
+def q_run_forecast_values(spark, sf):
+    """M11's forecasts as they were written and read back."""
+    return run_forecast(spark, sf, M11_NOW)
+
+
 C22_NAMES = [c for c in feat.full_feature_names() if c not in feat.KEY_COLUMNS]
 C22_SQL = RUN_FEATURES_CTES + f""",
 z AS (SELECT start_station_id, CAST(rides AS DOUBLE) AS rides,

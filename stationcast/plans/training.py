@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import inspect
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.calendar import time_features
+from ..operators import features, series, sparse
 from ..operators import models as MD
 from ..operators import prep as PR
 from ..operators import recursive as RC
 from ..session import materialize, scratch_path, shared_dir
 from ..sinks.writers import append_metrics_history, write_forecast, write_metrics, write_table
 from ..sources.feature_files import path_exists, scan_feature_sets, scan_forecast
+from . import pipelines
 from .pipelines import run_features
 
 SET_OF = {"baseline": "baseline_features", "full": "full_features", "reduced": "reduced_features"}
@@ -46,14 +49,17 @@ def keyed_predictions(scored: DataFrame) -> DataFrame:
 
 
 def input_fingerprint(spark: SparkSession, path: str) -> str:
-    """Digest of names, lengths and modification times of a table's files."""
+    """Digest of names, lengths and modification times of a table's files, in folders of any depth, and of the
+    code that prepares and fits: other data or other code is trained anew."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = [root] if fs.getFileStatus(root).isFile() else [s.getPath() for s in fs.listStatus(root)]
-    states = [fs.getFileStatus(f) for f in files]
-    text = "\n".join(sorted(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in states))
-    return hashlib.md5(text.encode()).hexdigest()[:16]
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    states = []
+    while files.hasNext():
+        s = files.next()
+        states.append(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}")
+    code = "".join(inspect.getsource(m) for m in (MD, PR, features, series, sparse, pipelines))
+    return hashlib.md5("\n".join([*sorted(states), code, inspect.getsource(train_and_store)]).encode()).hexdigest()[:16]
 
 
 def train_and_store(spark: SparkSession, sf_dir: str, root: str, top_n: int = 3) -> None:
