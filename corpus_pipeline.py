@@ -1,7 +1,11 @@
 """The corpus pipeline: quality classifier, exact and near deduplication, source mixing and packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the
-next stage's docs; all but the last return the columns of documents."""
+next stage's docs; all but the last return the columns of documents.
+
+Odd rows: each stage's own docstring states them.  In short, a null text counts as an empty one, null ids take part and
+give way to others, of repeated rows one stays, an empty table gives no rows, and columns beside doc_id, text and source are
+passed through whatever their names."""
 
 from __future__ import annotations
 
