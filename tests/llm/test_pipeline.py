@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 from stationcast.llm import common, exact_dedup, mixing, ngram_join, packing
-from odd import SF, given, low
+from odd import SF, given, low, odd_docs
 
 
 def test_stages_take_effect(spark):
@@ -33,3 +33,11 @@ def test_stages_take_effect(spark):
 def test_run_gives_the_last_stage(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 100
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    docs = odd_docs(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, common.cut(stage(spark, docs, SF), name)
+        assert name == "bestfit_pack" or docs.columns == before.columns
+    assert sum(r["piece"] == 0 for r in docs.collect()) == before.count() > 0
