@@ -131,14 +131,14 @@ def preprocess_for_trees(train: DataFrame, test: DataFrame):
 def recent_history(df: DataFrame, window_size: int, hour: str = "pickup_hour") -> DataFrame:
     """The newest ``window_size`` rows of each station with at least that many rows.
 
-    ``_age`` = 0 for the newest row.  Both windows share one partitioning.
+    ``_age`` = 0 for the newest row.  The rank filter stands alone, so Spark keeps the newest rows of each station
+    in every task before any exchange (window group limit); the station's rows are counted among those.
     """
     st = resolve_column(df, *STATION)
-    w = Window.partitionBy(st).orderBy(F.desc(hour))
-    return (df.withColumn("_age", F.row_number().over(w) - 1)
-            .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(st)))
-            .where((F.col("_age") < window_size) & (F.col("_n") >= window_size))
-            .drop("_n"))
+    newest = (df.withColumn("_rank", F.row_number().over(Window.partitionBy(st).orderBy(F.desc(hour))))
+              .where(F.col("_rank") <= window_size))
+    return (newest.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(st))).where(F.col("_n") >= window_size)
+            .withColumn("_age", F.col("_rank") - 1).drop("_n", "_rank"))
 
 
 _LAG_COL = re.compile(r"^(?P<base>.+)_t-(?P<k>\d+)$")

@@ -114,10 +114,64 @@ def _calendar(ts: dt.datetime, mode: str) -> dict[str, float]:
     return {k: float(x) for k, x in v.items()}
 
 
-def _history_features(names, R: np.ndarray, mode: str) -> dict[str, np.ndarray]:
-    """Lag / rolling / rides_t-k columns from newest-first history R [n, W]."""
+class SlidingStats:
+    """Mean, deviation and maximum of the newest ``win`` values of n lines, at a cost a step that does not depend on ``win``.
+
+    The window is a suffix of a block of ``win`` old values and all values pushed since.  Suffix sums and suffix
+    maxima of the block are made once in ``win`` pushes; the new values only add.  Nothing is subtracted, so sums do
+    not drift, and squares are taken about the block's mean."""
+
+    def __init__(self, line: np.ndarray, end: int, win: int):
+        self.line, self.win = line, win
+        self.rebuild(end)
+
+    def rebuild(self, end: int) -> None:
+        block = self.line[:, end - self.win:end]
+        self.end, self.new = end, 0
+        self.shift = block.mean(axis=1)
+        d = (block - self.shift[:, None])[:, ::-1]
+        zero = np.zeros((len(block), 1))
+        self.sums = np.hstack([zero, np.cumsum(d, axis=1)])[:, ::-1]            # of the newest win - t values of the block
+        self.squares = np.hstack([zero, np.cumsum(d * d, axis=1)])[:, ::-1]
+        self.tops = np.hstack([zero - np.inf, np.maximum.accumulate(block[:, ::-1], axis=1)])[:, ::-1]
+        self.added, self.added_squares, self.top = np.zeros(len(block)), np.zeros(len(block)), np.full(len(block), -np.inf)
+
+    def move(self, end: int) -> None:
+        """The window now ends before column ``end`` of the line."""
+        for at in range(self.end, end):
+            if self.new == self.win:
+                self.rebuild(at)
+            value = self.line[:, at]
+            d = value - self.shift
+            self.added, self.added_squares = self.added + d, self.added_squares + d * d
+            self.top = np.maximum(self.top, value)
+            self.new, self.end = self.new + 1, at + 1
+
+    def mean(self) -> np.ndarray:
+        return self.shift + (self.sums[:, self.new] + self.added) / self.win
+
+    def max(self) -> np.ndarray:
+        return np.maximum(self.tops[:, self.new], self.top)
+
+    def std(self, ddof: int) -> np.ndarray:
+        if self.win <= ddof:
+            return np.zeros(len(self.shift))
+        total, squares = self.sums[:, self.new] + self.added, self.squares[:, self.new] + self.added_squares
+        return np.sqrt(np.maximum(0.0, squares - total * total / self.win) / (self.win - ddof))
+
+
+def rolling_windows(names, line: np.ndarray, end: int, width: int) -> dict[int, SlidingStats]:
+    """The windows that rolling columns ask for (by their hours), no wider than the history."""
+    hours = {int(n.split("_")[2][:-1]) for n in names if n.startswith("rolling_")}
+    return {h: SlidingStats(line, end, min(h, width)) for h in hours}
+
+
+def _history_features(names, R: np.ndarray, mode: str, windows: dict[int, SlidingStats] | None = None) -> dict[str, np.ndarray]:
+    """Lag / rolling / rides_t-k columns from newest-first history R [n, W]; ``windows`` holds the rolling state."""
     out = {}
     W = R.shape[1]
+    if windows is None:
+        windows = rolling_windows(names, R[:, ::-1], W, W)
     for name in names:
         if name.startswith("rides_lag_") and name.endswith("h"):
             k = int(name[len("rides_lag_"):-1])
@@ -130,20 +184,14 @@ def _history_features(names, R: np.ndarray, mode: str) -> dict[str, np.ndarray]:
             out[name] = R[:, k - 1] if k - 1 < W else np.zeros(R.shape[0])
         elif name.startswith("rolling_"):
             _, stat, win = name.split("_")
-            window = R[:, :min(int(win[:-1]), W)]
-            if stat == "mean":
-                out[name] = window.mean(axis=1)
-            elif stat == "max":
-                out[name] = window.max(axis=1)
-            else:
-                ddof = 0 if mode == "serve" else 1
-                out[name] = window.std(axis=1, ddof=ddof) if window.shape[1] > ddof else np.zeros(R.shape[0])
+            window = windows[int(win[:-1])]
+            out[name] = window.std(0 if mode == "serve" else 1) if stat == "std" else getattr(window, stat)()
     return out
 
 
-def feature_matrix(names, R, codes, ts, mode) -> np.ndarray:
+def feature_matrix(names, R, codes, ts, mode, windows=None) -> np.ndarray:
     cal = _calendar(ts, mode)
-    hist = _history_features(names, R, mode)
+    hist = _history_features(names, R, mode, windows)
     n = R.shape[0]
     cols = []
     for name in names:
@@ -183,11 +231,12 @@ def run_recursion(R: np.ndarray, codes: np.ndarray, hours, spec: dict) -> np.nda
     line = np.empty((n, W + H))   # history and predictions, oldest first; R is a view of its newest W
     line[:, :W] = R[:, ::-1]
     preds, end = line[:, W:], W
+    windows = rolling_windows(names, line, end, W)
     for h, ts in enumerate(hours):
         try:
             if model is None:
                 raise KeyError("no model")
-            y = predict(model, feature_matrix(names, R, codes, ts, mode))
+            y = predict(model, feature_matrix(names, R, codes, ts, mode, windows))
         except (KeyError, ValueError, IndexError):
             if not fallback:
                 raise
@@ -196,6 +245,8 @@ def run_recursion(R: np.ndarray, codes: np.ndarray, hours, spec: dict) -> np.nda
         if W + h + 1 - end == every:
             end = W + h + 1
             R = line[:, end - W:end][:, ::-1]
+            for window in windows.values():
+                window.move(end)
     return preds
 
 
@@ -291,25 +342,33 @@ M8_FEATURES = (["start_station_id", "hour", "day_of_week", "day_of_month", "week
 def recursive_lag_mean(history: DataFrame, window_size: int, horizon: int) -> DataFrame:
     """M9: each step predicts the mean of the previous W values (history, then predictions).
 
-    One row per station; the recursion is a JVM-side ``aggregate`` over the horizon whose state is
-    the running sum and the predictions so far: the value that leaves the window at step i is
-    history value i, or, beyond W steps, prediction i - W.  No Python, no re-summing.
+    One row per station; the recursion is JVM-side and goes in blocks of W steps: inside a block the value that
+    leaves the window at step i is value i of the previous block, so the state is the running sum and two blocks of W
+    values, never a line that grows with the horizon.  No Python, no re-summing.
     """
     arr = history_arrays(history, window_size).select(
         "start_station_id", F.reverse("hist").alias("h"))  # oldest first
     last = history.groupBy("start_station_id").agg(F.max("pickup_hour").alias("_last"))
     w = float(window_size)
-    start = F.struct(F.aggregate("h", F.lit(0.0), lambda s, x: s + x).alias("total"),
-                     F.array().cast("array<double>").alias("made"))
 
-    def step(state, i):
+    def step(state, leaving):
         mean = state["total"] / F.lit(w)
-        leaving = F.coalesce(F.get(F.col("h"), i), F.get(state["made"], i - window_size))
         return F.struct((state["total"] - leaving + mean).alias("total"),
                         F.concat(state["made"], F.array(mean)).alias("made"))
 
-    made = F.aggregate(F.sequence(F.lit(0), F.lit(horizon - 1)), start, step, lambda state: state["made"])
-    steps = arr.select("start_station_id", F.posexplode(made).alias("step", "predicted_rides"))
+    def block(state, _):
+        """The next W values; the ones before them join the finished blocks."""
+        begin = F.struct(state["now"]["total"].alias("total"), F.array().cast("array<double>").alias("made"))
+        return F.struct(F.aggregate(state["now"]["made"], begin, step).alias("now"),
+                        F.concat(state["blocks"], F.array(state["now"]["made"])).alias("blocks"))
+
+    first = F.struct(F.aggregate("h", F.lit(0.0), lambda s, x: s + x).alias("total"), F.col("h").alias("made"))
+    start = F.struct(first.alias("now"), F.array().cast("array<array<double>>").alias("blocks"))
+    rounds = -(-horizon // window_size)
+    made = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, block,
+                       lambda s: F.flatten(F.concat(s["blocks"], F.array(s["now"]["made"]))))
+    steps = arr.select("start_station_id",      # the first block is the history itself
+                       F.posexplode(F.slice(made, window_size + 1, horizon)).alias("step", "predicted_rides"))
     return (steps.join(last, "start_station_id")
             .select("start_station_id",
                     (F.col("_last") + F.make_dt_interval(hours=F.col("step") + 1)).alias("pickup_hour"),

@@ -4,10 +4,8 @@ Two layouts, both plain Parquet datasets:
 
 * keyed store: ``feature_group, entity_id, timestamp, feature_data`` (JSON
   text of the non-key columns), unique on the first three, partitioned by
-  (commit, feature_group, month).  An upsert writes the partitions that its batch touches as
-  new folders of a new commit, then a small table that names the current folder of
-  every partition.  Readers go by the newest such table, so a run that ends half-way
-  changes nothing that can be read, and no folder is ever deleted or overwritten.
+  (feature_group, month).  An upsert stages the partitions that its batch touches and
+  overwrites exactly those.
 * offline store: formatted feature rows appended under ``year=/month=``
   partitions, several versions of a record side by side.
 """
@@ -25,6 +23,7 @@ from .clean import ntz_literal
 
 STORE_KEY = ("feature_group", "entity_id", "timestamp")
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+SECONDS = 10 ** 13      # more than the seconds between any two timestamps
 
 
 # --- C18 / C19 ---------------------------------------------------------------
@@ -58,6 +57,20 @@ def feature_json_unpack(store: DataFrame, schema: T.StructType) -> DataFrame:
         "feature_group", "entity_id", "timestamp", "_f.*")
 
 
+def feature_variant(df: DataFrame, feature_group: str, entity_col: str = "start_station_id",
+                    ts_col: str = "pickup_hour") -> DataFrame:
+    """C18 with a VARIANT payload: batches whose features differ share one table, and Spark's Parquet writer can
+    shred it, so a reader of one feature need not parse the others."""
+    packed = feature_json(df, feature_group, entity_col, ts_col)
+    return packed.withColumn("feature_data", F.parse_json("feature_data"))
+
+
+def feature_variant_unpack(store: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """C19 of a VARIANT payload: name -> type of the wanted features; a feature that a row's batch did not have is null."""
+    return store.select("feature_group", "entity_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                        *[F.try_variant_get("feature_data", f"$.{n}", t).alias(n) for n, t in fields.items()])
+
+
 # --- T3 / T4 -----------------------------------------------------------------
 def last_written(batch: DataFrame, order_col: str = "write_order") -> DataFrame:
     """One row per key of a batch: the one with the largest ``order_col`` (equal orders: the larger
@@ -169,18 +182,22 @@ def append_offline(df: DataFrame, root: str, entity_col: str, ts_col: str, now:
 def latest_record(offline: DataFrame, entity_ids=None) -> DataFrame:
     """Newest record per entity_id (event_time, then insertion time).
 
-    Two hash aggregates over timestamps find each entity's newest (event, insertion) pair,
-    combined map-side, so an entity with a third of all versions costs one row per task; the
-    records that carry the pair are joined back.  Repeated records give one row.
+    Both times are packed into one decimal (seconds of the event, then of the insertion), so one hash aggregate,
+    combined map-side, finds each entity's newest pair: an entity with a third of all versions costs one row per
+    task.  The records that carry the pair are joined back.  Repeated records give one row; a time that is missing or
+    unreadable comes before all others.
     """
     df = offline
     if entity_ids is not None:
         df = df.where(F.col("entity_id").isin([str(e) for e in entity_ids]))
-    timed = df.withColumns({"_e": F.to_timestamp("event_time", ISO_Z), "_i": F.to_timestamp("record_insertion_time", ISO_Z)})
-    event = timed.groupBy("entity_id").agg(F.max("_e").alias("_top"))
-    newest = timed.join(event, "entity_id").where(F.col("_e") == F.col("_top")).drop("_top")
-    insertion = newest.groupBy("entity_id").agg(F.max("_i").alias("_top"))
-    return (newest.join(insertion, "entity_id").where(F.col("_i") == F.col("_top")).drop("_e", "_i", "_top")
+
+    def seconds(c):
+        return F.coalesce(F.unix_seconds(F.to_timestamp(c, ISO_Z)), F.lit(-SECONDS // 2)) + SECONDS // 2
+
+    timed = df.withColumn("_when", (seconds("event_time").cast("decimal(18,0)") * SECONDS + seconds("record_insertion_time"))
+                          .cast("decimal(38,0)"))
+    newest = timed.groupBy("entity_id").agg(F.max("_when").alias("_top"))
+    return (timed.join(newest, "entity_id").where(F.col("_when") == F.col("_top")).drop("_when", "_top")
             .dropDuplicates(["entity_id"]))
 
 

@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 from ..functions import trip as TF
 from ..functions.calendar import time_features
 from ..session import materialize
+from .quantiles import weighted_quantiles
 
 # Popularity quartile labels.
 POPULARITY_LABELS = ("low", "medium", "high", "very_high")
+MOST_VALUES = 10_000      # columns that a one-hot encoding may add
 
 
 def one_hot(df: DataFrame, col: str, prefix: str,
             values: list[str] | None = None) -> DataFrame:
     """One 0/1 column ``{prefix}_{value}`` per distinct value (sorted); null -> all 0.
 
-    Without ``values`` the columns are the distinct values, whatever their number: the result's
-    schema needs them, so they (and only they) come to the driver.  ``one_hot_long`` gives the same
-    content as rows, for columns whose values should not become columns.
+    Without ``values`` the columns are the distinct values: the result's schema needs them, so they (and
+    only they, ``MOST_VALUES`` at most) come to the driver.  ``one_hot_long`` gives the same content as rows, for
+    columns with more values.
     """
     if values is None:
         values = distinct_values(df, [col])[col]
@@ -29,9 +31,12 @@ def one_hot(df: DataFrame, col: str, prefix: str,
 
 
 def distinct_values(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-null values of several text columns, in one pass over the rows."""
+    """Sorted distinct non-null values of several text columns, in one pass over the rows; more than
+    ``MOST_VALUES`` are an error, as they cannot become columns."""
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])
-    rows = df.select(F.explode(pairs).alias("p")).select("p.*").where("v is not null").distinct().collect()
+    rows = df.select(F.explode(pairs).alias("p")).select("p.*").where("v is not null").distinct().limit(MOST_VALUES + 1).collect()
+    if len(rows) > MOST_VALUES:
+        raise ValueError(f"more than {MOST_VALUES} distinct values in {cols}: use one_hot_long")
     return {c: sorted(r["v"] for r in rows if r["c"] == c) for c in cols}
 
 
@@ -61,15 +66,15 @@ def popularity_edges(trips: DataFrame, station: str = "start_station_id") -> Dat
     Computed from the per-station table with the count as frequency, which is
     the same distribution without touching the trips a second time.
     """
-    return edges_of_counts(station_popularity(trips, station))
+    return edges_of_counts(materialize(station_popularity(trips, station), "popularity"))
 
 
 def edges_of_counts(counts: DataFrame) -> DataFrame:
-    counts = counts.select(F.col("station_popularity").alias("pop"))
-    q = F.percentile(F.col("pop"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("pop"))
-    return counts.agg(F.min("pop").alias("_e0"), q.alias("_q"), F.max("pop").alias("_e4")).select(
-        "_e0", F.col("_q")[0].alias("_e1"), F.col("_q")[1].alias("_e2"),
-        F.col("_q")[2].alias("_e3"), "_e4")
+    """One row of edges from a stored table of counts, by distributed selection (``weighted_quantiles``)."""
+    found = weighted_quantiles(counts, "station_popularity", "station_popularity", [0.25, 0.5, 0.75])
+    least, quartiles, largest = found or (None, [None] * 3, None)
+    return counts.sparkSession.createDataFrame(
+        [(least, *quartiles, largest)], "_e0 long, _e1 double, _e2 double, _e3 double, _e4 long")
 
 
 def popularity_bucket(trips_with_pop: DataFrame, edges: DataFrame) -> DataFrame:

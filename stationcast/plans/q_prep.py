@@ -162,6 +162,20 @@ def q_f_regression_scores(spark, sf):
     return s.withColumn("f_score", round_half_away("f_score", 3))
 
 
+@register("f_regression_scores_train", f"""WITH {O.series_ctes('user')},
+{O.features_cte(name='every_hour')}, {SPLIT_CTE},
+features AS (SELECT every_hour.* FROM every_hour, s WHERE pickup_hour < split_hour),
+{SCORE_CTES}
+SELECT feature, idx, round(f_score, 3) AS f_score,
+  CAST(row_number() OVER (ORDER BY f_score DESC, idx DESC) AS INTEGER) AS rank,
+  CAST(row_number() OVER (ORDER BY f_score DESC, idx DESC) <= 10 AS INTEGER) AS selected
+FROM f""")
+def q_f_regression_scores_train(spark, sf):
+    """A9 on the hours before the time split only, so the choice of features sees no test row."""
+    train, _ = PR.train_test(feat.full_features(user_series(spark, sf)))
+    return f_regression_scores(train).withColumn("f_score", round_half_away("f_score", 3))
+
+
 _AS_DOUBLE = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _SEL_FEATURES)
 REDUCED_SQL = f"""{RUN_FEATURES_CTES},
 {O.features_cte()},

@@ -76,6 +76,21 @@ def q_feature_json_unpack(spark, sf):
     return S.feature_json_unpack(S.feature_json(b, GROUP), S.feature_schema(b))
 
 
+@register("feature_variant", f"""WITH {BASE_CTES}
+SELECT '{GROUP}' AS feature_group, start_station_id AS entity_id, pickup_hour AS timestamp, rides, rides_lag_24h,
+       CAST(NULL AS DOUBLE) AS rides_lag_168h FROM b1
+UNION ALL
+SELECT '{GROUP}', start_station_id, pickup_hour, rides, rides_lag_24h, rides_lag_168h FROM b2""")
+def q_feature_variant(spark, sf):
+    """C18/C19 where the second batch adds a feature: both in one table, read back by the wider list."""
+    _, b1, b2 = batches(spark, sf)
+    root = scratch_path(spark, "variant-store")
+    for batch in (b1.drop("rides_lag_168h"), b2):
+        S.feature_variant(batch, GROUP).write.mode("append").parquet(root)
+    return S.feature_variant_unpack(spark.read.parquet(root),
+                                    {"rides": "bigint", "rides_lag_24h": "double", "rides_lag_168h": "double"})
+
+
 # --- T3 / T4 ---------------------------------------------------------------
 def upserted(spark, sf):
     b, b1, b2 = ordered_batches(spark, sf)

@@ -188,6 +188,16 @@ def q_one_hot(spark, sf):
     return out.drop("rideable_type", "member_casual")
 
 
+@register("one_hot_long", f"""WITH {O.trips_cte('type')}
+SELECT ride_id, 'bike' AS prefix, rideable_type AS value, 1 AS hot FROM trips WHERE rideable_type IS NOT NULL
+UNION ALL SELECT ride_id, 'user', member_casual, 1 FROM trips WHERE member_casual IS NOT NULL""")
+def q_one_hot_long(spark, sf):
+    """C8 as rows, for values that should not become columns."""
+    t = trips_view(spark, sf)
+    bike, user = (TR.one_hot_long(t, "ride_id", c) for c in ("rideable_type", "member_casual"))
+    return bike.withColumn("prefix", F.lit("bike")).unionByName(user.withColumn("prefix", F.lit("user")))
+
+
 # --- C11 -----------------------------------------------------------------
 def _c11_sql():
     time_exprs = O.time_feature_exprs("started_at")

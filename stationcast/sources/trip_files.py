@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-import re
+import csv
+import io
+import sys
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import cloudpickle as _cp
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TRIP_COLUMNS, TRIP_SCHEMA
 from ..session import ensure_runtime
+from .files import open_stream
+
+_cp.register_pickle_by_value(sys.modules[__name__])
 
 REQUIRED_COLUMNS = ("ride_id", "started_at", "ended_at", "start_station_id", "end_station_id")
 MALFORMED = "_malformed"
@@ -39,41 +47,62 @@ def write_trip_csv(trips: DataFrame, root: str, alt_format_when=None) -> None:
     out.write.mode("overwrite").partitionBy("year", "month").option("header", True).csv(root)
 
 
-def month_folders(spark: SparkSession, root: str) -> dict[tuple[int, int], str]:
-    """(year, month) -> folder, from the listing of ``root/year=Y/month=M``."""
-    jvm = spark.sparkContext._jvm
-    top = jvm.org.apache.hadoop.fs.Path(root)
-    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = {}
-    for y in fs.listStatus(top) if fs.exists(top) else []:
-        year = re.fullmatch(r"year=(\d+)", y.getPath().getName())
-        for m in fs.listStatus(y.getPath()) if year else []:
-            month = re.fullmatch(r"month=(\d+)", m.getPath().getName())
-            if month:
-                out[int(year[1]), int(month[1])] = m.getPath().toString()
+def _first_lines(batches):
+    for batch in batches:
+        headers = []
+        for path in batch.column("path").to_pylist():
+            with open_stream(path) as f, io.TextIOWrapper(f, encoding="utf-8-sig") as text:
+                headers.append(next(csv.reader(text), []))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(headers, pa.list_(pa.string()))],
+                                         names=["path", "year", "month", "header"])
+
+
+def header_catalogue(spark: SparkSession, root: str, first: int, last: int) -> dict[tuple[str, ...], list[str]]:
+    """header -> month folders, of the months first..last (year * 12 + month) under ``root/year=Y/month=M/``.
+
+    One pass: the listing is pruned by the partition columns, and each task reads the first record of its files.  Files of one
+    folder must have the same header.  What comes to the driver is a row per month."""
+    try:
+        files = spark.read.format("binaryFile").load(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    if not {"year", "month"} <= set(files.columns):
+        return {}
+    files = files.where((F.col("year") * 12 + F.col("month")).between(first, last)).select("path", "year", "month")
+    headers = files.mapInArrow(_first_lines, "path string, year int, month int, header array<string>")
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    months = (headers.groupBy("year", "month", folder.alias("folder")).agg(F.collect_set("header").alias("headers"))
+              .orderBy("year", "month", "folder").collect())
+    out: dict[tuple[str, ...], list[str]] = {}
+    for m in months:
+        if len(m["headers"]) > 1:
+            raise ValueError(f"{m['folder']}: the files have different headers")
+        out.setdefault(tuple(m["headers"][0]), []).append(m["folder"])
     return out
 
 
-def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The trip files of one folder, columns taken by their header names.
+def read_trip_csv(spark: SparkSession, root: str, folders: list[str], header: tuple[str, ...]) -> DataFrame:
+    """The trip files of folders with one header, columns taken by their names; ``year`` and ``month`` are the partition columns.
 
-    The header of the folder gives the order; ``enforceSchema`` off makes Spark compare each
+    The header gives the order; ``enforceSchema`` off makes Spark compare each
     file's own header with it, so a file that differs is an error and never read by position.
     Columns that trips need must be there; the others are null where the files lack them.
     Rows with too many or unreadable fields keep their text in ``_malformed``.
     """
     ensure_runtime(spark)
-    header = spark.read.option("header", True).csv(path).columns
     missing = [c for c in REQUIRED_COLUMNS if c not in header]
     if missing:
-        raise ValueError(f"{path}: required columns are missing: {missing}")
+        raise ValueError(f"{folders[0]}: required columns are missing: {missing}")
     known = {f.name: f.dataType for f in TRIP_SCHEMA.fields}
     schema = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in header]
                           + [T.StructField(MALFORMED, T.StringType())])
-    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("basePath", root)
           .option("columnPruning", False)   # a row is compared with the whole header, whatever is selected
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).csv(path))
-    return df.select(*[F.col(c) if c in header else F.lit(None).cast(known[c]).alias(c) for c in TRIP_COLUMNS], MALFORMED)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED).csv(folders))
+    return df.select(*[F.col(c) if c in header else F.lit(None).cast(known[c]).alias(c) for c in TRIP_COLUMNS], MALFORMED,
+                     F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
 
 
 def malformed_rows(trips: DataFrame) -> DataFrame:
@@ -82,19 +111,16 @@ def malformed_rows(trips: DataFrame) -> DataFrame:
                      F.count("ride_id").alias("with_id"))
 
 
-def _scan_months(spark: SparkSession, root: str, wanted) -> DataFrame:
-    """The months of ``root`` that ``wanted(year, month)`` names; only their folders are read."""
-    folders = {k: v for k, v in sorted(month_folders(spark, root).items()) if wanted(*k)}
-    return union_months([
-        read_trip_csv(spark, path).withColumns({"year": F.lit(y), "month": F.lit(m)})
-        for (y, m), path in folders.items()])
+def _scan_months(spark: SparkSession, root: str, first: int, last: int) -> DataFrame:
+    """The months first..last: one scan for each header order, whatever the number of months."""
+    shapes = header_catalogue(spark, root, first, last)
+    return union_months([read_trip_csv(spark, root, folders, header) for header, folders in shapes.items()])
 
 
 def scan_trips(spark: SparkSession, root: str, year: int, month_start: int,
                month_end: int | None = None) -> DataFrame:
     """One year's months [month_start, month_end]; no such month is an error."""
-    month_end = month_end or month_start
-    return _scan_months(spark, root, lambda y, m: y == year and month_start <= m <= month_end)
+    return _scan_months(spark, root, year * 12 + month_start, year * 12 + (month_end or month_start))
 
 
 def month_range_scan(spark: SparkSession, root: str, start: tuple[int, int],
@@ -104,7 +130,7 @@ def month_range_scan(spark: SparkSession, root: str, start: tuple[int, int],
     for _, m in (start, end):
         if not 1 <= m <= 12:
             raise ValueError(f"invalid month {m}")
-    return _scan_months(spark, root, lambda y, m: tuple(start) <= (y, m) <= tuple(end))
+    return _scan_months(spark, root, start[0] * 12 + start[1], end[0] * 12 + end[1])
 
 
 def union_months(frames: list[DataFrame]) -> DataFrame:

@@ -110,3 +110,37 @@ def test_non_numeric_columns_are_rejected(spark):
     df = spark.createDataFrame([("a", 1.0)], "s string, x double")
     with pytest.raises(ValueError):
         PR.assert_numeric(df)
+
+
+def test_trip_files_of_three_header_orders_take_one_scan_each(spark, tmp_path):
+    columns = ["ride_id", "started_at", "ended_at", "start_station_id", "end_station_id"]
+    for month in range(1, 13):
+        order = columns[month % 3:] + columns[:month % 3]
+        values = {"ride_id": f"r{month}", "started_at": "a", "ended_at": "b", "start_station_id": "s", "end_station_id": "e"}
+        trip_file(tmp_path / f"year=2024/month={month}", ",".join(order), ",".join(values[c] for c in order))
+    root = str(tmp_path)
+    assert sorted(map(len, TFILES.header_catalogue(spark, root, 2024 * 12 + 2, 2024 * 12 + 11).values())) == [3, 3, 4]
+    df = TFILES.scan_trips(spark, root, 2024, 2, 11)
+    got = sorted((r.month, r.ride_id, r.start_station_id, r.end_station_id) for r in df.collect())
+    assert got == [(m, f"r{m}", "s", "e") for m in range(2, 12)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3
+
+
+def test_archives_are_streamed_member_by_member(spark, tmp_path):
+    import zipfile
+    from stationcast.schemas import TRIP_COLUMNS
+    from stationcast.sources.archives import scan_zipped_csv
+    head = ",".join(TRIP_COLUMNS)
+    with zipfile.ZipFile(tmp_path / "a b%20.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("__MACOSX/x.csv", "junk")
+        for name in ("one.csv", "in/two.csv"):
+            zf.writestr(name, "\n".join([head, *(f"{name}{i}" + "," * (len(TRIP_COLUMNS) - 1) for i in range(250_000))]))
+    with zipfile.ZipFile(tmp_path / "none.zip", "w") as zf:
+        zf.writestr(".hidden.csv", "junk")
+    first = scan_zipped_csv(spark, f"{tmp_path}/*.zip")
+    assert first.count() == 250_000 and first.where("ride_id like 'in/%'").isEmpty()
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string>" in plan       # no archive's bytes are a value
+    every = scan_zipped_csv(spark, f"{tmp_path}/*.zip", every_member=True)
+    assert every.count() == 500_000 and every.select("ride_id").distinct().count() == 500_000

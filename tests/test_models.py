@@ -70,3 +70,53 @@ def test_model_improvement_formula(spark):
     r = MD.model_improvement(m).first()
     assert (r.baseline_improvement, r.full_model_comparison) == (50.0, -50.0)
     assert MD.best_model(m).first().best_model == "full"
+
+
+def naive_windows(line, end, win, ddof):
+    w = line[:, end - win:end]
+    return w.mean(axis=1), w.max(axis=1), w.std(axis=1, ddof=ddof)
+
+
+@pytest.mark.parametrize("win", [1, 2, 7, 24])
+def test_sliding_windows_match_whole_windows(win):
+    rnd = np.random.default_rng(win)
+    line = np.vstack([rnd.normal(1e6, 3, 150), rnd.integers(0, 5, 150), np.full(150, 4.25), rnd.normal(0, 1e-3, 150)]).astype(float)
+    window, end = RC.SlidingStats(line, 24, win), 24
+    for hop in [1] * 40 + [3, 10, 2 * win + 1, 0, 1, 5]:
+        end += hop
+        window.move(end)
+        mean, top, std = naive_windows(line, end, win, 0)
+        assert np.array_equal(window.max(), top)
+        assert np.allclose(window.mean(), mean, rtol=1e-12, atol=1e-9) and np.allclose(window.std(0), std, rtol=1e-9, atol=1e-9)
+        if win > 1:
+            assert np.allclose(window.std(1), naive_windows(line, end, win, 1)[2], rtol=1e-9, atol=1e-9)
+    assert window.std(0)[2] == 0.0
+
+
+def test_recursion_with_rolling_features_matches_windows_made_anew():
+    rnd = np.random.default_rng(9)
+    names = ["rolling_mean_24h", "rolling_max_24h", "rolling_std_24h", "rolling_mean_48h", "rides_lag_3h"]
+    R = rnd.integers(0, 20, (5, 48)).astype(float)
+    for every in (1, 5):
+        hours = RC.hourly_range(H, H + dt.timedelta(hours=120))
+        got = RC.run_recursion(R, np.zeros(5), hours, RC.serve_spec({"kind": "lag_mean"}, names, refresh_every=every))
+        line, end = R[:, ::-1].copy(), 48
+        for h in range(len(hours)):
+            shown = line[:, :end]
+            mean, top, std = naive_windows(shown, end, 24, 0)
+            want = np.column_stack([mean, top, std, shown[:, end - 48:].mean(axis=1), shown[:, end - 3]]).mean(axis=1)
+            assert np.allclose(got[:, h], want, rtol=1e-9, atol=1e-9)
+            line = np.column_stack([line, want])
+            if line.shape[1] - end == every:
+                end = line.shape[1]
+
+
+def test_lag_mean_over_horizons_around_the_window(spark):
+    data = [(H + dt.timedelta(hours=i), "a", i * i % 7) for i in range(9)]
+    hist = spark.createDataFrame(data, "pickup_hour timestamp_ntz, start_station_id string, rides bigint")
+    for horizon in (1, 3, 4, 5, 13):
+        line = [float(r) for _, _, r in data[-4:]]
+        for _ in range(horizon):
+            line.append(sum(line[-4:]) / 4)
+        got = [r.predicted_rides for r in RC.recursive_lag_mean(hist, 4, horizon).orderBy("pickup_hour").collect()]
+        assert len(got) == horizon and np.allclose(got, line[4:], atol=1e-9)
