@@ -9,6 +9,9 @@ whole rendering without gaps; they stay rows so that a conversation of any lengt
 in one value or task.  Offsets come from two levels of sums: within blocks of ``BLOCK`` turn numbers, and
 over the blocks of a perspective.
 
+Control strings in texts and role names are broken up (``<|im_`` becomes ``<| im_``), and line ends in names
+become spaces, so no turn can open or close another one; ``perspective`` and ``role`` keep the names as they are.
+
 Results for odd rows: a null role is the participant ``unknown``, a null text is empty, a null
 turn comes first; turns equal in number are ordered by role and text, and repeated rows are rendered each;
 conversations with system turns only have no participant and no rows; an empty table gives no rows.
@@ -16,18 +19,23 @@ conversations with system turns only have no participant and no rows; an empty t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 256
 SYSTEM = "system"
 
 
+def plain(c: Column) -> Column:
+    """Text without control strings."""
+    return F.replace(c, F.lit("<|im_"), F.lit("<| im_"))
+
+
 def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                         role_col: str = "role", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     t = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                      F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"),
-                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                     plain(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     t = t.withColumn("__block", F.coalesce(F.floor(F.col("turn") / block), F.lit(-2 ** 62)))
     # pre-aggregated map-side: one row per speaker of a conversation
     speakers = (t.filter(F.col("role") != SYSTEM).select(F.col("conv_id").alias("__conv"),
@@ -36,7 +44,7 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     own = F.col("role") == F.col("perspective")
     head = F.when(own, F.lit("<|im_start|>assistant\n")).when(
         F.col("role") == SYSTEM, F.lit("<|im_start|>system\n")).otherwise(
-        F.concat(F.lit("<|im_start|>user name="), F.col("role"), F.lit("\n")))
+        F.concat(F.lit("<|im_start|>user name="), plain(F.translate("role", "\r\n", "  ")), F.lit("\n")))
     j = (j.withColumn("__head", head).withColumn("segment", F.concat("__head", "text", F.lit("<|im_end|>\n")))
          .withColumn("__chars", F.length("segment").cast("long")))
     keys = ["conv_id", "perspective"]
@@ -62,12 +70,13 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
 
 
 SQL = """
-    WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+    WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|im_', '<| im_') AS text
+              FROM conversations),
     s AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
     j AS (SELECT t.*, s.perspective, role = perspective AS own,
                  CASE WHEN role = perspective THEN '<|im_start|>assistant' || chr(10)
                       WHEN role = 'system' THEN '<|im_start|>system' || chr(10)
-                      ELSE '<|im_start|>user name=' || role || chr(10) END AS head
+                      ELSE '<|im_start|>user name=' || replace(translate(role, chr(13) || chr(10), '  '), '<|im_', '<| im_') || chr(10) END AS head
           FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
     r AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS segment FROM j),
     o AS (SELECT *, row_number() OVER w - 1 AS position,

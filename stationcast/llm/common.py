@@ -69,3 +69,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 def crc32_mod(c: Column, n: int) -> Column:
     """crc32 of the value's text modulo n; a null value counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+GROUPS = (1024, 32)     # sketches are merged in groups of tasks, then in groups of groups, before the last task
+
+
+def frequent(df: DataFrame, col: str, k: int, tracked: int) -> DataFrame:
+    """(item, estimate): the at most k most frequent values by a Misra-Gries summary of ``tracked`` counters.  Every task
+    makes one summary; they are merged level by level, so the last task reads ``GROUPS[-1]`` of them at any number of tasks."""
+    parts = (df.withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(GROUPS[0]))).groupBy("__group")
+             .agg(F.expr(f"approx_top_k_accumulate(`{col}`, {int(tracked)})").alias("__sketch")))
+    for groups in GROUPS[1:]:
+        parts = (parts.groupBy(F.pmod("__group", F.lit(groups)).alias("__group"))
+                 .agg(F.expr(f"approx_top_k_combine(__sketch, {int(tracked)})").alias("__sketch")))
+    whole = (parts.groupBy(F.lit(0).alias("__group"))      # no row, and so no summary, of an empty table
+             .agg(F.expr(f"approx_top_k_combine(__sketch, {int(tracked)})").alias("__sketch")))
+    return (whole.select(F.explode(F.expr(f"approx_top_k_estimate(__sketch, {int(k)})")).alias("t"))
+            .select(F.col("t.item").alias("item"), F.col("t.count").alias("estimate")))

@@ -3,7 +3,7 @@
 1. One narrow pass writes (row number, doc_id, raw-text hash, digest).
 2. A Misra-Gries summary (Spark's mergeable frequent-items sketch, built map-side)
    names the digests that may be frequent.  ``approx_top_k`` with ``tracked`` counters
-   misses no digest holding more than 3.5 / tracked of all rows.
+   misses no digest holding more than 3.5 / tracked of all rows.  It counts 8-byte hashes of the digests.
 3. The candidates are counted exactly; the verified ones -- at most ``heavy`` rows, the
    proven bound of the broadcast -- mark their rows map-side, without any shuffle.
 4. All other digests are shuffled once; no group there is frequent.
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, lower_ascii
+from .common import cut, frequent, lower_ascii
 
 HEAVY = 4096        # most digests that are broadcast
 TRACKED = 65536     # counters of the frequent-items summary
@@ -38,12 +38,10 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def heavy_digests(rows: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
     """Verified frequent digests: exact count and the row that stays (largest doc_id)."""
-    summary = rows.agg(F.expr(f"approx_top_k(text_sha256, {int(heavy)}, {int(tracked)})").alias("top"))
-    named = summary.select(F.explode("top").alias("t")).select(F.col("t.item").alias("text_sha256"),
-                                                               F.col("t.count").alias("estimate"))
-    named = named.filter(F.col("estimate") > 1).select("text_sha256")
+    hashed = rows.withColumn("__hash", F.xxhash64("text_sha256"))     # eight bytes a counter
+    named = frequent(hashed.select("__hash"), "__hash", heavy, tracked).filter("estimate > 1")
     best = F.max(F.struct("doc_id", "rid")).alias("best")
-    return (rows.join(F.broadcast(named), "text_sha256").groupBy("text_sha256")
+    return (hashed.join(F.broadcast(named), F.col("__hash") == F.col("item")).groupBy("text_sha256")
             .agg(best, F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"))
 
 

@@ -4,7 +4,7 @@
   source's size; the excess is shared again by weight until none is above.
 * ``solve_dual``: of all rate vectors that meet the token constraints, the one closest (in
   relative entropy) to the base rates is the exponentially tilted r_d = base_d * exp(lambda_s),
-  kept below ``cap``.  Newton steps on the convex dual; every step is one distributed
+  kept below ``cap``.  Base rates differ by document (``size_prior``), so rates differ within a source.  Newton steps on the convex dual; every step is one distributed
   aggregation over (source, base rate) cells, which hold the sufficient statistics.
 * ``round_plan``: rates become whole copies.  Every document keeps floor(r); the fractions are
   spent in the order hash / fraction (sequential Poisson order) up to the tokens that are
@@ -33,6 +33,7 @@ CAP = 2.0
 BUCKET_ROWS = 20_000   # rows of a source that one hash bucket holds on average, about
 TOLERANCE = 1e-9
 MAX_STEPS = 60
+FULL_BITS = 8          # documents of 128 words or more have the base rate 1
 
 
 def source_key(c: Column) -> Column:
@@ -181,9 +182,15 @@ class MixPlan:
         return d.withColumn("copies", (F.col("whole") + more.cast("int")).cast("int"))
 
 
+def size_prior(size: Column) -> Column:
+    """Base rate of a document by its size class (binary digits of the size): 1 from ``FULL_BITS`` digits on, down to
+    about one half for the shortest, so short fragments are repeated less.  The classes keep the cells few."""
+    return F.lit(0.5) + F.least(F.length(F.bin(size)), F.lit(FULL_BITS)) / F.lit(2.0 * FULL_BITS)
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), word_count(F.col(text_col)).alias("size"),
-                       source_key(F.col(source_col)).alias("skey"), F.lit(1.0).alias("base"))
+                       source_key(F.col(source_col)).alias("skey")).withColumn("base", size_prior(F.col("size")))
 
 
 def mix_decisions(docs: DataFrame, share: float = SHARE, cap: float = CAP, **cols) -> DataFrame:
@@ -200,6 +207,6 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     plan = MixPlan(cut(sized(docs, id_col, text_col, source_col), "mix-rows"), share, cap)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
                         F.col(id_col).cast("long").alias("doc_id"), word_count(F.col(text_col)).alias("size"),
-                        source_key(F.col(source_col)).alias("skey"), F.lit(1.0).alias("base"))
+                        source_key(F.col(source_col)).alias("skey")).withColumn("base", size_prior(F.col("size")))
     return (plan.copies(whole).filter("copies > 0")
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("__row.*"))

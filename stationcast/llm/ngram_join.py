@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_CLASS, cut, prepare, text_slices
+from .common import WORD_CLASS, cut, frequent, prepare, text_slices
 from .components import connected
 
 WORDS = 5
@@ -167,9 +167,8 @@ def second_prefixes(table: DataFrame, reps: DataFrame) -> DataFrame:
     """(token, cls, n, matches, central): what each class still has to look up, only shingles that occur
     twice or more.  table: rid, cls, n, prefix."""
     loose = table.select("rid", F.explode("prefix").alias("token"))
-    hot = loose.agg(F.expr(f"approx_top_k(token, {TOKEN_HOT}, {TOKEN_TRACKED})").alias("top"))
-    hot = hot.select(F.explode("top").alias("t")).select(F.col("t.item").alias("token"), F.col("t.count").alias("est"))
-    hot = F.broadcast(hot.filter("est > 64").select("token"))           # TOKEN_HOT rows at most
+    hot = frequent(loose.select("token"), "token", TOKEN_HOT, TOKEN_TRACKED)
+    hot = F.broadcast(hot.filter("estimate > 64").select(F.col("item").alias("token")))     # TOKEN_HOT rows at most
     exact = cut(loose.join(hot, "token").groupBy("token").agg(F.count(F.lit(1)).alias("df")), "hot-shingles")
     marked = loose.join(F.broadcast(exact), "token", "left")            # hot ones are counted without a shuffle
     rest = marked.filter("df is null").withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token")))

@@ -2,9 +2,10 @@
 
 Only lengths decide a packing, and there are at most ``capacity`` different ones.  So:
 1. every text is tokenised once, in Spark tasks; only pieces (start, length, crc32) are kept;
-2. the histogram of lengths (``capacity`` rows at most) is packed on the driver: complements that
-   fill a sequence exactly are looked up among single, pair and triple length sums under the
-   counts still available, then the rest goes best-fit, longest first, whole classes at a time;
+2. the histogram of lengths (``capacity`` rows at most) is packed on the driver, longest first: complements
+   that fill a sequence exactly are looked up in an index of single, pair and triple length sums under the
+   counts still available; where no combination fills a gap, the best-fitting piece goes in and the rest of the
+   gap is looked up again;
 3. the resulting patterns (bounded by the lengths, not by the data) are dealt to the pieces by
    their rank within the length.  Ranks come from salted groups and offsets, so a length that holds
    a third of all pieces is spread like any other.
@@ -29,6 +30,7 @@ from .common import cut
 CAPACITY = 1024
 END_ID = 2
 SALT_ROWS = 1000
+REACH = 16       # a complement's longest piece is at most capacity / REACH shorter than the longest that fits
 SPECIAL = "<|endoftext|>"   # the tokenizer file's special string: such texts take the slower library
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -84,83 +86,92 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     return rows.mapInArrow(tokenise, PIECES)
 
 
-def plan_patterns(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """[(lengths, sequences)]: how many sequences hold exactly these lengths.  Exact fillings can use up
-    the short pieces that others need; of the plans with complements of up to three, two, one or no
-    pieces the one with the fewest sequences is taken (the first of equals)."""
-    plans = [_plan(counts, capacity, depth) for depth in (3, 2, 1, 0)]
-    return min(plans, key=lambda plan: sum(k for _, k in plan))
+class SumIndex:
+    """Lengths by the sums that one, two or three of them make, over counts that only fall.
+
+    Built once from the lengths that occur.  ``pairs[s]``: the longer lengths of the pairs of sum s; ``triples[s]``: the
+    longest lengths of the triples of sum s; both longest first.  Entries whose lengths have run out are dropped when met."""
+
+    def __init__(self, left: np.ndarray):
+        self.left, capacity = left, len(left) - 1
+        have = np.flatnonzero(left)
+        a, b = (x.ravel() for x in np.meshgrid(have, have, indexing="ij"))
+        self.pairs = self._by_sum(a, a + b, (b <= a) & (a + b <= capacity))
+        shortest = np.full(capacity + 1, capacity + 1)        # of the longer lengths of each pair sum
+        for s, longer in self.pairs.items():
+            shortest[s] = longer[-1]
+        a, s = (x.ravel() for x in np.meshgrid(have, np.fromiter(self.pairs, np.int64, len(self.pairs)), indexing="ij"))
+        self.triples = self._by_sum(a, a + s, (a + s <= capacity) & (shortest[s] <= a) if len(s) else s > 0)
+
+    @staticmethod
+    def _by_sum(longest: np.ndarray, sums: np.ndarray, valid: np.ndarray) -> dict[int, np.ndarray]:
+        longest, sums = longest[valid], sums[valid]
+        order = np.lexsort((-longest, sums))
+        longest, sums = longest[order], sums[order]
+        edges = np.flatnonzero(np.diff(sums)) + 1
+        return {int(g[0]): v for g, v in zip(np.split(sums, edges), np.split(longest, edges)) if len(g)}
+
+    def longest(self, gap: int) -> int:
+        """The longest available length of at most ``gap``, or 0."""
+        some = np.flatnonzero(self.left[:gap + 1])
+        return int(some[-1]) if len(some) else 0
+
+    def available(self, lengths: tuple[int, ...]) -> bool:
+        return all(self.left[n] >= lengths.count(n) for n in set(lengths))
+
+    def _pairs(self, total: int) -> np.ndarray:
+        longer = self.pairs.get(total, np.empty(0, np.int64))
+        alive = (self.left[longer] > 0) & (self.left[total - longer] > 0)
+        if not alive.all():
+            longer = self.pairs[total] = longer[alive]
+        return longer
+
+    def complement(self, head: tuple[int, ...], gap: int, reach: int) -> tuple[int, ...] | None:
+        """One, two or three available lengths of sum ``gap``, the fewest first.  Their longest is at most ``reach`` below the
+        longest that fits: filling a gap with short lengths only would take them from sequences that need them."""
+        if self.available((*head, gap)):
+            return (gap,)
+        least = self.longest(gap - 1) - reach
+        for a in self._pairs(gap):
+            if a < least:
+                break
+            if self.available((*head, int(a), gap - int(a))):
+                return int(a), gap - int(a)
+        longest = self.triples.get(gap, np.empty(0, np.int64))
+        for a in longest[(longest >= least) & (self.left[longest] > 0)].tolist():
+            for b in self._pairs(gap - a).tolist():
+                if b <= a and self.available((*head, a, b, gap - a - b)):
+                    return a, b, gap - a - b
+        return None
 
 
-def _plan(counts: dict[int, int], capacity: int, depth: int) -> list[tuple[tuple[int, ...], int]]:
+def plan_patterns(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """[(lengths, sequences)]: how many sequences hold exactly these lengths.  The longest open length looks up its
+    exact complement; where there is none, the longest piece that fits goes in (best fit) and the smaller gap is looked up
+    again.  A pattern is taken as often as its counts allow, so the steps follow the lengths and not the pieces."""
     left = np.zeros(capacity + 1, np.int64)
     for n, k in counts.items():
         left[n] = k
-    out: list[tuple[tuple[int, ...], int]] = []
-
-    def take(lengths: tuple[int, ...]) -> None:
-        need = {n: lengths.count(n) for n in lengths}
-        k = min(int(left[n]) // m for n, m in need.items())
-        for n, m in need.items():
-            left[n] -= k * m
-        out.append((lengths, k))
-
-    def fits(lengths: tuple[int, ...]) -> bool:
-        return all(left[n] >= lengths.count(n) for n in set(lengths))
-
-    def single(n: int, gap: int) -> tuple[int] | None:
-        return (gap,) if fits((n, gap)) else None
-
-    def pair(n: int, gap: int) -> tuple[int, int] | None:
-        """Two available lengths of sum gap, the longer one first."""
-        low = np.arange(1, gap // 2 + 1)
-        for b in low[(left[low] > 0) & (left[gap - low] > 0)].tolist():
-            if fits((n, gap - b, b)):
-                return gap - b, b
-        return None
-
-    def triple(n: int, gap: int) -> tuple[int, int, int] | None:
-        for a in np.flatnonzero(left[:max(gap - 1, 0)])[::-1].tolist():
-            rest = gap - a
-            low = np.arange(1, rest // 2 + 1)
-            for b in low[(left[low] > 0) & (left[rest - low] > 0)].tolist():
-                if fits((n, a, rest - b, b)):
-                    return a, rest - b, b
-        return None
-
-    if left[capacity]:
-        take((capacity,))
-    for find in (single, pair, triple)[:depth]:
-        for n in range(capacity - 1, 0, -1):    # the longest open length looks for its complement
-            while left[n] and (found := find(n, capacity - n)):
-                take((n, *found))
-    open_by_gap: dict[int, list[list]] = {}     # the rest: best fit, longest first
+    index, out = SumIndex(left), []
     for n in range(capacity, 0, -1):
-        k = int(left[n])
-        while k:
-            gap = min((g for g in open_by_gap if g >= n), default=0)
-            if gap:
-                group = open_by_gap[gap][-1]
-                used = min(k, group[1])
-                fresh = (*group[0], n)
-                group[1] -= used
-                if not group[1]:
-                    open_by_gap[gap].pop()
-                    if not open_by_gap[gap]:
-                        del open_by_gap[gap]
-                open_by_gap.setdefault(gap - n, []).append([fresh, used])
-                k -= used
-                continue
-            per = capacity // n
-            used = k // per
-            if used:
-                open_by_gap.setdefault(capacity - per * n, []).append([(n,) * per, used])
-                k -= used * per
-            else:
-                open_by_gap.setdefault(capacity - k * n, []).append([(n,) * k, 1])
-                k = 0
-    out += [(lengths, k) for groups in open_by_gap.values() for lengths, k in groups]
-    return [(lengths, k) for lengths, k in out if k]
+        while left[n]:
+            lengths, gap = (n,), capacity - n
+            while gap:
+                found = index.complement(lengths, gap, capacity // REACH)
+                if found:
+                    lengths, gap = (*lengths, *found), 0
+                    continue
+                fitting = np.flatnonzero(left[:gap + 1])[::-1].tolist()
+                best = next((a for a in fitting if index.available((*lengths, a))), 0)
+                if not best:
+                    break
+                lengths, gap = (*lengths, best), gap - best
+            need = {m: lengths.count(m) for m in lengths}
+            k = min(int(left[m]) // times for m, times in need.items())
+            for m, times in need.items():
+                left[m] -= k * times
+            out.append((lengths, k))
+    return out
 
 
 def slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:

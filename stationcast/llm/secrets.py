@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CLASS, cut, lower_ascii
+from .common import WORD_CLASS, cut, frequent, lower_ascii
 
 DICTIONARY = 2000
 TRACKED = 65536
@@ -59,8 +59,7 @@ def dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY,
     text = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
     every = docs.select(F.explode_outer(F.regexp_extract_all(text, F.lit("[a-z]{3,}"), F.lit(0))).alias("w"))
     every = every.filter("w is not null")
-    top = every.agg(F.expr(f"transform(approx_top_k(w, {words}, {tracked}), x -> x.item)").alias("top")).first()["top"]
-    return sorted(top or [])
+    return sorted(r["item"] for r in frequent(every, "w", words, tracked).collect())     # at most ``words`` rows
 
 
 def _share(c: Column) -> Column:

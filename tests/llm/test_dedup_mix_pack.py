@@ -2,12 +2,13 @@
 
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations, combinations_with_replacement
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stationcast.llm import exact_dedup, mixing, packing
+from stationcast.llm import common, exact_dedup, mixing, packing
 from odd import SCHEMA, given, low, odd_docs
 
 
@@ -100,6 +101,30 @@ def test_dual_meets_constraints_with_unequal_base_rates(spark):
         assert abs(got - want) < 1e-5 * want
 
 
+@pytest.mark.parametrize("which", ["odd", "given"])
+def test_document_rates_match_a_scalar_search(spark, which):
+    """Every rate is base * exp(lambda) below the cap, lambda found anew by bisection; rates differ within a source."""
+    docs = odd_docs(spark) if which == "odd" else given(spark, sf="/root/testdata/sf0.01")
+    by_source = defaultdict(list)
+    source = {r["doc_id"]: r["source"] for r in docs.select("doc_id", "source").collect()}
+    for r in mixing.mix_decisions(docs).collect():
+        base = 0.5 + min(len(f"{r['size']:b}"), 8) / 16
+        by_source[source[r["doc_id"]]].append((r["size"], base, r["rate"], r["target"]))
+    spread = 0
+    for rows in by_source.values():
+        size, base, rate, target = map(np.array, zip(*rows))
+        if not target[0]:
+            continue
+        low, high = -60.0, 60.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if (size * np.minimum(2.0, base * np.exp(mid))).sum() < target[0] else (low, mid)
+        some = size > 0         # no constraint holds a document without words
+        assert np.allclose(rate[some], np.minimum(2.0, base * np.exp(high))[some], atol=1e-6)
+        spread += len(set(rate[some])) > 1
+    assert spread
+
+
 def encoded(text):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -155,6 +180,70 @@ def test_exact_complements_are_found():
     assert packing.plan_patterns({30: 1, 20: 1, 10: 1, 4: 1}, 64) == [((30, 20, 10, 4), 1)]
 
 
+def lengths_of(spark, sf):
+    """Histogram of the pieces' lengths of a given table, made without Spark."""
+    counts = Counter()
+    for r in given(spark, sf=sf).select("text").collect():
+        n = len(packing.encode(r["text"] or "", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken")) + 1
+        starts = packing.cut_points(n, 1024)
+        counts.update(b - a for a, b in zip(starts, [*starts[1:], n]))
+    return dict(counts)
+
+
+def test_few_sequences_and_triples_on_the_given_table(spark):
+    counts = lengths_of(spark, "/root/testdata/sf0.01")
+    patterns = packing.plan_patterns(counts, 1024)
+    assert sum(k for _, k in patterns) <= 964
+    assert any(len(lengths) == 4 and sum(lengths) == 1024 for lengths, _ in patterns)
+
+
+def test_sum_index_against_all_combinations():
+    rng = np.random.default_rng(8)
+    for _ in range(40):
+        left = np.zeros(25, np.int64)
+        for n in rng.integers(1, 24, rng.integers(1, 9)):
+            left[n] += rng.integers(1, 3)
+        index = packing.SumIndex(left)
+        for _ in range(4):
+            have = [n for n in np.flatnonzero(left).tolist()]
+            for gap in range(1, 24):
+                sets = [c for m in (1, 2, 3) for c in combinations_with_replacement(have, m)
+                        if sum(c) == gap and all(left[n] >= c.count(n) for n in c)]
+                got = index.complement((), gap, 25)
+                assert (got is None) == (not sets), (left, gap)
+                if got:
+                    assert len(got) == min(map(len, sets)) and tuple(sorted(got)) in sets
+            left[rng.choice(have)] = 0 if len(have) > 1 else 1     # a length runs out
+
+
+def test_small_packings_are_near_the_optimum():
+    def best(pieces, cap):
+        if not pieces:
+            return 0
+        first, rest, found = pieces[0], pieces[1:], len(pieces)
+        for m in range(len(rest) + 1):
+            for c in combinations(range(len(rest)), m):
+                if first + sum(rest[i] for i in c) <= cap:
+                    found = min(found, 1 + best([p for i, p in enumerate(rest) if i not in c], cap))
+        return found
+
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        pieces = sorted(rng.integers(1, 21, 7).tolist(), reverse=True)
+        ours = sum(k for _, k in packing.plan_patterns(dict(Counter(pieces)), 20))
+        assert ours <= best(pieces, 20) + 1
+
+
+def test_frequent_values_are_the_same_at_any_number_of_tasks(spark):
+    rows = spark.range(60_000).selectExpr("if(id % 3 = 0, 'a b', if(id % 5 = 0, 'c', concat('x', id))) AS w")
+    for parts in (1, 3, 70):
+        top = {r["item"]: r["estimate"] for r in common.frequent(rows.repartition(parts), "w", 5, 1024).collect()}
+        assert len(top) <= 5 and abs(top["a b"] - 20_000) < 250 and abs(top["c"] - 8_000) < 250
+    exact = common.frequent(rows.filter("w in ('a b', 'c')"), "w", 5, 1024).collect()
+    assert {r["item"]: r["estimate"] for r in exact} == {"a b": 20_000, "c": 8_000}
+    assert common.frequent(rows.limit(0), "w", 5, 1024).count() == 0
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact_dedup.dedup_decisions(empty).count() == 0
