@@ -48,7 +48,9 @@ COST = 64                      # estimated candidates above which a document ask
 MOST_MATCHES = 4
 ROUNDS = 2
 BITS = 1024                    # of a parity bitmap
+BEFORE = 16                    # shingles of a class that its row remembers, those before its own in order
 TOKEN_HOT, TOKEN_TRACKED = 4096, 65536
+PAIR_COLUMNS = ("cls", "n", "matches", "comp", "bits", "before")
 SLICE = 1 << 20                # bytes of text whose shingles a task holds at a time
 REMEMBERED = 100_000           # word hashes that a task remembers
 
@@ -222,17 +224,25 @@ def round_pairs(open_rows: DataFrame, turn: int) -> DataFrame:
 
 def all_pairs(open_rows: DataFrame) -> DataFrame:
     """(a, b): every pair of a group in different components that shares enough shingles.  One side leaves out
-    the largest component of the group, so its members never meet each other."""
+    the largest component of the group, so its members never meet each other.
+
+    A pair of long texts may share thousands of groups, of which the multi-match count needs a few.  Each row remembers
+    the ``BEFORE`` groups before it in its class' order; where two rows remember as many common ones as the pair needs,
+    the pair has met already.  The first groups that a pair shares never have so many before them, so none is lost."""
+    before = Window.partitionBy("cls").orderBy("token").rowsBetween(-BEFORE, -1)
+    open_rows = open_rows.withColumn("before", F.collect_list("token").over(before))
     per = open_rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
     big = per.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("x")).select("token", F.col("x.comp").alias("big"))
     rows = open_rows.join(big, "token")
-    left = rows.filter("comp <> big").select("token", "weight", *[F.col(c).alias("a_" + c) for c in ("cls", "n", "matches", "comp", "bits")])
-    right = rows.select("token", "big", *[F.col(c).alias("b_" + c) for c in ("cls", "n", "matches", "comp", "bits")])
+    left = rows.filter("comp <> big").select("token", "weight", *[F.col(c).alias("a_" + c) for c in PAIR_COLUMNS])
+    right = rows.select("token", "big", *[F.col(c).alias("b_" + c) for c in PAIR_COLUMNS])
+    needed = F.least("a_matches", "b_matches")
     met = left.join(right, "token").filter(
         (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("big")) | (F.col("a_cls") < F.col("b_cls")))
-        & may_link("a_n", "b_n", "a_bits", "b_bits"))
+        & may_link("a_n", "b_n", "a_bits", "b_bits")
+        & (F.size(F.array_intersect("a_before", "b_before")) < needed))
     counted = (met.groupBy(F.least("a_cls", "b_cls").alias("a"), F.greatest("a_cls", "b_cls").alias("b"))
-               .agg(F.sum("weight").alias("k"), F.min(F.least("a_matches", "b_matches")).alias("l")))
+               .agg(F.sum("weight").alias("k"), F.min(needed).alias("l")))
     return counted.filter("k >= l").select("a", "b")
 
 
