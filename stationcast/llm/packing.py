@@ -37,28 +37,37 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _ENCODERS: dict = {}
 
 
-def _encoders(vocab: str, ranks: str):
-    """Both encoders, made once in a worker.  The rank file holds the same vocabulary and merges;
-    its library is four times as fast."""
-    if (vocab, ranks) not in _ENCODERS:
+def _fast(ranks: str):
+    """The rank file holds the same vocabulary and merges as the tokenizer file; its library is four times as fast."""
+    if ranks not in _ENCODERS:
         import base64
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
         with open(public_tokenizers.path(ranks), "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        slow = Tokenizer.from_file(public_tokenizers.path(vocab))
-        _ENCODERS[vocab, ranks] = (fast, slow)
-    return _ENCODERS[vocab, ranks]
+        _ENCODERS[ranks] = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
+                                             special_tokens={})
+    return _ENCODERS[ranks]
+
+
+def _slow(vocab: str):
+    """Made only when a text needs it: it takes 40 MB."""
+    if vocab not in _ENCODERS:
+        import public_tokenizers
+        from tokenizers import Tokenizer
+        _ENCODERS[vocab] = Tokenizer.from_file(public_tokenizers.path(vocab))
+    return _ENCODERS[vocab]
+
+
+def forget_encoders() -> None:
+    _ENCODERS.clear()
 
 
 def encode(text: str, vocab: str, ranks: str) -> np.ndarray:
-    fast, slow = _encoders(vocab, ranks)
     if SPECIAL in text:
-        return np.array(slow.encode(text, add_special_tokens=False).ids, "<u4")
-    return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        return np.array(_slow(vocab).encode(text, add_special_tokens=False).ids, "<u4")
+    return _fast(ranks).encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
 
 
 def cut_points(n: int, capacity: int) -> list[int]:
@@ -81,6 +90,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        forget_encoders()       # Spark keeps the worker for other tasks
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(tokenise, PIECES)
