@@ -146,3 +146,17 @@ def test_shuffled_path_of_components(spark):
     nodes = spark.createDataFrame([(i, i) for i in ids], "cls long, comp long")
     edges = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")
     assert {r["comp"] for r in connected(nodes, edges).collect()} == {0}
+
+
+def test_pairs_of_long_texts_are_listed_whole(spark):
+    """Pairs that share many groups meet at a few of them only; none is lost, whatever they need."""
+    rng = random.Random(3)
+    sets = {c: {t for t in range(300) if rng.random() < share} for c, share in
+            enumerate([0.9, 0.9, 0.7, 0.5, 0.3, 0.1, 0.05, 0.02, 0.02, 0.01, 0.01, 0.01])}
+    matches = {c: 1 + c % 4 for c in sets}
+    comp = {c: c // 2 for c in sets}
+    rows = [(t, c, 1000, matches[c], comp[c], 1, [0] * (ngram_join.BITS // 64)) for c, s in sets.items() for t in s]
+    table = spark.createDataFrame(rows, "token long, cls long, n long, matches int, comp long, weight long, bits array<long>")
+    got = {(r["a"], r["b"]) for r in ngram_join.all_pairs(table).collect()}
+    assert got == {(a, b) for a in sets for b in sets if a < b and comp[a] != comp[b]
+                   and len(sets[a] & sets[b]) >= min(matches[a], matches[b])}
