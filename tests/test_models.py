@@ -120,3 +120,14 @@ def test_lag_mean_over_horizons_around_the_window(spark):
             line.append(sum(line[-4:]) / 4)
         got = [r.predicted_rides for r in RC.recursive_lag_mean(hist, 4, horizon).orderBy("pickup_hour").collect()]
         assert len(got) == horizon and np.allclose(got, line[4:], atol=1e-9)
+
+
+def test_compare_models_sends_no_frame_through_the_driver(spark):
+    actual = spark.createDataFrame([(H, "a", 3), (H, "b", 0), (H, "b", 0)], "pickup_hour timestamp_ntz, start_station_id string, rides long")
+    frames = {m: spark.createDataFrame(rows, "pickup_hour timestamp_ntz, start_station_id string, prediction double")
+              for m, rows in (("full", [(H, "a", 1.0), (H, "b", 2.0)]), ("reduced", [(H, "a", 4.0)]))}
+    got = MD.compare_models(actual, frames)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+    assert sorted((r.start_station_id, r.actual, r.full, r.reduced) for r in got.collect()) \
+        == [("a", 3.0, 1.0, 4.0), ("b", 0.0, 2.0, None), ("b", 0.0, 2.0, None)]
