@@ -14,8 +14,8 @@ levels and sets one cut where good and junk distances are told apart with the le
 distance from the level less that cut; a document is kept when no base rule fails and its score reaches
 ``THRESHOLD``, 0.
 
-``trusted_rows`` bounds the labelled rows that define the target, and the junk rows that set the cut (in hash
-order of doc_id); the raw counts and the scores cover every document.
+Every labelled document takes part: all documents labelled good define the target, and they and all those labelled
+junk set the cut.  Spark joins the labels by their size; the raw counts and the scores cover every document.
 
 Results for odd rows: a null text has no words, fails the base rules and scores 0; without labels of both kinds
 all scores are 0 and only the base rules decide; rows of equal doc_id are judged each; an empty table
@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from .common import WORD_CLASS
 
 BUCKETS = 10_000
-TRUSTED_ROWS = 20_000
 MIN_WORDS = 50
 THRESHOLD = 0.0               # scores are distances from the run's own cut
 STEP = 0.001                  # bin width of the ratios that set levels and cut
@@ -54,20 +53,21 @@ def gram_buckets(buckets: int) -> Column:
                                              cast(pmod(xxhash64('', w), {buckets}) as int))))""")
 
 
-def labelled_ids(labels: DataFrame, quality: int, rows: int) -> DataFrame:
-    marked = labels.filter((F.col("quality") == quality) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def labelled_ids(labels: DataFrame) -> DataFrame:
+    """(__mark, __good): every labelled id once; one with labels of both kinds is trusted."""
+    marked = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+    return marked.groupBy(F.col("doc_id").alias("__mark")).agg((F.max("quality") == 1).alias("__good"))
 
 
-def trusted_ids(labels: DataFrame, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
-    return labelled_ids(labels, 1, trusted_rows).select(F.col("doc_id").alias("__trusted"))
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    return labelled_ids(labels).filter("__good").select(F.col("__mark").alias("__trusted"))
 
 
 def gram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 buckets: int = BUCKETS) -> tuple[list[int], list[int]]:
-    """Each bucket's n-grams in all and in the trusted documents; ``trusted`` holds a bounded number of ids."""
+    """Each bucket's n-grams in all and in the trusted documents; ``trusted`` has each id once."""
     rows = with_words(docs, id_col, text_col).select("doc_id", gram_buckets(buckets).alias("grams"))
-    rows = rows.join(F.broadcast(trusted), F.col("doc_id") == F.col("__trusted"), "left")
+    rows = rows.join(trusted, F.col("doc_id") == F.col("__trusted"), "left")
     # explode_outer: for explode, Spark would infer a filter that builds the n-grams a second time
     counts = (rows.select(F.col("__trusted").isNotNull().cast("long").alias("t"), F.explode_outer("grams").alias("bucket"))
               .filter("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("good"))).collect()
@@ -87,7 +87,7 @@ def ratios_of(raw: list[int], good: list[int]) -> list[float]:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                buckets: int = BUCKETS) -> list[float]:
-    """log p_trusted / p_raw of each bucket; ``trusted`` holds a bounded number of ids."""
+    """log p_trusted / p_raw of each bucket; ``trusted`` has each id once."""
     return ratios_of(*gram_counts(docs, trusted, id_col, text_col, buckets))
 
 
@@ -134,7 +134,7 @@ def best_cut(good: dict[float, int], junk: dict[float, int]) -> float:
 def _bins(docs: DataFrame, marked: DataFrame, raw: list[int], good: list[int], id_col: str, text_col: str,
           lang: Column) -> list:
     """Counts of (lang, good, ratio rounded to STEP) over the documents of ``marked`` (mark, good, own)."""
-    rows = with_words(docs.join(F.broadcast(marked), F.col(id_col) == F.col("__mark")), id_col, text_col,
+    rows = with_words(docs.join(marked, F.col(id_col) == F.col("__mark")), id_col, text_col,
                       lang.alias("lang"), F.col("__good").alias("good"), F.col("__good").alias("own"))
     rows = rows.filter(F.size("words") >= MIN_WORDS).select("lang", "good", "own", gram_buckets(len(raw)).alias("grams"))
     return _histogram(rows, raw, good)
@@ -146,13 +146,10 @@ def _histogram(rows: DataFrame, raw: list[int], good: list[int]) -> list:
             for r in rated.groupBy("lang", "good", "bin").agg(F.count(F.lit(1)).alias("n")).collect()]
 
 
-def language_cuts(docs: DataFrame, labels: DataFrame, trusted: DataFrame, raw: list[int], good: list[int], id_col: str,
-                  text_col: str, lang: Column, rows: int) -> dict[str, float] | None:
+def language_cuts(docs: DataFrame, labels: DataFrame, raw: list[int], good: list[int], id_col: str,
+                  text_col: str, lang: Column) -> dict[str, float] | None:
     """The ratio of each language from which documents are kept; None without labels of both kinds."""
-    junk = labelled_ids(labels, 0, rows).join(trusted, F.col("doc_id") == F.col("__trusted"), "left_anti")
-    marked = (trusted.select(F.col("__trusted").alias("__mark"), F.lit(True).alias("__good"))
-              .unionByName(junk.select(F.col("doc_id").alias("__mark"), F.lit(False).alias("__good"))))
-    bins = _bins(docs, marked, raw, good, id_col, text_col, lang)
+    bins = _bins(docs, labelled_ids(labels), raw, good, id_col, text_col, lang)
     if len({g for _, g, _, _ in bins}) < 2:
         return None
     level = {x: _median([(s, n) for y, g, s, n in bins if g and y == x]) for x in {y for y, g, _, _ in bins if g}}
@@ -186,15 +183,15 @@ def repeated_words() -> Column:
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS,
-                     threshold: float = THRESHOLD, lang_col: str = "lang") -> DataFrame:
+                     buckets: int = BUCKETS, threshold: float = THRESHOLD,
+                     lang_col: str = "lang") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score."""
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
-    trusted = trusted_ids(labels, trusted_rows)
+    trusted = trusted_ids(labels)
     raw, good = gram_counts(docs, trusted, id_col, text_col, buckets)
-    cuts = language_cuts(docs, labels, trusted, raw, good, id_col, text_col, lang, trusted_rows)
+    cuts = language_cuts(docs, labels, raw, good, id_col, text_col, lang)
     base = with_words(docs, id_col, text_col, lang.alias("lang"))
-    base = base.join(F.broadcast(trusted), F.col("doc_id") == F.col("__trusted"), "left").select(
+    base = base.join(trusted, F.col("doc_id") == F.col("__trusted"), "left").select(
         "doc_id", "lang", F.col("__trusted").isNotNull().alias("own"), F.size("words").cast("long").alias("n_words"),
         F.expr("aggregate(words, 0L, (a, w) -> a + char_length(w))").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),

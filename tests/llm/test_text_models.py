@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stationcast.llm import chat, licenses, lm_score, quality_gam, quality_rules, secrets
 from odd import SCHEMA, given, labels, low, odd_docs
@@ -118,6 +119,15 @@ def test_log_ratios_against_counts(spark):
         assert abs(ratios[b] - want) < 1e-5
 
 
+def test_every_labelled_document_takes_part(spark):
+    marks = spark.range(30000).selectExpr("id AS doc_id", "cast(id % 3 > 0 as int) AS quality", "0 AS toxic")
+    marks = marks.unionByName(labels(spark, [(0, 1, 0), (1, 0, 0), (None, 1, 0), (40000, None, 0)]).select(*[
+        F.col(c).cast(t) for c, t in marks.dtypes]))
+    got = {r[0]: r[1] for r in quality_rules.labelled_ids(marks).collect()}
+    assert got == {i: i % 3 > 0 or i == 0 for i in range(30000)}
+    assert quality_rules.trusted_ids(marks).count() == 20001
+
+
 def test_quality_rules_separate_junk(spark):
     sf = "/root/testdata/sf0.01"
     marks = {r["doc_id"]: r["quality"] for r in given(spark, "labels", sf).collect()}
