@@ -45,3 +45,13 @@ def test_popularity_quartiles_and_duplicate_edges(spark):
 def test_round_trip_with_unknown_end(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b"), ("a", None)], "s string, e string")
     assert [r[0] for r in df.select(TF.round_trip(F.col("s"), F.col("e"))).collect()] == [1, 0, 0]
+
+
+def test_trip_view_of_some_columns(spark):
+    from stationcast.plans.pipelines import CLEANED_BY
+    from stationcast.sources.tables import trips_view
+    sf = "/root/testdata/sf0.001"
+    some = trips_view(spark, sf, ends=True, columns=CLEANED_BY)
+    assert tuple(some.columns) == CLEANED_BY
+    whole = trips_view(spark, sf, ends=True).select(*CLEANED_BY)
+    assert some.exceptAll(whole).count() == whole.exceptAll(some).count() == 0
