@@ -13,9 +13,9 @@ What is gathered from the corpus:
   the base score, so every training word counts however rare;
 * bit counters: each task fills its own tables and they are added up.  Tables have a slot for four training tokens, up to
   2 ^ ``MOST_SLOT_BITS`` (they go to every task; more is a parameter and a question of memory);
-* start weights: fitted on at most ``2 * FIT_DOCS`` distinct training rows of at most ``FIT_CHARS`` characters, picked by a
-  hash of the row, that the counters had not seen; their counts are added afterwards and all other training rows are
-  counted by the tasks, so that the counters cover the whole training part.
+* start weights and refining table: fitted on all training rows by the tasks.  The rows are two halves by a hash of the
+  row, each half is read with the counters of the other, which have not seen it, and every text's last weights and every
+  decision's odds enter the sums.  The counters of both halves together cover the whole training part.
 
 Results for odd rows: a null text is empty and consists of the end token; repeated rows are scored each; without any
 training document all counts are 0 and the model starts from even odds; an empty table gives no rows; other columns
@@ -50,7 +50,7 @@ BLOCK = 64
 RATE, PRIOR_ROWS = 1.0, 24.0
 BATCH_WORDS = 100_000
 PENDING = 4_000_000           # decisions that a task holds before it adds them to its tables
-FIT_DOCS, FIT_CHARS, EPOCHS = 400, 20_000, 6
+FIT_DOCS, EPOCHS = 400, 6     # texts that a task reads before it moves its weights; how often it reads its first ones
 START = (0.3, 0.3, 0.3, 0.3, 0.0)
 REFINE, SPREAD = 24, 8.0
 STEPS = 16                    # steps of a table's log odds in one nat
@@ -197,6 +197,12 @@ class Mixer:
             if n:
                 self.weights = (total / n).astype(np.float32)
         counts = sum((self.read(Coded(trees, g, self.slot_bits), len(g), True)[2] for g in groups), np.zeros((2, GATES * REFINE)))
+        self.set_fit(self.weights, 1, counts)
+
+    def set_fit(self, weights: np.ndarray, texts: int, counts: np.ndarray) -> None:
+        """Start weights from the sum of the texts' last weights, the refining table from their decisions."""
+        if texts:
+            self.weights = (weights / texts).astype(np.float32)
         grid = self.refine.ravel()
         pull = 20.0   # counts as much as this many decisions at the grid's own odds
         p = 1 / (1 + np.exp(-grid))
@@ -308,29 +314,53 @@ def bit_counters(rows: DataFrame, trees: Trees, bits: int, tasks: int) -> np.nda
     return out
 
 
+def fit_sums(rows: DataFrame, trees: Trees, odds: list[list[np.ndarray]], tasks: int) -> tuple[np.ndarray, int, np.ndarray]:
+    """(sum of the texts' last weights, texts, counts of the refining table) over all rows (text, half); ``odds``: for each
+    half the tables that it is read with.  A task starts each step of FIT_DOCS texts with the mean of the last weights of
+    the step before; its first step, read EPOCHS times before, is counted once as well.  A row of a few hundred numbers a task comes back."""
+    shared = rows.sparkSession.sparkContext.broadcast((trees, odds))
+    sizes = GATES * INPUTS, 2 * GATES * REFINE
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, odds = shared.value
+        mixers = [Mixer(t) for t in odds]
+        start, total, texts, seen = mixers[0].weights, np.zeros((GATES, INPUTS)), 0, np.zeros((2, GATES * REFINE))
+        for b in batches:
+            for h, mixer in enumerate(mixers):
+                own = b.filter(pc.equal(b.column(1), h)).column(0)
+                for group in _groups(t.as_py() for t in own):
+                    for at in range(0, len(group), FIT_DOCS):
+                        step = group[at:at + FIT_DOCS]
+                        mixer.weights = start
+                        if not texts:
+                            mixer.fit(trees, [step])
+                        _, last, counts = mixer.read(Coded(trees, step, mixer.slot_bits), len(step), True)
+                        last = last.reshape(len(step), GATES, INPUTS).sum(0, dtype=np.float64)
+                        start = (last / len(step)).astype(np.float32)
+                        total, texts, seen = total + last, texts + len(step), seen + counts
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64())), pa.array([texts], pa.int64()),
+                                          pa.array([seen.ravel()], pa.list_(pa.float64()))], names=["weights", "texts", "seen"])
+
+    parts = rows.coalesce(tasks).mapInArrow(fit, "weights array<double>, texts long, seen array<double>").collect()
+    weights, seen = (sum((np.array(r[c]) for r in parts), np.zeros(n)) for c, n in zip(("weights", "seen"), sizes))
+    return weights.reshape(GATES, INPUTS), sum(r["texts"] for r in parts), seen.reshape(2, GATES * REFINE)
+
+
 def train(training: DataFrame, counts: DataFrame, n_training: int, total: int) -> tuple[Trees, Mixer, dict[bytes, int]]:
     """Trees, mixer and the head's counts.  training: key (hash of id and text), text."""
     frequent = counts.filter((F.col("n") >= MIN_COUNT) & (F.length("token") > 0)).orderBy(F.desc("n"), "token").limit(HEAD)
     head = [(bytes(r["token"]), r["n"]) for r in frequent.collect()]
     head += [(END, n_training)] if n_training else []     # one end token for each training document
     trees = Trees(head, total - sum(n for _, n in head))
-    every = max(8, n_training // FIT_DOCS)
-    fit_row = (F.pmod(F.col("key"), F.lit(every)) == 0) & (F.coalesce(F.length("text"), F.lit(0)) <= FIT_CHARS)
-    # equal rows are one row with its number; the rows behind the last key are counted with the rest
-    sample = (training.filter(fit_row).groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.min("text").alias("text"))
-              .orderBy("key").limit(2 * FIT_DOCS).collect())
-    last = sample[-1]["key"] if len(sample) == 2 * FIT_DOCS else (1 << 63) - 1
     tasks = 2 * training.sparkSession.sparkContext.defaultParallelism
     bits = slot_bits(total)
-    tables = bit_counters(training.filter(~(fit_row & (F.col("key") <= last))), trees, bits, tasks)
-    groups = list(_groups(r["text"] for r in sample))
+    half = F.pmod("key", F.lit(2))          # equal rows are in one half
+    tables = [bit_counters(training.filter(half == h), trees, bits, tasks) for h in (0, 1)]
+    odds = [[log_odds(t) for t in tables[1 - h]] for h in (0, 1)]
+    tables = np.add(*tables, out=tables[0])
+    fitted = fit_sums(training.select("text", half.cast("int").alias("half")), trees, odds, tasks)
     mixer = Mixer([log_odds(t) for t in tables])
-    mixer.fit(trees, groups)
-    for r in sample:
-        coded = Coded(trees, [tokens(r["text"])], bits)
-        for k, s in enumerate(coded.slots):
-            np.add.at(tables[k], (s, coded.bit), np.float32(r["k"]))
-    mixer.tables = [log_odds(t) for t in tables]
+    mixer.set_fit(*fitted)
     return trees, mixer, dict(head)
 
 

@@ -254,6 +254,21 @@ def test_lm_counts_every_training_row(spark, monkeypatch):
     assert 0 < sum(t.sum() for t in kept["all"][:lm_score.CONTEXTS]) < want.sum()      # the fit saw tables without its rows
 
 
+def test_lm_weights_are_fitted_on_every_training_row(spark, monkeypatch):
+    """Long rows, repeated rows and rows without an id: all texts and decisions are in the sums of the fit."""
+    rows = [(i, f"alpha beta w{i % 40} gamma v{i % 7}") for i in range(900)] + [(None, "none beta")] * 300 + [(5, "long " * 5000)] * 3
+    docs = odd_docs(spark, [(i, t, "en", "a", 0, "x", None, 7, "y", "z") for i, t in rows])
+    kept, given_sums = [], lm_score.Mixer.set_fit
+    monkeypatch.setattr(lm_score.Mixer, "set_fit", lambda self, *sums: kept.append(sums) or given_sums(self, *sums))
+    tables, odds = [], lm_score.log_odds
+    monkeypatch.setattr(lm_score, "log_odds", lambda counts: tables.append(counts.sum()) or odds(counts))
+    lm_score.lm_scores(docs).count()
+    (weights, texts, seen), = kept
+    assert texts == sum(fold(i, 7) != 2 for i, _ in rows) and np.isfinite(weights).all()
+    assert seen.sum() == tables[-1] and tables[-1] == tables[0] + tables[lm_score.CONTEXTS]    # halves, each with the other's tables
+    assert min(tables) > 0
+
+
 BITS = 18
 
 
