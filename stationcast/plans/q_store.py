@@ -42,10 +42,10 @@ def batches(spark, sf):
 
 
 def ordered_batches(spark, sf):
-    """Both batches with a write order; the second writes each key twice, the larger value last."""
+    """Both batches with a write order; the second writes each key twice, the larger value last.  Its rows are made once."""
     b, b1, b2 = batches(spark, sf)
-    early = b2.withColumn("rides", F.col("rides") - 5).withColumn("n", F.lit(1))
-    return b, b1.withColumn("n", F.lit(1)), b2.withColumn("n", F.lit(2)).unionByName(early)
+    writes = F.inline(F.array(*[F.struct((F.col("rides") - less).alias("rides"), F.lit(n).alias("n")) for less, n in ((0, 2), (5, 1))]))
+    return b, b1.withColumn("n", F.lit(1)), b2.select(*[c for c in b2.columns if c != "rides"], writes).select(*b2.columns, "n")
 
 
 BASE_CTES = f"""{O.series_ctes('user')},

@@ -121,3 +121,26 @@ def test_latest_record_by_event_then_insertion(spark):
             ("a", "2024-01-02T00:00:00Z", "2024-01-04T00:00:00Z", 3), ("b", "2024-01-01T00:00:00Z", "2024-01-01T00:00:00Z", 4)]
     df = spark.createDataFrame(rows, "entity_id string, event_time string, record_insertion_time string, x int")
     assert sorted((r.entity_id, r.x) for r in S.latest_record(df).collect()) == [("a", 3), ("b", 4)]
+
+
+def test_files_of_a_partition_grow_with_its_rows(spark, tmp_path, monkeypatch):
+    import glob
+    monkeypatch.setattr(S, "ROWS_A_FILE", 20)
+    root, staged = str(tmp_path / "store"), str(tmp_path / "staged")
+    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, f"e{i}", i) for i in range(400)])))
+    files = lambda at: glob.glob(f"{at}/feature_group=g/ts_month=2024-01/*.parquet")
+    assert len(files(root)) > S.FILES
+    S.upsert_into_store(spark, root, ordered(frame(spark, [(H, f"e{i}", -i) for i in range(200, 600)])), staged=staged)
+    assert len(files(staged)) > S.FILES          # laid out as the store: publishing is a copy
+    got = {k[1]: int(v.split(":")[1].rstrip("}")) for k, v in contents(spark, root).items()}
+    assert got == {f"e{i}": i if i < 200 else -i for i in range(600)}
+
+
+def test_second_batch_is_read_once(spark):
+    from stationcast.plans import q_store
+    b, b1, b2 = q_store.ordered_batches(spark, "/root/testdata/sf0.001")
+    scans = lambda df: df._jdf.queryExecution().sparkPlan().toString().count("FileScan")
+    assert scans(b2) == scans(b) == scans(b1)
+    _, _, plain = q_store.batches(spark, "/root/testdata/sf0.001")
+    want = plain.withColumn("n", F.lit(2)).unionByName(plain.withColumn("rides", F.col("rides") - 5).withColumn("n", F.lit(1)))
+    assert b2.columns == want.columns and b2.exceptAll(want).count() == want.exceptAll(b2).count() == 0
