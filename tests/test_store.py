@@ -123,6 +123,23 @@ def test_latest_record_by_event_then_insertion(spark):
     assert sorted((r.entity_id, r.x) for r in S.latest_record(df).collect()) == [("a", 3), ("b", 4)]
 
 
+def test_latest_record_shuffles_the_newest_records_only(spark, monkeypatch):
+    rows = [(f"e{i % 50}", f"2024-01-{1 + (i * 7) % 28:02d}T00:00:00Z", f"2024-02-{1 + i % 3:02d}T00:00:00Z", i) for i in range(3000)]
+    rows += [("stale", "2019-01-01T00:00:00Z", None, -1), ("untimed", None, None, -2), (None, "2024-01-01T00:00:00Z", None, -3)]
+    df = spark.createDataFrame(rows, "entity_id string, event_time string, record_insertion_time string, x int")
+    best = {}
+    for entity, event, inserted, _ in rows:
+        best[entity] = max(best.get(entity, ("", "")), (event or "", inserted or ""))
+    want = sorted((e, *b) for e, b in best.items() if e is not None)
+    for bits in (S.MARK_BITS, 6):        # few marks: most older records pass by chance, and the join drops them
+        monkeypatch.setattr(S, "MARK_BITS", bits)
+        latest = S.latest_record(df)
+        got = latest.collect()
+        assert sorted((r.entity_id, r.event_time or "", r.record_insertion_time or "") for r in got) == want
+        plan = latest._jdf.queryExecution().sparkPlan().toString()
+        assert any("BroadcastHashJoin" in line and "_word" in line for line in plan.splitlines())
+
+
 def test_files_of_a_partition_grow_with_its_rows(spark, tmp_path, monkeypatch):
     import glob
     monkeypatch.setattr(S, "ROWS_A_FILE", 20)
