@@ -4,8 +4,12 @@ Two multinomials over ``BUCKETS`` hashed 1- and 2-grams are counted: one over th
 documents, one over the raw corpus (all documents).  A document's ratio is the mean, over its n-grams,
 of log p_trusted - log p_raw (add-one smoothed); a trusted document is rated with counts that leave it
 out, so it compares with documents without a label.  All of it is Spark SQL: counting combines map-side and
-ends in ``BUCKETS`` rows, and scoring looks the ratios up in a literal array of that size, so no text is
-ever shuffled.
+ends in ``BUCKETS`` rows, and rating looks the ratios up in a literal array of that size.
+
+Texts meet the labels once, to be counted: ids and texts are shuffled for it, as labels grow with the documents, never
+the n-grams, which are longer.  The second and last pass over the texts needs no label: it leaves both ratios of a
+document, with and without its own n-grams among the trusted counts, in a row of numbers, and these rows are
+joined with the labels by their size.  Mark bits, a bounded table, spare documents that cannot be trusted the second one.
 
 The ratio also holds the language's share among the trusted and the smoothing of small counts, so no constant
 fits all tables.  Each run takes the level of a language from its trusted documents (their median ratio; of
@@ -30,13 +34,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CLASS
+from .common import WORD_CLASS, cut
 
 BUCKETS = 10_000
 MIN_WORDS = 50
 THRESHOLD = 0.0               # scores are distances from the run's own cut
 STEP = 0.001                  # bin width of the ratios that set levels and cut
 SYMBOLS = "[#*$%&|<>]"
+MARK_SLOTS = 1 << 17          # rows of 64 mark bits that are broadcast, at most
 
 
 def with_words(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
@@ -66,10 +71,11 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def gram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 buckets: int = BUCKETS) -> tuple[list[int], list[int]]:
     """Each bucket's n-grams in all and in the trusted documents; ``trusted`` has each id once."""
-    rows = with_words(docs, id_col, text_col).select("doc_id", gram_buckets(buckets).alias("grams"))
-    rows = rows.join(trusted, F.col("doc_id") == F.col("__trusted"), "left")
+    marked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
+        trusted.hint("shuffle_hash"), F.col("doc_id") == F.col("__trusted"), "left")
+    rows = with_words(marked, "doc_id", "text", F.col("__trusted").isNotNull().cast("long").alias("t"))
     # explode_outer: for explode, Spark would infer a filter that builds the n-grams a second time
-    counts = (rows.select(F.col("__trusted").isNotNull().cast("long").alias("t"), F.explode_outer("grams").alias("bucket"))
+    counts = (rows.select("t", F.explode_outer(gram_buckets(buckets)).alias("bucket"))
               .filter("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("good"))).collect()
     raw, good = [0] * buckets, [0] * buckets
     for r in counts:
@@ -77,6 +83,26 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", tex
     return raw, good
 
 
+def mark_of(id_col: str) -> tuple[Column, Column]:
+    """(slot, bit) of an id."""
+    h = F.xxhash64(F.col(id_col).cast("string"))
+    return F.pmod(h, F.lit(MARK_SLOTS)), F.pmod(F.shiftright(h, 32), F.lit(64)).cast("int")
+
+
+def mark_bits(trusted: DataFrame) -> DataFrame:
+    """(__slot, __bits): a bit is set for each trusted id, at a place that other ids share."""
+    slot, bit = mark_of("__trusted")
+    return (trusted.select(slot.alias("__slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b"))
+            .groupBy("__slot").agg(F.bit_or("b").alias("__bits")))
+
+
+def may_be_trusted(docs: DataFrame, trusted: DataFrame, id_col: str) -> DataFrame:
+    """docs with __may: true for every trusted document, and for few others as long as the bits are many to one id."""
+    slot, bit = mark_of(id_col)
+    found = docs.join(F.broadcast(mark_bits(trusted)), slot == F.col("__slot"), "left")
+    return found.withColumn("__may", F.coalesce(F.call_function("getbit", F.col("__bits"), bit) == 1, F.lit(False)))
+
+
 def ratios_of(raw: list[int], good: list[int]) -> list[float]:
     buckets, n_raw, n_good = len(raw), sum(raw), sum(good)
     if not n_good:
@@ -95,19 +121,25 @@ def _array(values: list, kind: str) -> str:
     return f"cast(split('{','.join(map(str, values))}', ',') as array<{kind}>)"
 
 
-def mean_ratio(raw: list[int], good: list[int]) -> Column:
-    """Mean log ratio of ``grams``; where ``own`` holds, the document's n-grams leave the trusted counts.
-    In bucket order, the k-th n-gram of a bucket adds f(k) - f(k - 1) with f(k) = k log((good - k + 1) / (good + 1))."""
-    table, counts = _array(ratios_of(raw, good), "double"), _array(good, "double")
+def ratio_sums(raw: list[int], good: list[int]) -> tuple[Column, Column]:
+    """Sum of the log ratios of ``grams``, and what is added to it where they leave the trusted counts (of no meaning for
+    a document that is not in them).
+    In bucket order, each run of equal buckets adds k log(1 - k / (good + 1)) at its end, k being its length."""
+    table, smoothed = _array(ratios_of(raw, good), "double"), _array([n + 1 for n in good], "double")
     total = sum(good) + len(good)
-    without = f"""aggregate(transform(sort_array(grams), b -> struct(b, get({counts}, b) + 1 as g)),
-        struct(-1 as b, 0D as k, 0D as total),
-        (a, x) -> struct(x.b as b, if(x.b = a.b, a.k + 1, 1D) as k,
-                         a.total + if(x.b = a.b, (a.k + 1) * ln((x.g - a.k - 1) / x.g) - a.k * ln((x.g - a.k) / x.g),
-                                                 ln((x.g - 1) / x.g)) as total),
-        a -> a.total) + size(grams) * ln({total}D / ({total}D - size(grams)))"""
-    return F.expr(f"""if(size(grams) = 0, 0D, (aggregate(grams, 0D, (a, b) -> a + get({table}, b))
-                      + if(own, {without}, 0D)) / size(grams))""")
+    without = f"""if(size(grams) = 0, 0D, transform(array(sort_array(grams)), s ->
+        aggregate(
+            filter(sequence(0, size(s) - 1), i -> not(get(s, i) <=> get(s, i + 1))),
+            struct(-1 as last, 0D as total),
+            (a, i) -> struct(i as last, a.total + (i - a.last) * ln(1D - (i - a.last) / get({smoothed}, get(s, i))) as total),
+            a -> a.total))[0] + size(grams) * ln({total}D / nullif({total}D - size(grams), 0D)))"""
+    return F.expr(f"aggregate(grams, 0D, (a, b) -> a + get({table}, b))"), F.expr(without)
+
+
+def mean_ratio(own: Column) -> Column:
+    """Mean log ratio of a rated document; where ``own`` holds, its n-grams leave the trusted counts."""
+    return F.when(F.col("n_words") == 0, 0.0).otherwise(
+        (F.col("ratios") + F.when(own, F.col("without")).otherwise(0.0)) / (2 * F.col("n_words")).cast("int"))
 
 
 def _median(bins: list[tuple[float, int]]) -> float:
@@ -131,39 +163,28 @@ def best_cut(good: dict[float, int], junk: dict[float, int]) -> float:
     return best[2]
 
 
-def _bins(docs: DataFrame, marked: DataFrame, raw: list[int], good: list[int], id_col: str, text_col: str,
-          lang: Column) -> list:
-    """Counts of (lang, good, ratio rounded to STEP) over the documents of ``marked`` (mark, good, own)."""
-    rows = with_words(docs.join(marked, F.col(id_col) == F.col("__mark")), id_col, text_col,
-                      lang.alias("lang"), F.col("__good").alias("good"), F.col("__good").alias("own"))
-    rows = rows.filter(F.size("words") >= MIN_WORDS).select("lang", "good", "own", gram_buckets(len(raw)).alias("grams"))
-    return _histogram(rows, raw, good)
-
-
-def _histogram(rows: DataFrame, raw: list[int], good: list[int]) -> list:
-    rated = rows.select("lang", "good", F.round(mean_ratio(raw, good) / STEP).cast("long").alias("bin"))
+def _histogram(rated: DataFrame, good: Column) -> list:
+    """Counts of (lang, good, ratio rounded to STEP) over the rated documents long enough; good ones are left out of the counts."""
+    rows = rated.filter(F.col("n_words") >= MIN_WORDS).select(
+        "lang", good.alias("good"), F.round(mean_ratio(good) / STEP).cast("long").alias("bin"))
     return [(r["lang"], r["good"], r["bin"] * STEP, r["n"])
-            for r in rated.groupBy("lang", "good", "bin").agg(F.count(F.lit(1)).alias("n")).collect()]
+            for r in rows.groupBy("lang", "good", "bin").agg(F.count(F.lit(1)).alias("n")).collect()]
 
 
-def language_cuts(docs: DataFrame, labels: DataFrame, raw: list[int], good: list[int], id_col: str,
-                  text_col: str, lang: Column) -> dict[str, float] | None:
+def language_cuts(rated: DataFrame, labels: DataFrame) -> dict[str, float] | None:
     """The ratio of each language from which documents are kept; None without labels of both kinds."""
-    bins = _bins(docs, labelled_ids(labels), raw, good, id_col, text_col, lang)
+    bins = _histogram(rated.join(labelled_ids(labels), F.col("doc_id") == F.col("__mark")), F.col("__good"))
     if len({g for _, g, _, _ in bins}) < 2:
         return None
     level = {x: _median([(s, n) for y, g, s, n in bins if g and y == x]) for x in {y for y, g, _, _ in bins if g}}
-    rest = with_words(docs, id_col, text_col, lang.alias("lang")).filter(~F.col("lang").isin(list(level)))
-    rest = rest.filter(F.size("words") >= MIN_WORDS).select(
-        "lang", F.lit(False).alias("good"), F.lit(False).alias("own"), gram_buckets(len(raw)).alias("grams"))
-    others = _histogram(rest, raw, good)
+    others = _histogram(rated.filter(~F.col("lang").isin(list(level))), F.lit(False))
     level |= {x: _median([(s, n) for y, _, s, n in others if y == x]) for x in {y for y, _, _, _ in others}}
     away: dict[bool, dict[float, int]] = {True: {}, False: {}}
     for x, g, s, n in bins:
         at = round(s - level[x], 6)
         away[g][at] = away[g].get(at, 0) + n
-    cut = best_cut(away[True], away[False])
-    return {x: round(v + cut, 6) for x, v in level.items()}
+    cut_at = best_cut(away[True], away[False])
+    return {x: round(v + cut_at, 6) for x, v in level.items()}
 
 
 def repeated_words() -> Column:
@@ -189,10 +210,8 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
     trusted = trusted_ids(labels)
     raw, good = gram_counts(docs, trusted, id_col, text_col, buckets)
-    cuts = language_cuts(docs, labels, raw, good, id_col, text_col, lang)
-    base = with_words(docs, id_col, text_col, lang.alias("lang"))
-    base = base.join(trusted, F.col("doc_id") == F.col("__trusted"), "left").select(
-        "doc_id", "lang", F.col("__trusted").isNotNull().alias("own"), F.size("words").cast("long").alias("n_words"),
+    base = with_words(may_be_trusted(docs, trusted, id_col), id_col, text_col, lang.alias("lang"), F.col("__may")).select(
+        "doc_id", "lang", "__may", F.size("words").cast("long").alias("n_words"),
         F.expr("aggregate(words, 0L, (a, w) -> a + char_length(w))").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.expr("filter(split(text, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')").alias("lines"),
@@ -200,16 +219,21 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                      transform(sequence(0, size(words) - 3),
                                i -> xxhash64(get(words, i), get(words, i + 1), get(words, i + 2))))""").alias("windows"),
         gram_buckets(buckets).alias("grams"))
+    ratios, without = ratio_sums(raw, good)
+    rated = cut(base.select(
+        "doc_id", "lang", "n_words", "word_chars", "n_symbols",
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        repeated_words().alias("n_repeat_words"), ratios.alias("ratios"),
+        F.when(F.col("__may"), without).alias("without")), "quality-ratios")
+    cuts = language_cuts(rated, labels)
     if cuts is None:
         score = F.lit(0.0)
     else:
         # languages without a document of MIN_WORDS words have no level, and no document that passes the base rules
         least = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for x in cuts.items() for v in x]), F.col("lang")), F.lit(0.0))
-        score = F.when(F.size("grams") == 0, 0.0).otherwise(mean_ratio(raw, good) - least)
-    rated = base.select(
-        "doc_id", "n_words", "word_chars", "n_symbols",
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeated_words().alias("n_repeat_words"), score.alias("score"))
+        score = F.when(F.col("n_words") == 0, 0.0).otherwise(mean_ratio(F.col("__trusted").isNotNull()) - least)
+    judged = rated.join(trusted, F.col("doc_id") == F.col("__trusted"), "left").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", score.alias("score"))
     failed = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
-    return (rated.withColumn("base_failed", failed)
+    return (judged.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold))))

@@ -128,6 +128,45 @@ def test_every_labelled_document_takes_part(spark):
     assert quality_rules.trusted_ids(marks).count() == 20001
 
 
+def test_ratios_without_a_documents_own_ngrams(spark):
+    raw, good = [9, 4, 7, 0], [5, 3, 0, 0]
+    grams = [[], [0], [1, 0, 0, 1, 0], [0] * 5 + [1] * 3, [2, 2], [0] * 12]      # the last two are not in the counts
+    rows = spark.createDataFrame([(i, g) for i, g in enumerate(grams)], "i int, grams array<int>")
+    got = {r[0]: r[1:] for r in rows.select("i", *quality_rules.ratio_sums(raw, good)).collect()}
+    table = quality_rules.ratios_of(raw, good)
+    for i, g in enumerate(grams):
+        own = Counter(g)
+        left = [n - own[b] for b, n in enumerate(good)]
+        assert got[i][0] == pytest.approx(sum(table[b] for b in g))
+        if min(left) >= 0:
+            def odds(counts):
+                return sum(math.log((counts[b] + 1) / (sum(counts) + 4)) for b in g)
+            assert got[i][1] == pytest.approx(odds(left) - odds(good), abs=1e-9)
+
+
+def test_mark_bits_lose_no_trusted_document(spark):
+    trusted = spark.range(0, 3000, 3).selectExpr("cast(id as int) AS __trusted")
+    docs = spark.range(3000).selectExpr("if(id = 1, null, id) AS key")
+    may = {r["key"] for r in quality_rules.may_be_trusted(docs, trusted, "key").filter("__may").collect()}
+    assert may >= set(range(0, 3000, 3)) and len(may) < 1020
+
+
+def test_quality_rules_move_texts_once(spark):
+    """With labels too many to broadcast, only the counting shuffles texts, and no stage shuffles n-grams."""
+    sf = "/root/testdata/sf0.001"
+    docs, marks = given(spark, sf=sf), given(spark, "labels", sf)
+    want = sorted(quality_rules.quality_verdicts(docs, marks).collect())
+    known = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        judged = quality_rules.quality_verdicts(docs, marks)
+        assert sorted(judged.collect()) == want
+        plan = judged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "regexp" not in plan and "text" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
+
+
 def test_quality_rules_separate_junk(spark):
     sf = "/root/testdata/sf0.01"
     marks = {r["doc_id"]: r["quality"] for r in given(spark, "labels", sf).collect()}
