@@ -49,7 +49,6 @@ GATES, INPUTS = 16, 5         # inputs: tree, three contexts, bias
 BLOCK = 64
 RATE, PRIOR_ROWS = 1.0, 24.0
 BATCH_WORDS = 100_000
-PENDING = 4_000_000           # decisions that a task holds before it adds them to its tables
 FIT_DOCS, EPOCHS = 400, 6     # texts that a task reads before it moves its weights; how often it reads its first ones
 START = (0.3, 0.3, 0.3, 0.3, 0.0)
 REFINE, SPREAD = 24, 8.0
@@ -115,9 +114,9 @@ def _hash32(*parts: np.ndarray) -> np.ndarray:
 
 
 class Coded:
-    """The decisions of a batch of texts, in the order (block of words, text)."""
+    """The decisions of a batch of texts, in the order (block of words, text).  To be counted, only slots and bits are needed."""
 
-    def __init__(self, trees: Trees, texts: list[list[bytes]], slot_bits: int):
+    def __init__(self, trees: Trees, texts: list[list[bytes]], slot_bits: int, counted: bool = False):
         flat = list(chain.from_iterable(texts))
         self.ids = ids = np.fromiter(map(trees.words.get, flat, repeat(0)), np.int32, len(flat))
         sizes = np.fromiter(map(len, texts), np.int32, len(texts))
@@ -131,16 +130,19 @@ class Coded:
         decisions = trees.length[ids]
         ends = np.cumsum(decisions, dtype=np.int64)
         n = int(ends[-1]) if len(ends) else 0
-        at = np.arange(n, dtype=np.int32)
-        at += np.repeat((trees.offset[ids] - (ends - decisions)).astype(np.int32), decisions)
-        self.bit, self.gate, self.tree_odds = trees.bit[at], trees.gate[at], trees.path_odds[at]
-        spread, self.slots = trees.spread[at], []
+        at = np.arange(n)
+        at += np.repeat(trees.offset[ids] - (ends - decisions), decisions)
+        self.bit = trees.bit.take(at)
+        spread, self.slots = trees.spread.take(at), []
         for context in (_hash32(before1), _hash32(before1, before2), _hash32(before2 + np.int32(3_000_000))):
             h = np.repeat(context, decisions)
             h ^= spread
             h *= np.uint32(0xC2B2AE35)
             h >>= np.uint32(32 - slot_bits)
             self.slots.append(h.view(np.int32))
+        if counted:
+            return
+        self.gate, self.tree_odds = trees.gate.take(at), trees.path_odds.take(at)
         self.text = np.repeat(doc, decisions)
         last = np.flatnonzero(block[1:] != block[:-1]) if len(block) else np.empty(0, np.int64)
         self.ends = np.r_[ends[last], n] if len(block) else last
@@ -165,19 +167,29 @@ class Mixer:
         a = 0
         for b in coded.ends.tolist():
             text, bit, gate = coded.text[a:b].astype(np.intp), coded.bit[a:b], coded.gate[a:b].astype(np.intp)
-            inputs = [coded.tree_odds[a:b], *(t[s[a:b]] * step for t, s in zip(self.tables, coded.slots))]
-            key = text * GATES + gate
-            z = weights[:, -1].take(key)
+            inputs = [coded.tree_odds[a:b], *(t.take(s[a:b]) * step for t, s in zip(self.tables, coded.slots))]
+            key = text * GATES
+            key += gate
+            z, part = weights[:, -1].take(key), np.empty(b - a, np.float32)
             for k, x in enumerate(inputs):
-                z += weights[:, k].take(key) * x
+                z += np.multiply(weights[:, k].take(key), x, out=part)
             np.clip(z, -SPREAD + 0.01, SPREAD - 0.01, out=z)
-            cell = gate * REFINE + ((z + SPREAD) * (REFINE / (2 * SPREAD))).astype(np.intp)
-            refined = (z + flat.take(cell)) * np.float32(0.5)
-            cost += np.bincount(text, np.log(1 + np.exp(refined * (1 - 2 * bit))), texts)
-            error = bit - 1 / (1 + np.exp(-z))
+            cell = ((z + SPREAD) * (REFINE / (2 * SPREAD))).astype(np.intp)
+            gate *= REFINE
+            cell += gate
+            refined = flat.take(cell)
+            refined += z
+            refined *= np.float32(0.5)
+            refined *= 1 - 2 * bit
+            np.exp(refined, out=refined)
+            refined += 1
+            cost += np.bincount(text, np.log(refined, out=refined), texts)
+            np.exp(np.negative(z, out=z), out=z)
+            z += 1
+            error = np.subtract(bit, np.divide(1, z, out=z), out=z)
             rate = RATE / (np.bincount(key, minlength=len(weights)) + PRIOR_ROWS)
             for k, x in enumerate(inputs):
-                weights[:, k] += rate * np.bincount(key, error * x, len(weights))
+                weights[:, k] += rate * np.bincount(key, np.multiply(error, x, out=part), len(weights))
             weights[:, -1] += rate * np.bincount(key, error, len(weights))
             if refining:
                 seen[0] += np.bincount(cell, 1 - bit, GATES * REFINE)
@@ -187,16 +199,17 @@ class Mixer:
 
     def fit(self, trees: Trees, groups: list[list[list[bytes]]]) -> None:
         """Start weights move to the mean of the texts' last weights; then the refining table.  Groups of
-        texts are coded when they are read, so only one of them is held as decisions."""
+        texts are coded when they are read, so only one of them is held as decisions; a single one is coded once."""
+        only = Coded(trees, groups[0], self.slot_bits) if len(groups) == 1 else None
         for _ in range(EPOCHS):
             total, n = np.zeros((GATES, INPUTS)), 0
             for group in groups:
-                _, w, _ = self.read(Coded(trees, group, self.slot_bits), len(group))
+                _, w, _ = self.read(only or Coded(trees, group, self.slot_bits), len(group))
                 total += w.reshape(len(group), GATES, INPUTS).sum(0)
                 n += len(group)
             if n:
                 self.weights = (total / n).astype(np.float32)
-        counts = sum((self.read(Coded(trees, g, self.slot_bits), len(g), True)[2] for g in groups), np.zeros((2, GATES * REFINE)))
+        counts = sum((self.read(only or Coded(trees, g, self.slot_bits), len(g), True)[2] for g in groups), np.zeros((2, GATES * REFINE)))
         self.set_fit(self.weights, 1, counts)
 
     def set_fit(self, weights: np.ndarray, texts: int, counts: np.ndarray) -> None:
@@ -228,15 +241,15 @@ def _groups(batch_texts: Iterator[str | None]) -> Iterator[list[list[bytes]]]:
         yield held
 
 
-def add_counts(tables: np.ndarray, slots: list[list[np.ndarray]], bits: list[np.ndarray], times: int = 1) -> None:
+def add_counts(tables: np.ndarray, slots: list[list[np.ndarray]], bits: list[np.ndarray]) -> None:
     """slots: for each context the slots of some batches; bits: of the same batches."""
-    bit = np.concatenate(bits)
-    for k in range(CONTEXTS):
-        places = np.concatenate(slots[k]).astype(np.intp)
-        places += places
-        places += bit
-        seen = np.bincount(places, minlength=tables[k].size).reshape(tables[k].shape)
-        tables[k] += (seen * times).astype(tables.dtype)
+    for table, batches in zip(tables, slots):
+        counts = table.reshape(-1)
+        for slot, bit in zip(batches, bits):
+            places = slot.astype(np.intp)
+            places += places
+            places += bit
+            np.add.at(counts, places, counts.dtype.type(1))
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
@@ -274,18 +287,9 @@ def bit_counters(rows: DataFrame, trees: Trees, bits: int, tasks: int) -> np.nda
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
         tables = np.zeros((CONTEXTS, slots, 2), np.int32)
-        held, bit, n = [[] for _ in range(CONTEXTS)], [], 0
         for group in _groups(t.as_py() for b in batches for t in b.column(0)):
-            coded = Coded(trees, group, bits)
-            for k in range(CONTEXTS):
-                held[k].append(coded.slots[k])
-            bit.append(coded.bit)
-            n += len(coded.bit)
-            if n > PENDING:
-                add_counts(tables, held, bit)
-                held, bit, n = [[] for _ in range(CONTEXTS)], [], 0
-        if n:
-            add_counts(tables, held, bit)
+            coded = Coded(trees, group, bits, counted=True)
+            add_counts(tables, [[x] for x in coded.slots], [coded.bit])
         for k in range(CONTEXTS):
             for c in range(per):
                 part = tables[k, c * size:(c + 1) * size]

@@ -321,6 +321,25 @@ def toy_model():
     return trees, lm_score.Mixer([lm_score.log_odds(t) for t in tables]), texts
 
 
+def test_texts_are_coded_once_for_all_epochs(monkeypatch):
+    """What a pass does not need is not made: one coding for the epochs of a single group, slots and bits alone to count."""
+    rows = [lm_score.tokens(t) for t in ("a b c a b", "b c d", "a a d c b a", "")]
+    counts = Counter(w for t in rows for w in t)
+    trees, made, code = lm_score.Trees(sorted(counts.items()), 3), [], lm_score.Coded
+    full, few = code(trees, rows, BITS), code(trees, rows, BITS, counted=True)
+    assert all((x == y).all() for x, y in zip(full.slots, few.slots)) and (full.bit == few.bit).all() and not hasattr(few, "tree_odds")
+    tables = np.zeros((lm_score.CONTEXTS, 1 << BITS, 2), np.int32)
+    lm_score.add_counts(tables, [[x, x] for x in few.slots], [few.bit, few.bit])
+    for table, x in zip(tables, few.slots):
+        assert (table.ravel() == 2 * np.bincount(2 * x.astype(int) + few.bit, minlength=table.size)).all()
+    monkeypatch.setattr(lm_score, "Coded", lambda *a, **k: made.append(1) or code(*a, **k))
+    once, groups = (lm_score.Mixer([lm_score.log_odds(t) for t in tables]) for _ in range(2))
+    once.fit(trees, [rows])
+    assert len(made) == 1
+    groups.fit(trees, [rows, []])
+    assert (once.weights == groups.weights).all() and (once.refine == groups.refine).all()
+
+
 def test_lm_cost_does_not_depend_on_the_batch():
     trees, mixer, texts = toy_model()
     texts = [*texts[:3], [b""], [b"unseen", b"w\x00rds", b""], [b"the"] * 300 + [b""]]
