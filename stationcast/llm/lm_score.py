@@ -27,9 +27,10 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain, repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +49,15 @@ CONTEXTS = 3
 GATES, INPUTS = 16, 5         # inputs: tree, three contexts, bias
 BLOCK = 64
 RATE, PRIOR_ROWS = 1.0, 24.0
+RUNS = 400                    # texts whose decisions in a block are mixed together
 BATCH_WORDS = 100_000
+SCORE_WORDS = 500_000         # a text's score does not depend on the others beside it
+COUNT_WORDS, PART_WORDS = 250_000, 2048       # words whose decisions are counted together; made together
 FIT_DOCS, EPOCHS = 400, 6     # texts that a task reads before it moves its weights; how often it reads its first ones
 START = (0.3, 0.3, 0.3, 0.3, 0.0)
 REFINE, SPREAD = 24, 8.0
 STEPS = 16                    # steps of a table's log odds in one nat
-FLUSH = 400_000
+FLUSH = 500_000
 END = b""                     # no word is empty
 
 
@@ -62,6 +66,18 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
+def split(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another and their number in each text: as ``tokens``, without the end tokens."""
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(column, ""))))
+    words = lists.flatten()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    no_word = pc.equal(pc.binary_length(words), 0)      # a text without words has one empty word here
+    if pc.any(no_word).as_py():
+        sizes -= np.bincount(np.repeat(np.arange(len(sizes)), sizes)[no_word.to_numpy(zero_copy_only=False)], minlength=len(sizes))
+        words = words.filter(pc.invert(no_word))
+    return words.cast(pa.binary()), sizes
+
+
 def huffman(weights: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(length, node, bit): the paths of all symbols one after another, nodes numbered from 0."""
     n = len(weights)
@@ -92,6 +108,7 @@ class Trees:
     def __init__(self, head: list[tuple[bytes, int]], rest: int):
         self.words = {w: i + 1 for i, (w, _) in enumerate(head)}
         self.words.setdefault(END, len(self.words) + 1)
+        self.vocabulary = pa.array(self.words, pa.binary())
         weights = [max(rest, 1), *(n for _, n in head)]
         weights += [1] * (len(self.words) + 1 - len(weights))
         length, node, bit = huffman(weights)
@@ -113,39 +130,108 @@ def _hash32(*parts: np.ndarray) -> np.ndarray:
     return h
 
 
-class Coded:
-    """The decisions of a batch of texts, in the order (block of words, text).  To be counted, only slots and bits are needed."""
+class Words:
+    """Texts as symbols of the tree, one after another, each with its end token."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.ids, self.sizes, self.ends = ids, sizes, np.r_[0, np.cumsum(sizes)]
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def slice(self, a: int, b: int) -> Words:
+        return Words(self.ids[self.ends[a]:self.ends[b]], self.sizes[a:b])
+
+    def groups(self, most: int) -> Iterator[Words]:
+        """Runs of texts of about ``most`` tokens, each text whole."""
+        a = 0
+        while a < len(self):
+            b = min(int(np.searchsorted(self.ends, self.ends[a] + most)), len(self))
+            yield self.slice(a, b)
+            a = b
+
+
+def symbols(trees: Trees, words: pa.Array) -> np.ndarray:
+    """The symbol of each word; 0 is the escape."""
+    return pc.index_in(words, value_set=trees.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False) + np.int32(1)
+
+
+def numbered(trees: Trees, column: pa.Array) -> tuple[Words, pa.Array]:
+    """The texts of a column, and their words outside the tree."""
+    words, sizes = split(column)
+    found = symbols(trees, words)
+    ids = np.full(len(found) + len(sizes), trees.words[END], np.int32)
+    inner = np.ones(len(ids), bool)
+    inner[np.cumsum(sizes + 1) - 1] = False
+    ids[inner] = found
+    return Words(ids, sizes + 1), words.filter(pa.array(found == 0))
 
-    def __init__(self, trees: Trees, texts: list[list[bytes]], slot_bits: int, counted: bool = False):
-        flat = list(chain.from_iterable(texts))
-        self.ids = ids = np.fromiter(map(trees.words.get, flat, repeat(0)), np.int32, len(flat))
-        sizes = np.fromiter(map(len, texts), np.int32, len(texts))
+
+class Part(NamedTuple):
+    """Decisions of some words: all first decisions in the order of the words, then all second ones and so on."""
+    at: np.ndarray            # places in the tree's arrays
+    bit: np.ndarray
+    slots: list[np.ndarray]   # of each context
+    each: np.ndarray          # decisions of each depth
+    on: np.ndarray            # depth x word: has the word a decision there
+
+
+class Coded:
+    """The words of a batch of texts, in the order (block of words, text), or as they come if they are only counted.  Their
+    decisions are made when asked for, a few words at a time, so that they stay in the processor's cache."""
+
+    def __init__(self, trees: Trees, texts: Words | list[list[bytes]], slot_bits: int, counted: bool = False):
+        if not isinstance(texts, Words):
+            texts = Words(symbols(trees, pa.array(chain.from_iterable(texts), pa.binary())), np.array([len(t) for t in texts], np.int64))
+        self.trees, self.shift = trees, np.uint32(32 - slot_bits)
+        self.ids, sizes = texts.ids, texts.sizes.astype(np.int32)
+        ids = self.ids
         self.doc = doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
-        place = np.arange(len(flat), dtype=np.int32) - np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes, sizes)
+        place = np.arange(len(ids), dtype=np.int32) - np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes, sizes)
         before1 = np.where(place > 0, np.r_[0, ids[:-1]].astype(np.int32) + 1, 0)
         before2 = np.where(place > 1, np.r_[0, 0, ids[:-2]][:len(ids)].astype(np.int32) + 1, 0)
-        block = place // BLOCK
-        order = np.argsort(block, kind="stable")
-        ids, doc, block, before1, before2 = (x[order] for x in (ids, doc, block, before1, before2))
-        decisions = trees.length[ids]
-        ends = np.cumsum(decisions, dtype=np.int64)
-        n = int(ends[-1]) if len(ends) else 0
-        at = np.arange(n)
-        at += np.repeat(trees.offset[ids] - (ends - decisions), decisions)
-        self.bit = trees.bit.take(at)
-        spread, self.slots = trees.spread.take(at), []
-        for context in (_hash32(before1), _hash32(before1, before2), _hash32(before2 + np.int32(3_000_000))):
-            h = np.repeat(context, decisions)
+        if not counted:
+            block = place // BLOCK
+            order = np.argsort(block, kind="stable")
+            ids, doc, block, before1, before2 = (x[order] for x in (ids, doc, block, before1, before2))
+            new = np.r_[True, (block[1:] != block[:-1]) | (doc[1:] != doc[:-1])][:len(ids)]
+            self.runs = np.r_[np.flatnonzero(new), len(ids)]     # where the words of a text in a block begin
+            self.run_doc, block = doc[new], block[new]
+            ends = np.r_[np.flatnonzero(block[1:] != block[:-1]) + 1, len(block)].tolist()
+            self.pieces = [(a, min(a + RUNS, end)) for begin, end in zip([0, *ends], ends) for a in range(begin, end, RUNS)]
+        self.decisions, self.path = trees.length.astype(np.uint8).take(ids), trees.offset.take(ids)
+        self.contexts = _hash32(before1), _hash32(before1, before2), _hash32(before2 + np.int32(3_000_000))
+
+    def part(self, a: int, b: int) -> Part:
+        """The decisions of the words from a to b."""
+        many = self.decisions[a:b]
+        each = len(many) - np.cumsum(np.bincount(many))[:-1]
+        depth = np.arange(len(each))
+        on = many > depth.astype(np.uint8)[:, None]
+        word = np.flatnonzero(on)
+        word -= np.repeat(depth * len(many), each)
+        at = self.path[a:b].take(word, mode="clip")      # all places exist; this mode is the fast one
+        at += np.repeat(depth, each)
+        spread, slots = self.trees.spread.take(at, mode="clip"), []
+        for context in self.contexts:
+            h = context[a:b].take(word, mode="clip")
             h ^= spread
             h *= np.uint32(0xC2B2AE35)
-            h >>= np.uint32(32 - slot_bits)
-            self.slots.append(h.view(np.int32))
-        if counted:
-            return
-        self.gate, self.tree_odds = trees.gate.take(at), trees.path_odds.take(at)
-        self.text = np.repeat(doc, decisions)
-        last = np.flatnonzero(block[1:] != block[:-1]) if len(block) else np.empty(0, np.int64)
-        self.ends = np.r_[ends[last], n] if len(block) else last
+            h >>= self.shift
+            slots.append(h.view(np.int32))
+        return Part(at, self.trees.bit.take(at, mode="clip"), slots, each, on)
+
+    @cached_property
+    def whole(self) -> Part:
+        return self.part(0, len(self.ids))
+
+    @property
+    def slots(self) -> list[np.ndarray]:
+        return self.whole.slots
+
+    @property
+    def bit(self) -> np.ndarray:
+        return self.whole.bit
 
 
 class Mixer:
@@ -157,59 +243,78 @@ class Mixer:
         grid = (np.arange(REFINE) + 0.5) * (2 * SPREAD / REFINE) - SPREAD
         self.refine = np.tile(grid.astype(np.float32), (GATES, 1)) if refine is None else refine
 
-    def read(self, coded: Coded, texts: int, refining: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(cost of each text in nats, its weights at the end, counts for the refining table if asked for)."""
-        weights = np.tile(self.weights, (texts, 1)).astype(np.float32)
+    def read(self, coded: Coded, texts: int, refining: bool = False, priced: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cost of each text in nats unless not asked for, its weights at the end, counts for the refining table if asked for)."""
+        order = [INPUTS - 1, *range(INPUTS - 1)]       # the bias first
+        weights = np.repeat(self.weights.T[order, :, None].astype(np.float32), texts, axis=2)
         cost = np.zeros(texts)
         seen = np.zeros((2, GATES * REFINE))
         flat = self.refine.ravel()
         step = np.float32(1 / STEPS)
-        a = 0
-        for b in coded.ends.tolist():
-            text, bit, gate = coded.text[a:b].astype(np.intp), coded.bit[a:b], coded.gate[a:b].astype(np.intp)
-            inputs = [coded.tree_odds[a:b], *(t.take(s[a:b]) * step for t, s in zip(self.tables, coded.slots))]
-            key = text * GATES
-            key += gate
-            z, part = weights[:, -1].take(key), np.empty(b - a, np.float32)
-            for k, x in enumerate(inputs):
-                z += np.multiply(weights[:, k].take(key), x, out=part)
+        for first, last in coded.pieces:
+            docs, runs = coded.run_doc[first:last], coded.runs[first:last + 1]
+            part = coded.part(runs[0], runs[-1])
+            n, depths = len(part.at), len(part.each)
+            gates = np.minimum(np.arange(depths), GATES - 1)
+            # decisions of one text at one depth are neighbours and share their weights
+            count = np.zeros((max(depths, GATES), len(docs)))
+            count[:depths] = np.add.reduceat(part.on.view(np.uint8), runs[:-1] - runs[0], axis=1, dtype=np.uint8)
+            some = np.flatnonzero(count)
+            sizes = count.ravel()[some].astype(np.intp)
+            begin = np.cumsum(sizes) - sizes
+            own = weights[:, :, docs]
+            inputs = np.empty((INPUTS, n), np.float32)
+            inputs[0] = 1
+            coded.trees.path_odds.take(part.at, mode="clip", out=inputs[1])
+            for x, table, slots in zip(inputs[2:], self.tables, part.slots):
+                np.multiply(table.take(slots.astype(np.intp), mode="clip"), step, out=x)
+            mixed = np.repeat(own[:, gates].reshape(INPUTS, -1)[:, some], sizes, axis=1)
+            mixed *= inputs
+            z = np.add.reduce(mixed, axis=0)
             np.clip(z, -SPREAD + 0.01, SPREAD - 0.01, out=z)
-            cell = ((z + SPREAD) * (REFINE / (2 * SPREAD))).astype(np.intp)
-            gate *= REFINE
-            cell += gate
-            refined = flat.take(cell)
-            refined += z
-            refined *= np.float32(0.5)
-            refined *= 1 - 2 * bit
-            np.exp(refined, out=refined)
-            refined += 1
-            cost += np.bincount(text, np.log(refined, out=refined), texts)
-            np.exp(np.negative(z, out=z), out=z)
-            z += 1
-            error = np.subtract(bit, np.divide(1, z, out=z), out=z)
-            rate = RATE / (np.bincount(key, minlength=len(weights)) + PRIOR_ROWS)
-            for k, x in enumerate(inputs):
-                weights[:, k] += rate * np.bincount(key, np.multiply(error, x, out=part), len(weights))
-            weights[:, -1] += rate * np.bincount(key, error, len(weights))
+            bit = part.bit.astype(np.float32)
+            if priced or refining:
+                cell = ((z + SPREAD) * (REFINE / (2 * SPREAD))).astype(np.intp)
+                cell += np.repeat(gates * REFINE, part.each)
+            if priced:
+                refined = flat.take(cell, mode="clip")
+                refined += z
+                refined *= np.float32(0.5)
+                refined *= 1 - 2 * bit
+                np.exp(refined, out=refined)
+                refined += 1
+                wide = np.log(refined, out=refined).astype(float)
+                price = np.zeros(count.shape)
+                price.reshape(-1)[some] = np.add.reduceat(wide, begin)
+                cost[docs] += price.sum(0)
+            error = np.exp(np.negative(z, out=z), out=z)
+            error += 1
+            np.subtract(bit, np.divide(1, error, out=error), out=error)
+            inputs *= error
+            sums = np.zeros((INPUTS, *count.shape))
+            sums.reshape(INPUTS, -1)[:, some] = np.add.reduceat(inputs.astype(float), begin, axis=1)
+            for x in (count, *sums):
+                x[GATES - 1] += x[GATES:].sum(0)
+            own += RATE / (count[:GATES] + PRIOR_ROWS) * sums[:, :GATES]
+            weights[:, :, docs] = own
             if refining:
-                seen[0] += np.bincount(cell, 1 - bit, GATES * REFINE)
-                seen[1] += np.bincount(cell, bit, GATES * REFINE)
-            a = b
-        return cost, weights, seen
+                cell += part.bit * np.intp(GATES * REFINE)
+                seen += np.bincount(cell, minlength=seen.size).reshape(seen.shape)
+        return cost, weights[np.argsort(order)].transpose(2, 1, 0).reshape(-1, INPUTS), seen
 
-    def fit(self, trees: Trees, groups: list[list[list[bytes]]]) -> None:
+    def fit(self, trees: Trees, groups: list[Words | list[list[bytes]]]) -> None:
         """Start weights move to the mean of the texts' last weights; then the refining table.  Groups of
         texts are coded when they are read, so only one of them is held as decisions; a single one is coded once."""
         only = Coded(trees, groups[0], self.slot_bits) if len(groups) == 1 else None
         for _ in range(EPOCHS):
             total, n = np.zeros((GATES, INPUTS)), 0
             for group in groups:
-                _, w, _ = self.read(only or Coded(trees, group, self.slot_bits), len(group))
+                _, w, _ = self.read(only or Coded(trees, group, self.slot_bits), len(group), priced=False)
                 total += w.reshape(len(group), GATES, INPUTS).sum(0)
                 n += len(group)
             if n:
                 self.weights = (total / n).astype(np.float32)
-        counts = sum((self.read(only or Coded(trees, g, self.slot_bits), len(g), True)[2] for g in groups), np.zeros((2, GATES * REFINE)))
+        counts = sum((self.read(only or Coded(trees, g, self.slot_bits), len(g), True, False)[2] for g in groups), np.zeros((2, GATES * REFINE)))
         self.set_fit(self.weights, 1, counts)
 
     def set_fit(self, weights: np.ndarray, texts: int, counts: np.ndarray) -> None:
@@ -228,45 +333,38 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
     return np.rint(np.clip(odds * STEPS, -127, 127)).astype(np.int8)
 
 
-def _groups(batch_texts: Iterator[str | None]) -> Iterator[list[list[bytes]]]:
-    """Texts in runs of about BATCH_WORDS words, each text whole."""
-    held, size = [], 0
-    for text in batch_texts:
-        held.append(tokens(text))
-        size += len(held[-1])
-        if size >= BATCH_WORDS:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def add_counts(tables: np.ndarray, slots: list[list[np.ndarray]], bits: list[np.ndarray]) -> None:
     """slots: for each context the slots of some batches; bits: of the same batches."""
     for table, batches in zip(tables, slots):
-        counts = table.reshape(-1)
-        for slot, bit in zip(batches, bits):
-            places = slot.astype(np.intp)
-            places += places
-            places += bit
-            np.add.at(counts, places, counts.dtype.type(1))
+        counts, places = table.reshape(-1), np.concatenate(batches).view(np.uint32)
+        places <<= np.uint32(1)
+        places |= np.concatenate(bits).view(np.uint8)
+        places.sort()           # neighbours are added one after another
+        np.add.at(counts, places.astype(np.intp), counts.dtype.type(1))
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
     """(token, n) over the texts; every task adds up what it can hold before the shuffle."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held, size = [], 0
+
+        def merged() -> pa.Table:
+            return pa.Table.from_batches(held).group_by("token").aggregate([("n", "sum")]).rename_columns(["token", "n"])
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                              names=["token", "n"])
         for b in batches:
-            for t in b.column(0):
-                seen.update(tokens(t.as_py()))
-                if len(seen) > FLUSH:
-                    yield out()
-                    seen.clear()
-        yield out()
+            words, sizes = split(b.column(0))
+            seen = pc.value_counts(words)
+            held += [pa.record_batch([seen.field(0), seen.field(1)], ["token", "n"]),
+                     pa.record_batch([pa.array([END], pa.binary()), pa.array([len(sizes)], pa.int64())], ["token", "n"])]
+            size += len(seen)
+            if size > 2 * FLUSH:
+                table = merged()
+                held, size = table.to_batches(), table.num_rows
+                if size > FLUSH:
+                    yield from held
+                    held, size = [], 0
+        if held:
+            yield from merged().to_batches()
 
     return rows.select("text").mapInArrow(count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -287,9 +385,11 @@ def bit_counters(rows: DataFrame, trees: Trees, bits: int, tasks: int) -> np.nda
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
         tables = np.zeros((CONTEXTS, slots, 2), np.int32)
-        for group in _groups(t.as_py() for b in batches for t in b.column(0)):
-            coded = Coded(trees, group, bits, counted=True)
-            add_counts(tables, [[x] for x in coded.slots], [coded.bit])
+        for b in batches:
+            for group in numbered(trees, b.column(0))[0].groups(COUNT_WORDS):
+                coded = Coded(trees, group, bits, counted=True)
+                parts = [coded.part(a, a + PART_WORDS) for a in range(0, len(coded.ids), PART_WORDS)]
+                add_counts(tables, list(zip(*(p.slots for p in parts))), [p.bit for p in parts])
         for k in range(CONTEXTS):
             for c in range(per):
                 part = tables[k, c * size:(c + 1) * size]
@@ -332,13 +432,13 @@ def fit_sums(rows: DataFrame, trees: Trees, odds: list[list[np.ndarray]], tasks:
         for b in batches:
             for h, mixer in enumerate(mixers):
                 own = b.filter(pc.equal(b.column(1), h)).column(0)
-                for group in _groups(t.as_py() for t in own):
+                for group in numbered(trees, own)[0].groups(BATCH_WORDS):
                     for at in range(0, len(group), FIT_DOCS):
-                        step = group[at:at + FIT_DOCS]
+                        step = group.slice(at, min(at + FIT_DOCS, len(group)))
                         mixer.weights = start
                         if not texts:
                             mixer.fit(trees, [step])
-                        _, last, counts = mixer.read(Coded(trees, step, mixer.slot_bits), len(step), True)
+                        _, last, counts = mixer.read(Coded(trees, step, mixer.slot_bits), len(step), True, False)
                         last = last.reshape(len(step), GATES, INPUTS).sum(0, dtype=np.float64)
                         start = (last / len(step)).astype(np.float32)
                         total, texts, seen = total + last, texts + len(step), seen + counts
@@ -391,20 +491,19 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, mixer, base, counted = shared.value
         for b in batches:
-            at = 0
-            for group in _groups(t.as_py() for t in b.column(2)):
+            at, begin = 0, 0
+            texts, words = numbered(trees, b.column(2))
+            for group in texts.groups(SCORE_WORDS):
                 n = len(group)
                 coded = Coded(trees, group, mixer.slot_bits)
                 nats, _, _ = mixer.read(coded, n)
                 head_base = np.bincount(coded.doc, base[coded.ids], n)
                 known = np.bincount(coded.doc, counted[coded.ids], n).astype(np.int64)
-                out = np.flatnonzero(coded.ids == 0)
-                flat = list(chain.from_iterable(group))
-                words = pa.array([flat[i] for i in out.tolist()], pa.binary())
-                ends = np.r_[0, np.cumsum(np.bincount(coded.doc[out], minlength=n))].astype(np.int32)
+                ends = begin + np.r_[0, np.cumsum(np.bincount(coded.doc[coded.ids == 0], minlength=n))].astype(np.int32)
+                begin = ends[-1]
                 size = pc.binary_length(b.column(2).slice(at, n)).fill_null(0)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, n), b.column(1).slice(at, n), pa.array([len(t) for t in group], pa.int64()),
+                    [b.column(0).slice(at, n), b.column(1).slice(at, n), pa.array(group.sizes, pa.int64()),
                      pa.array(known), pa.array(head_base), pa.array(-nats / math.log(10)), size.cast(pa.int64()),
                      pa.ListArray.from_arrays(pa.array(ends), words)],
                     names=["doc_id", "held_out", "n_tokens", "known", "head_base", "head_score", "bytes", "rare"])

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -389,6 +390,34 @@ def test_lm_mixing_against_plain_python():
         assert math.isclose(got, plain_mixing(trees, mixer, text), rel_tol=2e-3)
 
 
+def test_lm_words_of_a_column_are_numbered_at_once():
+    """Odd white space, empty, null and foreign texts: the same symbols as word by word, and the words outside the tree."""
+    trees, _, _ = toy_model()
+    odd = [None, "", " ", "the  CAT\tsat\x0b\x0con\r\n", " \x1cthe\x85 cat\xa0dog ", "\u0130 THE \u00c9 unseen", "mat\x00 mat", "x" * 300]
+    texts, rest = lm_score.numbered(trees, pa.array(odd * 3))
+    rows = [lm_score.tokens(t) for t in odd] * 3
+    assert texts.ids.tolist() == [trees.words.get(w, 0) for t in rows for w in t] and texts.sizes.tolist() == [len(t) for t in rows]
+    assert rest.to_pylist() == [w for t in rows for w in t if w not in trees.words]
+    groups = list(texts.groups(7))
+    assert [n for g in groups for n in g.sizes.tolist()] == texts.sizes.tolist() and all(g.sizes[:-1].sum() < 7 for g in groups)
+    assert lm_score.numbered(trees, pa.array([], pa.string()))[0].ids.size == 0
+
+
+def test_lm_decisions_are_made_in_pieces(monkeypatch):
+    """Pieces hold few texts and every decision once; their size changes no cost, and what is not asked for is not made."""
+    trees, mixer, texts = toy_model()
+    texts = [*texts[:9], [b"the", b"cat", b"unseen"] * 90 + [b""], [b""], [b"dog"] * 70]
+    want = mixer.read(lm_score.Coded(trees, texts, BITS), len(texts), True)
+    monkeypatch.setattr(lm_score, "RUNS", 2)
+    coded = lm_score.Coded(trees, texts, BITS)
+    parts = [coded.part(coded.runs[a], coded.runs[b]) for a, b in coded.pieces]
+    assert max(b - a for a, b in coded.pieces) == 2 and sum(len(p.at) for p in parts) == len(coded.bit) == want[2].sum()
+    got = mixer.read(coded, len(texts), True)
+    assert np.allclose(want[0], got[0], rtol=1e-6) and np.allclose(want[1], got[1], rtol=1e-5) and (want[2] == got[2]).all()
+    cost, weights, seen = mixer.read(coded, len(texts), True, priced=False)
+    assert not cost.any() and (weights == got[1]).all() and (seen == got[2]).all()
+
+
 def test_huffman_paths_are_prefix_free():
     length, node, bit = lm_score.huffman([5, 1, 1, 8, 3])
     ends = np.cumsum(length)
