@@ -26,8 +26,7 @@ from __future__ import annotations
 
 import heapq
 import math
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 from itertools import chain, repeat
 from typing import NamedTuple
@@ -302,9 +301,9 @@ class Mixer:
                 seen += np.bincount(cell, minlength=seen.size).reshape(seen.shape)
         return cost, weights[np.argsort(order)].transpose(2, 1, 0).reshape(-1, INPUTS), seen
 
-    def fit(self, trees: Trees, groups: list[Words | list[list[bytes]]]) -> None:
-        """Start weights move to the mean of the texts' last weights; then the refining table.  Groups of
-        texts are coded when they are read, so only one of them is held as decisions; a single one is coded once."""
+    def start(self, trees: Trees, groups: list[Words | list[list[bytes]]]) -> Coded | None:
+        """Start weights move to the mean of the texts' last weights.  Groups of texts are coded when they are read, so only
+        one of them is held; a single one is coded once, and returned."""
         only = Coded(trees, groups[0], self.slot_bits) if len(groups) == 1 else None
         for _ in range(EPOCHS):
             total, n = np.zeros((GATES, INPUTS)), 0
@@ -314,6 +313,11 @@ class Mixer:
                 n += len(group)
             if n:
                 self.weights = (total / n).astype(np.float32)
+        return only
+
+    def fit(self, trees: Trees, groups: list[Words | list[list[bytes]]]) -> None:
+        """The start weights, then the refining table."""
+        only = self.start(trees, groups)
         counts = sum((self.read(only or Coded(trees, g, self.slot_bits), len(g), True, False)[2] for g in groups), np.zeros((2, GATES * REFINE)))
         self.set_fit(self.weights, 1, counts)
 
@@ -333,12 +337,13 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
     return np.rint(np.clip(odds * STEPS, -127, 127)).astype(np.int8)
 
 
-def add_counts(tables: np.ndarray, slots: list[list[np.ndarray]], bits: list[np.ndarray]) -> None:
+def add_counts(tables: np.ndarray, slots: Sequence[Sequence[np.ndarray]], bits: Sequence[np.ndarray]) -> None:
     """slots: for each context the slots of some batches; bits: of the same batches."""
+    bit = np.concatenate(bits).view(np.uint8)
     for table, batches in zip(tables, slots):
         counts, places = table.reshape(-1), np.concatenate(batches).view(np.uint32)
         places <<= np.uint32(1)
-        places |= np.concatenate(bits).view(np.uint8)
+        places |= bit
         places.sort()           # neighbours are added one after another
         np.add.at(counts, places.astype(np.intp), counts.dtype.type(1))
 
@@ -374,6 +379,14 @@ def slot_bits(tokens: int) -> int:
     return min(MOST_SLOT_BITS, max(LEAST_SLOT_BITS, (tokens // 4).bit_length()))
 
 
+def packed(part: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(part), codec="zstd", asbytes=True)
+
+
+def unpacked(blob: bytes, kind: type, slots: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, slots * 2 * np.dtype(kind).itemsize, codec="zstd"), kind).reshape(slots, 2)
+
+
 def bit_counters(rows: DataFrame, trees: Trees, bits: int, tasks: int) -> np.ndarray:
     """CONTEXTS x 2^bits x 2 counters over all texts of rows: each task's tables travel in compressed chunks
     and are added up chunk by chunk; the sums, at most CONTEXTS x 2^MOST_SLOT_BITS, come to the driver."""
@@ -388,24 +401,25 @@ def bit_counters(rows: DataFrame, trees: Trees, bits: int, tasks: int) -> np.nda
         for b in batches:
             for group in numbered(trees, b.column(0))[0].groups(COUNT_WORDS):
                 coded = Coded(trees, group, bits, counted=True)
-                parts = [coded.part(a, a + PART_WORDS) for a in range(0, len(coded.ids), PART_WORDS)]
-                add_counts(tables, list(zip(*(p.slots for p in parts))), [p.bit for p in parts])
+                made = (coded.part(a, a + PART_WORDS) for a in range(0, len(coded.ids), PART_WORDS))
+                places, bit = zip(*((p.slots, p.bit) for p in made))
+                add_counts(tables, list(zip(*places)), bit)
         for k in range(CONTEXTS):
             for c in range(per):
                 part = tables[k, c * size:(c + 1) * size]
                 if part.any():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([k * per + c], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
+                        [pa.array([k * per + c], pa.int32()), pa.array([packed(part)], pa.binary())],
                         names=["chunk", "blob"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for chunk, blob in zip(b.column(0).to_pylist(), b.column(1)):
-                part = np.frombuffer(zlib.decompress(blob.as_py()), np.int32).astype(np.float32)
+                part = unpacked(blob.as_py(), np.int32, size).astype(np.float32)
                 sums[chunk] = sums[chunk] + part if chunk in sums else part
         for chunk, part in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([packed(part)], pa.binary())],
                                              names=["chunk", "blob"])
 
     kind = "chunk int, blob binary"
@@ -414,7 +428,7 @@ def bit_counters(rows: DataFrame, trees: Trees, bits: int, tasks: int) -> np.nda
     while parts:
         r = parts.pop()
         k, c = divmod(r["chunk"], per)
-        out[k, c * size:(c + 1) * size] = np.frombuffer(zlib.decompress(r["blob"]), np.float32).reshape(size, 2)
+        out[k, c * size:(c + 1) * size] = unpacked(r["blob"], np.float32, size)
     return out
 
 
@@ -436,9 +450,8 @@ def fit_sums(rows: DataFrame, trees: Trees, odds: list[list[np.ndarray]], tasks:
                     for at in range(0, len(group), FIT_DOCS):
                         step = group.slice(at, min(at + FIT_DOCS, len(group)))
                         mixer.weights = start
-                        if not texts:
-                            mixer.fit(trees, [step])
-                        _, last, counts = mixer.read(Coded(trees, step, mixer.slot_bits), len(step), True, False)
+                        coded = None if texts else mixer.start(trees, [step])
+                        _, last, counts = mixer.read(coded or Coded(trees, step, mixer.slot_bits), len(step), True, False)
                         last = last.reshape(len(step), GATES, INPUTS).sum(0, dtype=np.float64)
                         start = (last / len(step)).astype(np.float32)
                         total, texts, seen = total + last, texts + len(step), seen + counts

@@ -418,6 +418,18 @@ def test_lm_decisions_are_made_in_pieces(monkeypatch):
     assert not cost.any() and (weights == got[1]).all() and (seen == got[2]).all()
 
 
+def test_lm_first_step_is_read_once_for_every_use(monkeypatch):
+    """The fit reads the first step EPOCHS times for the start weights and once for the sums; packed counts come back whole."""
+    trees, mixer, texts = toy_model()
+    made, read = [], lm_score.Mixer.read
+    monkeypatch.setattr(lm_score.Mixer, "read", lambda *a, **k: made.append(1) or read(*a, **k))
+    coded = mixer.start(trees, [texts])
+    assert len(made) == lm_score.EPOCHS and isinstance(coded, lm_score.Coded) and mixer.start(trees, [texts, texts]) is None
+    for kind in (np.int32, np.float32):
+        part = np.arange(64, dtype=kind).reshape(32, 2)
+        assert (lm_score.unpacked(lm_score.packed(part), kind, 32) == part).all()
+
+
 def test_huffman_paths_are_prefix_free():
     length, node, bit = lm_score.huffman([5, 1, 1, 8, 3])
     ends = np.cumsum(length)
